@@ -31,8 +31,10 @@ def word_run_rows(df: DataFrame, tokens_col: Column, keep: list[str]) -> DataFra
     n = F.size("_s")
     with_starts = sorted_df.select(
         *keep, "_s",
-        F.filter(F.sequence(F.lit(0), n - 1),
-                 lambda i: (i == 0) | (F.get(F.col("_s"), i) != F.get(F.col("_s"), i - 1))
+        # sequence(0, n) never counts down (sequence(0, -1) would), and the
+        # guard i < n drops its last element: no run for an empty document
+        F.filter(F.sequence(F.lit(0), n),
+                 lambda i: (i < n) & ((i == 0) | (F.get(F.col("_s"), i) != F.get(F.col("_s"), i - 1)))
                  ).alias("_st"))
     runs = F.transform(
         "_st",

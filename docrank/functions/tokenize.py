@@ -60,10 +60,10 @@ def tokens(text, mode: str = WORD_LOWER) -> Column:
 
 
 def query_tokens(query, mode: str = WORD_LOWER) -> Column:
-    """Tokens of a query: split on single spaces (as typed), drop empty terms,
-    then pass every term through the index's own tokenizer so that a query
+    """Tokens of a query column (name or Column; ``F.lit`` for a literal):
+    split on single spaces (as typed), drop empty terms, then pass every term through the index's own tokenizer so that a query
     matches the index vocabulary (``The`` finds ``the`` under ``word_lower``)."""
-    q = _col(query) if not isinstance(query, str) else F.lit(query)
+    q = _col(query)
     parts = F.split(F.coalesce(q, F.lit("")), " ")
     per_term = F.transform(parts, lambda p: tokens(p, mode))
     return F.filter(F.flatten(per_term), lambda w: w != "")

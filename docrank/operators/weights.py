@@ -10,9 +10,9 @@ work at scale:
 * document frequency is a ``groupBy(word)`` whose partial aggregate runs before
   the shuffle: each task ships one row per distinct word it saw, so a stop word
   that occurs in every document costs one row per task, not one per document.
-* TF-IDF joins the term rows to the one-row-per-word IDF table.  AQE turns it
-  into a broadcast join when the measured vocabulary is small and otherwise
-  keeps a sort-merge join whose hot-word partitions it splits (skew join).
+* TF-IDF joins the term rows to the one-row-per-word IDF table with a
+  shuffled hash join built on the vocabulary side; AQE splits the partition
+  of a hot word (skew join) and coalesces small partitions.
 * the corpus size N is a scalar subquery (or a literal); no cross join, no
   driver round trip.
 """
@@ -113,6 +113,12 @@ def idf(doc_freq: DataFrame, n: Column, kind: str = IDF_SMOOTH) -> DataFrame:
 
 
 def tf_idf(tf_rows: DataFrame, idf_rows: DataFrame) -> DataFrame:
-    """Joins term frequencies to IDF on ``word`` and adds ``tf_idf``."""
-    j = tf_rows.join(idf_rows.select("word", "doc_frequency", "idf"), "word")
+    """Joins term frequencies to IDF on ``word`` and adds ``tf_idf``.
+
+    Shuffled hash join with the vocabulary (one row per word) as build side:
+    the term rows are streamed, never sorted, and AQE splits the partition of
+    a hot word.  The hint also keeps the static planner from broadcasting the
+    term side, whose size it under-estimates (a generator does not grow the
+    estimate)."""
+    j = tf_rows.join(idf_rows.select("word", "doc_frequency", "idf").hint("shuffle_hash"), "word")
     return j.withColumn("tf_idf", F.col("term_frequency") * F.col("idf"))
