@@ -70,6 +70,15 @@ def terms(corpus: DataFrame, mode: str = WORD_LOWER, multi_row: bool = False) ->
     return counts.join(totals, "doc_id").select("doc_id", "word", "frequency", "total_words")
 
 
+def terms_from_counts(counts: DataFrame) -> DataFrame:
+    """``(doc_id, word, frequency)`` rows counted elsewhere (an imported word
+    count stage) -> adds ``total_words``.  The per-document sums are a partial
+    aggregate; the join builds on the one-row-per-document side."""
+    totals = counts.groupBy("doc_id").agg(F.sum("frequency").cast("long").alias("total_words"))
+    return (counts.join(totals.hint("shuffle_hash"), "doc_id")
+            .select("doc_id", "word", F.col("frequency").cast("long").alias("frequency"), "total_words"))
+
+
 def word_count(corpus: DataFrame, mode: str = WORD_LOWER, multi_row: bool = False) -> DataFrame:
     """``(doc_id, word, frequency)``."""
     return terms(corpus, mode, multi_row).select("doc_id", "word", "frequency")

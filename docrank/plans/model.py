@@ -73,6 +73,17 @@ class TfIdf:
         self.multi_row = multi_row
         self.doc_frequency_override = doc_frequency_override
 
+    @classmethod
+    def from_counts(cls, counts: DataFrame, **kw) -> "TfIdf":
+        """Model over already counted ``(doc_id, word, frequency)`` rows (for
+        example a word-count stage imported from text).  N defaults to the
+        number of distinct documents among the rows."""
+        m = cls(counts.select("doc_id", F.lit("").alias("text")), balance=False, **kw)
+        m.__dict__["terms"] = W.terms_from_counts(counts)
+        if m.n is None:
+            m.__dict__["n_docs"] = counts.select(F.countDistinct("doc_id").cast("double")).scalar()
+        return m
+
     @classmethod
     def flavor(cls, corpus: DataFrame, name: str, **kw) -> "TfIdf":
         f = FLAVORS[name]
@@ -86,7 +97,11 @@ class TfIdf:
     # ---- scalar N ----------------------------------------------------------
     @cached_property
     def n_docs(self) -> Column:
-        # counted on the unbalanced corpus: a count needs no text
+        """N: the literal ``n``, else a scalar subquery counting the corpus
+        (distinct ids for multi-row documents).  Counted on the unbalanced
+        corpus: a count reads no text."""
+        if self.multi_row and self.n is None:
+            return self.raw_corpus.select(F.countDistinct("doc_id").cast("double")).scalar()
         return W.n_docs(self.raw_corpus, self.n)
 
     def corpus_size(self) -> DataFrame:
@@ -122,10 +137,7 @@ class TfIdf:
     @cached_property
     def idf(self) -> DataFrame:
         """(word, doc_frequency, idf)"""
-        n = self.n_docs
-        if self.multi_row and self.n is None:
-            n = self.raw_corpus.select(F.countDistinct("doc_id").cast("double")).scalar()
-        return W.idf(self.doc_frequency, n, self.idf_kind)
+        return W.idf(self.doc_frequency, self.n_docs, self.idf_kind)
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -150,7 +162,4 @@ class TfIdf:
                 "doc_frequency", F.lit(self.doc_frequency_override).cast("long"))
         else:
             d = W.document_frequency(t)
-        n = self.n_docs
-        if self.multi_row and self.n is None:
-            n = self.raw_corpus.select(F.countDistinct("doc_id").cast("double")).scalar()
-        return W.tf_idf(t, W.idf(d, n, self.idf_kind)).select("doc_id", "word", "tf_idf")
+        return W.tf_idf(t, W.idf(d, self.n_docs, self.idf_kind)).select("doc_id", "word", "tf_idf")

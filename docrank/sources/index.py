@@ -57,13 +57,21 @@ class Index:
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
 
     def weights_for_terms(self, term_rows: DataFrame) -> DataFrame:
-        """(doc_id, word, tf_idf) for the words of a term table.  The bucket
-        travels with the words so that dynamic partition pruning can skip
-        buckets no query touches."""
+        """(doc_id, word, tf_idf) for the words of a term table.
+
+        The distinct buckets the query words fall in are fetched first (at
+        most ``buckets`` small integers) and become a static partition
+        filter, so a small batch reads only its buckets; the word-level
+        restriction is a semi join on (bucket, word)."""
         words = term_rows.select("word").distinct().withColumn(
             "bucket", bucket_of(F.col("word"), self.buckets))
-        p = self.postings.join(words, ["bucket", "word"], "left_semi")
-        v = self.idf().join(words, ["bucket", "word"], "left_semi").select("word", "idf")
+        touched = [r["bucket"] for r in words.select("bucket").distinct().collect()]
+        postings, vocab = self.postings, self.idf()
+        if len(touched) < self.buckets:
+            postings = postings.where(F.col("bucket").isin(touched))
+            vocab = vocab.where(F.col("bucket").isin(touched))
+        p = postings.join(words, ["bucket", "word"], "left_semi")
+        v = vocab.join(words, ["bucket", "word"], "left_semi").select("word", "idf")
         return (p.join(v, "word")
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
 

@@ -1,0 +1,127 @@
+"""Query cases (FIXTURES 4): search over the model and over a stored index."""
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import corpus_df
+from docrank import TfIdf
+from docrank.operators import search as S
+from docrank.sinks.index import write_index
+from docrank.sources.index import read_index
+
+ROWS = [("a", "apple banana apple common"), ("b", "banana cherry common"),
+        ("c", "cherry date common"), ("d", "date egg common"),
+        ("e", "fig common"), ("f", "fig common")]
+N = 6
+
+
+def smooth(df):
+    return math.log((N + 1) / (df + 1))
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return TfIdf(corpus_df(spark, ROWS))
+
+
+@pytest.fixture(scope="module")
+def index(spark, model):
+    from docrank.session import scratch_path
+    path = scratch_path(spark, "test-index")
+    write_index(model, path, buckets=4)
+    return read_index(spark, path)
+
+
+def scores(df):
+    return {r["doc_id"]: r["score"] for r in df.collect()}
+
+
+@pytest.mark.parametrize("source", ["model", "index"])
+def test_single_and_two_terms(spark, request, source):
+    src = request.getfixturevalue(source)
+    s1 = scores(S.search_sum(src, spark, "apple"))
+    assert s1 == {"a": round(2 / 4 * smooth(1), 8)}
+    s2 = scores(S.search_sum(src, spark, "apple banana"))
+    assert s2 == {"a": round(2 / 4 * smooth(1) + 1 / 4 * smooth(2), 8), "b": round(1 / 3 * smooth(2), 8)}
+
+
+@pytest.mark.parametrize("source", ["model", "index"])
+def test_bag_doubles_set_does_not(spark, request, source):
+    src = request.getfixturevalue(source)
+    once = scores(S.search_sum(src, spark, "apple", weighting="set"))
+    set2 = scores(S.search_sum(src, spark, "apple apple", weighting="set"))
+    bag2 = scores(S.search_sum(src, spark, "apple apple", weighting="bag"))
+    assert set2 == once
+    assert bag2.keys() == once.keys()
+    assert all(abs(bag2[k] - 2 * once[k]) <= 2e-8 for k in once)
+
+
+def test_unknown_mixed_case_double_space(spark, model):
+    assert S.search_sum(model, spark, "zzz").count() == 0
+    assert S.search_sum(model, spark, "").count() == 0
+    assert scores(S.search_sum(model, spark, "APPLE")) == scores(S.search_sum(model, spark, "apple"))
+    assert (scores(S.search_sum(model, spark, "apple  banana"))
+            == scores(S.search_sum(model, spark, "apple banana")))
+
+
+def test_term_in_every_document_scores_zero(spark):
+    c = corpus_df(spark, ROWS)
+    for kind in ("smooth", "raw"):
+        s = scores(S.search_sum(TfIdf(c, idf_kind=kind), spark, "common"))
+        assert len(s) == N and set(s.values()) == {0.0}
+
+
+def test_tie_ordered_by_doc_id(spark, model):
+    top = S.search_sum(model, spark, "fig", k=1).collect()
+    assert [r["doc_id"] for r in top] == ["e"]
+    rows = S.search_rows(model, spark, "fig", k=2).collect()
+    assert [r["doc_id"] for r in rows] == ["e", "f"]
+
+
+def test_search_rows_and_followup(spark, model):
+    rows = S.search_rows(model, spark, "apple cherry date", k=5).collect()
+    vals = [r["tf_idf"] for r in rows]
+    assert vals == sorted(vals, reverse=True)
+    assert rows[0]["doc_id"] == "a" and rows[0]["word"] == "apple"
+    first = S.search_rows(model, spark, "apple", k=2)
+    follow = S.search_rows(model, spark, "banana common", k=5, within=first).collect()
+    assert {r["doc_id"] for r in follow} == {"a"}
+    with_text = S.with_text(first, model.raw_corpus).collect()
+    assert with_text[0]["text"] == "apple banana apple common"
+
+
+@pytest.mark.parametrize("source", ["model", "index"])
+@pytest.mark.parametrize("weighting", ["set", "bag"])
+def test_batch_equals_loop_of_single_searches(spark, request, source, weighting):
+    src = request.getfixturevalue(source)
+    qs = [(1, "apple banana"), (2, "cherry cherry date"), (3, "zzz"), (4, "fig common")]
+    queries = spark.createDataFrame(qs, "query_id long, text string")
+    batch = S.search_batch(src, queries, weighting=weighting, k=3).collect()
+    got = {}
+    for r in batch:
+        got.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+    for qid, text in qs:
+        single = S.search_sum(src, spark, text, weighting=weighting, k=3).collect()
+        expect = [(i + 1, r["doc_id"], r["score"]) for i, r in enumerate(single)]
+        assert sorted(got.get(qid, [])) == expect
+
+
+def test_posting_list_blocks(spark):
+    rows = [(i, "w common") for i in range(10)]
+    m = TfIdf(corpus_df(spark, [(str(i), t) for i, t in rows]).withColumn("doc_id", F.col("doc_id").cast("long")))
+    p = S.posting_list(m.tf, block_size=4).where("word = 'common'").orderBy("block").collect()
+    assert [list(r["doc_ids"]) for r in p] == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9]]
+    assert all(len(r["doc_ids"]) <= 4 for r in S.posting_list(m.tf, block_size=4).collect())
+
+
+def test_vocabulary_desc(spark, model):
+    v = S.vocabulary_desc(model.weights, k=3).collect()
+    assert [(r["word"], r["doc_id"]) for r in v] == [("fig", "e"), ("fig", "f"), ("egg", "d")]
+
+
+def test_index_weights_match_model(spark, model, index):
+    a = {(r["doc_id"], r["word"]): r["tf_idf"] for r in model.weights.collect()}
+    b = {(r["doc_id"], r["word"]): r["tf_idf"] for r in index.weights().collect()}
+    assert a.keys() == b.keys()
+    assert all(math.isclose(a[k], b[k]) for k in a)
