@@ -58,10 +58,6 @@ def batch_terms(queries: DataFrame, mode: str = WORD_LOWER, weighting: str = SET
     raise ValueError(f"weighting must be {SET!r} or {BAG!r}")
 
 
-def _score_key(col="score", decimals: int = SCORE_DECIMALS):
-    return F.round(F.col(col), decimals)
-
-
 # --------------------------------------------------------------------------
 # single query
 # --------------------------------------------------------------------------
@@ -134,9 +130,10 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
               .agg(F.sum(F.col("tf_idf") * F.col("qtf")).alias("score"))
               .select("query_id", "doc_id", F.round("score", score_decimals).alias("score")))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
-    return (scored.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k)
-            .select("query_id", "rank", "doc_id", "score"))
+    # the filter must compare row_number itself for Spark to infer the group limit
+    return (scored.withColumn("rn", F.row_number().over(w))
+            .where(F.col("rn") <= k)
+            .select("query_id", F.col("rn").cast("long").alias("rank"), "doc_id", "score"))
 
 
 # --------------------------------------------------------------------------

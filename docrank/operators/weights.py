@@ -41,9 +41,11 @@ def corpus_size(corpus: DataFrame) -> DataFrame:
     return corpus.agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def n_docs(corpus: DataFrame, n: int | float | None = None) -> Column:
-    """N as a column: the literal ``n`` when given, else a scalar subquery over
+def n_docs(corpus: DataFrame, n: int | float | Column | None = None) -> Column:
+    """N as a column: ``n`` when given (number or column), else a scalar subquery over
     the corpus (evaluated once by Spark, shipped to tasks as a constant)."""
+    if isinstance(n, Column):
+        return n
     if n is not None:
         return F.lit(float(n))
     return corpus.select(F.count(F.lit(1)).cast("double")).scalar()

@@ -193,6 +193,47 @@ def q_per_doc_output(spark, sf_dir):
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "word", "frequency")
 
 
+def q_lines_corpus_word_count(spark, sf_dir):
+    """Documents written as one ten-field CSV line each (line breaks in the
+    text become spaces), read back line by line with the quote-aware split
+    and the ten-field check, then counted."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    text = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\r\n]", " ")
+    fields = ([F.col("doc_id").cast("string"), F.col("lang"), F.col("source"), F.col("n_chars").cast("string")]
+              + [F.lit(f"x{i}") for i in range(5)] + [text])
+    line = F.to_csv(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(fields)]),
+                    {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    path = scratch_path(spark, "lines")
+    d.select(line.alias("value")).write.text(path)
+    c = src.read_lines_corpus(spark, path, n_fields=10, id_index=0, text_index=9)
+    c = c.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return TfIdf(c).word_count()
+
+
+def q_files_corpus_tfidf(spark, sf_dir):
+    """One file per document (directory ``doc_id=<id>``); N is the number of
+    input files."""
+    path = scratch_path(spark, "files")
+    (spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+     .write.partitionBy("doc_id").text(path))
+    raw = spark.read.text(path, wholetext=True)
+    c = src.read_files_corpus(spark, path, id_pattern=r"doc_id=(\d+)", id_from="file_path")
+    c = c.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    m = TfIdf(c, n=src.n_input_files(raw))
+    return m.weights.select("doc_id", "word", r10("tf_idf"))
+
+
+def q_stream_index_search_sum(spark, sf_dir):
+    """The documents arrive as files in a landing directory; a Structured
+    Streaming ingest (available-now trigger) builds the index; search it."""
+    from docrank.streaming.ingest import ingest
+    landing, idx = scratch_path(spark, "landing"), scratch_path(spark, "stream-index")
+    spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").write.parquet(landing)
+    ingest(spark, landing, idx, buckets=16).awaitTermination()
+    index = read_index(spark, idx)
+    return S.search_sum(index, spark, QUERY, index.tokenizer, "set")
+
+
 def conversations(spark, sf_dir):
     return src.conversation_corpus(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -237,6 +278,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_search_batch_top5": q_index_search_batch_top5,
     "tsv_export_import": q_tsv_export_import,
     "per_doc_output": q_per_doc_output,
+    "lines_corpus_word_count": q_lines_corpus_word_count,
+    "files_corpus_tfidf": q_files_corpus_tfidf,
+    "stream_index_search_sum": q_stream_index_search_sum,
     "conversation_word_count": q_conversation_word_count,
     "conversation_tfidf": q_conversation_tfidf,
 }

@@ -62,7 +62,7 @@ class TfIdf:
 
     def __init__(self, corpus: DataFrame, tokenizer: str = WORD_LOWER,
                  idf_kind: str = W.IDF_SMOOTH, tf_decimals: int | None = None,
-                 n: int | float | None = None, multi_row: bool = False,
+                 n: int | float | Column | None = None, multi_row: bool = False,
                  balance: bool = True, doc_frequency_override: int | None = None):
         self.raw_corpus = corpus
         self.corpus = balance_input(corpus) if balance else corpus

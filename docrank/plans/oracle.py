@@ -157,6 +157,9 @@ FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
     q["index_search_batch_top5"] = q["search_batch_top5"]
     q["tsv_export_import"] = with_(sql_flavor, "SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w")
     q["per_doc_output"] = with_(sql_flavor, "SELECT doc_id, word, frequency FROM terms")
+    q["lines_corpus_word_count"] = q["word_count_lower"]
+    q["files_corpus_tfidf"] = q["tfidf_sql"]
+    q["stream_index_search_sum"] = q["index_search_sum"]
     conv = base_ctes("word_lower", "smooth", table="conversations", id_col="conv_id", multi_row=True)
     q["conversation_word_count"] = with_(conv, "SELECT doc_id, word, frequency FROM terms")
     q["conversation_tfidf"] = with_(conv, "SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w")

@@ -48,7 +48,7 @@ def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
         F.lit(model.idf_kind).alias("idf_kind"),
         F.lit(model.tf_decimals).cast("int").alias("tf_decimals"),
         F.lit(buckets).alias("buckets"),
-        F.lit(model.n).cast("double").alias("n_override"),
+        (model.n_docs if model.n is not None else F.lit(None)).cast("double").alias("n_override"),
         F.lit(model.doc_frequency_override).cast("long").alias("df_override"))
     meta.coalesce(1).write.mode(mode).parquet(f"{path}/meta")
 

@@ -96,16 +96,24 @@ def parse_csv_lines(df: DataFrame, line_col: str, columns: list[str]) -> DataFra
                      ).select("r.*", "n_fields")
 
 
-def read_files_corpus(spark: SparkSession, path: str, id_pattern: str = r"^([^.]*)") -> DataFrame:
-    """One document per file: ``doc_id`` = the part of the file name matched
-    by group 1 of ``id_pattern`` (default: up to the first dot, so
-    ``2118_9.txt-m-00001`` -> ``2118_9``), ``text`` = whole file."""
+def read_files_corpus(spark: SparkSession, path: str, id_pattern: str = r"^([^.]*)",
+                      id_from: str = "file_name") -> DataFrame:
+    """One document per file: ``doc_id`` = group 1 of ``id_pattern`` matched
+    against the file name (default: up to the first dot, so
+    ``2118_9.txt-m-00001`` -> ``2118_9``) or, with ``id_from='file_path'``,
+    against the full path; ``text`` = whole file."""
     raw = spark.read.text(path, wholetext=True)
     return raw.select(
-        F.regexp_extract(F.col("_metadata.file_name"), id_pattern, 1).alias("doc_id"),
+        F.regexp_extract(F.col(f"_metadata.{id_from}"), id_pattern, 1).alias("doc_id"),
         _fill(F.col("value")).alias("text"))
 
 
+def n_input_files(file_df: DataFrame) -> Column:
+    """N as the number of input files behind a file-source DataFrame (scalar
+    subquery, evaluated once)."""
+    return file_df.select(F.countDistinct(F.col("_metadata.file_path")).cast("double")).scalar()
+
+
 def count_input_files(file_df: DataFrame) -> DataFrame:
     """One row ``n_files``: distinct input files behind a file-source
     DataFrame (the directory-listing N of the MapReduce flavor)."""

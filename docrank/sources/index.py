@@ -17,8 +17,9 @@ class Index:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-        meta = spark.read.parquet(f"{path}/meta").first()   # one row
-        self.n_docs = int(meta["n_docs"])
+        metas = spark.read.parquet(f"{path}/meta")          # one row per build / stream batch
+        meta = (metas.orderBy("batch_id") if "batch_id" in metas.columns else metas).first()
+        self.n_docs = int(metas.agg(F.sum("n_docs")).first()[0])
         self.n = meta["n_override"] if meta["n_override"] is not None else float(self.n_docs)
         self.tokenizer = meta["tokenizer"]
         self.idf_kind = meta["idf_kind"]
@@ -26,7 +27,11 @@ class Index:
         self.buckets = int(meta["buckets"])
         self.df_override = meta["df_override"]
         self.postings = spark.read.parquet(f"{path}/postings")
-        self.vocabulary = spark.read.parquet(f"{path}/vocabulary")
+        vocab = spark.read.parquet(f"{path}/vocabulary")
+        if "batch_id" in vocab.columns:       # streamed index: per-batch deltas
+            vocab = vocab.groupBy("bucket", "word").agg(
+                F.sum("doc_frequency").cast("long").alias("doc_frequency"))
+        self.vocabulary = vocab
 
     def idf(self) -> DataFrame:
         """(bucket, word, doc_frequency, idf)"""
