@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docrank.functions.tokenize import WORD_LOWER, query_tokens
+from docrank.operators.joins import salt_counts, skew_safe_join
 
 SET = "set"
 BAG = "bag"
@@ -90,23 +91,29 @@ def search_rows(source, spark: SparkSession, query: str, mode: str = WORD_LOWER,
     rows = source.weights_for(words).select(
         "doc_id", "word", F.round("tf_idf", score_decimals).alias("tf_idf"))
     if within is not None:
-        rows = rows.join(F.broadcast(within.select("doc_id").distinct()), "doc_id", "left_semi")
+        # a left-semi join: the planner broadcasts ``within`` when its
+        # estimated size is small (a top-k is), else shuffles both sides
+        rows = rows.join(within.select("doc_id").distinct(), "doc_id", "left_semi")
     ordered = rows.orderBy(F.desc("tf_idf"), F.asc("doc_id"), F.asc("word"))
     return ordered.limit(k) if k is not None else ordered
 
 
-def with_text(result: DataFrame, corpus: DataFrame, eager_ids: bool = True) -> DataFrame:
-    """Attach ``text`` to a bounded result (a top-k).  With ``eager_ids`` the
-    (at most k) result ids are fetched first and become a literal ``IN`` filter
-    on the corpus scan, so only row groups holding those ids are read instead
-    of every text."""
-    if eager_ids:
-        ids = [r["doc_id"] for r in result.select("doc_id").distinct().collect()]
-        texts = corpus.where(F.col("doc_id").isin(ids)) if ids else corpus.limit(0)
-    else:
-        texts = corpus
-    return result.join(F.broadcast(texts.select("doc_id", "text")) if eager_ids else texts,
-                       "doc_id")
+def with_text(result: DataFrame, corpus: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Attach ``text`` to a bounded result (a top-k).
+
+    The result is computed once and fetched (at most ``max_rows`` rows, a
+    checked bound); its ids become a literal ``IN`` filter on the corpus scan,
+    so only row groups holding those ids are read instead of every text.  A
+    result over the bound is joined lazily instead (shuffle join, no fetch).
+    """
+    spark = result.sparkSession
+    rows = result.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return result.join(corpus.select("doc_id", "text"), "doc_id")
+    local = spark.createDataFrame(rows, result.schema)
+    ids = sorted({r["doc_id"] for r in rows})
+    texts = corpus.where(F.col("doc_id").isin(ids)) if ids else corpus.limit(0)
+    return local.join(texts.select("doc_id", "text"), "doc_id")
 
 
 # --------------------------------------------------------------------------
@@ -118,14 +125,18 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
     """``(query_id, rank, doc_id, score)``: the top ``k`` documents of every
     query of ``queries(query_id, text)``.
 
-    Plan: term rows restricted to query words -> join (query_id, word, qtf)
-    -> partial+final sum per (query_id, doc_id) -> per-query top k with
+    Plan: term rows restricted to query words -> join (query_id, word, qtf),
+    salted by document for words with very many postings -> partial+final sum per (query_id, doc_id) -> per-query top k with
     ``row_number() <= k``, which Spark runs as a group limit before and after
     the shuffle, so each task ships at most k rows per query.
     """
     terms = batch_terms(queries, mode, weighting)
-    rows = source.weights_for_terms(terms)
-    scored = (rows.join(terms, "word")
+    rows, vocab = source.weights_for_terms(terms)
+    # a word in every document and in every query: salt its postings by
+    # document so that no task receives all of them
+    joined = skew_safe_join(rows, terms, "word", spread="doc_id",
+                            hot=salt_counts(vocab, "word", "n_postings"))
+    scored = (joined
               .groupBy("query_id", "doc_id")
               .agg(F.sum(F.col("tf_idf") * F.col("qtf")).alias("score"))
               .select("query_id", "doc_id", F.round("score", score_decimals).alias("score")))

@@ -11,8 +11,8 @@ work at scale:
   the shuffle: each task ships one row per distinct word it saw, so a stop word
   that occurs in every document costs one row per task, not one per document.
 * TF-IDF joins the term rows to the one-row-per-word IDF table with a
-  shuffled hash join built on the vocabulary side; AQE splits the partition
-  of a hot word (skew join) and coalesces small partitions.
+  shuffled hash join built on the vocabulary side, salted by document for
+  words with very many postings (``operators.joins``).
 * the corpus size N is a scalar subquery (or a literal); no cross join, no
   driver round trip.
 """
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from docrank.functions.counting import word_run_rows
 from docrank.functions.numeric import round_half_up
 from docrank.functions.tokenize import WORD_LOWER, tokens
+from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY, skew_safe_join
 
 # The two IDF formulas.
 IDF_SMOOTH = "smooth"   # ln((N + 1) / (df + 1))
@@ -68,17 +69,17 @@ def terms(corpus: DataFrame, mode: str = WORD_LOWER, multi_row: bool = False) ->
     if not multi_row:
         return rows.select("doc_id", "word", "frequency", "total_words")
     counts = rows.groupBy("doc_id", "word").agg(F.sum("frequency").alias("frequency"))
-    totals = doc_length(corpus, mode, multi_row=True)
-    return counts.join(totals, "doc_id").select("doc_id", "word", "frequency", "total_words")
+    return terms_from_counts(counts)
 
 
-def terms_from_counts(counts: DataFrame) -> DataFrame:
+def terms_from_counts(counts: DataFrame, max_rows: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
     """``(doc_id, word, frequency)`` rows counted elsewhere (an imported word
     count stage) -> adds ``total_words``.  The per-document sums are a partial
-    aggregate; the join builds on the one-row-per-document side."""
-    totals = counts.groupBy("doc_id").agg(F.sum("frequency").cast("long").alias("total_words"))
-    return (counts.join(totals.hint("shuffle_hash"), "doc_id")
-            .select("doc_id", "word", F.col("frequency").cast("long").alias("frequency"), "total_words"))
+    aggregate; the join back is salted for documents with very many words."""
+    totals = counts.groupBy("doc_id").agg(F.sum("frequency").cast("long").alias("total_words"),
+                                          F.count(F.lit(1)).alias("_rows"))
+    j = skew_safe_join(counts, totals, "doc_id", spread="word", rows_per_key="_rows", max_rows=max_rows)
+    return j.select("doc_id", "word", F.col("frequency").cast("long").alias("frequency"), "total_words")
 
 
 def word_count(corpus: DataFrame, mode: str = WORD_LOWER, multi_row: bool = False) -> DataFrame:
@@ -118,18 +119,28 @@ def idf_expr(n: Column, df_col: Column, kind: str = IDF_SMOOTH) -> Column:
     raise ValueError(f"unknown idf kind {kind!r}; use one of {IDF_KINDS}")
 
 
-def idf(doc_freq: DataFrame, n: Column, kind: str = IDF_SMOOTH) -> DataFrame:
-    """``(word, doc_frequency, idf)``."""
-    return doc_freq.withColumn("idf", idf_expr(n, F.col("doc_frequency"), kind))
+def idf(doc_freq: DataFrame, n: Column, kind: str = IDF_SMOOTH,
+        doc_frequency_override: int | None = None) -> DataFrame:
+    """``(word, doc_frequency, idf, n_postings)``.  ``n_postings`` is the true
+    number of (document, word) rows of the word; ``doc_frequency`` is the
+    value the IDF uses: the same, or ``doc_frequency_override`` when given
+    (replaying a run that used a fixed document frequency)."""
+    eff = (F.lit(doc_frequency_override) if doc_frequency_override is not None
+           else F.col("doc_frequency")).cast("long")
+    return doc_freq.select("word", eff.alias("doc_frequency"), idf_expr(n, eff, kind).alias("idf"),
+                           F.col("doc_frequency").alias("n_postings"))
 
 
-def tf_idf(tf_rows: DataFrame, idf_rows: DataFrame) -> DataFrame:
+def tf_idf(tf_rows: DataFrame, idf_rows: DataFrame,
+           max_rows: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
     """Joins term frequencies to IDF on ``word`` and adds ``tf_idf``.
 
     Shuffled hash join with the vocabulary (one row per word) as build side:
-    the term rows are streamed, never sorted, and AQE splits the partition of
-    a hot word.  The hint also keeps the static planner from broadcasting the
-    term side, whose size it under-estimates (a generator does not grow the
-    estimate)."""
-    j = tf_rows.join(idf_rows.select("word", "doc_frequency", "idf").hint("shuffle_hash"), "word")
-    return j.withColumn("tf_idf", F.col("term_frequency") * F.col("idf"))
+    the term rows are streamed, never sorted.  Words with more than
+    ``max_rows`` postings are salted by document (``skew_safe_join``), so a
+    word present in every document is spread over many tasks.  The hint also
+    keeps the static planner from broadcasting the term side, whose size it
+    under-estimates (a generator does not grow the estimate)."""
+    j = skew_safe_join(tf_rows, idf_rows.select("word", "doc_frequency", "idf", "n_postings"),
+                       "word", spread="doc_id", rows_per_key="n_postings", max_rows=max_rows)
+    return j.drop("n_postings").withColumn("tf_idf", F.col("term_frequency") * F.col("idf"))

@@ -128,16 +128,13 @@ class TfIdf:
 
     @cached_property
     def doc_frequency(self) -> DataFrame:
-        """(word, doc_frequency)"""
-        if self.doc_frequency_override is not None:
-            return (self.terms.select("word").distinct()
-                    .withColumn("doc_frequency", F.lit(self.doc_frequency_override).cast("long")))
+        """(word, doc_frequency): documents containing each word."""
         return W.document_frequency(self.terms)
 
     @cached_property
     def idf(self) -> DataFrame:
-        """(word, doc_frequency, idf)"""
-        return W.idf(self.doc_frequency, self.n_docs, self.idf_kind)
+        """(word, doc_frequency, idf, n_postings)"""
+        return W.idf(self.doc_frequency, self.n_docs, self.idf_kind, self.doc_frequency_override)
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -146,20 +143,23 @@ class TfIdf:
         return W.tf_idf(self.tf, self.idf)
 
     def weights_for(self, words: list[str]) -> DataFrame:
-        """(doc_id, word, tf_idf) restricted to ``words``.  The literal filter
-        reaches the term rows and, below the aggregate, the document
-        frequency; the corpus is still tokenized in full (build an index to
-        avoid that)."""
-        w = self.weights.where(F.col("word").isin(words)) if words else self.weights.limit(0)
-        return w.select("doc_id", "word", "tf_idf")
-
-    def weights_for_terms(self, term_rows: DataFrame) -> DataFrame:
-        """(doc_id, word, tf_idf) for the words present in ``term_rows``."""
+        """(doc_id, word, tf_idf) restricted to literal ``words``.  The filter
+        reaches the term rows and the document-frequency aggregate; the IDF
+        side has at most ``len(words)`` rows and is broadcast, so even a word
+        present in every document is joined without a shuffle.  The corpus
+        is still tokenized in full (an index avoids that)."""
+        if not words:
+            return self.spark.createDataFrame([], "doc_id long, word string, tf_idf double")
+        t = self.tf.where(F.col("word").isin(words))
+        d = W.idf(W.document_frequency(t), self.n_docs, self.idf_kind, self.doc_frequency_override)
+        return (t.join(F.broadcast(d.select("word", "idf")), "word")
+                .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
+
+    def weights_for_terms(self, term_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """For the words present in ``term_rows``: ``(doc_id, word, tf_idf)``
+        and the per-word posting counts ``(word, n_postings)``."""
         words = term_rows.select("word").distinct()
         t = self.tf.join(words, "word", "left_semi")
-        if self.doc_frequency_override is not None:
-            d = t.select("word").distinct().withColumn(
-                "doc_frequency", F.lit(self.doc_frequency_override).cast("long"))
-        else:
-            d = W.document_frequency(t)
-        return W.tf_idf(t, W.idf(d, self.n_docs, self.idf_kind)).select("doc_id", "word", "tf_idf")
+        d = W.idf(W.document_frequency(t), self.n_docs, self.idf_kind, self.doc_frequency_override)
+        rows = W.tf_idf(t, d).select("doc_id", "word", "tf_idf")
+        return rows, d.select("word", "n_postings")

@@ -35,10 +35,11 @@ def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
     postings, vocabulary, meta).  Returns ``path``."""
     spark = model.spark
     postings = (model.tf.withColumn("bucket", bucket_of(F.col("word"), buckets))
-                # rebalance: AQE splits the partition of a hot bucket instead of
-                # writing it from one task, and merges small ones.
-                .hint("rebalance", "bucket")
-                .sortWithinPartitions("bucket", "word", "doc_id")
+                # global sort = range partitioning on (bucket, word, doc_id):
+                # every output file covers a narrow word range (file-level
+                # min/max skipping for a word filter), and a hot word is split
+                # across tasks by doc_id instead of landing in one.
+                .orderBy("bucket", "word", "doc_id")
                 .select("bucket", "word", "doc_id", "frequency", "total_words", "term_frequency"))
     postings.write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings")
 

@@ -34,17 +34,17 @@ class Index:
         self.vocabulary = vocab
 
     def idf(self) -> DataFrame:
-        """(bucket, word, doc_frequency, idf)"""
+        """(bucket, word, doc_frequency, idf, n_postings)"""
         v = self.vocabulary
-        if self.df_override is not None:
-            v = v.withColumn("doc_frequency", F.lit(int(self.df_override)).cast("long"))
-        return v.withColumn("idf", W.idf_expr(F.lit(float(self.n)), F.col("doc_frequency"), self.idf_kind))
+        eff = (F.lit(int(self.df_override)) if self.df_override is not None
+               else F.col("doc_frequency")).cast("long")
+        return v.select("bucket", "word", eff.alias("doc_frequency"),
+                        W.idf_expr(F.lit(float(self.n)), eff, self.idf_kind).alias("idf"),
+                        F.col("doc_frequency").alias("n_postings"))
 
     def weights(self) -> DataFrame:
-        """Full (doc_id, word, tf_idf, ...) table (joins on bucket and word:
-        both sides are partitioned alike on disk)."""
-        return (self.postings.join(self.idf(), ["bucket", "word"])
-                .withColumn("tf_idf", F.col("term_frequency") * F.col("idf")))
+        """Full (word, doc_id, ..., tf_idf) table, salted for hot words."""
+        return W.tf_idf(self.postings.drop("bucket"), self.idf().drop("bucket"))
 
     def _bucket_filter(self, words: list[str]):
         return F.col("bucket").isin([bucket_of(F.lit(w), self.buckets) for w in words])
@@ -62,7 +62,8 @@ class Index:
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
 
     def weights_for_terms(self, term_rows: DataFrame) -> DataFrame:
-        """(doc_id, word, tf_idf) for the words of a term table.
+        """For the words of a term table: ``(doc_id, word, tf_idf)`` and the
+        per-word posting counts ``(word, n_postings)``.
 
         The distinct buckets the query words fall in are fetched first (at
         most ``buckets`` small integers) and become a static partition
@@ -75,10 +76,10 @@ class Index:
         if len(touched) < self.buckets:
             postings = postings.where(F.col("bucket").isin(touched))
             vocab = vocab.where(F.col("bucket").isin(touched))
-        p = postings.join(words, ["bucket", "word"], "left_semi")
-        v = vocab.join(words, ["bucket", "word"], "left_semi").select("word", "idf")
-        return (p.join(v, "word")
-                .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
+        p = postings.join(words, ["bucket", "word"], "left_semi").drop("bucket")
+        v = vocab.join(words, ["bucket", "word"], "left_semi").drop("bucket")
+        rows = W.tf_idf(p, v).select("doc_id", "word", "tf_idf")
+        return rows, v.select("word", "n_postings")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
