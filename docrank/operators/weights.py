@@ -111,6 +111,20 @@ def document_frequency(term_rows: DataFrame) -> DataFrame:
     return term_rows.groupBy("word").agg(F.count(F.lit(1)).alias("doc_frequency"))
 
 
+def document_frequency_from_corpus(corpus: DataFrame, mode: str = WORD_LOWER,
+                                   words: list[str] | DataFrame | None = None) -> DataFrame:
+    """``(word, doc_frequency)`` straight from a one-row-per-document corpus:
+    each row contributes its distinct tokens (a hash set, cheaper than the
+    sort the counting needs), then a partial + final count per word.
+    ``words`` (a literal list or a ``word`` DataFrame) restricts the result."""
+    w = corpus.select(F.explode(F.array_distinct(tokens("text", mode))).alias("word"))
+    if isinstance(words, list):
+        w = w.where(F.col("word").isin(words))
+    elif words is not None:
+        w = w.join(words.select("word").distinct(), "word", "left_semi")
+    return w.groupBy("word").agg(F.count(F.lit(1)).alias("doc_frequency"))
+
+
 def idf_expr(n: Column, df_col: Column, kind: str = IDF_SMOOTH) -> Column:
     if kind == IDF_SMOOTH:
         return F.ln((n + F.lit(1.0)) / (df_col.cast("double") + F.lit(1.0)))

@@ -72,6 +72,7 @@ class TfIdf:
         self.n = n
         self.multi_row = multi_row
         self.doc_frequency_override = doc_frequency_override
+        self.from_counts_rows = False
 
     @classmethod
     def from_counts(cls, counts: DataFrame, **kw) -> "TfIdf":
@@ -80,6 +81,7 @@ class TfIdf:
         number of distinct documents among the rows."""
         m = cls(counts.select("doc_id", F.lit("").alias("text")), balance=False, **kw)
         m.__dict__["terms"] = W.terms_from_counts(counts)
+        m.from_counts_rows = True
         if m.n is None:
             m.__dict__["n_docs"] = counts.select(F.countDistinct("doc_id").cast("double")).scalar()
         return m
@@ -129,7 +131,17 @@ class TfIdf:
     @cached_property
     def doc_frequency(self) -> DataFrame:
         """(word, doc_frequency): documents containing each word."""
-        return W.document_frequency(self.terms)
+        if self.multi_row or self.from_counts_rows:
+            return W.document_frequency(self.terms)
+        return W.document_frequency_from_corpus(self.corpus, self.tokenizer)
+
+    def _doc_frequency_of(self, words) -> DataFrame:
+        if self.multi_row or self.from_counts_rows:
+            t = self.terms
+            t = t.where(F.col("word").isin(words)) if isinstance(words, list) else \
+                t.join(words.select("word").distinct(), "word", "left_semi")
+            return W.document_frequency(t)
+        return W.document_frequency_from_corpus(self.corpus, self.tokenizer, words)
 
     @cached_property
     def idf(self) -> DataFrame:
@@ -151,7 +163,7 @@ class TfIdf:
         if not words:
             return self.spark.createDataFrame([], "doc_id long, word string, tf_idf double")
         t = self.tf.where(F.col("word").isin(words))
-        d = W.idf(W.document_frequency(t), self.n_docs, self.idf_kind, self.doc_frequency_override)
+        d = W.idf(self._doc_frequency_of(words), self.n_docs, self.idf_kind, self.doc_frequency_override)
         return (t.join(F.broadcast(d.select("word", "idf")), "word")
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
 
@@ -160,6 +172,6 @@ class TfIdf:
         and the per-word posting counts ``(word, n_postings)``."""
         words = term_rows.select("word").distinct()
         t = self.tf.join(words, "word", "left_semi")
-        d = W.idf(W.document_frequency(t), self.n_docs, self.idf_kind, self.doc_frequency_override)
+        d = W.idf(self._doc_frequency_of(words), self.n_docs, self.idf_kind, self.doc_frequency_override)
         rows = W.tf_idf(t, d).select("doc_id", "word", "tf_idf")
         return rows, d.select("word", "n_postings")
