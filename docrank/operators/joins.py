@@ -32,13 +32,19 @@ def salt_counts(dim: DataFrame, key: str, rows_per_key: str,
 
 def skew_safe_join(facts: DataFrame, dim: DataFrame, key: str, spread: str,
                    rows_per_key: str | None = None, hot: DataFrame | None = None,
-                   max_rows: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
+                   max_rows: int = DEFAULT_MAX_ROWS_PER_KEY,
+                   dim_hint: str | None = "shuffle_hash") -> DataFrame:
     """Inner join of ``facts`` and ``dim`` on ``key``, salted for hot keys.
 
     Hot keys come from ``dim[rows_per_key]`` or from a ready ``hot`` table
     ``(key, _n_salt)`` (see ``salt_counts``).  ``dim`` may hold several rows
     per key: each is repeated once per salt, so every fact row still meets
-    every matching dim row exactly once.  Output: columns of both sides."""
+    every matching dim row exactly once.  Output: columns of both sides.
+
+    ``dim_hint='shuffle_hash'`` builds the hash table on the dim side of a
+    shuffled join (right for a large dim such as a vocabulary); ``None``
+    leaves the choice to the planner, which broadcasts a dim it estimates
+    small (a query-term table) and then moves no fact row at all."""
     if hot is None:
         hot = salt_counts(dim, key, rows_per_key, max_rows)
     hot = F.broadcast(hot)
@@ -49,4 +55,6 @@ def skew_safe_join(facts: DataFrame, dim: DataFrame, key: str, spread: str,
     d = (dim.join(hot, key, "left")
          .withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salt - 1)))
          .drop("_n_salt"))
-    return f.join(d.hint("shuffle_hash"), [key, "_salt"]).drop("_salt")
+    if dim_hint:
+        d = d.hint(dim_hint)
+    return f.join(d, [key, "_salt"]).drop("_salt")

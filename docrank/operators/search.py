@@ -1,6 +1,8 @@
 """Search operators over a weights source (a ``TfIdf`` model or a stored
-``Index``); both offer ``weights_for(words)`` and ``weights_for_terms(df)``
-returning ``(doc_id, word, tf_idf)``.
+``Index``); both offer ``terms_for(words)`` -> ``(doc_id, word,
+term_frequency)``, ``idf_for(words)`` -> ``(word, idf, n_postings)`` and
+``weights_for(words)`` -> ``(doc_id, word, tf_idf)``, where ``words`` is a
+literal list or a DataFrame with a ``word`` column.
 
 * ``search_sum``    score = sum of tf-idf of the matching words per document
                     (``set``: a repeated query term counts once, ``bag``: each
@@ -123,22 +125,26 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
                  weighting: str = SET, k: int = 5,
                  score_decimals: int = SCORE_DECIMALS) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the top ``k`` documents of every
-    query of ``queries(query_id, text)``.
-
-    Plan: term rows restricted to query words -> join (query_id, word, qtf),
-    salted by document for words with very many postings -> partial+final sum per (query_id, doc_id) -> per-query top k with
-    ``row_number() <= k``, which Spark runs as a group limit before and after
-    the shuffle, so each task ships at most k rows per query.
+    query of ``queries(query_id, text)``; score = sum over the query's words
+    of qtf x tf x idf.
+
+    Plan: the IDF of the query words is folded into the (small) query-term
+    table first; that table is joined to the term rows of the query words
+    (broadcast when small, else a shuffled join salted by document for words
+    with very many postings).  Over a model the term rows of a document stay
+    in one task, so the partial sum per (query_id, doc_id) is already final
+    before the shuffle.  The per-query top k is ``row_number() <= k``, which
+    Spark runs as a group limit before and after its shuffle, so each task
+    ships at most k rows per query.
     """
     terms = batch_terms(queries, mode, weighting)
-    rows, vocab = source.weights_for_terms(terms)
-    # a word in every document and in every query: salt its postings by
-    # document so that no task receives all of them
-    joined = skew_safe_join(rows, terms, "word", spread="doc_id",
-                            hot=salt_counts(vocab, "word", "n_postings"))
-    scored = (joined
-              .groupBy("query_id", "doc_id")
-              .agg(F.sum(F.col("tf_idf") * F.col("qtf")).alias("score"))
+    idf_q = source.idf_for(terms)
+    weighted = (terms.join(idf_q, "word")
+                .select("query_id", "word", (F.col("qtf") * F.col("idf")).alias("weight")))
+    joined = skew_safe_join(source.terms_for(terms), weighted, "word", spread="doc_id",
+                            hot=salt_counts(idf_q, "word", "n_postings"), dim_hint=None)
+    scored = (joined.groupBy("query_id", "doc_id")
+              .agg(F.sum(F.col("term_frequency") * F.col("weight")).alias("score"))
               .select("query_id", "doc_id", F.round("score", score_decimals).alias("score")))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     # the filter must compare row_number itself for Spark to infer the group limit

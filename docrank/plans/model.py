@@ -154,24 +154,30 @@ class TfIdf:
         doc_frequency, idf, tf_idf)"""
         return W.tf_idf(self.tf, self.idf)
 
+    # ---- search inputs -------------------------------------------------------
+    def terms_for(self, words) -> DataFrame:
+        """``(doc_id, word, term_frequency)`` for ``words`` (a literal list or a
+        DataFrame with a ``word`` column).  Rows of one document stay in the
+        task that read it (narrow filter / broadcast semi join)."""
+        t = self.tf
+        if isinstance(words, list):
+            t = t.where(F.col("word").isin(words))
+        else:
+            t = t.join(words.select("word").distinct(), "word", "left_semi")
+        return t.select("doc_id", "word", "term_frequency")
+
+    def idf_for(self, words) -> DataFrame:
+        """``(word, idf, n_postings)`` for ``words`` only: the document-frequency
+        aggregate is restricted before its shuffle."""
+        d = W.idf(self._doc_frequency_of(words), self.n_docs, self.idf_kind, self.doc_frequency_override)
+        return d.select("word", "idf", "n_postings")
+
     def weights_for(self, words: list[str]) -> DataFrame:
-        """(doc_id, word, tf_idf) restricted to literal ``words``.  The filter
-        reaches the term rows and the document-frequency aggregate; the IDF
-        side has at most ``len(words)`` rows and is broadcast, so even a word
-        present in every document is joined without a shuffle.  The corpus
-        is still tokenized in full (an index avoids that)."""
+        """(doc_id, word, tf_idf) for literal ``words``: the IDF side has at
+        most ``len(words)`` rows and is broadcast, so even a word present in
+        every document is joined without a shuffle.  The corpus is still
+        tokenized in full (an index avoids that)."""
         if not words:
             return self.spark.createDataFrame([], "doc_id long, word string, tf_idf double")
-        t = self.tf.where(F.col("word").isin(words))
-        d = W.idf(self._doc_frequency_of(words), self.n_docs, self.idf_kind, self.doc_frequency_override)
-        return (t.join(F.broadcast(d.select("word", "idf")), "word")
+        return (self.terms_for(words).join(F.broadcast(self.idf_for(words).select("word", "idf")), "word")
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
-
-    def weights_for_terms(self, term_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """For the words present in ``term_rows``: ``(doc_id, word, tf_idf)``
-        and the per-word posting counts ``(word, n_postings)``."""
-        words = term_rows.select("word").distinct()
-        t = self.tf.join(words, "word", "left_semi")
-        d = W.idf(self._doc_frequency_of(words), self.n_docs, self.idf_kind, self.doc_frequency_override)
-        rows = W.tf_idf(t, d).select("doc_id", "word", "tf_idf")
-        return rows, d.select("word", "n_postings")

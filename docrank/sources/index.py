@@ -49,38 +49,38 @@ class Index:
     def _bucket_filter(self, words: list[str]):
         return F.col("bucket").isin([bucket_of(F.lit(w), self.buckets) for w in words])
 
+    def _restrict(self, df: DataFrame, words) -> DataFrame:
+        """Rows of ``df`` (postings or vocabulary) whose word is in ``words``:
+        a literal list prunes buckets statically and pushes ``word IN (..)``
+        into the scan; for a word table the distinct buckets it touches (at
+        most ``buckets`` small integers) are fetched first and become a static
+        partition filter, then a semi join on (bucket, word) keeps its words."""
+        if isinstance(words, list):
+            return df.where(self._bucket_filter(words) & F.col("word").isin(words))
+        w = words.select("word").distinct().withColumn("bucket", bucket_of(F.col("word"), self.buckets))
+        touched = [r["bucket"] for r in w.select("bucket").distinct().collect()]
+        if len(touched) < self.buckets:
+            df = df.where(F.col("bucket").isin(touched))
+        return df.join(w, ["bucket", "word"], "left_semi")
+
+    def terms_for(self, words) -> DataFrame:
+        """``(doc_id, word, term_frequency)`` postings of ``words``."""
+        if isinstance(words, list) and not words:
+            return self.spark.createDataFrame([], "doc_id long, word string, term_frequency double")
+        return self._restrict(self.postings, words).select("doc_id", "word", "term_frequency")
+
+    def idf_for(self, words) -> DataFrame:
+        """``(word, idf, n_postings)`` for ``words``."""
+        return self._restrict(self.idf(), words).select("word", "idf", "n_postings")
+
     def weights_for(self, words: list[str]) -> DataFrame:
-        """(doc_id, word, tf_idf) for literal ``words``: partition pruning on
-        bucket, pushed ``word IN (..)`` on the sorted files, and a vocabulary
-        side of at most ``len(words)`` rows (broadcast)."""
+        """(doc_id, word, tf_idf) for literal ``words``; the vocabulary side
+        has at most ``len(words)`` rows and is broadcast."""
         if not words:
             return self.spark.createDataFrame([], "doc_id long, word string, tf_idf double")
-        cond = self._bucket_filter(words) & F.col("word").isin(words)
-        p = self.postings.where(cond)
-        v = self.idf().where(cond).select("word", "idf")
-        return (p.join(F.broadcast(v), "word")
+        return (self.terms_for(words).join(F.broadcast(self.idf_for(words).select("word", "idf")), "word")
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
 
-    def weights_for_terms(self, term_rows: DataFrame) -> DataFrame:
-        """For the words of a term table: ``(doc_id, word, tf_idf)`` and the
-        per-word posting counts ``(word, n_postings)``.
-
-        The distinct buckets the query words fall in are fetched first (at
-        most ``buckets`` small integers) and become a static partition
-        filter, so a small batch reads only its buckets; the word-level
-        restriction is a semi join on (bucket, word)."""
-        words = term_rows.select("word").distinct().withColumn(
-            "bucket", bucket_of(F.col("word"), self.buckets))
-        touched = [r["bucket"] for r in words.select("bucket").distinct().collect()]
-        postings, vocab = self.postings, self.idf()
-        if len(touched) < self.buckets:
-            postings = postings.where(F.col("bucket").isin(touched))
-            vocab = vocab.where(F.col("bucket").isin(touched))
-        p = postings.join(words, ["bucket", "word"], "left_semi").drop("bucket")
-        v = vocab.join(words, ["bucket", "word"], "left_semi").drop("bucket")
-        rows = W.tf_idf(p, v).select("doc_id", "word", "tf_idf")
-        return rows, v.select("word", "n_postings")
-
 
 def read_index(spark: SparkSession, path: str) -> Index:
     return Index(spark, path)
