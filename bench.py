@@ -1,9 +1,10 @@
 """Benchmark: run the headline queries at $BENCH_SF_DIR (default
 /root/testdata/sf0.1) on local[$BENCH_CPUS] and print one JSON line.
 
-Each query is executed in full through Spark's ``noop`` sink (every row is
-produced, nothing is collected to the driver).  ``value`` is the sum of the
-per-query wall times in seconds.
+Each query is built and executed in full through Spark's ``noop`` sink
+(every row is produced, nothing is collected to the driver), twice; the
+per-query figure is the better of the two wall times (JIT and file-listing
+noise), and ``value`` is their sum in seconds.
 """
 
 from __future__ import annotations
@@ -50,9 +51,9 @@ def main():
     run(spark, "word_count_lower", sf_dir)
     times = {}
     for name in HEADLINE:
-        times[name] = round(run(spark, name, sf_dir), 3)
+        times[name] = round(min(run(spark, name, sf_dir) for _ in range(2)), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3),
+    print(json.dumps({"metric": "headline_total_sec_best_of_2", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))
 
 

@@ -125,3 +125,16 @@ def test_index_weights_match_model(spark, model, index):
     b = {(r["doc_id"], r["word"]): r["tf_idf"] for r in index.weights().collect()}
     assert a.keys() == b.keys()
     assert all(math.isclose(a[k], b[k]) for k in a)
+
+
+def test_save_results_refuses_to_overwrite(spark, model, tmp_out):
+    from pyspark.errors import AnalysisException
+
+    from docrank.sinks.index import save_results
+    path = tmp_out("results")
+    res = S.search_sum(model, spark, "apple banana")
+    save_results(res, path)
+    assert {r["doc_id"] for r in spark.read.parquet(path).collect()} == {"a", "b"}
+    with pytest.raises(AnalysisException):
+        save_results(res, path)
+    save_results(res, path, mode="overwrite")
