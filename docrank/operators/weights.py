@@ -65,11 +65,23 @@ def terms(corpus: DataFrame, mode: str = WORD_LOWER, multi_row: bool = False) ->
     counts are then summed by ``(doc_id, word)`` (partial aggregate first) and
     joined to the per-document totals.
     """
-    rows = word_run_rows(corpus, tokens("text", mode), ["doc_id"])
     if not multi_row:
+        rows = word_run_rows(corpus, tokens("text", mode), ["doc_id"])
         return rows.select("doc_id", "word", "frequency", "total_words")
-    counts = rows.groupBy("doc_id", "word").agg(F.sum("frequency").alias("frequency"))
-    return terms_from_counts(counts)
+    # per-document totals come from per-row token counts, not from the
+    # counts: total_words also bounds a document's number of postings, which
+    # is what the salted join needs to know
+    totals = doc_length(corpus, mode, multi_row=True)
+    j = skew_safe_join(multi_row_counts(corpus, mode), totals, "doc_id", spread="word",
+                       rows_per_key="total_words")
+    return j.select("doc_id", "word", "frequency", "total_words")
+
+
+def multi_row_counts(corpus: DataFrame, mode: str = WORD_LOWER) -> DataFrame:
+    """``(doc_id, word, frequency)`` for documents spread over several rows:
+    per-row run counts summed by (doc_id, word) (partial aggregate first)."""
+    rows = word_run_rows(corpus, tokens("text", mode), ["doc_id"])
+    return rows.groupBy("doc_id", "word").agg(F.sum("frequency").alias("frequency"))
 
 
 def terms_from_counts(counts: DataFrame, max_rows: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:

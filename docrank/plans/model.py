@@ -132,12 +132,19 @@ class TfIdf:
     def doc_frequency(self) -> DataFrame:
         """(word, doc_frequency): documents containing each word."""
         if self.multi_row or self.from_counts_rows:
-            return W.document_frequency(self.terms)
+            return W.document_frequency(self._pair_rows)
         return W.document_frequency_from_corpus(self.corpus, self.tokenizer)
 
+    @property
+    def _pair_rows(self) -> DataFrame:
+        """One row per (doc_id, word) without the per-document totals."""
+        if self.multi_row and not self.from_counts_rows:
+            return W.multi_row_counts(self.corpus, self.tokenizer)
+        return self.terms
+
     def _doc_frequency_of(self, words) -> DataFrame:
         if self.multi_row or self.from_counts_rows:
-            t = self.terms
+            t = self._pair_rows
             t = t.where(F.col("word").isin(words)) if isinstance(words, list) else \
                 t.join(words.select("word").distinct(), "word", "left_semi")
             return W.document_frequency(t)
