@@ -171,8 +171,23 @@ def posting_list(tf_rows: DataFrame, block_size: int = 1024) -> DataFrame:
                     F.col("p.term_frequency").alias("term_frequencies"))
 
 
-def vocabulary_desc(weights: DataFrame, k: int = 20) -> DataFrame:
+def vocabulary_desc(source, k: int = 20, score_decimals: int | None = None) -> DataFrame:
     """``(doc_id, word, tf_idf)`` ordered by word descending (ties: doc_id),
-    first ``k`` rows - the index preview of the SQL flavor."""
-    return (weights.select("doc_id", "word", "tf_idf")
+    first ``k`` rows - the index preview of the SQL flavor.
+
+    The first k rows by word come from at most the k largest words, so only
+    those words' postings are weighed instead of the whole tf-idf table: the
+    k largest words and their IDF are fetched (a top-k over the vocabulary,
+    at most k rows) and become a literal word filter (bucket pruning and
+    pushed-down ``word IN`` on an index)."""
+    top = source.idf_table().orderBy(F.desc("word")).limit(k).select("word", "idf").collect()
+    spark = source.spark
+    if not top:
+        return spark.createDataFrame([], "doc_id long, word string, tf_idf double")
+    top_words = spark.createDataFrame([(r["word"], r["idf"]) for r in top], "word string, idf double")
+    rows = source.terms_for([r["word"] for r in top]).join(F.broadcast(top_words), "word")
+    tfidf = F.col("term_frequency") * F.col("idf")
+    if score_decimals is not None:
+        tfidf = F.round(tfidf, score_decimals)
+    return (rows.select("doc_id", "word", tfidf.alias("tf_idf"))
             .orderBy(F.desc("word"), F.asc("doc_id")).limit(k))

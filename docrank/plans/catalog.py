@@ -147,7 +147,7 @@ def q_followup_search(spark, sf_dir):
 
 
 def q_vocabulary_desc_top20(spark, sf_dir):
-    return S.vocabulary_desc(model(spark, sf_dir).weights.select("doc_id", "word", r10("tf_idf")), 20)
+    return S.vocabulary_desc(model(spark, sf_dir), 20, score_decimals=10)
 
 
 def benchmark_queries(spark, sf_dir):

@@ -162,6 +162,10 @@ class TfIdf:
         return W.tf_idf(self.tf, self.idf)
 
     # ---- search inputs -------------------------------------------------------
+    def idf_table(self) -> DataFrame:
+        """``(word, idf, n_postings)`` for every word of the corpus."""
+        return self.idf.select("word", "idf", "n_postings")
+
     def terms_for(self, words) -> DataFrame:
         """``(doc_id, word, term_frequency)`` for ``words`` (a literal list or a
         DataFrame with a ``word`` column).  Rows of one document stay in the

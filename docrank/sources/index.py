@@ -63,6 +63,9 @@ class Index:
             df = df.where(F.col("bucket").isin(touched))
         return df.join(w, ["bucket", "word"], "left_semi")
 
+    def idf_table(self) -> DataFrame:
+        return self.idf().select("word", "idf", "n_postings")
+
     def terms_for(self, words) -> DataFrame:
         """``(doc_id, word, term_frequency)`` postings of ``words``."""
         if isinstance(words, list) and not words:

@@ -116,7 +116,7 @@ def test_posting_list_blocks(spark):
 
 
 def test_vocabulary_desc(spark, model):
-    v = S.vocabulary_desc(model.weights, k=3).collect()
+    v = S.vocabulary_desc(model, k=3).collect()
     assert [(r["word"], r["doc_id"]) for r in v] == [("fig", "e"), ("fig", "f"), ("egg", "d")]
 
 
