@@ -44,8 +44,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a private one only
-    when the session has none (local runs)."""
+    """Return the session's checkpoint directory (``spark.checkpoint.dir``).
+
+    A cluster names a shared directory there; the library never invents one
+    on a cluster (a machine-local folder would not survive executor loss and
+    is not visible to other nodes) and raises instead.  Only a local-mode
+    session without one (tests, the bench) gets a private temporary folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -54,6 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: docrank writes "
+                           "intermediate tables and indexes below it")
     local = tempfile.mkdtemp(prefix="docrank-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
