@@ -31,6 +31,9 @@ def word_run_rows(df: DataFrame, tokens_col: Column, keep: list[str]) -> DataFra
     n = F.size("_s")
     with_starts = sorted_df.select(
         *keep, "_s",
+        # computed here, before the generator: referenced after it, size(_s)
+        # would make every output row carry the whole token array
+        n.cast("long").alias("total_words"),
         # sequence(0, n) never counts down (sequence(0, -1) would), and the
         # guard i < n drops its last element: no run for an empty document
         F.filter(F.sequence(F.lit(0), n),
@@ -40,8 +43,8 @@ def word_run_rows(df: DataFrame, tokens_col: Column, keep: list[str]) -> DataFra
         "_st",
         lambda st, j: F.struct(
             F.get(F.col("_s"), st).alias("word"),
-            (F.coalesce(F.get(F.col("_st"), j + 1), n) - st).cast("long").alias("frequency")))
-    return with_starts.select(*keep, n.cast("long").alias("total_words"), F.inline(runs))
+            (F.coalesce(F.get(F.col("_st"), j + 1), F.col("total_words")) - st).cast("long").alias("frequency")))
+    return with_starts.select(*keep, "total_words", F.inline(runs))
 
 
 def distinct_count(values: Column) -> Column:
