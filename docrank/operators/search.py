@@ -29,6 +29,9 @@ from docrank.operators.joins import salt_counts, skew_safe_join
 SET = "set"
 BAG = "bag"
 SCORE_DECIMALS = 8
+# (query, word) rows up to which the weighted query side of a batch is
+# broadcast (about 40 bytes per row)
+MAX_BROADCAST_TERMS = 2_000_000
 
 
 # --------------------------------------------------------------------------
@@ -123,15 +126,16 @@ def with_text(result: DataFrame, corpus: DataFrame, max_rows: int = 10_000) -> D
 # --------------------------------------------------------------------------
 def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
                  weighting: str = SET, k: int = 5,
-                 score_decimals: int = SCORE_DECIMALS) -> DataFrame:
+                 score_decimals: int = SCORE_DECIMALS,
+                 max_broadcast_terms: int = MAX_BROADCAST_TERMS) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the top ``k`` documents of every
     query of ``queries(query_id, text)``; score = sum over the query's words
     of qtf x tf x idf.
 
-    Plan: the IDF of the query words is folded into the (small) query-term
-    table first; that table is joined to the term rows of the query words
-    (broadcast when small, else a shuffled join salted by document for words
-    with very many postings).  Over a model the term rows of a document stay
+    Plan: the IDF of the query words is folded into the query-term table
+    first; that table is joined to the term rows of the query words:
+    broadcast when it has at most ``max_broadcast_terms`` rows (counted), else
+    a shuffled join salted by document for words with very many postings.  Over a model the term rows of a document stay
     in one task, so the partial sum per (query_id, doc_id) is already final
     before the shuffle.  The per-query top k is ``row_number() <= k``, which
     Spark runs as a group limit before and after its shuffle, so each task
@@ -141,8 +145,14 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
     idf_q = source.idf_for(terms)
     weighted = (terms.join(idf_q, "word")
                 .select("query_id", "word", (F.col("qtf") * F.col("idf")).alias("weight")))
-    joined = skew_safe_join(source.terms_for(terms), weighted, "word", spread="doc_id",
-                            hot=salt_counts(idf_q, "word", "n_postings"), dim_hint=None)
+    # size check on the query side (one small job over the queries only):
+    # below the bound it is broadcast and no posting moves; above it the
+    # postings are shuffled, salted by document for words with many postings
+    if terms.count() <= max_broadcast_terms:
+        joined = source.terms_for(terms).join(F.broadcast(weighted), "word")
+    else:
+        joined = skew_safe_join(source.terms_for(terms), weighted, "word", spread="doc_id",
+                                hot=salt_counts(idf_q, "word", "n_postings"))
     scored = (joined.groupBy("query_id", "doc_id")
               .agg(F.sum(F.col("term_frequency") * F.col("weight")).alias("score"))
               .select("query_id", "doc_id", F.round("score", score_decimals).alias("score")))

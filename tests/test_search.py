@@ -93,11 +93,13 @@ def test_search_rows_and_followup(spark, model):
 
 @pytest.mark.parametrize("source", ["model", "index"])
 @pytest.mark.parametrize("weighting", ["set", "bag"])
-def test_batch_equals_loop_of_single_searches(spark, request, source, weighting):
+@pytest.mark.parametrize("broadcast_limit", [S.MAX_BROADCAST_TERMS, 0])
+def test_batch_equals_loop_of_single_searches(spark, request, source, weighting, broadcast_limit):
     src = request.getfixturevalue(source)
     qs = [(1, "apple banana"), (2, "cherry cherry date"), (3, "zzz"), (4, "fig common")]
     queries = spark.createDataFrame(qs, "query_id long, text string")
-    batch = S.search_batch(src, queries, weighting=weighting, k=3).collect()
+    batch = S.search_batch(src, queries, weighting=weighting, k=3,
+                           max_broadcast_terms=broadcast_limit).collect()
     got = {}
     for r in batch:
         got.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["score"]))
