@@ -46,7 +46,3 @@ def word_run_rows(df: DataFrame, tokens_col: Column, keep: list[str]) -> DataFra
             (F.coalesce(F.get(F.col("_st"), j + 1), F.col("total_words")) - st).cast("long").alias("frequency")))
     return with_starts.select(*keep, "total_words", F.inline(runs))
 
-
-def distinct_count(values: Column) -> Column:
-    """Number of distinct elements of an array column."""
-    return F.size(F.array_distinct(values))

@@ -89,3 +89,10 @@ def test_files_corpus_and_count(spark, tmp_path):
     assert texts(c) == {"2118_9": "A b A", "2469_10": "Hamlet\n"}
     raw = spark.read.text(str(tmp_path), wholetext=True)
     assert src.count_input_files(raw).first()["n_files"] == 2
+
+
+def test_parse_csv_lines_in_a_column(spark):
+    lines = spark.createDataFrame([('1,"a, ""b""",c',), ("2,x",)], "line string")
+    rows = src.parse_csv_lines(lines, "line", ["id", "body", "tail"]).orderBy("id").collect()
+    assert (rows[0]["id"], rows[0]["body"], rows[0]["tail"], rows[0]["n_fields"]) == ("1", 'a, "b"', "c", 3)
+    assert rows[1]["n_fields"] == 2 and rows[1]["tail"] is None

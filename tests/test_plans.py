@@ -1,6 +1,5 @@
 """Plan-shape checks: the properties the design relies on at scale."""
 import pytest
-from pyspark.sql import functions as F
 
 from docrank import TfIdf
 from docrank.operators import search as S

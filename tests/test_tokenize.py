@@ -1,6 +1,5 @@
 """Tokenizer cases (FIXTURES 3)."""
 import pytest
-from pyspark.sql import functions as F
 
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER, query_tokens, tokens
 
