@@ -137,6 +137,35 @@ def document_frequency_from_corpus(corpus: DataFrame, mode: str = WORD_LOWER,
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("doc_frequency"))
 
 
+def literal_word_counts(corpus: DataFrame, words: list[str], mode: str = WORD_LOWER) -> DataFrame:
+    """``(doc_id, word, frequency, total_words)`` for a short literal word
+    list: each word's count in a row is the token count minus the size of the
+    array with that word removed (built-in, code-generated functions; no sort
+    of the tokens).  Only rows where a word occurs are produced."""
+    with_tokens = corpus.select("doc_id", tokens("text", mode).alias("_t"))
+    total = F.size("_t").cast("long")
+    counts = F.array(*[F.struct(F.lit(w).alias("word"),
+                                (total - F.size(F.array_remove("_t", w))).alias("frequency"))
+                       for w in words])
+    rows = with_tokens.select("doc_id", total.alias("total_words"), F.inline(counts))
+    return rows.where(F.col("frequency") > 0).select("doc_id", "word", "frequency", "total_words")
+
+
+def literal_document_frequency(corpus: DataFrame, words: list[str], mode: str = WORD_LOWER) -> DataFrame:
+    """``(word, doc_frequency)`` for a short literal word list as one global
+    aggregate (a sum per word over ``array_contains``): a single-row result,
+    so no shuffle by word and no hot key.  Words absent from the corpus are
+    left out, as in the vocabulary."""
+    t = corpus.select(tokens("text", mode).alias("_t"))
+    sums = t.agg(*[F.sum(F.array_contains("_t", w).cast("long")).alias(f"_c{i}")
+                   for i, w in enumerate(words)])
+    pairs = F.array(*[F.struct(F.lit(w).alias("word"), F.col(f"_c{i}").alias("doc_frequency"))
+                      for i, w in enumerate(words)])
+    return (sums.select(F.inline(pairs))
+            .where(F.col("doc_frequency") > 0)
+            .select("word", F.col("doc_frequency").cast("long").alias("doc_frequency")))
+
+
 def idf_expr(n: Column, df_col: Column, kind: str = IDF_SMOOTH) -> Column:
     if kind == IDF_SMOOTH:
         return F.ln((n + F.lit(1.0)) / (df_col.cast("double") + F.lit(1.0)))

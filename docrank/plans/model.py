@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER
 from docrank.operators import weights as W
 
+# literal query lists up to this length are counted per row without sorting
+LITERAL_WORDS_MAX = 32
+
 
 @dataclass(frozen=True)
 class Flavor:
@@ -166,21 +169,36 @@ class TfIdf:
         """``(word, idf, n_postings)`` for every word of the corpus."""
         return self.idf.select("word", "idf", "n_postings")
 
+    def _short_list(self, words) -> bool:
+        return (isinstance(words, list) and 0 < len(words) <= LITERAL_WORDS_MAX
+                and not self.multi_row and not self.from_counts_rows)
+
     def terms_for(self, words) -> DataFrame:
         """``(doc_id, word, term_frequency)`` for ``words`` (a literal list or a
         DataFrame with a ``word`` column).  Rows of one document stay in the
-        task that read it (narrow filter / broadcast semi join)."""
-        t = self.tf
-        if isinstance(words, list):
-            t = t.where(F.col("word").isin(words))
+        task that read it (narrow filter / broadcast semi join).  A short
+        literal list is counted directly in each row (``array_remove``, no
+        sort of the tokens)."""
+        if self._short_list(words):
+            t = W.term_frequency(W.literal_word_counts(self.corpus, sorted(set(words)), self.tokenizer),
+                                 self.tf_decimals)
         else:
-            t = t.join(words.select("word").distinct(), "word", "left_semi")
+            t = self.tf
+            if isinstance(words, list):
+                t = t.where(F.col("word").isin(words))
+            else:
+                t = t.join(words.select("word").distinct(), "word", "left_semi")
         return t.select("doc_id", "word", "term_frequency")
 
     def idf_for(self, words) -> DataFrame:
         """``(word, idf, n_postings)`` for ``words`` only: the document-frequency
-        aggregate is restricted before its shuffle."""
-        d = W.idf(self._doc_frequency_of(words), self.n_docs, self.idf_kind, self.doc_frequency_override)
+        aggregate is restricted before its shuffle; for a short literal list
+        it is one global aggregate (one row, no shuffle by word)."""
+        if self._short_list(words):
+            dfq = W.literal_document_frequency(self.corpus, sorted(set(words)), self.tokenizer)
+        else:
+            dfq = self._doc_frequency_of(words)
+        d = W.idf(dfq, self.n_docs, self.idf_kind, self.doc_frequency_override)
         return d.select("word", "idf", "n_postings")
 
     def weights_for(self, words: list[str]) -> DataFrame:
