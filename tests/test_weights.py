@@ -89,3 +89,18 @@ def test_doc_frequency_override(spark):
     m = TfIdf(corpus_df(spark, ROWS), idf_kind="raw", n=556, doc_frequency_override=1)
     w = as_map(m.weights, ["doc_id", "word"], "tf_idf")
     assert math.isclose(w[("d1", "the")], 2 / 6 * math.log(556))
+
+
+def test_smooth_idf_equals_spark_ml(spark):
+    from pyspark.ml.feature import IDF, CountVectorizer
+
+    from docrank.functions.tokenize import tokens
+    from docrank.plans import catalog as C
+    docs = C.documents(spark, "/root/testdata/sf0.001")
+    toks = docs.select(tokens("text").alias("words"))
+    cv = CountVectorizer(inputCol="words", outputCol="tf", minDF=1.0, vocabSize=1 << 20).fit(toks)
+    idf_model = IDF(inputCol="tf", outputCol="v").fit(cv.transform(toks))
+    ml = dict(zip(cv.vocabulary, idf_model.idf.toArray()))
+    ours = as_map(TfIdf(docs).idf, ["word"], "idf")
+    assert ours.keys() == ml.keys()
+    assert all(math.isclose(ours[w], ml[w], rel_tol=1e-12, abs_tol=1e-15) for w in ours)
