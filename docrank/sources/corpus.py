@@ -70,12 +70,14 @@ def quoted_field_count(line: Column) -> Column:
 
 def read_lines_corpus(spark: SparkSession, path: str, n_fields: int = 10,
                       id_index: int = 0, text_index: int = 9,
-                      strict_arity: bool = True) -> DataFrame:
+                      strict_arity: bool = True, max_fields: int = 64) -> DataFrame:
     """Line-oriented CSV: every physical line is one record (a header line is a
     record too, as in a plain line reader).  Fields are parsed with
     ``from_csv`` (quote aware).  ``strict_arity`` keeps only lines with exactly
-    ``n_fields`` fields."""
-    names = [f"c{i}" for i in range(n_fields)]
+    ``n_fields`` fields.  ``text_index=-1`` takes the last field of each line
+    whatever its arity (lines of up to ``max_fields`` fields)."""
+    width = n_fields if text_index >= 0 else max(max_fields, n_fields)
+    names = [f"c{i}" for i in range(width)]
     lines = spark.read.text(path)
     parsed = lines.select(
         F.from_csv("value", ", ".join(f"{c} STRING" for c in names),
@@ -83,8 +85,12 @@ def read_lines_corpus(spark: SparkSession, path: str, n_fields: int = 10,
         quoted_field_count(F.col("value")).alias("n_fields"))
     if strict_arity:
         parsed = parsed.where(F.col("n_fields") == n_fields)
-    return parsed.select(F.col(f"r.c{id_index}").alias("doc_id"),
-                         _fill(F.col(f"r.c{text_index}")).alias("text"))
+    if text_index >= 0:
+        text = F.col(f"r.c{text_index}")
+    else:
+        fields = F.array(*[F.col(f"r.{c}") for c in names])
+        text = F.get(fields, F.col("n_fields") + text_index)
+    return parsed.select(F.col(f"r.c{id_index}").alias("doc_id"), _fill(text).alias("text"))
 
 
 def parse_csv_lines(df: DataFrame, line_col: str, columns: list[str]) -> DataFrame:

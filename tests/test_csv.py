@@ -96,3 +96,11 @@ def test_parse_csv_lines_in_a_column(spark):
     rows = src.parse_csv_lines(lines, "line", ["id", "body", "tail"]).orderBy("id").collect()
     assert (rows[0]["id"], rows[0]["body"], rows[0]["tail"], rows[0]["n_fields"]) == ("1", 'a, "b"', "c", 3)
     assert rows[1]["n_fields"] == 2 and rows[1]["tail"] is None
+
+
+def test_lines_corpus_last_field(spark, tmp_out):
+    path = tmp_out("lines-last")
+    lines = ['a1,x,"last, one"', "a2,only", 'a3,p,q,r,"fourth ""f"""']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    t = texts(src.read_lines_corpus(spark, path, id_index=0, text_index=-1, strict_arity=False))
+    assert t == {"a1": "last, one", "a2": "only", "a3": 'fourth "f"'}
