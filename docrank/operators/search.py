@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docrank.functions.tokenize import WORD_LOWER, query_tokens
-from docrank.operators.joins import salt_counts, skew_safe_join
+from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY, salt_counts, skew_safe_join
 
 SET = "set"
 BAG = "bag"
@@ -151,8 +151,9 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
     if terms.count() <= max_broadcast_terms:
         joined = source.terms_for(terms).join(F.broadcast(weighted), "word")
     else:
+        max_rows = getattr(source, "max_rows_per_key", DEFAULT_MAX_ROWS_PER_KEY)
         joined = skew_safe_join(source.terms_for(terms), weighted, "word", spread="doc_id",
-                                hot=salt_counts(idf_q, "word", "n_postings"))
+                                hot=salt_counts(idf_q, "word", "n_postings", max_rows))
     scored = (joined.groupBy("query_id", "doc_id")
               .agg(F.sum(F.col("term_frequency") * F.col("weight")).alias("score"))
               .select("query_id", "doc_id", F.round("score", score_decimals).alias("score")))

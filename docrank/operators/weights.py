@@ -55,7 +55,8 @@ def n_docs(corpus: DataFrame, n: int | float | Column | None = None) -> Column:
 # --------------------------------------------------------------------------
 # per-document counting
 # --------------------------------------------------------------------------
-def terms(corpus: DataFrame, mode: str = WORD_LOWER, multi_row: bool = False) -> DataFrame:
+def terms(corpus: DataFrame, mode: str = WORD_LOWER, multi_row: bool = False,
+          max_rows: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
     """``(doc_id, word, frequency, total_words)`` for every distinct word of
     every document.  Documents without tokens produce no rows.
 
@@ -73,7 +74,7 @@ def terms(corpus: DataFrame, mode: str = WORD_LOWER, multi_row: bool = False) ->
     # is what the salted join needs to know
     totals = doc_length(corpus, mode, multi_row=True)
     j = skew_safe_join(multi_row_counts(corpus, mode), totals, "doc_id", spread="word",
-                       rows_per_key="total_words")
+                       rows_per_key="total_words", max_rows=max_rows)
     return j.select("doc_id", "word", "frequency", "total_words")
 
 

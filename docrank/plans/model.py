@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER
 from docrank.operators import weights as W
+from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
 
 # literal query lists up to this length are counted per row without sorting
 LITERAL_WORDS_MAX = 32
@@ -60,13 +61,15 @@ class TfIdf:
 
     ``n`` fixes the corpus size N (else counted).  ``multi_row`` accepts
     documents spread over several rows.  ``balance`` spreads an input that
-    arrives in too few splits.
+    arrives in too few splits.  ``max_rows_per_key`` is the number of rows of
+    one word (or document) above which its joins are salted.
     """
 
     def __init__(self, corpus: DataFrame, tokenizer: str = WORD_LOWER,
                  idf_kind: str = W.IDF_SMOOTH, tf_decimals: int | None = None,
                  n: int | float | Column | None = None, multi_row: bool = False,
-                 balance: bool = True, doc_frequency_override: int | None = None):
+                 balance: bool = True, doc_frequency_override: int | None = None,
+                 max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY):
         self.raw_corpus = corpus
         self.corpus = balance_input(corpus) if balance else corpus
         self.tokenizer = tokenizer
@@ -75,6 +78,7 @@ class TfIdf:
         self.n = n
         self.multi_row = multi_row
         self.doc_frequency_override = doc_frequency_override
+        self.max_rows_per_key = max_rows_per_key
         self.from_counts_rows = False
 
     @classmethod
@@ -83,7 +87,7 @@ class TfIdf:
         example a word-count stage imported from text).  N defaults to the
         number of distinct documents among the rows."""
         m = cls(counts.select("doc_id", F.lit("").alias("text")), balance=False, **kw)
-        m.__dict__["terms"] = W.terms_from_counts(counts)
+        m.__dict__["terms"] = W.terms_from_counts(counts, m.max_rows_per_key)
         m.from_counts_rows = True
         if m.n is None:
             m.__dict__["n_docs"] = counts.select(F.countDistinct("doc_id").cast("double")).scalar()
@@ -118,7 +122,7 @@ class TfIdf:
     @cached_property
     def terms(self) -> DataFrame:
         """(doc_id, word, frequency, total_words)"""
-        return W.terms(self.corpus, self.tokenizer, self.multi_row)
+        return W.terms(self.corpus, self.tokenizer, self.multi_row, self.max_rows_per_key)
 
     def word_count(self) -> DataFrame:
         return self.terms.select("doc_id", "word", "frequency")
@@ -162,7 +166,7 @@ class TfIdf:
     def weights(self) -> DataFrame:
         """(word, doc_id, frequency, total_words, term_frequency,
         doc_frequency, idf, tf_idf)"""
-        return W.tf_idf(self.tf, self.idf)
+        return W.tf_idf(self.tf, self.idf, self.max_rows_per_key)
 
     # ---- search inputs -------------------------------------------------------
     def idf_table(self) -> DataFrame:

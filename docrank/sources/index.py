@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docrank.operators import weights as W
+from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
 from docrank.sinks.index import bucket_of
 
 
@@ -14,9 +15,11 @@ class Index:
     """A stored index (see ``docrank.sinks.index``) as a weights source for
     the search operators."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str,
+                 max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY):
         self.spark = spark
         self.path = path
+        self.max_rows_per_key = max_rows_per_key
         metas = spark.read.parquet(f"{path}/meta")          # one row per build / stream batch
         meta = (metas.orderBy("batch_id") if "batch_id" in metas.columns else metas).first()
         self.n_docs = int(metas.agg(F.sum("n_docs")).first()[0])
@@ -44,7 +47,7 @@ class Index:
 
     def weights(self) -> DataFrame:
         """Full (word, doc_id, ..., tf_idf) table, salted for hot words."""
-        return W.tf_idf(self.postings.drop("bucket"), self.idf().drop("bucket"))
+        return W.tf_idf(self.postings.drop("bucket"), self.idf().drop("bucket"), self.max_rows_per_key)
 
     def _bucket_filter(self, words: list[str]):
         return F.col("bucket").isin([bucket_of(F.lit(w), self.buckets) for w in words])
@@ -85,8 +88,9 @@ class Index:
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
 
 
-def read_index(spark: SparkSession, path: str) -> Index:
-    return Index(spark, path)
+def read_index(spark: SparkSession, path: str,
+               max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY) -> Index:
+    return Index(spark, path, max_rows_per_key)
 
 
 TSV_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])

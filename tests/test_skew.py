@@ -48,3 +48,41 @@ def test_tfidf_with_hot_word_salted_equals_unsalted(spark):
     assert a.keys() == b.keys()
     assert all(math.isclose(a[k], b[k]) for k in a)
     assert ("0", "hot") not in a and any(w == "hot" for _, w in a)
+
+
+def _rows(df, cols, value):
+    return {tuple(r[c] for c in cols): r[value] for r in df.collect()}
+
+
+def test_every_salted_path_with_tiny_threshold(spark):
+    """max_rows_per_key=3 salts nearly every word; results must not change."""
+    from docrank.operators import search as S
+    from docrank.session import scratch_path
+    from docrank.sinks.index import write_index
+    from docrank.sources.corpus import conversation_corpus
+    from docrank.sources.index import read_index
+    docs = C.documents(spark, SF)
+    plain, salted = TfIdf(docs), TfIdf(docs, max_rows_per_key=3)
+    a = _rows(plain.weights, ["doc_id", "word"], "tf_idf")
+    b = _rows(salted.weights, ["doc_id", "word"], "tf_idf")
+    assert a.keys() == b.keys() and all(math.isclose(a[k], b[k]) for k in a)
+
+    queries = C.benchmark_queries(spark, SF)
+    want = sorted(S.search_batch(plain, queries, k=5).collect())
+    assert sorted(S.search_batch(salted, queries, k=5, max_broadcast_terms=0).collect()) == want
+    path = scratch_path(spark, "skew-index")
+    write_index(plain, path, buckets=8)
+    idx = read_index(spark, path, max_rows_per_key=3)
+    assert sorted(S.search_batch(idx, queries, k=5, max_broadcast_terms=0).collect()) == want
+    i = _rows(idx.weights(), ["doc_id", "word"], "tf_idf")
+    assert i.keys() == a.keys() and all(math.isclose(a[k], i[k]) for k in a)
+
+    conv = conversation_corpus(spark.read.parquet(f"{SF}/conversations.parquet"))
+    c1 = _rows(TfIdf(conv, multi_row=True).weights, ["doc_id", "word"], "tf_idf")
+    c2 = _rows(TfIdf(conv, multi_row=True, max_rows_per_key=3).weights, ["doc_id", "word"], "tf_idf")
+    assert c1.keys() == c2.keys() and all(math.isclose(c1[k], c2[k]) for k in c1)
+
+    counts = plain.word_count()
+    f1 = _rows(TfIdf.from_counts(counts).tf, ["doc_id", "word"], "term_frequency")
+    f2 = _rows(TfIdf.from_counts(counts, max_rows_per_key=3).tf, ["doc_id", "word"], "term_frequency")
+    assert f1 == f2
