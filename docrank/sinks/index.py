@@ -10,7 +10,8 @@ Stored index layout (``write_index``)::
 
 ``bucket = pmod(xxhash64(word), buckets)``.  A search for a few words reads only
 their buckets (partition pruning) and, inside them, only the row groups whose
-word range covers the terms (min/max statistics on the sorted files).  The
+word range covers the terms (min/max statistics on the word-sorted files).
+Choose ``buckets`` so that a bucket holds a few files (postings size / ~1 GB).  The
 index never stores the product tf x idf: it is formed at search time for the
 query words only, which avoids the corpus-wide postings x vocabulary join.
 """
@@ -35,11 +36,15 @@ def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
     postings, vocabulary, meta).  Returns ``path``."""
     spark = model.spark
     postings = (model.tf.withColumn("bucket", bucket_of(F.col("word"), buckets))
-                # global sort = range partitioning on (bucket, word, doc_id):
-                # every output file covers a narrow word range (file-level
-                # min/max skipping for a word filter), and a hot word is split
-                # across tasks by doc_id instead of landing in one.
-                .orderBy("bucket", "word", "doc_id")
+                # rebalance on the bucket: AQE cuts a large (hot) bucket into
+                # advisory-size pieces and merges small ones, so files are even
+                # and each is written into one bucket directory.  A global sort
+                # would give narrower word ranges per file but needs a sampling
+                # pass that tokenizes the whole corpus once more.
+                .hint("rebalance", "bucket")
+                # sorted files: min/max statistics let a word filter skip the
+                # row groups of other words
+                .sortWithinPartitions("bucket", "word", "doc_id")
                 .select("bucket", "word", "doc_id", "frequency", "total_words", "term_frequency"))
     postings.write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings")
 
