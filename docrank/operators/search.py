@@ -149,7 +149,14 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
     # below the bound it is broadcast and no posting moves; above it the
     # postings are shuffled, salted by document for words with many postings
     if terms.count() <= max_broadcast_terms:
-        joined = source.terms_for(terms).join(F.broadcast(weighted), "word")
+        facts = source.terms_for(terms)
+        if not getattr(source, "doc_local", False):
+            # postings sorted by word (an index): gather each document's rows
+            # in one task first, so the per-(query, document) partial sums are
+            # final and the aggregate needs no exchange of its own; this moves
+            # the postings once instead of every (query, document, word) row
+            facts = facts.repartition("doc_id")
+        joined = facts.join(F.broadcast(weighted), "word")
     else:
         max_rows = getattr(source, "max_rows_per_key", DEFAULT_MAX_ROWS_PER_KEY)
         joined = skew_safe_join(source.terms_for(terms), weighted, "word", spread="doc_id",

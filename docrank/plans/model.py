@@ -173,6 +173,12 @@ class TfIdf:
         """``(word, idf, n_postings)`` for every word of the corpus."""
         return self.idf.select("word", "idf", "n_postings")
 
+    @property
+    def doc_local(self) -> bool:
+        """True when all term rows of a document come from one corpus row (and
+        so stay in one task)."""
+        return not self.multi_row and not self.from_counts_rows
+
     def _short_list(self, words) -> bool:
         return (isinstance(words, list) and 0 < len(words) <= LITERAL_WORDS_MAX
                 and not self.multi_row and not self.from_counts_rows)

@@ -36,6 +36,9 @@ class Index:
                 F.sum("doc_frequency").cast("long").alias("doc_frequency"))
         self.vocabulary = vocab
 
+    # postings are laid out by word, not by document
+    doc_local = False
+
     def idf(self) -> DataFrame:
         """(bucket, word, doc_frequency, idf, n_postings)"""
         v = self.vocabulary
