@@ -79,3 +79,18 @@ def test_text_fetch_is_pushed_down(spark, docs):
 @pytest.mark.parametrize("name", sorted(C.QUERIES))
 def test_no_python_in_any_registered_query(spark, name):
     assert not uses_python(C.QUERIES[name](spark, SF))
+
+
+def test_many_file_corpus_needs_no_balancing_and_matches(spark, tmp_out):
+    """A corpus stored as many files (how a large corpus arrives) is read
+    without the balancing exchange; results equal the single-file corpus."""
+    from docrank.sources.corpus import read_parquet_corpus
+    path = tmp_out("many-files")
+    spark.read.parquet(f"{SF}/documents.parquet").repartition(32).write.parquet(path)
+    wide = read_parquet_corpus(spark, path)
+    m = TfIdf(wide)
+    assert m.corpus is m.raw_corpus                       # not rebalanced
+    assert exchanges(m.terms) == []
+    a = {(r["doc_id"], r["word"]): r["tf_idf"] for r in m.weights.collect()}
+    b = {(r["doc_id"], r["word"]): r["tf_idf"] for r in TfIdf(C.documents(spark, SF)).weights.collect()}
+    assert a == b
