@@ -51,6 +51,7 @@ def balance_input(corpus: DataFrame, min_partitions: int | None = None) -> DataF
     one - is left alone, so its text is never shuffled."""
     spark = corpus.sparkSession
     target = min_partitions or int(spark.sparkContext.defaultParallelism)
+    # the split count of the planned scan (file listing only; runs no job)
     if corpus.rdd.getNumPartitions() < target:
         return corpus.repartition(target, "doc_id")
     return corpus
