@@ -209,3 +209,21 @@ def vocabulary_desc(source, k: int = 20, score_decimals: int | None = None) -> D
         tfidf = F.round(tfidf, score_decimals)
     return (rows.select("doc_id", "word", tfidf.alias("tf_idf"))
             .orderBy(F.desc("word"), F.asc("doc_id")).limit(k))
+
+
+class Searchable:
+    """Search methods for a weights source that has ``spark`` and
+    ``tokenizer`` attributes (``TfIdf``, ``Index``)."""
+
+    def search(self, query: str, k: int | None = None, weighting: str = SET) -> DataFrame:
+        """``(doc_id, score)``: see ``search_sum``."""
+        return search_sum(self, self.spark, query, self.tokenizer, weighting, k=k)
+
+    def search_rows(self, query: str, k: int | None = 2, within: DataFrame | None = None) -> DataFrame:
+        """``(doc_id, word, tf_idf)``: see ``search_rows``."""
+        return search_rows(self, self.spark, query, self.tokenizer, k=k, within=within)
+
+    def search_batch(self, queries: DataFrame, k: int = 5, weighting: str = SET) -> DataFrame:
+        """``(query_id, rank, doc_id, score)``: see ``search_batch``."""
+        return search_batch(self, queries, self.tokenizer, weighting, k=k)
+

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER
 from docrank.operators import weights as W
+from docrank.operators.search import Searchable
 from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
 
 # literal query lists up to this length are counted per row without sorting
@@ -57,7 +58,7 @@ def balance_input(corpus: DataFrame, min_partitions: int | None = None) -> DataF
     return corpus
 
 
-class TfIdf:
+class TfIdf(Searchable):
     """Lazy TF-IDF over ``corpus`` (``doc_id, text``).
 
     ``n`` fixes the corpus size N (else counted).  ``multi_row`` accepts

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docrank.operators import weights as W
+from docrank.operators.search import Searchable
 from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
 from docrank.sinks.index import bucket_of
 
 
-class Index:
+class Index(Searchable):
     """A stored index (see ``docrank.sinks.index``) as a weights source for
     the search operators."""
 

@@ -140,3 +140,11 @@ def test_save_results_refuses_to_overwrite(spark, model, tmp_out):
     with pytest.raises(AnalysisException):
         save_results(res, path)
     save_results(res, path, mode="overwrite")
+
+
+def test_convenience_methods(spark, model, index):
+    assert model.search("apple banana", k=2).collect() == S.search_sum(model, spark, "apple banana", k=2).collect()
+    assert index.search("apple banana").collect() == S.search_sum(index, spark, "apple banana").collect()
+    assert [r["doc_id"] for r in model.search_rows("fig", k=2).collect()] == ["e", "f"]
+    q = spark.createDataFrame([(1, "apple")], "query_id long, text string")
+    assert [r["doc_id"] for r in index.search_batch(q, k=1).collect()] == ["a"]
