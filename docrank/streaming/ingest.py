@@ -67,11 +67,14 @@ def _append_batch(index_path: str, tokenizer: str, idf_kind: str, buckets: int):
 def ingest(spark: SparkSession, source_dir: str, index_path: str, checkpoint: str | None = None,
            tokenizer: str = WORD_LOWER, idf_kind: str = W.IDF_SMOOTH,
            buckets: int = DEFAULT_BUCKETS, available_now: bool = True,
-           schema: str = CORPUS_SCHEMA, fmt: str = "parquet") -> StreamingQuery:
+           schema: str = CORPUS_SCHEMA, fmt: str = "parquet",
+           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingest stream.  ``available_now`` processes what is there and
-    stops; otherwise it keeps running with the default trigger."""
+    stops; otherwise it keeps running with the default trigger.
+    ``max_files_per_trigger`` bounds a micro-batch when a large backlog lands
+    at once (the available-now trigger honours it too)."""
     checkpoint = checkpoint or scratch_path(spark, "ingest-ckpt")
-    w = (corpus_stream(spark, source_dir, schema, fmt).writeStream
+    w = (corpus_stream(spark, source_dir, schema, fmt, max_files_per_trigger).writeStream
          .foreachBatch(_append_batch(index_path, tokenizer, idf_kind, buckets))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w

@@ -30,3 +30,18 @@ def test_stream_ingest_matches_batch(spark):
     df_model = {r["word"]: r["doc_frequency"] for r in model.doc_frequency.collect()}
     df_stream = {r["word"]: r["doc_frequency"] for r in streamed.vocabulary.collect()}
     assert df_model == df_stream
+
+
+def test_backlog_in_several_micro_batches(spark):
+    docs = C.documents(spark, SF)
+    src, idx = scratch_path(spark, "stream-src2"), scratch_path(spark, "stream-idx2")
+    docs.repartition(4).write.parquet(src)                       # four files
+    q = ingest(spark, src, idx, buckets=8, max_files_per_trigger=1)
+    q.awaitTermination(180)
+    streamed = read_index(spark, idx)
+    assert streamed.n_docs == 200
+    assert spark.read.parquet(f"{idx}/meta").select("batch_id").distinct().count() == 4
+    model = TfIdf(docs)
+    a = {r["doc_id"]: r["score"] for r in S.search_sum(model, spark, "the with").collect()}
+    b = {r["doc_id"]: r["score"] for r in S.search_sum(streamed, spark, "the with").collect()}
+    assert a == b
