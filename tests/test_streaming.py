@@ -45,3 +45,19 @@ def test_backlog_in_several_micro_batches(spark):
     a = {r["doc_id"]: r["score"] for r in S.search_sum(model, spark, "the with").collect()}
     b = {r["doc_id"]: r["score"] for r in S.search_sum(streamed, spark, "the with").collect()}
     assert a == b
+
+
+def test_replayed_batch_is_idempotent(spark):
+    from docrank.streaming.ingest import _append_batch
+    docs = C.documents(spark, SF)
+    idx = scratch_path(spark, "stream-replay")
+    write = _append_batch(idx, "word_lower", "smooth", 8)
+    write(docs.where(F.col("doc_id") < 100), 0)
+    write(docs.where(F.col("doc_id") >= 100), 1)
+    write(docs.where(F.col("doc_id") >= 100), 1)          # replay after a failure
+    streamed = read_index(spark, idx)
+    assert streamed.n_docs == 200
+    model = TfIdf(docs)
+    assert streamed.postings.count() == model.terms.count()
+    df_model = {r["word"]: r["doc_frequency"] for r in model.doc_frequency.collect()}
+    assert df_model == {r["word"]: r["doc_frequency"] for r in streamed.vocabulary.collect()}
