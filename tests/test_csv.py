@@ -104,3 +104,25 @@ def test_lines_corpus_last_field(spark, tmp_out):
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
     t = texts(src.read_lines_corpus(spark, path, id_index=0, text_index=-1, strict_arity=False))
     assert t == {"a1": "last, one", "a2": "only", "a3": 'fourth "f"'}
+
+
+def test_original_variants_from_lines(spark, tmp_out):
+    import math
+
+    from docrank.operators import search as S
+    path = tmp_out("variants")
+    lines = ["id,a,b,c,d,e,f,g,h,content", "r1,a,b,c,d,e,f,g,h,the cat",
+             "r2,a,b,c,d,e,f,g,h,the dog the", "frag,ment"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    # RDD program: every physical line is a document, text = last field
+    rdd_corpus = src.read_lines_corpus(spark, path, text_index=-1, strict_arity=False)
+    m = TfIdf.flavor(rdd_corpus, "rdd")
+    assert m.corpus_size().first()["n_docs"] == 4
+    scores = {r["doc_id"]: r["score"] for r in S.search_sum(m, spark, "the", "nonword_split").collect()}
+    assert set(scores) == {"r1", "r2"}
+    # MapReduce jobs: ten-field records only, fixed N, bag weighting
+    mr_corpus = src.read_lines_corpus(spark, path, n_fields=10, id_index=0, text_index=9)
+    mr = TfIdf.flavor(mr_corpus, "mapreduce", n=53291)
+    got = {r["doc_id"]: r["score"] for r in S.search_sum(mr, spark, "the the", "nonword_split", "bag").collect()}
+    want_r1 = 2 * round(1 / 2, 6) * math.log(53291 / 2)
+    assert abs(got["r1"] - round(want_r1, 8)) < 1e-8
