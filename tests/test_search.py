@@ -148,3 +148,15 @@ def test_convenience_methods(spark, model, index):
     assert [r["doc_id"] for r in model.search_rows("fig", k=2).collect()] == ["e", "f"]
     q = spark.createDataFrame([(1, "apple")], "query_id long, text string")
     assert [r["doc_id"] for r in index.search_batch(q, k=1).collect()] == ["a"]
+
+
+def test_empty_inputs(spark):
+    empty = corpus_df(spark, [("x", "")]).where("doc_id <> 'x'")
+    m = TfIdf(empty)
+    assert m.weights.count() == 0 and m.corpus_size().first()["n_docs"] == 0
+    assert S.search_sum(m, spark, "apple", k=5).count() == 0
+    assert S.with_text(S.search_rows(m, spark, "apple", k=2), m.raw_corpus).count() == 0
+    no_queries = spark.createDataFrame([], "query_id long, text string")
+    assert S.search_batch(TfIdf(corpus_df(spark, ROWS)), no_queries, k=3).count() == 0
+    assert S.search_batch(TfIdf(corpus_df(spark, ROWS)), spark.createDataFrame([(1, "-- ..")], "query_id long, text string"), k=3).count() == 0
+    assert S.vocabulary_desc(m, k=3).count() == 0
