@@ -76,13 +76,20 @@ def write_tsv(weights: DataFrame, path: str, value_col: str = "tf_idf",
     line.write.mode(mode).option("sep", "\t").option("quote", "").csv(path)
 
 
-def write_per_doc(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_per_doc(rows: DataFrame, path: str, mode: str = "overwrite",
+                  fmt: str = "parquet", value_col: str | None = None) -> None:
     """One directory per document (``doc_id=<id>/``), the layout of the
     per-document outputs.  Rows of one document come from one corpus row, so
     each document is written by one task into one file without a shuffle.
-    Meant for corpora whose document count a file system can hold as
-    directories; a large corpus belongs in ``write_index``."""
-    rows.write.mode(mode).partitionBy("doc_id").parquet(path)
+    ``fmt='tsv'`` writes ``word<TAB>value`` text lines (``value_col``), like
+    the captured per-document stage outputs.  Meant for corpora whose
+    document count a file system can hold as directories; a large corpus
+    belongs in ``write_index``."""
+    if fmt == "tsv":
+        line = F.concat_ws("\t", F.col("word"), F.col(value_col).cast("string")).alias("value")
+        rows.select("doc_id", line).write.mode(mode).partitionBy("doc_id").text(path)
+    else:
+        rows.write.mode(mode).partitionBy("doc_id").parquet(path)
 
 
 def save_results(result: DataFrame, path: str, fmt: str = "parquet",

@@ -160,3 +160,17 @@ def test_empty_inputs(spark):
     assert S.search_batch(TfIdf(corpus_df(spark, ROWS)), no_queries, k=3).count() == 0
     assert S.search_batch(TfIdf(corpus_df(spark, ROWS)), spark.createDataFrame([(1, "-- ..")], "query_id long, text string"), k=3).count() == 0
     assert S.vocabulary_desc(m, k=3).count() == 0
+
+
+def test_per_doc_tsv_roundtrip(spark, model, tmp_out):
+    from pyspark.sql import functions as F
+
+    from docrank.sinks.index import write_per_doc
+    path = tmp_out("perdoc-tsv")
+    write_per_doc(model.word_count(), path, fmt="tsv", value_col="frequency")
+    back = (spark.read.schema("word string, frequency long, doc_id string").option("sep", "\t")
+            .option("quote", "").csv(path))
+    got = {(r["doc_id"], r["word"]): r["frequency"] for r in back.collect()}
+    want = {(r["doc_id"], r["word"]): r["frequency"] for r in model.word_count().collect()}
+    assert got == want
+    assert spark.read.text(path).where(~F.col("value").contains("\t")).count() == 0
