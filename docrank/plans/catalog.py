@@ -187,10 +187,13 @@ def q_tsv_export_import(spark, sf_dir):
 
 
 def q_per_doc_output(spark, sf_dir):
+    """Word counts written as one ``word<TAB>count`` text file per document
+    (directory ``doc_id=<id>``) and read back."""
     path = scratch_path(spark, "perdoc")
-    sink.write_per_doc(model(spark, sf_dir).word_count(), path)
-    back = spark.read.parquet(path)
-    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "word", "frequency")
+    sink.write_per_doc(model(spark, sf_dir).word_count(), path, fmt="tsv", value_col="frequency")
+    back = (spark.read.schema("word string, frequency long, doc_id long")
+            .option("sep", "\t").option("quote", "").csv(path))
+    return back.select("doc_id", "word", "frequency")
 
 
 def q_lines_corpus_word_count(spark, sf_dir):
