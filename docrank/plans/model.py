@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER
 from docrank.operators import weights as W
 from docrank.operators.search import Searchable
+from docrank.session import ensure_checkpoint_dir
 from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
 
 # literal query lists up to this length are counted per row without sorting
@@ -216,9 +217,21 @@ class TfIdf(Searchable):
     def weights_for(self, words: list[str]) -> DataFrame:
         """(doc_id, word, tf_idf) for literal ``words``: the IDF side has at
         most ``len(words)`` rows and is broadcast, so even a word present in
-        every document is joined without a shuffle.  The corpus is still
-        tokenized in full (an index avoids that)."""
+        every document is joined without a shuffle.  The corpus is tokenized
+        in full once (an index avoids even that)."""
         if not words:
             return self.spark.createDataFrame([], "doc_id long, word string, tf_idf double")
-        return (self.terms_for(words).join(F.broadcast(self.idf_for(words).select("word", "idf")), "word")
+        if self._short_list(words):
+            # one pass over the corpus: the (document, query word) rows are
+            # small; a reliable checkpoint (shared checkpoint directory, cut
+            # lineage) lets both the document frequencies and the scoring read
+            # them instead of tokenizing the corpus twice
+            ensure_checkpoint_dir(self.spark)
+            rows = W.literal_word_counts(self.corpus, sorted(set(words)), self.tokenizer)
+            rows = rows.checkpoint(eager=True)
+            d = W.idf(W.document_frequency(rows), self.n_docs, self.idf_kind, self.doc_frequency_override)
+            tf = W.term_frequency(rows, self.tf_decimals)
+        else:
+            tf, d = self.terms_for(words), self.idf_for(words)
+        return (tf.join(F.broadcast(d.select("word", "idf")), "word")
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
