@@ -94,3 +94,12 @@ def test_many_file_corpus_needs_no_balancing_and_matches(spark, tmp_out):
     a = {(r["doc_id"], r["word"]): r["tf_idf"] for r in m.weights.collect()}
     b = {(r["doc_id"], r["word"]): r["tf_idf"] for r in TfIdf(C.documents(spark, SF)).weights.collect()}
     assert a == b
+
+
+def test_adhoc_search_reads_the_corpus_text_once(spark, docs):
+    """The query-word rows are checkpointed (one pass over the corpus); the
+    search plan itself scans no text."""
+    df = S.search_sum(TfIdf(docs), spark, "the with", k=5)
+    text = plan_string(df, "simple")
+    assert "ExistingRDD" in text
+    assert "text#" not in text
