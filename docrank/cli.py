@@ -41,7 +41,9 @@ def load_corpus(spark: SparkSession, a) -> DataFrame:
 def model_of(spark: SparkSession, a) -> TfIdf:
     corpus = load_corpus(spark, a)
     kw = {"n": a.n} if a.n else {}
-    if a.check_ids:
+    if a.multi_row:
+        kw["multi_row"] = True
+    elif a.check_ids:
         src.check_unique_ids(corpus)
     return TfIdf.flavor(corpus, a.flavor, **kw)
 
@@ -59,6 +61,8 @@ def _corpus_args(p):
     p.add_argument("--flavor", default="sql", choices=sorted(FLAVORS))
     p.add_argument("--n", type=float, default=None, help="fixed corpus size N")
     p.add_argument("--check-ids", action="store_true", help="fail on null or repeated ids")
+    p.add_argument("--multi-row", action="store_true",
+                   help="a document spans several rows with the same id (e.g. conversation turns)")
 
 
 def parser() -> argparse.ArgumentParser:

@@ -28,3 +28,14 @@ def test_tfidf_tsv(spark, tmp_out):
     main(["tfidf", "--corpus", f"{SF}/documents.parquet", "--flavor", "mapreduce", "--out", out, "--tsv"], spark)
     lines = spark.read.text(out)
     assert lines.count() == C.model(spark, SF, "mapreduce").word_count().count()
+
+
+def test_multi_row_index(spark, tmp_out):
+    idx = tmp_out("cli-conv")
+    main(["index", "--corpus", f"{SF}/conversations.parquet", "--id-col", "conv_id", "--multi-row",
+          "--out", idx, "--buckets", "4"], spark)
+    got = main(["search", "--index", idx, "--query", "the", "--k", "3"], spark).collect()
+    from docrank import TfIdf
+    from docrank.sources.corpus import conversation_corpus
+    m = TfIdf(conversation_corpus(spark.read.parquet(f"{SF}/conversations.parquet")), multi_row=True)
+    assert got == S.search_sum(m, spark, "the", k=3).collect()
