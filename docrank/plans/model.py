@@ -183,8 +183,7 @@ class TfIdf(Searchable):
         return not self.multi_row and not self.from_counts_rows
 
     def _short_list(self, words) -> bool:
-        return (isinstance(words, list) and 0 < len(words) <= LITERAL_WORDS_MAX
-                and not self.multi_row and not self.from_counts_rows)
+        return isinstance(words, list) and 0 < len(words) <= LITERAL_WORDS_MAX and self.doc_local
 
     def terms_for(self, words) -> DataFrame:
         """``(doc_id, word, term_frequency)`` for ``words`` (a literal list or a
