@@ -196,21 +196,35 @@ def q_per_doc_output(spark, sf_dir):
     return back.select("doc_id", "word", "frequency")
 
 
-def q_lines_corpus_word_count(spark, sf_dir):
-    """Documents written as one ten-field CSV line each (line breaks in the
-    text become spaces), read back line by line with the quote-aware split
-    and the ten-field check, then counted."""
+def _write_lines(spark, sf_dir) -> str:
+    """Documents as ten-field CSV records with a quoted text; the real line
+    breaks of the texts cut records into several physical lines."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    text = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\r\n]", " ")
-    fields = ([F.col("doc_id").cast("string"), F.col("lang"), F.col("source"), F.col("n_chars").cast("string")]
-              + [F.lit(f"x{i}") for i in range(5)] + [text])
-    line = F.to_csv(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(fields)]),
-                    {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    text = F.replace(F.coalesce(F.col("text"), F.lit("")), F.lit('"'), F.lit('""'))
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "lang", "source", "n_chars")]
+    line = F.concat_ws(",", *fields, *[F.lit(f"x{i}") for i in range(5)], F.concat(F.lit('"'), text, F.lit('"')))
     path = scratch_path(spark, "lines")
     d.select(line.alias("value")).write.text(path)
-    c = src.read_lines_corpus(spark, path, n_fields=10, id_index=0, text_index=9)
-    c = c.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return TfIdf(c).word_count()
+    return path
+
+
+def q_lines_corpus_word_count(spark, sf_dir):
+    """Read line by line; only lines of exactly ten fields are documents."""
+    c = src.read_lines_corpus(spark, _write_lines(spark, sf_dir), n_fields=10, id_index=0, text_index=9)
+    return TfIdf(c, multi_row=True).word_count()
+
+
+def q_lines_last_field_word_count(spark, sf_dir):
+    """Read line by line; every line is a document row, its text the last field."""
+    c = src.read_lines_corpus(spark, _write_lines(spark, sf_dir), text_index=-1, strict_arity=False, unquote=False)
+    return TfIdf(c, multi_row=True).word_count()
+
+
+def q_lines_fragment_arity(spark, sf_dir):
+    """Number of physical lines by number of fields."""
+    lines = spark.read.text(_write_lines(spark, sf_dir))
+    return (lines.select(F.size(src.line_fields(F.col("value"))).cast("long").alias("n_fields"))
+            .groupBy("n_fields").agg(F.count(F.lit(1)).alias("n_lines")))
 
 
 def q_files_corpus_tfidf(spark, sf_dir):
@@ -282,6 +296,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tsv_export_import": q_tsv_export_import,
     "per_doc_output": q_per_doc_output,
     "lines_corpus_word_count": q_lines_corpus_word_count,
+    "lines_last_field_word_count": q_lines_last_field_word_count,
+    "lines_fragment_arity": q_lines_fragment_arity,
     "files_corpus_tfidf": q_files_corpus_tfidf,
     "stream_index_search_sum": q_stream_index_search_sum,
     "conversation_word_count": q_conversation_word_count,

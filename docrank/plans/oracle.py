@@ -67,6 +67,33 @@ def literal_terms(query: str, weighting: str = "set") -> str:
     return f"SELECT DISTINCT word, 1 AS qtf FROM (VALUES {rows}) v(word)"
 
 
+# Physical lines of the documents written as ten-field records, and their fields:
+# pieces between quotes are numbered from the right, commas separate in the pieces
+# 0, 2, 4, ..; trailing empty fields do not count.
+LINES_SQL = r"""
+recs AS (SELECT concat_ws(',', coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(lang, ''), coalesce(source, ''),
+                          coalesce(CAST(n_chars AS VARCHAR), ''), 'x0', 'x1', 'x2', 'x3', 'x4',
+                          '"' || replace(coalesce(text, ''), '"', '""') || '"') AS rec FROM documents),
+lns AS (SELECT unnest(string_split(replace(replace(rec, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10))) AS ln
+        FROM recs),
+cut AS (SELECT ln, list_reverse(string_split(replace(ln, chr(1), chr(1) || 'e'), '"')) AS p FROM lns),
+marked AS (SELECT ln, string_split(list_aggregate(list_reverse(list_transform(p, lambda x, i:
+             CASE WHEN i % 2 = 1 THEN replace(x, ',', chr(1) || 's') ELSE x END)), 'string_agg', '"'),
+             chr(1) || 's') AS f FROM cut),
+allf AS (SELECT ln, list_transform(f, lambda x: replace(x, chr(1) || 'e', chr(1))) AS f FROM marked),
+flds AS (SELECT ln, f, CASE WHEN len(f) = 1 THEN 1
+           ELSE coalesce(list_max(list_transform(f, lambda x, i: CASE WHEN x <> '' THEN i END)), 0) END AS n_fields
+         FROM allf)"""
+
+
+def lines_word_count(text: str, where: str) -> str:
+    """Word counts by (first field, word) over the physical lines."""
+    tok = TOKENS_SQL["word_lower"].format(t=text)
+    return f"""WITH {LINES_SQL.strip()},
+toks AS (SELECT coalesce(f[1], '') AS doc_id, unnest({tok}) AS word FROM flds WHERE {where})
+SELECT doc_id, word, count(*) AS frequency FROM toks GROUP BY doc_id, word"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql_flavor = base_ctes("word_lower", "smooth")
     rdd_flavor = base_ctes("nonword_split", "smooth")
@@ -157,7 +184,9 @@ FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
     q["index_search_batch_top5"] = q["search_batch_top5"]
     q["tsv_export_import"] = with_(sql_flavor, "SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w")
     q["per_doc_output"] = with_(sql_flavor, "SELECT doc_id, word, frequency FROM terms")
-    q["lines_corpus_word_count"] = q["word_count_lower"]
+    q["lines_corpus_word_count"] = lines_word_count("coalesce(f[10], '')", "n_fields = 10")
+    q["lines_last_field_word_count"] = lines_word_count("coalesce(f[n_fields], '')", "TRUE")
+    q["lines_fragment_arity"] = with_(LINES_SQL, "SELECT n_fields, count(*) AS n_lines FROM flds GROUP BY n_fields")
     q["files_corpus_tfidf"] = q["tfidf_sql"]
     q["stream_index_search_sum"] = q["index_search_sum"]
     conv = base_ctes("word_lower", "smooth", table="conversations", id_col="conv_id", multi_row=True)

@@ -5,7 +5,7 @@
 * ``read_csv_corpus``     directory of CSV files with a header (RFC 4180 quoting,
                           records may span lines), explicit all-string schema
 * ``read_lines_corpus``   one record per physical line, fields split at commas
-                          outside double quotes
+                          that an even number of double quotes follows
 * ``read_files_corpus``   one document per file, id taken from the file name
 * ``conversation_corpus`` the turns of a conversation form one document
 """
@@ -39,67 +39,86 @@ def csv_schema(columns: list[str]) -> T.StructType:
 
 def read_csv_corpus(spark: SparkSession, path: str, columns: list[str],
                     id_col: str = "id", text_col: str = "content",
-                    strict_arity: bool = False, header: bool = True) -> DataFrame:
-    """CSV corpus with RFC 4180 quoting: quoted commas, doubled quotes and
-    quoted line breaks stay inside one field.
+                    strict_arity: bool = False, header: bool = True,
+                    multi_line: bool = True) -> DataFrame:
+    """CSV corpus with RFC 4180 quoting: quoted commas and doubled quotes stay
+    inside one field.
 
     ``columns`` names every column of the files in order (all read as string).
     ``strict_arity=True`` drops records whose field count differs from
-    ``len(columns)``.  Spark's CSV parser only checks the fields it parses, so
-    parser-side column pruning is switched off for the session in that case.
+    ``len(columns)``.
 
-    ``multiLine`` parsing reads each file in one task: store a large corpus as
-    many files.
+    ``multi_line=True`` also keeps quoted line breaks inside a field, at the price
+    of one task per file: store such a corpus as many files.
+    ``multi_line=False`` reads one record per line and splits large files.
     """
     reader = (spark.read.schema(csv_schema(columns))
               .option("header", str(header).lower())
-              .option("multiLine", "true")
+              .option("multiLine", str(multi_line).lower())
               .option("escape", '"')
               .option("mode", "DROPMALFORMED" if strict_arity else "PERMISSIVE"))
     if strict_arity:
-        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+        # the parser checks only the fields it parses; let it parse all
+        reader = reader.option("columnPruning", "false")
     return from_table(reader.csv(path), id_col, text_col)
 
 
-def quoted_field_count(line: Column) -> Column:
-    """Number of comma-separated fields of a CSV line, commas inside double
-    quotes excluded (quoted sections are removed before counting)."""
-    outside = F.regexp_replace(line, r'"[^"]*"', "")
-    return F.size(F.split(outside, ",", -1))
+# escape character of ``line_fields``: never left alone in the marked line
+_MARK = "\u0001"
+
+
+def line_fields(line: Column) -> Column:
+    """Fields of a CSV line as they stand (quotes included).  A comma separates
+    where an even number of quotes follows it; trailing empty fields are
+    dropped, as ``String.split`` does.
+
+    One linear pass of array functions: the line is cut at its quotes, and the
+    commas of every second piece, counted from the right, are marked."""
+    def esc(c: Column, old: str, new: str) -> Column:
+        return F.replace(c, F.lit(old), F.lit(new))
+
+    pieces = F.reverse(F.split(esc(line, _MARK, _MARK + "e"), '"', -1))
+    marked = F.transform(pieces, lambda p, i: F.when(i % 2 == 0, esc(p, ",", _MARK + "s")).otherwise(p))
+    fields = F.transform(F.split(F.array_join(F.reverse(marked), '"'), _MARK + "s", -1),
+                         lambda f: esc(f, _MARK + "e", _MARK))
+    last = F.array_max(F.transform(fields, lambda f, i: F.when(f != "", i + 1)))
+    # a line without any separator is one field, even if it is empty
+    return F.slice(fields, 1, F.greatest(F.coalesce(last, F.lit(0)), F.when(F.size(fields) == 1, 1).otherwise(0)))
+
+
+def unquoted(field: Column) -> Column:
+    """A field without its enclosing quotes, doubled quotes undone."""
+    inner = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
+    return F.when((F.length(field) >= 2) & field.startswith('"') & field.endswith('"'), inner).otherwise(field)
+
+
+def parse_csv_lines(df: DataFrame, line_col: str, columns: list[str]) -> DataFrame:
+    """Quote-aware split of CSV lines held in a column into named, unquoted
+    string columns, plus ``n_fields``; fields that a line lacks are null."""
+    parsed = df.select(line_fields(F.col(line_col)).alias("fields"))
+    return parsed.select(*[unquoted(F.get("fields", F.lit(i))).alias(c) for i, c in enumerate(columns)],
+                         F.size("fields").alias("n_fields"))
 
 
 def read_lines_corpus(spark: SparkSession, path: str, n_fields: int = 10,
                       id_index: int = 0, text_index: int = 9,
-                      strict_arity: bool = True, max_fields: int = 64) -> DataFrame:
-    """Line-oriented CSV: every physical line is one record (a header line is a
-    record too, as in a plain line reader).  Fields are parsed with
-    ``from_csv`` (quote aware).  ``strict_arity`` keeps only lines with exactly
-    ``n_fields`` fields.  ``text_index=-1`` takes the last field of each line
-    whatever its arity (lines of up to ``max_fields`` fields)."""
-    width = n_fields if text_index >= 0 else max(max_fields, n_fields)
-    names = [f"c{i}" for i in range(width)]
-    lines = spark.read.text(path)
-    parsed = lines.select(
-        F.from_csv("value", ", ".join(f"{c} STRING" for c in names),
-                   {"escape": '"', "mode": "PERMISSIVE"}).alias("r"),
-        quoted_field_count(F.col("value")).alias("n_fields"))
+                      strict_arity: bool = True, unquote: bool = True) -> DataFrame:
+    """Line-oriented CSV: every physical line is one record (a header line and
+    the pieces of a record with line breaks too, as in a plain line reader).
+    ``strict_arity`` keeps only lines with exactly ``n_fields`` fields.
+    ``text_index=-1`` takes the last field of each line, whatever its arity.
+    Ids of such pieces may repeat: count them with ``multi_row=True``.
+    ``unquote=False`` leaves enclosing and doubled quotes in the fields."""
+    parsed = spark.read.text(path).select(line_fields(F.col("value")).alias("fields"))
+    parsed = parsed.select("fields", F.size("fields").alias("n_fields"))
     if strict_arity:
         parsed = parsed.where(F.col("n_fields") == n_fields)
-    if text_index >= 0:
-        text = F.col(f"r.c{text_index}")
-    else:
-        fields = F.array(*[F.col(f"r.{c}") for c in names])
-        text = F.get(fields, F.col("n_fields") + text_index)
-    return parsed.select(F.col(f"r.c{id_index}").alias("doc_id"), _fill(text).alias("text"))
 
+    def field(index: int) -> Column:
+        f = F.get("fields", F.col("n_fields") + index if index < 0 else F.lit(index))
+        return unquoted(f) if unquote else f
 
-def parse_csv_lines(df: DataFrame, line_col: str, columns: list[str]) -> DataFrame:
-    """Quote-aware split of CSV lines held in a column into named string
-    columns, plus ``n_fields`` (field count outside quotes)."""
-    ddl = ", ".join(f"`{c}` STRING" for c in columns)
-    return df.select(F.from_csv(F.col(line_col), ddl, {"escape": '"'}).alias("r"),
-                     quoted_field_count(F.col(line_col)).alias("n_fields")
-                     ).select("r.*", "n_fields")
+    return parsed.select(_fill(field(id_index)).alias("doc_id"), _fill(field(text_index)).alias("text"))
 
 
 def read_files_corpus(spark: SparkSession, path: str, id_pattern: str = r"^([^.]*)",

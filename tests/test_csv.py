@@ -126,3 +126,28 @@ def test_original_variants_from_lines(spark, tmp_out):
     got = {r["doc_id"]: r["score"] for r in S.search_sum(mr, spark, "the the", "nonword_split", "bag").collect()}
     want_r1 = 2 * round(1 / 2, 6) * math.log(53291 / 2)
     assert abs(got["r1"] - round(want_r1, 8)) < 1e-8
+
+
+def test_line_fields_of_wide_and_broken_lines(spark):
+    wide = ",".join(f"f{i}" for i in range(71)) + ",final words"
+    lines = [wide, 'r3,x,"open quote, tail words', "a,b,,", ""]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [r.f for r in df.select(src.line_fields(df.value).alias("f")).collect()]
+    assert len(got[0]) == 72 and got[0][-1] == "final words"
+    # an odd number of quotes: only commas that an even number follows separate
+    assert got[1] == ['r3,x,"open quote', " tail words"]
+    assert got[2] == ["a", "b"] and got[3] == [""]
+
+
+def test_csv_single_line_mode_splits_a_large_file(spark, tmp_out):
+    path = tmp_out("big-csv")
+    spark.range(60_000).selectExpr("id", "repeat('word ', 10) as content").coalesce(1).write.option("header", "true").csv(path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        whole = src.read_csv_corpus(spark, path, ["id", "content"])
+        cut = src.read_csv_corpus(spark, path, ["id", "content"], multi_line=False)
+        assert whole.rdd.getNumPartitions() == 1 and cut.rdd.getNumPartitions() > 4
+        assert cut.count() == whole.count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
