@@ -58,7 +58,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text (unsigned 32-bit, little-endian) and their number, and
     whether the ids decode to the text that the library's rules give back."""
     path = tokenizer_path("word_bpe_49k.json")
-    rows = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
+    rows = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path)
     return rows.select("doc_id", "lang", "source", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), "ids",
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

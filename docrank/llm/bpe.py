@@ -29,8 +29,15 @@ from pyspark.sql import functions as F
 from docrank.llm.common import text_or_empty
 from docrank.llm.token_counts import tokenizer
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000   # of each of two generations
 STEP_BYTES = 4 << 20      # texts whose words are encoded together
+
+# The split of the vocabulary file for which the short way below holds
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Pieces of these characters need no composing, and their letters are known
+_PLAIN = re.compile("[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
+_LETTER = "a-z\u00df-\u00f6\u00f8-\u017f"
+_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\\t-\\r {_LETTER}0-9]+")
 NO_RANK = np.int32(2**31 - 1)
 
 _models: dict = {}
@@ -77,17 +84,23 @@ class BpeModel:
             self.strings[i] = s
         self.lib = tokenizer(path)
         self.back = {c: b for b, c in enumerate(chars)}
+        first = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        self.known_split = first.get("pattern") == {"Regex": SPLIT} and kinds == ["NFC", "Replace", "Lowercase"]
         self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     # ---- words ---------------------------------------------------------------
-    def words_of(self, piece: bytes) -> list:
+    def plain_words(self, text: str) -> list[str] | None:
+        """The words of a piece by the short way, where it holds."""
+        if self.known_split and _PLAIN.fullmatch(text) and not (self.added_re and self.added_re.search(text)):
+            return _WORDS.findall(text.lower())
+        return None
+
+    def other_words(self, text: str) -> list:
         """The words of a piece as byte strings; an added token as its id."""
-        if piece.isalpha():  # ASCII letters only: one word
-            return [piece.lower()]
-        text = piece.decode()
-        parts = self.added_re.split(text) if self.added_re else [text]
         out: list = []
-        for p in parts:
+        for p in self.added_re.split(text) if self.added_re else [text]:
             if p in self.added:
                 out.append(self.added[p])
             elif p:
@@ -96,23 +109,25 @@ class BpeModel:
         return out
 
     # ---- merges --------------------------------------------------------------
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each (non-empty) word."""
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the (non-empty) words, one after the other, and where each
+        word's ids end."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         flat = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum(sizes)
         sym = self.inner[flat]
         sym[ends - 1] = self.last[flat[ends - 1]]
         word = np.repeat(np.arange(len(words)), sizes)
-        out: list = [None] * len(words)
+        out_sym, out_word = [], []
         while len(sym):
             rank, at = self._ranks(sym, word)
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             low = np.minimum.reduceat(rank, starts)
             length = np.diff(np.r_[starts, len(sym)])
             done = low == NO_RANK
-            for i in np.flatnonzero(done):
-                out[word[starts[i]]] = sym[starts[i]:starts[i] + length[i]]
+            over = np.repeat(done, length)
+            out_sym.append(sym[over])
+            out_word.append(word[over])
             if done.all():
                 break
             low_of = np.repeat(low, length)
@@ -127,10 +142,12 @@ class BpeModel:
             keep &= self.at_once[at[pos]] | lead
             pos = pos[keep]
             sym[pos] = self.made[at[pos]]
-            live = np.repeat(~done, length)
+            live = ~over
             live[pos + 1] = False
             sym, word = sym[live], word[live]
-        return out
+        sym, word = np.concatenate(out_sym), np.concatenate(out_word)
+        order = np.argsort(word, kind="stable")
+        return sym[order].astype("<u4"), np.cumsum(np.bincount(word, minlength=len(words)))
 
     def _ranks(self, sym, word):
         """Rank of the pair that starts at each symbol, and its place in the
@@ -145,36 +162,52 @@ class BpeModel:
     # ---- texts ---------------------------------------------------------------
     def learn(self, pieces) -> None:
         """Encode pieces and keep them."""
-        new = [(p, self.words_of(p)) for p in pieces]
-        words = list({w for _, ws in new for w in ws if not isinstance(w, int)})
-        ids = dict(zip(words, (x.astype("<u4").tobytes() for x in self.merge(words)))) if words else {}
-        for p, ws in new:
-            self.cache[p] = b"".join(ids[w] if not isinstance(w, int) else np.uint32(w).astype("<u4").tobytes() for w in ws)
+        words, ends, names, mixed = [], [], [], []
+        for p in pieces:
+            text = p.decode()
+            plain = self.plain_words(text)
+            if plain is not None:
+                words += map(str.encode, plain)
+            else:
+                ws = self.other_words(text)
+                if any(isinstance(w, int) for w in ws):
+                    mixed.append((p, ws))
+                    continue
+                words += ws
+            names.append(p)
+            ends.append(len(words))
+        if words:
+            flat, word_ends = self.merge(words)
+            raw, at = flat.tobytes(), np.r_[0, word_ends][ends] * 4
+            for p, a, b in zip(names, [0, *at.tolist()], at.tolist()):
+                self.cache[p] = raw[a:b]
+        else:
+            self.cache.update((p, b"") for p in names)
+        for p, ws in mixed:
+            self.cache[p] = b"".join(np.uint32(w).astype("<u4").tobytes() if isinstance(w, int) else self.merge([w])[0].tobytes() for w in ws)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
         step: list[list[bytes]] = []
         size = 0
-
-        def flush():
-            pieces = set().union(*step)
-            new = pieces.difference(self.cache)
-            if len(self.cache) + len(new) > CACHE_ENTRIES:
-                self.cache.clear()
-                new = pieces
-            self.learn(new)
-            out.extend(b"".join(map(self.cache.__getitem__, ws)) for ws in step)
-            step.clear()
-
         for t in texts:
             step.append(t.split())
             size += len(t)
             if size >= STEP_BYTES:
-                flush()
-                size = 0
-        flush()
-        return out
+                out += self._step(step)
+                step, size = [], 0
+        return out + self._step(step)
+
+    def _step(self, step: list[list[bytes]]) -> list[bytes]:
+        pieces = set().union(*step)
+        if len(self.cache) > CACHE_ENTRIES:
+            self.old, self.cache = self.cache, {}
+        new = pieces.difference(self.cache)
+        again = new.intersection(self.old)
+        self.cache.update(zip(again, map(self.old.__getitem__, again)))
+        self.learn(new.difference(again))
+        return [b"".join(map(self.cache.__getitem__, ws)) for ws in step]
 
     def decode(self, ids: bytes) -> str:
         """The library joins the tokens of a file without a decoder by spaces."""
@@ -204,9 +237,23 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "dec
     return rows.withColumn(out_col, run(F.col(ids_col)))
 
 
+def round_trip(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
+               out_col: str = "decoded") -> DataFrame:
+    """``docs`` plus the ids of each text and the text of those ids, in one pass
+    (two chained functions would encode twice)."""
+    @F.arrow_udf(f"`{ids_col}` binary, `{out_col}` string")
+    def run(text: pa.Array) -> pa.Array:
+        m = model(path)
+        ids = m.encode(text.cast(pa.binary()).to_pylist())
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(map(m.decode, ids), pa.string())],
+                                          names=[ids_col, out_col])
+    both = docs.withColumn("round_trip", run(text_or_empty(text_col)))
+    return both.withColumns({c: F.col(f"round_trip.{c}") for c in (ids_col, out_col)}).drop("round_trip")
+
+
 def encoding_report(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every document."""
-    rows = decode(encode(docs.select("doc_id", "text"), path), path)
+    rows = round_trip(docs.select("doc_id", "text"), path)
     return rows.select(
         "doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
