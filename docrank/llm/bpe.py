@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docrank.llm.common import text_or_empty
+from docrank.llm.common import Recent, text_or_empty
 from docrank.llm.token_counts import tokenizer
 
 CACHE_ENTRIES = 300_000   # of each of two generations
@@ -87,8 +87,7 @@ class BpeModel:
         first = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         self.known_split = first.get("pattern") == {"Regex": SPLIT} and kinds == ["NFC", "Replace", "Lowercase"]
-        self.cache: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.cache = Recent(CACHE_ENTRIES)
 
     # ---- words ---------------------------------------------------------------
     def plain_words(self, text: str) -> list[str] | None:
@@ -180,11 +179,11 @@ class BpeModel:
             flat, word_ends = self.merge(words)
             raw, at = flat.tobytes(), np.r_[0, word_ends][ends] * 4
             for p, a, b in zip(names, [0, *at.tolist()], at.tolist()):
-                self.cache[p] = raw[a:b]
+                self.cache.now[p] = raw[a:b]
         else:
-            self.cache.update((p, b"") for p in names)
+            self.cache.now.update((p, b"") for p in names)
         for p, ws in mixed:
-            self.cache[p] = b"".join(np.uint32(w).astype("<u4").tobytes() if isinstance(w, int) else self.merge([w])[0].tobytes() for w in ws)
+            self.cache.now[p] = b"".join(np.uint32(w).astype("<u4").tobytes() if isinstance(w, int) else self.merge([w])[0].tobytes() for w in ws)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -200,14 +199,8 @@ class BpeModel:
         return out + self._step(step)
 
     def _step(self, step: list[list[bytes]]) -> list[bytes]:
-        pieces = set().union(*step)
-        if len(self.cache) > CACHE_ENTRIES:
-            self.old, self.cache = self.cache, {}
-        new = pieces.difference(self.cache)
-        again = new.intersection(self.old)
-        self.cache.update(zip(again, map(self.old.__getitem__, again)))
-        self.learn(new.difference(again))
-        return [b"".join(map(self.cache.__getitem__, ws)) for ws in step]
+        self.learn(self.cache.missing(set().union(*step)))
+        return [b"".join(map(self.cache.now.__getitem__, ws)) for ws in step]
 
     def decode(self, ids: bytes) -> str:
         """The library joins the tokens of a file without a decoder by spaces."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +53,19 @@ def split_cells(rows: DataFrame, key: str, pick: Column, chunk: int) -> DataFram
             .drop("cell_n", "cell_k", "cell_o"))
 
 
-def partitions_for(spark: SparkSession, rows: int, per_partition: int) -> int:
-    """A partition count that grows with the rows and keeps the cores busy."""
-    cores = int(spark.sparkContext.defaultParallelism)
-    return max(cores, math.ceil(rows / per_partition))
+class Recent:
+    """A worker's cache of two generations: when the young one is full it becomes
+    the old one; what is asked for again moves back.  Holds at most about twice
+    ``limit`` entries and keeps the frequent ones."""
+
+    def __init__(self, limit: int):
+        self.limit, self.now, self.old = limit, {}, {}
+
+    def missing(self, keys: set) -> set:
+        """The keys that are not known; the others are in ``now`` afterwards."""
+        if len(self.now) > self.limit:
+            self.old, self.now = self.now, {}
+        new = keys.difference(self.now)
+        again = new.intersection(self.old)
+        self.now.update(zip(again, map(self.old.__getitem__, again)))
+        return new.difference(again)

@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docrank.llm.common import text_or_empty
+from docrank.llm.common import Recent, text_or_empty
 
 SAMPLE_ROWS = 4_000       # expected size of the sample that warms the table
 TABLE_ENTRIES = 65_536
 TABLE_KEY_BYTES = 64      # longer pieces never enter the table
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000   # of each of two generations
 LIMIT = 2_048
 
 _tokenizers: dict = {}
@@ -54,7 +54,7 @@ def token_lengths(path: str, texts: list[str]) -> list[int]:
     t = tokenizer(path)
     if path.endswith(".model"):
         return [len(x) for x in t.encode(texts, num_threads=1)]
-    return [len(x.ids) for x in t.encode_batch(texts, add_special_tokens=False)]
+    return [len(x.ids) for x in t.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def frequent_pieces(docs: DataFrame, path: str, text_col: str = "text",
@@ -98,17 +98,14 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out_col: st
 
     @F.arrow_udf("long")
     def count(text: pa.Array) -> pa.Array:
-        first, cache = table.value, _caches.setdefault(path, {})
+        first, cache = table.value, _caches.setdefault(path, Recent(CACHE_ENTRIES))
         out = []
         for t in text.cast(pa.binary()).to_pylist():
             seen = Counter(t.split())
-            misses = [w for w in seen if w not in first and w not in cache]
-            if misses:
-                if len(cache) + len(misses) > CACHE_ENTRIES:
-                    cache.clear()
-                    misses = [w for w in seen if w not in first]
-                cache.update(zip(misses, token_lengths(path, [w.decode() for w in misses])))
-            out.append(sum(c * (first[w] if w in first else cache[w]) for w, c in seen.items()))
+            rare = seen.keys() - first.keys()
+            new = list(cache.missing(rare))
+            cache.now.update(zip(new, token_lengths(path, [w.decode() for w in new])))
+            out.append(sum(c * (first[w] if w in first else cache.now[w]) for w, c in seen.items()))
         return pa.array(out, pa.int64())
 
     return docs.withColumn(out_col, count(text_or_empty(text_col)))

@@ -30,7 +30,9 @@ from __future__ import annotations
 
 import io
 import struct
+import sys
 import uuid
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +41,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docrank.llm.common import text_or_empty
+from docrank.llm.common import Recent, text_or_empty
 from docrank.llm.token_counts import tokenizer
 from docrank.session import scratch_path
 
 FRAME_BYTES = 1 << 20
 LEVEL = 3
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000   # of each of two generations
 STEP_BYTES = 4 << 20
+SLICE_ROWS = 1_000
+# the machine's array type that is unsigned, of four bytes and little-endian
+ARRAY_TYPE = "I" if array("I").itemsize == 4 and sys.byteorder == "little" else None
 
 # Fixed values of the seekable zstandard format
 SEEK_MAGIC = 0x184D2A5E
@@ -167,25 +172,23 @@ class ByteLevelEncoder:
 
     def __init__(self, path: str):
         self.lib = tokenizer(path)
-        self.first: dict[bytes, bytes | None] = {}
-        self.rest: dict[bytes, bytes | None] = {}
+        self.first, self.rest = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.lib.encode_batch(texts, add_special_tokens=False)]
+        got = self.lib.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() if ARRAY_TYPE is None else array(ARRAY_TYPE, x.ids).tobytes() for x in got]
 
-    def _learn(self, cache: dict, pieces: set, lead: str) -> None:
-        new = pieces.difference(cache)
-        if len(cache) + len(new) > CACHE_ENTRIES:
-            cache.clear()
-            new = pieces
+    def _learn(self, cache: Recent, pieces: set, lead: str) -> dict:
+        """The cache with all the pieces; a piece that cannot stand alone has None."""
         good = []
-        for p in new:
+        for p in cache.missing(pieces):
             s = p.decode()
             if s and not s[0].isspace() and not s[-1].isspace():
                 good.append((p, lead + s))
             else:
-                cache[p] = None
-        cache.update(zip((p for p, _ in good), self._ids([s for _, s in good])))
+                cache.now[p] = None
+        cache.now.update(zip((p for p, _ in good), self._ids([s for _, s in good])))
+        return cache.now
 
     def _parts(self, text: bytes) -> list[bytes]:
         """Pieces of a text with other white space at a single space."""
@@ -210,11 +213,11 @@ class ByteLevelEncoder:
 
     def _step(self, texts: list[bytes]) -> list[bytes]:
         pieces = [t.split(b" ") for t in texts]
-        self._learn(self.first, {p[0] for p in pieces}, "")
-        self._learn(self.rest, set().union(*(p[1:] for p in pieces)), " ")
+        first = self._learn(self.first, {p[0] for p in pieces}, "")
+        rest = self._learn(self.rest, set().union(*(p[1:] for p in pieces)), " ")
         out = []
         for t, (head, *tail) in zip(texts, pieces):
-            got = [self.first[head], *map(self.rest.__getitem__, tail)]
+            got = [first[head], *map(rest.__getitem__, tail)]
             if None in got:
                 head, *tail = self._parts(t)
                 got = self._ids([head, *(" " + x for x in tail)])
@@ -239,15 +242,15 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0,
     def write(batches):
         w = name = None
         ends: list = []
-        for b in batches:
-            if b.num_rows and w is None:
+        for b in (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
+            if w is None:
                 name = f"{folder.rstrip('/')}/tokens-{uuid.uuid4().hex}.zst"
                 w = Writer(open_path(name, "w"), frame_bytes)
             ids = b.column("doc_id").to_pylist()
             texts = b.column("text").cast(pa.binary()).to_pylist()
             for doc_id, got in zip(ids, encoder(path).encode(texts)):
                 w.add(doc_id, got + end)
-            ends = [ends[0] if ends else ids[0], ids[-1]] if ids else ends
+            ends = [ends[0] if ends else ids[0], ids[-1]]
         if w is not None:
             w.close()
             yield pa.RecordBatch.from_pylist([{"path": name, "first_id": ends[0], "last_id": ends[1],
