@@ -8,30 +8,29 @@ literal list or a DataFrame with a ``word`` column.
                     (``set``: a repeated query term counts once, ``bag``: each
                     repetition counts again)
 * ``search_rows``   rank single (document, word) rows by tf-idf
-* ``with_text``     attach the document text to a bounded result
+* ``with_text``     attach the document text to a ranked result
 * ``search_batch``  many queries at once, top k per query
 * ``posting_list``  (word, documents) lists in bounded blocks
 * ``vocabulary_desc`` weights ordered by word, descending
 
-Ranking is deterministic: scores are compared after rounding to
-``score_decimals`` places (a sum of doubles depends on summation order, which
-varies with partitioning), ties go to the smaller ``doc_id`` then ``word``.
+Ranking uses full double precision.  A document's score adds its words'
+contributions in ascending order, so it does not depend on the partitioning and
+equal documents tie exactly; ties go to the smaller ``doc_id`` then ``word``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docrank.functions.tokenize import WORD_LOWER, query_tokens
-from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY, salt_counts, skew_safe_join
+from docrank.session import ensure_checkpoint_dir
 
 SET = "set"
 BAG = "bag"
-SCORE_DECIMALS = 8
-# (query, word) rows up to which the weighted query side of a batch is
-# broadcast (about 40 bytes per row)
-MAX_BROADCAST_TERMS = 2_000_000
+# postings of a query's rarest words that give the first bound on its k-th score
+SEED_POSTINGS = 256
 
 
 # --------------------------------------------------------------------------
@@ -39,8 +38,8 @@ MAX_BROADCAST_TERMS = 2_000_000
 # --------------------------------------------------------------------------
 def query_term_list(spark: SparkSession, query: str, mode: str = WORD_LOWER) -> list[str]:
     """Terms of one typed query, in order, repeats kept.  Evaluated by Spark's
-    own tokenizer expression on a one-row local relation (folded on the
-    driver; no job), so query and index are tokenized identically."""
+    own tokenizer expression on a one-row local relation (a job over that one
+    row), so query and index are tokenized identically."""
     row = spark.createDataFrame([(query,)], "q string").select(
         query_tokens(F.col("q"), mode).alias("t")).first()
     return list(row["t"]) if row and row["t"] is not None else []
@@ -67,11 +66,23 @@ def batch_terms(queries: DataFrame, mode: str = WORD_LOWER, weighting: str = SET
 # --------------------------------------------------------------------------
 # single query
 # --------------------------------------------------------------------------
+def ordered_sum(contribution: Column) -> Column:
+    """Sum of a group's contributions in ascending order (a group holds the query
+    words of one document)."""
+    return F.aggregate(F.array_sort(F.collect_list(contribution)), F.lit(0.0), lambda a, x: a + x)
+
+
+def ranked(rows: DataFrame, k: int, *order: Column) -> DataFrame:
+    """The first ``k`` rows with their ``rank`` from 1."""
+    top = rows.orderBy(*order).limit(k)
+    # at most k rows reach the window
+    return top.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"), *rows.columns)
+
+
 def search_sum(source, spark: SparkSession, query: str, mode: str = WORD_LOWER,
-               weighting: str = SET, k: int | None = None,
-               score_decimals: int = SCORE_DECIMALS) -> DataFrame:
-    """``(doc_id, score)`` for every document containing a query term;
-    with ``k``, the k best by score (desc) then ``doc_id``."""
+               weighting: str = SET, k: int | None = None) -> DataFrame:
+    """``(doc_id, score)`` for every document containing a query term; with
+    ``k``, ``(rank, doc_id, score)`` of the k best by score (desc) then ``doc_id``."""
     weights = term_weights(query_term_list(spark, query, mode), weighting)
     rows = source.weights_for(sorted(weights))
     if weighting == BAG and any(v > 1 for v in weights.values()):
@@ -79,91 +90,88 @@ def search_sum(source, spark: SparkSession, query: str, mode: str = WORD_LOWER,
         contrib = F.col("tf_idf") * qtf[F.col("word")]
     else:
         contrib = F.col("tf_idf")
-    scored = rows.groupBy("doc_id").agg(F.sum(contrib).alias("score"))
-    scored = scored.select("doc_id", F.round("score", score_decimals).alias("score"))
-    if k is not None:
-        scored = scored.orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
-    return scored
+    scored = rows.groupBy("doc_id").agg(ordered_sum(contrib).alias("score"))
+    return scored if k is None else ranked(scored, k, F.desc("score"), F.asc("doc_id"))
 
 
 def search_rows(source, spark: SparkSession, query: str, mode: str = WORD_LOWER,
-                k: int | None = 2, within: DataFrame | None = None,
-                score_decimals: int = 10) -> DataFrame:
+                k: int | None = 2, within: DataFrame | None = None) -> DataFrame:
     """``(doc_id, word, tf_idf)`` rows whose word is a query term, best
-    tf-idf first (ties: doc_id, word); ``k`` rows.  ``within`` restricts the
-    search to the documents of an earlier result (a follow-up search)."""
+    tf-idf first (ties: doc_id, word); with ``k``, the first k rows and their
+    ``rank``.  ``within`` restricts the search to the documents of an earlier
+    result (a follow-up search)."""
     words = sorted(set(query_term_list(spark, query, mode)))
-    rows = source.weights_for(words).select(
-        "doc_id", "word", F.round("tf_idf", score_decimals).alias("tf_idf"))
+    rows = source.weights_for(words).select("doc_id", "word", "tf_idf")
     if within is not None:
         # a left-semi join: the planner broadcasts ``within`` when its
         # estimated size is small (a top-k is), else shuffles both sides
         rows = rows.join(within.select("doc_id").distinct(), "doc_id", "left_semi")
-    ordered = rows.orderBy(F.desc("tf_idf"), F.asc("doc_id"), F.asc("word"))
-    return ordered.limit(k) if k is not None else ordered
+    order = (F.desc("tf_idf"), F.asc("doc_id"), F.asc("word"))
+    return rows.orderBy(*order) if k is None else ranked(rows, k, *order)
 
 
-def with_text(result: DataFrame, corpus: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Attach ``text`` to a bounded result (a top-k).
-
-    The result is computed once and fetched (at most ``max_rows`` rows, a
-    checked bound); its ids become a literal ``IN`` filter on the corpus scan,
-    so only row groups holding those ids are read instead of every text.  A
-    result over the bound is joined lazily instead (shuffle join, no fetch).
-    """
-    spark = result.sparkSession
-    rows = result.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return result.join(corpus.select("doc_id", "text"), "doc_id")
-    local = spark.createDataFrame(rows, result.schema)
-    ids = sorted({r["doc_id"] for r in rows})
-    texts = corpus.where(F.col("doc_id").isin(ids)) if ids else corpus.limit(0)
-    return local.join(texts.select("doc_id", "text"), "doc_id")
+def with_text(result: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Attach ``text`` to a result, lazily; a result with a ``rank`` keeps its
+    order.  The planner broadcasts a result that it knows to be small (a top k
+    is) and else shuffles both sides."""
+    out = result.join(corpus.select("doc_id", "text"), "doc_id")
+    return out.orderBy("rank") if "rank" in result.columns else out
 
 
 # --------------------------------------------------------------------------
 # many queries
 # --------------------------------------------------------------------------
 def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
-                 weighting: str = SET, k: int = 5,
-                 score_decimals: int = SCORE_DECIMALS,
-                 max_broadcast_terms: int = MAX_BROADCAST_TERMS) -> DataFrame:
+                 weighting: str = SET, k: int = 5) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the top ``k`` documents of every
     query of ``queries(query_id, text)``; score = sum over the query's words
     of qtf x tf x idf.
 
-    Plan: the IDF of the query words is folded into the query-term table
-    first; that table is joined to the term rows of the query words:
-    broadcast when it has at most ``max_broadcast_terms`` rows (counted), else
-    a shuffled join salted by document for words with very many postings.  Over a model the term rows of a document stay
-    in one task, so the partial sum per (query_id, doc_id) is already final
-    before the shuffle.  The per-query top k is ``row_number() <= k``, which
-    Spark runs as a group limit before and after its shuffle, so each task
-    ships at most k rows per query.
-    """
-    terms = batch_terms(queries, mode, weighting)
-    idf_q = source.idf_for(terms)
-    weighted = (terms.join(idf_q, "word")
-                .select("query_id", "word", (F.col("qtf") * F.col("idf")).alias("weight")))
-    # size check on the query side (one small job over the queries only):
-    # below the bound it is broadcast and no posting moves; above it the
-    # postings are shuffled, salted by document for words with many postings
-    if terms.count() <= max_broadcast_terms:
-        facts = source.terms_for(terms)
-        if not getattr(source, "doc_local", False):
-            # postings sorted by word (an index): gather each document's rows
-            # in one task first, so the per-(query, document) partial sums are
-            # final and the aggregate needs no exchange of its own; this moves
-            # the postings once instead of every (query, document, word) row
-            facts = facts.repartition("doc_id")
-        joined = facts.join(F.broadcast(weighted), "word")
-    else:
-        max_rows = getattr(source, "max_rows_per_key", DEFAULT_MAX_ROWS_PER_KEY)
-        joined = skew_safe_join(source.terms_for(terms), weighted, "word", spread="doc_id",
-                                hot=salt_counts(idf_q, "word", "n_postings", max_rows))
-    scored = (joined.groupBy("query_id", "doc_id")
-              .agg(F.sum(F.col("term_frequency") * F.col("weight")).alias("score"))
-              .select("query_id", "doc_id", F.round("score", score_decimals).alias("score")))
+    Exact pruning, so that not every document that shares some word with a query
+    is scored: a word adds at most its bound qtf x idf x (largest tf of the word).
+
+    1. The postings of each query's rarest words give partial scores; the k-th
+       largest (plus what negative weights may take away) bounds the k-th score
+       from below.
+    2. Of each query the words with the most postings are set aside as long as
+       their bounds together stay below that: a document with none but such words
+       cannot enter the top k.  A query with fewer than k partial scores sets none
+       aside.
+    3. Documents in the postings of the remaining words are candidates and are
+       scored in full.
+
+    The term rows of the query words are written once (reliable checkpoint) and
+    read by all steps.  No size is guessed while the query is built: joins are
+    left to adaptive execution, which broadcasts, and splits hot words, by the
+    sizes it sees."""
+    ensure_checkpoint_dir(queries.sparkSession)
+    terms = batch_terms(queries, mode, weighting).checkpoint()
+    facts = source.terms_for(terms).select("doc_id", "word", "term_frequency").checkpoint()
+    # per word: postings and largest term frequency, partial sums before the shuffle
+    stats = facts.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max("term_frequency").alias("max_tf"))
+    weighted = (terms.join(source.idf_for(terms).select("word", "idf"), "word").join(stats, "word")
+                .select("query_id", "word", "qtf", "idf", "n", "max_tf").checkpoint())
+    given = F.col("term_frequency") * F.col("idf") * F.col("qtf")
+    top = F.col("max_tf") * F.col("idf") * F.col("qtf")
+    by_query = Window.partitionBy("query_id")
+    rare = by_query.orderBy("n", "word").rowsBetween(Window.unboundedPreceding, -1)
+    common = by_query.orderBy(F.desc("n"), F.desc("word")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    words = weighted.select(
+        "query_id", "word", "qtf", "idf",
+        (F.coalesce(F.sum("n").over(rare), F.lit(0)) < SEED_POSTINGS).alias("seed"),
+        F.sum(F.greatest(top, F.lit(0.0))).over(common).alias("aside"),
+        F.sum(F.least(top, F.lit(0.0))).over(by_query).alias("loss"))
+    partial = (facts.join(words.where("seed"), "word").groupBy("query_id", "doc_id")
+               .agg(F.sum(given).alias("part")))
+    best = Window.partitionBy("query_id").orderBy(F.desc("part"))
+    kth = (partial.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k)
+           .where(F.col("rn") == k).select("query_id", "part"))
+    keep = (words.join(kth, "query_id", "left")
+            # a little slack for the rounding of the sums
+            .where(F.col("part").isNull() | (F.col("aside") >= (F.col("part") + F.col("loss")) * (1 - 1e-9) - 1e-15)))
+    candidates = facts.join(keep.select("query_id", "word"), "word").select("query_id", "doc_id").distinct()
+    rows = candidates.join(weighted.select("query_id", "word", "qtf", "idf"), "query_id").join(facts, ["doc_id", "word"])
+    scored = rows.groupBy("query_id", "doc_id").agg(ordered_sum(given).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     # the filter must compare row_number itself for Spark to infer the group limit
     return (scored.withColumn("rn", F.row_number().over(w))
@@ -174,13 +182,27 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
 # --------------------------------------------------------------------------
 # listings
 # --------------------------------------------------------------------------
-def posting_list(tf_rows: DataFrame, block_size: int = 1024) -> DataFrame:
+def posting_list(tf_rows: DataFrame, block_size: int = 1024, by: str | None = None) -> DataFrame:
     """``(word, block, doc_ids, frequencies, term_frequencies)``: postings of
-    each word gathered in blocks of consecutive integer ``doc_id`` values
-    (``block = doc_id div block_size``), sorted by ``doc_id``.  A block holds
-    at most ``block_size`` postings, however common the word, so no group is
-    unbounded and a stop word spreads over many tasks."""
-    blocked = tf_rows.withColumn("block", F.floor(F.col("doc_id") / F.lit(block_size)).cast("long"))
+    each word gathered in blocks, sorted by ``doc_id``, so that no group is
+    unbounded and a stop word spreads over many tasks.
+
+    ``by='range'`` (the default for integer ids) blocks consecutive ids,
+    ``block = doc_id div block_size``: at most ``block_size`` postings each.
+    ``by='hash'`` (the default for other ids, right for sparse integers too) gives a
+    word of n postings ``ceil(n / block_size)`` blocks and deals its postings to
+    them by a hash of the id: about ``block_size`` postings each."""
+    if by is None:
+        by = "range" if isinstance(tf_rows.schema["doc_id"].dataType, T.IntegralType) else "hash"
+    if by == "range":
+        blocked = tf_rows.withColumn("block", F.floor(F.col("doc_id") / F.lit(block_size)).cast("long"))
+    elif by == "hash":
+        sizes = tf_rows.groupBy("word").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_size)).alias("_blocks"))
+        digits = F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8)
+        blocked = tf_rows.join(sizes, "word").withColumn(
+            "block", F.pmod(F.conv(digits, 16, 10).cast("long"), F.col("_blocks")))
+    else:
+        raise ValueError("by must be 'range' or 'hash'")
     g = (blocked.groupBy("word", "block")
          .agg(F.sort_array(F.collect_list(F.struct("doc_id", "frequency", "term_frequency"))).alias("p")))
     return g.select("word", "block",
@@ -200,8 +222,6 @@ def vocabulary_desc(source, k: int = 20, score_decimals: int | None = None) -> D
     pushed-down ``word IN`` on an index)."""
     top = source.idf_table().orderBy(F.desc("word")).limit(k).select("word", "idf").collect()
     spark = source.spark
-    if not top:
-        return spark.createDataFrame([], "doc_id long, word string, tf_idf double")
     top_words = spark.createDataFrame([(r["word"], r["idf"]) for r in top], "word string, idf double")
     rows = source.terms_for([r["word"] for r in top]).join(F.broadcast(top_words), "word")
     tfidf = F.col("term_frequency") * F.col("idf")

@@ -35,6 +35,10 @@ def r10(c: str):
     return F.round(F.col(c), 10).alias(c)
 
 
+def r8(c: str):
+    return F.round(F.col(c), 8).alias(c)
+
+
 def q_corpus_size(spark, sf_dir):
     return model(spark, sf_dir).corpus_size()
 
@@ -112,38 +116,47 @@ def q_tfidf_alpha_raw(spark, sf_dir):
     return m.weights.select("doc_id", "word", r10("tf_idf"))
 
 
-def q_posting_list(spark, sf_dir):
-    p = S.posting_list(model(spark, sf_dir).tf, block_size=1024)
+def _posting_columns(p):
     return p.select("word", "block",
                     F.array_join(F.transform("doc_ids", lambda x: x.cast("string")), ",").alias("doc_ids"),
                     F.array_join(F.transform("frequencies", lambda x: x.cast("string")), ",").alias("frequencies"),
                     F.size("doc_ids").cast("long").alias("n_postings"))
 
 
+def q_posting_list(spark, sf_dir):
+    return _posting_columns(S.posting_list(model(spark, sf_dir).tf, block_size=1024))
+
+
+def q_posting_list_string_ids(spark, sf_dir):
+    """Ids are text; blocks go by a hash of the id."""
+    corpus = documents(spark, sf_dir).select(F.concat(F.lit("d"), F.col("doc_id")).alias("doc_id"), "text")
+    return _posting_columns(S.posting_list(TfIdf.flavor(corpus, "sql").tf, block_size=64))
+
+
 def q_search_sum_top5(spark, sf_dir):
-    return S.search_sum(model(spark, sf_dir), spark, QUERY, WORD_LOWER, "set", k=5)
+    return S.search_sum(model(spark, sf_dir), spark, QUERY, WORD_LOWER, "set", k=5).select("rank", "doc_id", r8("score"))
 
 
 def q_search_sum_set(spark, sf_dir):
-    return S.search_sum(model(spark, sf_dir, "rdd"), spark, QUERY, NONWORD_SPLIT, "set")
+    return S.search_sum(model(spark, sf_dir, "rdd"), spark, QUERY, NONWORD_SPLIT, "set").select("doc_id", r8("score"))
 
 
 def q_search_sum_bag(spark, sf_dir):
-    return S.search_sum(model(spark, sf_dir, "mapreduce"), spark, BAG_QUERY, NONWORD_SPLIT, "bag")
+    return S.search_sum(model(spark, sf_dir, "mapreduce"), spark, BAG_QUERY, NONWORD_SPLIT, "bag").select("doc_id", r8("score"))
 
 
 def _search_rows(k):
     def q(spark, sf_dir):
         m = model(spark, sf_dir)
         rows = S.search_rows(m, spark, ROWS_QUERY, WORD_LOWER, k=k)
-        return S.with_text(rows, m.raw_corpus).select("doc_id", "word", "tf_idf", "text")
+        return S.with_text(rows, m.raw_corpus).select("rank", "doc_id", "word", r10("tf_idf"), "text")
     return q
 
 
 def q_followup_search(spark, sf_dir):
     m = model(spark, sf_dir)
     first = S.search_rows(m, spark, ROWS_QUERY, WORD_LOWER, k=5)
-    return S.search_rows(m, spark, FOLLOWUP_QUERY, WORD_LOWER, k=2, within=first)
+    return S.search_rows(m, spark, FOLLOWUP_QUERY, WORD_LOWER, k=2, within=first).select("rank", "doc_id", "word", r10("tf_idf"))
 
 
 def q_vocabulary_desc_top20(spark, sf_dir):
@@ -156,11 +169,11 @@ def benchmark_queries(spark, sf_dir):
 
 
 def q_search_batch_top5(spark, sf_dir):
-    return S.search_batch(model(spark, sf_dir), benchmark_queries(spark, sf_dir), WORD_LOWER, "set", k=5)
+    return S.search_batch(model(spark, sf_dir), benchmark_queries(spark, sf_dir), WORD_LOWER, "set", k=5).select("query_id", "rank", "doc_id", r8("score"))
 
 
 def q_search_batch_bag_top5(spark, sf_dir):
-    return S.search_batch(model(spark, sf_dir), benchmark_queries(spark, sf_dir), WORD_LOWER, "bag", k=5)
+    return S.search_batch(model(spark, sf_dir), benchmark_queries(spark, sf_dir), WORD_LOWER, "bag", k=5).select("query_id", "rank", "doc_id", r8("score"))
 
 
 def _built_index(spark, sf_dir):
@@ -171,12 +184,12 @@ def _built_index(spark, sf_dir):
 
 def q_index_search_sum(spark, sf_dir):
     idx = _built_index(spark, sf_dir)
-    return S.search_sum(idx, spark, QUERY, idx.tokenizer, "set")
+    return S.search_sum(idx, spark, QUERY, idx.tokenizer, "set").select("doc_id", r8("score"))
 
 
 def q_index_search_batch_top5(spark, sf_dir):
     idx = _built_index(spark, sf_dir)
-    return S.search_batch(idx, benchmark_queries(spark, sf_dir), idx.tokenizer, "set", k=5)
+    return S.search_batch(idx, benchmark_queries(spark, sf_dir), idx.tokenizer, "set", k=5).select("query_id", "rank", "doc_id", r8("score"))
 
 
 def q_tsv_export_import(spark, sf_dir):
@@ -248,7 +261,7 @@ def q_stream_index_search_sum(spark, sf_dir):
     spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").write.parquet(landing)
     ingest(spark, landing, idx, buckets=16).awaitTermination()
     index = read_index(spark, idx)
-    return S.search_sum(index, spark, QUERY, index.tokenizer, "set")
+    return S.search_sum(index, spark, QUERY, index.tokenizer, "set").select("doc_id", r8("score"))
 
 
 def conversations(spark, sf_dir):
@@ -282,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tfidf_mapreduce": _tfidf("mapreduce"),
     "tfidf_alpha_raw": q_tfidf_alpha_raw,
     "posting_list": q_posting_list,
+    "posting_list_string_ids": q_posting_list_string_ids,
     "search_sum_top5": q_search_sum_top5,
     "search_sum_set": q_search_sum_set,
     "search_sum_bag": q_search_sum_bag,

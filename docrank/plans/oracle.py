@@ -126,9 +126,17 @@ SELECT word, doc_id // 1024 AS block,
        string_agg(CAST(frequency AS VARCHAR), ',' ORDER BY doc_id) AS frequencies,
        count(*) AS n_postings
 FROM tf GROUP BY word, doc_id // 1024""")
+    q["posting_list_string_ids"] = with_(sql_flavor + """,
+nb AS (SELECT word, CAST(ceil(count(*) / 64.0) AS BIGINT) AS blocks FROM tf GROUP BY word),
+placed AS (SELECT tf.word, 'd' || CAST(tf.doc_id AS VARCHAR) AS id, tf.frequency,
+             CAST('0x' || substr(md5('d' || CAST(tf.doc_id AS VARCHAR)), 1, 8) AS BIGINT) % nb.blocks AS block
+           FROM tf JOIN nb ON tf.word = nb.word)""", """
+SELECT word, block, string_agg(id, ',' ORDER BY id) AS doc_ids,
+       string_agg(CAST(frequency AS VARCHAR), ',' ORDER BY id) AS frequencies, count(*) AS n_postings
+FROM placed GROUP BY word, block""")
     q["search_sum_top5"] = with_(sql_flavor + ",\nqt AS (" + literal_terms(QUERY) + ")", """
-SELECT doc_id, score FROM (
-  SELECT doc_id, round(sum(w.tf_idf * qt.qtf), 8) AS score
+SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, round(score, 8) AS score FROM (
+  SELECT doc_id, list_sum(list_sort(list(w.tf_idf * qt.qtf))) AS score
   FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id)
 ORDER BY score DESC, doc_id LIMIT 5""")
     q["search_sum_set"] = with_(rdd_flavor + ",\nqt AS (" + literal_terms(QUERY) + ")", """
@@ -138,10 +146,10 @@ FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
 SELECT doc_id, round(sum(w.tf_idf * qt.qtf), 8) AS score
 FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
     rows_body = """
-SELECT r.doc_id, r.word, r.tf_idf, coalesce(d.text, '') AS text FROM (
-  SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w
+SELECT r.rank, r.doc_id, r.word, round(r.tf_idf, 10) AS tf_idf, coalesce(d.text, '') AS text FROM (
+  SELECT row_number() OVER (ORDER BY w.tf_idf DESC, doc_id, word) AS rank, doc_id, word, w.tf_idf FROM w
   WHERE word IN (SELECT word FROM qt)
-  ORDER BY tf_idf DESC, doc_id, word LIMIT {k}) r
+  ORDER BY w.tf_idf DESC, doc_id, word LIMIT {k}) r
 JOIN documents d ON r.doc_id = d.doc_id"""
     for k in (2, 5):
         q[f"search_rows_top{k}"] = with_(sql_flavor + ",\nqt AS (" + literal_terms(ROWS_QUERY) + ")",
@@ -149,21 +157,21 @@ JOIN documents d ON r.doc_id = d.doc_id"""
     q["followup_search"] = with_(
         sql_flavor + ",\nqt AS (" + literal_terms(ROWS_QUERY) + "),\nqf AS (" + literal_terms(FOLLOWUP_QUERY) + ")",
         """
-SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w
+SELECT row_number() OVER (ORDER BY w.tf_idf DESC, doc_id, word) AS rank, doc_id, word, round(w.tf_idf, 10) AS tf_idf FROM w
 WHERE word IN (SELECT word FROM qf)
   AND doc_id IN (SELECT doc_id FROM (
-        SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w WHERE word IN (SELECT word FROM qt)
-        ORDER BY tf_idf DESC, doc_id, word LIMIT 5))
-ORDER BY tf_idf DESC, doc_id, word LIMIT 2""")
+        SELECT doc_id FROM w WHERE word IN (SELECT word FROM qt)
+        ORDER BY w.tf_idf DESC, doc_id, word LIMIT 5))
+ORDER BY rank LIMIT 2""")
     q["vocabulary_desc_top20"] = with_(sql_flavor, """
 SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w ORDER BY word DESC, doc_id LIMIT 20""")
     batch = """,
 bt AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '\\w+')) AS word
        FROM benchmark),
-sc AS (SELECT bt.query_id, w.doc_id, round(sum(w.tf_idf), 8) AS score
+sc AS (SELECT bt.query_id, w.doc_id, list_sum(list_sort(list(w.tf_idf))) AS score
        FROM w JOIN bt ON w.word = bt.word GROUP BY bt.query_id, w.doc_id)"""
     q["search_batch_top5"] = with_(sql_flavor + batch, """
-SELECT query_id, rank, doc_id, score FROM (
+SELECT query_id, rank, doc_id, round(score, 8) AS score FROM (
   SELECT query_id, doc_id, score,
          row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc)
 WHERE rank <= 5""")
@@ -171,10 +179,10 @@ WHERE rank <= 5""")
 bt AS (SELECT query_id, word, count(*) AS qtf FROM (
          SELECT item_id AS query_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '\\w+')) AS word
          FROM benchmark) GROUP BY query_id, word),
-sc AS (SELECT bt.query_id, w.doc_id, round(sum(w.tf_idf * bt.qtf), 8) AS score
+sc AS (SELECT bt.query_id, w.doc_id, list_sum(list_sort(list(w.tf_idf * bt.qtf))) AS score
        FROM w JOIN bt ON w.word = bt.word GROUP BY bt.query_id, w.doc_id)"""
     q["search_batch_bag_top5"] = with_(sql_flavor + bag_batch, """
-SELECT query_id, rank, doc_id, score FROM (
+SELECT query_id, rank, doc_id, round(score, 8) AS score FROM (
   SELECT query_id, doc_id, score,
          row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc)
 WHERE rank <= 5""")

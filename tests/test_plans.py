@@ -64,16 +64,16 @@ def test_index_search_prunes(spark, docs):
     text = plan_string(S.search_sum(idx, spark, "the with", k=5))
     assert "PartitionFilters: [isnotnull(bucket" in text or "PartitionFilters: [bucket" in text
     assert "In(word, [the,with])" in text
-    few = spark.createDataFrame([(1, "the with")], "query_id long, text string")
-    batch = plan_string(S.search_batch(idx, few, k=5))
+    few = spark.createDataFrame([("the",), ("with",)], "word string")
+    batch = plan_string(idx.terms_for(few))
     assert "PartitionFilters: [isnotnull(bucket" in batch or "PartitionFilters: [bucket" in batch
 
 
-def test_text_fetch_is_pushed_down(spark, docs):
+def test_text_fetch_shuffles_no_text(spark, docs):
     m = TfIdf(docs)
     rows = S.search_rows(m, spark, "the", k=2)
-    df = S.with_text(rows, m.raw_corpus)
-    assert "In(doc_id," in plan_string(df)
+    text = plan_string(S.with_text(rows, m.raw_corpus), "simple")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
 @pytest.mark.parametrize("name", sorted(C.QUERIES))

@@ -69,11 +69,11 @@ def test_every_salted_path_with_tiny_threshold(spark):
 
     queries = C.benchmark_queries(spark, SF)
     want = sorted(S.search_batch(plain, queries, k=5).collect())
-    assert sorted(S.search_batch(salted, queries, k=5, max_broadcast_terms=0).collect()) == want
+    assert sorted(S.search_batch(salted, queries, k=5).collect()) == want
     path = scratch_path(spark, "skew-index")
     write_index(plain, path, buckets=8)
     idx = read_index(spark, path, max_rows_per_key=3)
-    assert sorted(S.search_batch(idx, queries, k=5, max_broadcast_terms=0).collect()) == want
+    assert sorted(S.search_batch(idx, queries, k=5).collect()) == want
     i = _rows(idx.weights(), ["doc_id", "word"], "tf_idf")
     assert i.keys() == a.keys() and all(math.isclose(a[k], i[k]) for k in a)
 
