@@ -28,11 +28,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     without a letter, and those whose best language scores less than
     ``MIN_LANGUAGE_SCORE``."""
     model = lang_id.fit(docs)
-    found = lang_id.predict(docs, model)
+    found = lang_id.predict(docs, model, out_col="__language")
     if not model["langs"]:
         return docs.where(F.lit(False))
-    kept = found.where((F.col("language.lang_pred") != lang_id.UND) & (F.col("language.score") >= MIN_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.col("language.lang_pred")).drop("language")
+    kept = found.where((F.col("__language.lang_pred") != lang_id.UND) & (F.col("__language.score") >= MIN_LANGUAGE_SCORE))
+    return kept.withColumn("lang", F.col("__language.lang_pred")).drop("__language")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,14 +44,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with each span of personal data replaced by its kind;
     ``n_chars`` follows the text."""
-    found = pii.redact(pii.find_pii(docs)).drop("pii")
+    found = pii.redact(pii.find_pii(docs, out_col="__pii"), pii_col="__pii").drop("__pii")
     return found.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of the sources takes it."""
-    rows = mixing.mix(docs).where(F.col("mix.copies") > 0)
-    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("mix.copies")))).drop("mix", "copy")
+    rows = mixing.mix(docs, out_col="__mix").where(F.col("__mix.copies") > 0)
+    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__mix.copies")))).drop("__mix", "__copy")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -240,8 +240,8 @@ def round_trip(docs: DataFrame, path: str, text_col: str = "text", ids_col: str
         ids = m.encode(text.cast(pa.binary()).to_pylist())
         return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(map(m.decode, ids), pa.string())],
                                           names=[ids_col, out_col])
-    both = docs.withColumn("round_trip", run(text_or_empty(text_col)))
-    return both.withColumns({c: F.col(f"round_trip.{c}") for c in (ids_col, out_col)}).drop("round_trip")
+    both = docs.withColumn("__round_trip", run(text_or_empty(text_col)))
+    return both.withColumns({c: F.col(f"__round_trip.{c}") for c in (ids_col, out_col)}).drop("__round_trip")
 
 
 def encoding_report(docs: DataFrame, path: str) -> DataFrame:

@@ -181,9 +181,9 @@ class Scorer:
         return self.table[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(axis=0)
 
 
-def predict(docs: DataFrame, m: dict, text_col: str = "text") -> DataFrame:
-    """``docs`` plus a struct ``language`` (``lang_pred``, ``score``); only the
-    text is an input."""
+def predict(docs: DataFrame, m: dict, text_col: str = "text", out_col: str = "language") -> DataFrame:
+    """``docs`` plus a struct ``out_col`` (``lang_pred``, ``score``); only the text is an
+    input."""
     model = docs.sparkSession.sparkContext.broadcast(m)
     key = uuid.uuid4().hex
 
@@ -195,7 +195,7 @@ def predict(docs: DataFrame, m: dict, text_col: str = "text") -> DataFrame:
         got = [_scorers[key](t) for t in text.to_pylist()]
         return pa.StructArray.from_arrays([pa.array([x for x, _ in got], pa.string()),
                                            pa.array([x for _, x in got], pa.float64())], names=["lang_pred", "score"])
-    return docs.withColumn("language", run(text_or_empty(text_col)))
+    return docs.withColumn(out_col, run(text_or_empty(text_col)))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

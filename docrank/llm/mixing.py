@@ -157,25 +157,25 @@ def round_masses(rows: DataFrame, seed: int = 0, group_rows: int = GROUP_ROWS) -
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``docs`` plus a struct ``mix``: ``size``, ``source_size``, ``target``, ``copies`` (times the
+        source_col: str = "source", group_rows: int = GROUP_ROWS, out_col: str = "mix") -> DataFrame:
+    """``docs`` plus a struct ``out_col``: ``size``, ``source_size``, ``target``, ``copies`` (times the
     document is taken, 0 to ``MAX_COPIES``)."""
-    return _mixed(store(_sized(docs, id_col, text_col), "mix-docs"), weights, seed, source_col, group_rows)
+    return _mixed(store(_sized(docs, id_col, text_col), "mix-docs"), weights, seed, source_col, group_rows, out_col)
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with the size, a row id (fixed once stored) and the key of its
     random choices, which depends on nothing but the document."""
     return docs.withColumns({
-        "mix_size": n_words(text_or_empty(text_col)),
-        "mix_key": F.xxhash64(F.col(id_col), F.col(text_col)),
-        "mix_rid": F.monotonically_increasing_id()})
+        "__size": n_words(text_or_empty(text_col)),
+        "__key": F.xxhash64(F.col(id_col), F.col(text_col)),
+        "__rid": F.monotonically_increasing_id()})
 
 
-def _mixed(fixed: DataFrame, weights, seed, source_col, group_rows) -> DataFrame:
+def _mixed(fixed: DataFrame, weights, seed, source_col, group_rows, out_col) -> DataFrame:
     spark = fixed.sparkSession
     source = F.col(source_col).cast("string")
-    per = fixed.groupBy(source.alias("source")).agg(F.sum("mix_size").alias("words")).limit(MAX_SOURCES + 1).collect()
+    per = fixed.groupBy(source.alias("source")).agg(F.sum("__size").alias("words")).limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     per = sorted(per, key=lambda r: (r.source is None, r.source or ""))  # Python orders text by code point
@@ -183,22 +183,23 @@ def _mixed(fixed: DataFrame, weights, seed, source_col, group_rows) -> DataFrame
     goal = targets(sizes, [weights[i % len(weights)] for i in range(len(per))])
     plan = spark.createDataFrame(
         [(i, r.source, sizes[i], goal[i]) for i, r in enumerate(per)],
-        "src int, plan_source string, source_size long, target double")
-    rows = fixed.join(F.broadcast(plan), F.col("plan_source").eqNullSafe(source), "left").drop("plan_source")
-    ratio = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(MAX_COPIES)))).otherwise(F.lit(0.0))
-    rows = rows.withColumn("whole", F.floor(ratio)).withColumn("mass", (ratio - F.floor(ratio)) * F.col("mix_size"))
-    open_rows = rows.where((F.col("mass") > 0) & (F.col("mass") < F.col("mix_size"))).select(
-        F.col("mix_rid").alias("rid"), F.col("mix_key").alias("key"), "src", F.col("mix_size").alias("size"), "mass")
-    taken = round_masses(open_rows, seed, group_rows).select(F.col("rid").alias("mix_rid"), "taken")
-    rows = rows.join(taken, "mix_rid", "left")
-    copies = F.when(F.col("mix_size") > 0, F.col("whole") + F.when(F.col("taken") > 0, 1).otherwise(0)).otherwise(0).cast("int")
-    return rows.withColumn("mix", F.struct(F.col("mix_size").alias("size"), "source_size", "target", copies.alias("copies"))) \
-        .drop("mix_size", "mix_key", "mix_rid", "src", "source_size", "target", "whole", "mass", "taken")
+        "__src int, __name string, __words long, __target double")
+    rows = fixed.join(F.broadcast(plan), F.col("__name").eqNullSafe(source), "left").drop("__name")
+    ratio = F.when(F.col("__words") > 0, F.least(F.col("__target") / F.col("__words"), F.lit(float(MAX_COPIES)))).otherwise(F.lit(0.0))
+    rows = rows.withColumns({"__whole": F.floor(ratio), "__mass": (ratio - F.floor(ratio)) * F.col("__size")})
+    open_rows = rows.where((F.col("__mass") > 0) & (F.col("__mass") < F.col("__size"))).select(
+        *[F.col(f"__{c}").alias(c) for c in ("rid", "key", "src", "size", "mass")])
+    taken = round_masses(open_rows, seed, group_rows).select(F.col("rid").alias("__rid"), F.col("taken").alias("__taken"))
+    rows = rows.join(taken, "__rid", "left")
+    copies = F.when(F.col("__size") > 0, F.col("__whole") + F.when(F.col("__taken") > 0, 1).otherwise(0)).otherwise(0).cast("int")
+    out = F.struct(F.col("__size").alias("size"), F.col("__words").alias("source_size"), F.col("__target").alias("target"),
+                   copies.alias("copies"))
+    return rows.withColumn(out_col, out).drop("__size", "__key", "__rid", "__src", "__words", "__target", "__whole", "__mass", "__taken")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` of every document."""
     rows = _sized(docs.select("doc_id", "text", "source"), "doc_id", "text").drop("text")
-    out = _mixed(store(rows, "mix-sizes"), WEIGHTS, 0, "source", GROUP_ROWS)
+    out = _mixed(store(rows, "mix-sizes"), WEIGHTS, 0, "source", GROUP_ROWS, "mix")
     return out.select("doc_id", "mix.size", "mix.source_size", "mix.target",
                       (F.col("mix.copies") * F.col("mix.size")).cast("long").alias("taken"))

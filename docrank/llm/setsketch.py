@@ -300,10 +300,10 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     """The rows of ``docs`` less all but one of each group: the one of smallest id
     (rows without words stay)."""
     # the rows are fixed once, with a number of their own, so that the decision finds them again
-    fixed = store(docs.withColumn("nd_row", F.monotonically_increasing_id()), "nd-docs")
-    pick = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("nd_row"))
-    found = near_duplicates(fixed.withColumn("nd_pick", pick), words, percent, "nd_pick", text_col)
-    return fixed.join(found.where("first").select(F.col("doc_id.nd_row").alias("nd_row")), "nd_row", "left_semi").drop("nd_row")
+    fixed = store(docs.withColumn("__row", F.monotonically_increasing_id()), "nd-docs")
+    pick = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("__row"))
+    found = near_duplicates(fixed.withColumn("__pick", pick), words, percent, "__pick", text_col)
+    return fixed.join(found.where("first").select(F.col("doc_id.__row").alias("__row")), "__row", "left_semi").drop("__row")
 
 
 def near_duplicate_report(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
