@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,46 @@ def split_cells(rows: DataFrame, key: str, pick: Column, chunk: int) -> DataFram
             .drop("cell_n", "cell_k", "cell_o"))
 
 
+def by_group(rows: DataFrame, keys: list[str], fn, schema: str, batch_rows: int = 4_096) -> DataFrame:
+    """Run ``fn`` over the rows of whole groups: it gets a ``pyarrow.Table`` of one or
+    more complete groups, the rows of a group together, and returns a table of
+    ``schema``.  For many small groups (cells of ``split_cells``): a call takes as many
+    as make about ``batch_rows`` rows, and no group is larger than a task can hold."""
+    def run(batches):
+        held: list = []
+        size = 0
+        for b in batches:
+            held.append(b)
+            size += b.num_rows
+            if size >= batch_rows:
+                table = pa.Table.from_batches(held)
+                # all but the last group are complete: the rows are sorted by the keys
+                cut = _last_group(table, keys)
+                if cut:
+                    yield from fn(table.slice(0, cut)).to_batches()
+                held = table.slice(cut).to_batches()
+                size = table.num_rows - cut
+        if size:
+            yield from fn(pa.Table.from_batches(held)).to_batches()
+
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, schema)
+
+
+def _last_group(table: pa.Table, keys: list[str]) -> int:
+    """Row where the last group begins."""
+    return int(group_starts(table, keys)[-1])
+
+
+def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    new = np.zeros(table.num_rows, bool)
+    new[:1] = True
+    for k in keys:
+        v = table.column(k).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
 class Recent:
     """A worker's cache of two generations: when the young one is full it becomes
     the old one; what is asked for again moves back.  Holds at most about twice
@@ -66,6 +108,7 @@ class Recent:
         if len(self.now) > self.limit:
             self.old, self.now = self.now, {}
         new = keys.difference(self.now)
-        again = new.intersection(self.old)
-        self.now.update(zip(again, map(self.old.__getitem__, again)))
+        # (set.intersection would walk the whole of the old generation)
+        again = {k: self.old[k] for k in new if k in self.old}
+        self.now.update(again)
         return new.difference(again)

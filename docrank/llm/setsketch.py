@@ -34,13 +34,12 @@ import math
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docrank.llm.common import split_cells, store, text_or_empty
+from docrank.llm.common import Recent, by_group, group_starts, split_cells, store, text_or_empty
 from docrank.llm.components import components
 
 BASE = 1.001
@@ -51,9 +50,9 @@ MISS = 1e-5
 SLACK = 0.15              # estimates this far below the threshold still are confirmed
 STAR_ROUNDS = 2
 CHUNK = 1_024             # rows of a block of a large bucket
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 100_000   # of each of two generations
 
-_word_hashes: dict[bytes, int] = {}
+_word_hashes = Recent(CACHE_ENTRIES)
 
 
 # ---- shingles and sketches ---------------------------------------------------------
@@ -74,12 +73,9 @@ def shingle_hashes(text: bytes, k: int) -> np.ndarray:
     words = words_of(text)
     if not words:
         return np.empty(0, np.uint64)
-    new = set(words).difference(_word_hashes)
-    if len(_word_hashes) + len(new) > CACHE_ENTRIES:
-        _word_hashes.clear()
-        new = set(words)
-    _word_hashes.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-    h = np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words))
+    new = _word_hashes.missing(set(words))
+    _word_hashes.now.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
+    h = np.fromiter(map(_word_hashes.now.__getitem__, words), np.uint64, len(words))
     size = min(k, len(h))
     out = np.full(len(h) - size + 1, size, np.uint64)
     for i in range(size):
@@ -87,6 +83,12 @@ def shingle_hashes(text: bytes, k: int) -> np.ndarray:
     return np.unique(out)
 
 
+def _each(texts: pa.Array):
+    """The texts of a column as bytes, a few at a time."""
+    for i in range(0, len(texts), 256):
+        yield from texts.slice(i, 256).cast(pa.binary()).to_pylist()
+
+
 def shingle_set(text: bytes, k: int) -> set:
     words = words_of(text)
     k = min(k, len(words))
@@ -153,7 +155,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     @F.arrow_udf("n long, fp binary, sketch binary")
     def sketch(text: pa.Array) -> pa.Array:
         n, fp, regs = [], [], []
-        for t in text.cast(pa.binary()).to_pylist():
+        for t in _each(text):
             x = shingle_hashes(t, words)
             n.append(len(x))
             fp.append(xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None)
@@ -183,7 +185,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         good = _confirm(_likely_pairs(stars, nodes, percent / 100 - SLACK), texts, words, percent)
         links = good if links is None else links.unionByName(good)
         comp = store(components(links), "nd-comp")
-    rest = _across(members, comp, nodes, percent / 100 - SLACK)
+    rest = _across(members, comp, nodes, percent)
     links = links.unionByName(_confirm(store(rest, "nd-pairs"), texts, words, percent))
     comp = components(links).withColumnRenamed("node", "rep")
 
@@ -240,41 +242,56 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame, cut: float) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").where(likely("sa", "sb", "na", "nb") >= cut).select("a", "b")
 
 
-def _across(members: DataFrame, comp: DataFrame, nodes: DataFrame, cut: float) -> DataFrame:
+def _across(members: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """``a, b``: every pair of classes of different components that share a bucket and
     are likely similar; each pair comes from its first shared bucket only."""
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep", kind="stable")
-        rep, own, part = pdf["rep"].to_numpy(), pdf["comp"].to_numpy(), pdf["cell_c"].to_numpy()
-        crossing = pdf["cell_a"].iloc[0] != pdf["cell_b"].iloc[0]
-        band = pdf["band"].iloc[0]
-        n = pdf["n"].to_numpy(float)
-        sk = np.frombuffer(b"".join(pdf["sketch"]), "<u2").reshape(len(pdf), -1)
-        found_a, found_b = [], []
-        for i in range(len(pdf) - 1):
-            ok = own[i + 1:] != own[i]
-            if crossing:
-                ok &= part[i + 1:] != part[i]
-            js = i + 1 + np.flatnonzero(ok)
-            if not len(js):
-                continue
-            same = sk[js] == sk[i]
-            near = same.mean(axis=1) >= cut - 0.1
-            js, same = js[near], same[near]
-            if not len(js):
-                continue
-            first = same.reshape(len(js), -1, BAND).all(axis=2).argmax(axis=1) == band
-            likely = _likely(np.repeat(sk[i:i + 1], len(js), axis=0), sk[js], np.full(len(js), n[i]), n[js])
-            good = js[(likely >= cut) & first]
-            found_a.append(np.full(len(good), rep[i]))
-            found_b.append(rep[good])
-        if not found_a:
-            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-        return pd.DataFrame({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+    keys, cut = ["bucket", "cell_a", "cell_b"], percent / 100 - SLACK
+
+    def compare(t: pa.Table) -> pa.Table:
+        rep, own, n, part, low, high, band = (t.column(c).to_numpy() for c in ("rep", "comp", "n", "cell_c", "cell_a", "cell_b", "band"))
+        sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), "<u2").reshape(len(rep), -1)
+        found = []
+        for i, j in _pairs(group_starts(t, keys), len(rep)):
+            ok = own[i] != own[j]
+            ok &= (low[i] == high[i]) | (part[i] != part[j])
+            # sets so different in size cannot be similar enough
+            ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            i, j = i[ok], j[ok]
+            same = sk[i] == sk[j]
+            ok = same.mean(axis=1) >= cut - 0.1
+            ok &= same.reshape(len(i), -1, BAND).all(axis=2).argmax(axis=1) == band[i]
+            i, j = i[ok], j[ok]
+            ok = _likely(sk[i], sk[j], n[i], n[j]) >= cut
+            found.append((rep[i[ok]], rep[j[ok]]))
+        a, b = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     rows = _labelled(members, comp).join(nodes, "rep")
     cells = split_cells(rows, "bucket", F.xxhash64("rep"), CHUNK)
-    return cells.groupBy("bucket", "cell_a", "cell_b").applyInPandas(compare, "a long, b long")
+    return by_group(cells, keys, compare, "a long, b long")
+
+
+def _pairs(starts: np.ndarray, rows: int, most: int = 1 << 16):
+    """Index pairs (i, j) of rows of the same group, some ten thousand at a time;
+    ``starts`` holds where the groups begin."""
+    sizes = np.diff(np.r_[starts, rows])
+    for size in np.unique(sizes):
+        begin = starts[sizes == size]
+        if size < 2:
+            continue
+        if size * (size - 1) // 2 <= most:
+            a, b = np.triu_indices(size, 1)
+            step = max(1, most // len(a))
+            for k in range(0, len(begin), step):
+                at = begin[k:k + step, None]
+                yield (at + a).ravel(), (at + b).ravel()
+        else:
+            step = max(1, most // size)
+            for s in begin:
+                for k in range(0, size, step):
+                    a, b = np.divmod(np.arange(min(step, size - k) * size), size)
+                    a += k
+                    yield s + a[a < b], s + b[a < b]
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -282,7 +299,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     @F.arrow_udf("boolean")
     def linked(ta: pa.Array, tb: pa.Array) -> pa.Array:
         out, last, sa = [], None, set()
-        for a, b in zip(ta.cast(pa.binary()).to_pylist(), tb.cast(pa.binary()).to_pylist()):
+        for a, b in zip(_each(ta), _each(tb)):
             if a != last:
                 last, sa = a, shingle_set(a, words)
             sb = shingle_set(b, words)
