@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from docrank.operators import search as S
 from docrank.plans.model import FLAVORS, TfIdf
-from docrank.session import ensure_checkpoint_dir
 from docrank.sinks import index as sink
 from docrank.sources import corpus as src
 from docrank.sources.index import read_index
@@ -94,8 +93,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> DataFrame | None:
     a = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName("docrank").getOrCreate()
-    ensure_checkpoint_dir(spark)
+    spark = spark or (SparkSession.builder.appName("docrank")
+                      .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
     if a.cmd == "index":
         sink.write_index(model_of(spark, a), a.out, buckets=a.buckets)
         return None

@@ -10,9 +10,8 @@ work at scale:
 * document frequency is a ``groupBy(word)`` whose partial aggregate runs before
   the shuffle: each task ships one row per distinct word it saw, so a stop word
   that occurs in every document costs one row per task, not one per document.
-* TF-IDF joins the term rows to the one-row-per-word IDF table with a
-  shuffled hash join built on the vocabulary side, salted by document for
-  words with very many postings (``operators.joins``).
+* TF-IDF joins the term rows to the one-row-per-word IDF table, salted by
+  document for words with very many postings (``operators.joins``).
 * the corpus size N is a scalar subquery (or a literal); no cross join, no
   driver round trip.
 """
@@ -138,33 +137,15 @@ def document_frequency_from_corpus(corpus: DataFrame, mode: str = WORD_LOWER,
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("doc_frequency"))
 
 
-def literal_word_counts(corpus: DataFrame, words: list[str], mode: str = WORD_LOWER) -> DataFrame:
-    """``(doc_id, word, frequency, total_words)`` for a short literal word
-    list: each word's count in a row is the token count minus the size of the
-    array with that word removed (built-in, code-generated functions; no sort
-    of the tokens).  Only rows where a word occurs are produced."""
-    with_tokens = corpus.select("doc_id", tokens("text", mode).alias("_t"))
-    total = F.size("_t").cast("long")
-    counts = F.array(*[F.struct(F.lit(w).alias("word"),
-                                (total - F.size(F.array_remove("_t", w))).alias("frequency"))
-                       for w in words])
-    rows = with_tokens.select("doc_id", total.alias("total_words"), F.inline(counts))
-    return rows.where(F.col("frequency") > 0).select("doc_id", "word", "frequency", "total_words")
-
-
-def literal_document_frequency(corpus: DataFrame, words: list[str], mode: str = WORD_LOWER) -> DataFrame:
-    """``(word, doc_frequency)`` for a short literal word list as one global
-    aggregate (a sum per word over ``array_contains``): a single-row result,
-    so no shuffle by word and no hot key.  Words absent from the corpus are
-    left out, as in the vocabulary."""
-    t = corpus.select(tokens("text", mode).alias("_t"))
-    sums = t.agg(*[F.sum(F.array_contains("_t", w).cast("long")).alias(f"_c{i}")
-                   for i, w in enumerate(words)])
-    pairs = F.array(*[F.struct(F.lit(w).alias("word"), F.col(f"_c{i}").alias("doc_frequency"))
-                      for i, w in enumerate(words)])
-    return (sums.select(F.inline(pairs))
-            .where(F.col("doc_frequency") > 0)
-            .select("word", F.col("doc_frequency").cast("long").alias("doc_frequency")))
+def listed_word_counts(corpus: DataFrame, words: list[str], mode: str = WORD_LOWER) -> DataFrame:
+    """``(doc_id, word, frequency, total_words)`` for a literal word list of any
+    length: a row's tokens are first cut down to the listed words, and only
+    those are sorted and counted."""
+    toks = corpus.select("doc_id", tokens("text", mode).alias("_t"))
+    hits = F.filter(F.col("_t"), lambda w: w.isin(words)) if words else F.array().cast("array<string>")
+    found = toks.select("doc_id", F.size("_t").cast("long").alias("_n"), hits.alias("_h")).where(F.size("_h") > 0)
+    rows = word_run_rows(found, F.col("_h"), ["doc_id", "_n"])
+    return rows.select("doc_id", "word", "frequency", F.col("_n").alias("total_words"))
 
 
 def idf_expr(n: Column, df_col: Column, kind: str = IDF_SMOOTH) -> Column:
@@ -191,12 +172,10 @@ def tf_idf(tf_rows: DataFrame, idf_rows: DataFrame,
            max_rows: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
     """Joins term frequencies to IDF on ``word`` and adds ``tf_idf``.
 
-    Shuffled hash join with the vocabulary (one row per word) as build side:
-    the term rows are streamed, never sorted.  Words with more than
-    ``max_rows`` postings are salted by document (``skew_safe_join``), so a
-    word present in every document is spread over many tasks.  The hint also
-    keeps the static planner from broadcasting the term side, whose size it
-    under-estimates (a generator does not grow the estimate)."""
+    Words with more than ``max_rows`` postings are salted by document
+    (``skew_safe_join``), so a word present in every document is spread over many
+    tasks.  Whether the vocabulary (one row per word) is broadcast is left to
+    adaptive execution, which sees its size at run time."""
     j = skew_safe_join(tf_rows, idf_rows.select("word", "doc_frequency", "idf", "n_postings"),
-                       "word", spread="doc_id", rows_per_key="n_postings", max_rows=max_rows)
+                       "word", spread="doc_id", rows_per_key="n_postings", max_rows=max_rows, dim_hint=None)
     return j.drop("n_postings").withColumn("tf_idf", F.col("term_frequency") * F.col("idf"))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docrank.functions.numeric import format_fixed
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER
 from docrank.operators import search as S
 from docrank.plans.model import TfIdf
@@ -18,7 +19,7 @@ from docrank.plans.oracle import BAG_QUERY, FOLLOWUP_QUERY, QUERY, ROWS_QUERY
 from docrank.session import scratch_path
 from docrank.sinks import index as sink
 from docrank.sources import corpus as src
-from docrank.sources.index import read_index, read_tsv
+from docrank.sources.index import read_captured, read_index, read_per_doc, read_tsv
 
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -199,14 +200,78 @@ def q_tsv_export_import(spark, sf_dir):
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "word", r10("tf_idf"))
 
 
-def q_per_doc_output(spark, sf_dir):
+def q_tsv_stage1_roundtrip(spark, sf_dir):
+    """Word counts as ``<id>-<word>:<N>`` lines, with ids that hold ``-``, ``:`` and a
+    trailing space."""
+    corpus = documents(spark, sf_dir).select(F.concat(F.lit("a-b:"), F.col("doc_id"), F.lit(" ")).alias("doc_id"), "text")
+    m = TfIdf(corpus, tokenizer=NONWORD_SPLIT)
+    path = scratch_path(spark, "stage1")
+    sink.write_tsv(m.word_count(), path, "frequency", layout=sink.DOC_WORD_N, n=m.n_docs)
+    back = read_tsv(spark, path, "frequency", sink.DOC_WORD_N)
+    return back.select("doc_id", "word", F.col("frequency").cast("long").alias("frequency"), "n_docs")
+
+
+def q_tsv_stage2_roundtrip(spark, sf_dir):
+    """Term frequencies as ``<id>-<word>`` lines with six places."""
+    m = TfIdf(documents(spark, sf_dir), tokenizer=NONWORD_SPLIT, tf_decimals=6)
+    path = scratch_path(spark, "stage2")
+    sink.write_tsv(m.tf, path, "term_frequency", layout=sink.DOC_WORD, decimals=6)
+    back = read_tsv(spark, path, "term_frequency", sink.DOC_WORD)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "word", "term_frequency")
+
+
+def q_counts_index_search(spark, sf_dir):
+    """Word counts written as text, read back as counts, indexed and searched."""
+    path, idx = scratch_path(spark, "stage1"), scratch_path(spark, "counts-index")
+    m = model(spark, sf_dir)
+    sink.write_tsv(m.word_count(), path, "frequency", layout=sink.DOC_WORD_N, n=m.n_docs)
+    back = read_tsv(spark, path, "frequency", sink.DOC_WORD_N)
+    counts = back.select(F.col("doc_id").cast("long").alias("doc_id"), "word", F.col("frequency").cast("long").alias("frequency"))
+    sink.write_index(TfIdf.from_counts(counts, n=back.select(F.max("n_docs")).scalar()), idx, buckets=16)
+    index = read_index(spark, idx)
+    return S.search_sum(index, spark, QUERY, index.tokenizer, "set").select("doc_id", r8("score"))
+
+
+def _per_doc(mode):
     """Word counts written as one ``word<TAB>count`` text file per document
     (directory ``doc_id=<id>``) and read back."""
-    path = scratch_path(spark, "perdoc")
-    sink.write_per_doc(model(spark, sf_dir).word_count(), path, fmt="tsv", value_col="frequency")
-    back = (spark.read.schema("word string, frequency long, doc_id long")
-            .option("sep", "\t").option("quote", "").csv(path))
-    return back.select("doc_id", "word", "frequency")
+    def q(spark, sf_dir):
+        path = scratch_path(spark, "perdoc")
+        counts = TfIdf(documents(spark, sf_dir), tokenizer=mode).word_count()
+        sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency")
+        return read_per_doc(spark, path, id_type="bigint").select("doc_id", "word", "frequency")
+    return q
+
+
+def q_save_results_roundtrip(spark, sf_dir):
+    """A search result saved (an existing result is refused) and read back."""
+    path = scratch_path(spark, "results")
+    sink.save_results(S.search_sum(model(spark, sf_dir), spark, QUERY, WORD_LOWER, "set"), path)
+    return spark.read.parquet(path).select("doc_id", r8("score"))
+
+
+def q_overwrite_index_search(spark, sf_dir):
+    """An index of another flavor overwritten by the default one, then searched."""
+    path = scratch_path(spark, "index")
+    sink.write_index(model(spark, sf_dir, "mapreduce"), path, buckets=4)
+    sink.write_index(model(spark, sf_dir), path, buckets=16)
+    idx = read_index(spark, path)
+    return S.search_sum(idx, spark, QUERY, idx.tokenizer, "set").select("doc_id", r8("score"))
+
+
+def q_term_frequency_6dp_text(spark, sf_dir):
+    """Term frequencies as text with six places."""
+    m = TfIdf(documents(spark, sf_dir), tokenizer=WORD_LOWER)
+    return m.tf.select("doc_id", "word", format_fixed(F.col("term_frequency"), 6).alias("tf"))
+
+
+def q_read_captured(spark, sf_dir):
+    """Per-document ``word<TAB>value`` files, the id taken from the file path."""
+    path = scratch_path(spark, "captured")
+    counts = TfIdf(documents(spark, sf_dir)).word_count()
+    sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency")
+    back = read_captured(spark, path, "frequency", id_pattern=r"doc_id=(\d+)", id_from="file_path")
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "word", F.col("frequency").cast("long").alias("frequency"))
 
 
 def _write_lines(spark, sf_dir) -> str:
@@ -287,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doc_length": q_doc_length,
     "term_frequency": q_term_frequency,
     "term_frequency_6dp": q_term_frequency_6dp,
+    "term_frequency_6dp_text": q_term_frequency_6dp_text,
     "document_frequency": q_document_frequency,
     "idf_smooth": _idf("smooth"),
     "idf_raw": _idf("raw"),
@@ -308,7 +374,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_search_sum": q_index_search_sum,
     "index_search_batch_top5": q_index_search_batch_top5,
     "tsv_export_import": q_tsv_export_import,
-    "per_doc_output": q_per_doc_output,
+    "tsv_stage1_roundtrip": q_tsv_stage1_roundtrip,
+    "tsv_stage2_roundtrip": q_tsv_stage2_roundtrip,
+    "counts_index_search": q_counts_index_search,
+    "per_doc_output": _per_doc(WORD_LOWER),
+    "per_doc_output_split": _per_doc(NONWORD_SPLIT),
+    "read_captured": q_read_captured,
+    "save_results_roundtrip": q_save_results_roundtrip,
+    "overwrite_index_search": q_overwrite_index_search,
     "lines_corpus_word_count": q_lines_corpus_word_count,
     "lines_last_field_word_count": q_lines_last_field_word_count,
     "lines_fragment_arity": q_lines_fragment_arity,

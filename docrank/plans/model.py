@@ -14,13 +14,9 @@ from pyspark.sql import functions as F
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER
 from docrank.operators import weights as W
 from docrank.operators.search import Searchable
-from docrank.session import ensure_checkpoint_dir
+from docrank.session import ensure_checkpoint_dir, scratch_path
 from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
 
-# literal query lists up to this length are counted per row without sorting
-LITERAL_WORDS_MAX = 32
-
-
 @dataclass(frozen=True)
 class Flavor:
     """Choices on which the three classic implementations of the analysis
@@ -46,16 +42,17 @@ FLAVORS = {
 }
 
 
-def balance_input(corpus: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a corpus whose scan has fewer splits than the cluster has cores
-    (one big file, one parquet row group, a multiLine CSV file) by hashing on
-    ``doc_id``.  A corpus that already arrives in enough splits - every large
-    one - is left alone, so its text is never shuffled."""
-    spark = corpus.sparkSession
-    target = min_partitions or int(spark.sparkContext.defaultParallelism)
-    # the split count of the planned scan (file listing only; runs no job)
-    if corpus.rdd.getNumPartitions() < target:
-        return corpus.repartition(target, "doc_id")
+def balance_input(corpus: DataFrame, min_files: int | None = None) -> DataFrame:
+    """Spread a corpus that is stored in fewer files than the cluster has cores
+    (one big file, one row group, a multi-line CSV file) over as many partitions,
+    by a hash of the whole row, so that a document of many rows spreads too.
+
+    Only the file listing of the plan is looked at: no job runs, and a corpus
+    that comes out of a shuffle is not computed for it.  A corpus of many files -
+    every large one - is left alone, so its text is never shuffled."""
+    target = min_files or int(corpus.sparkSession.sparkContext.defaultParallelism)
+    if 0 < len(corpus.inputFiles()) < target:
+        return corpus.repartition(target, F.xxhash64(*corpus.columns))
     return corpus
 
 
@@ -63,8 +60,8 @@ class TfIdf(Searchable):
     """Lazy TF-IDF over ``corpus`` (``doc_id, text``).
 
     ``n`` fixes the corpus size N (else counted).  ``multi_row`` accepts
-    documents spread over several rows.  ``balance`` spreads an input that
-    arrives in too few splits.  ``max_rows_per_key`` is the number of rows of
+    documents spread over several rows.  ``balance`` spreads an input of too few
+    files (see ``balance_input``); turn it off for a corpus that is spread already.  ``max_rows_per_key`` is the number of rows of
     one word (or document) above which its joins are salted.
     """
 
@@ -82,7 +79,7 @@ class TfIdf(Searchable):
         self.multi_row = multi_row
         self.doc_frequency_override = doc_frequency_override
         self.max_rows_per_key = max_rows_per_key
-        self.from_counts_rows = False
+        self.counts: DataFrame | None = None
 
     @classmethod
     def from_counts(cls, counts: DataFrame, **kw) -> "TfIdf":
@@ -91,11 +88,13 @@ class TfIdf(Searchable):
         number of distinct documents among the rows."""
         m = cls(counts.select("doc_id", F.lit("").alias("text")), balance=False, **kw)
         m.__dict__["terms"] = W.terms_from_counts(counts, m.max_rows_per_key)
-        m.from_counts_rows = True
-        if m.n is None:
-            m.__dict__["n_docs"] = counts.select(F.countDistinct("doc_id").cast("double")).scalar()
+        m.counts = counts
         return m
 
+    @property
+    def from_counts_rows(self) -> bool:
+        return self.counts is not None
+
     @classmethod
     def flavor(cls, corpus: DataFrame, name: str, **kw) -> "TfIdf":
         f = FLAVORS[name]
@@ -112,13 +111,15 @@ class TfIdf(Searchable):
         """N: the literal ``n``, else a scalar subquery counting the corpus
         (distinct ids for multi-row documents).  Counted on the unbalanced
         corpus: a count reads no text."""
-        if self.multi_row and self.n is None:
-            return self.raw_corpus.select(F.countDistinct("doc_id").cast("double")).scalar()
+        if self.n is None and (self.multi_row or self.from_counts_rows):
+            return self.corpus_size().select(F.col("n_docs").cast("double")).scalar()
         return W.n_docs(self.raw_corpus, self.n)
 
     def corpus_size(self) -> DataFrame:
-        if self.multi_row:
-            return self.raw_corpus.agg(F.countDistinct("doc_id").alias("n_docs"))
+        """One row ``n_docs``: documents of the corpus, or of the counted rows."""
+        if self.multi_row or self.from_counts_rows:
+            rows = self.counts if self.from_counts_rows else self.raw_corpus
+            return rows.agg(F.countDistinct("doc_id").alias("n_docs"))
         return W.corpus_size(self.raw_corpus)
 
     # ---- frames ------------------------------------------------------------
@@ -131,6 +132,8 @@ class TfIdf(Searchable):
         return self.terms.select("doc_id", "word", "frequency")
 
     def doc_length(self) -> DataFrame:
+        if self.from_counts_rows:
+            return self.counts.groupBy("doc_id").agg(F.sum("frequency").cast("long").alias("total_words"))
         return W.doc_length(self.corpus, self.tokenizer, self.multi_row)
 
     @cached_property
@@ -168,8 +171,20 @@ class TfIdf(Searchable):
     @cached_property
     def weights(self) -> DataFrame:
         """(word, doc_id, frequency, total_words, term_frequency,
-        doc_frequency, idf, tf_idf)"""
-        return W.tf_idf(self.tf, self.idf, self.max_rows_per_key)
+        doc_frequency, idf, tf_idf).  The counted rows are written once below the
+        checkpoint folder and both the document frequencies and the join read
+        them, so the corpus is tokenized once."""
+        counted = self.counted
+        tf = W.term_frequency(counted, self.tf_decimals)
+        idf = W.idf(W.document_frequency(counted), self.n_docs, self.idf_kind, self.doc_frequency_override)
+        return W.tf_idf(tf, idf, self.max_rows_per_key)
+
+    @cached_property
+    def counted(self) -> DataFrame:
+        """``terms``, written and read back."""
+        path = scratch_path(self.spark, "counted")
+        self.terms.write.parquet(path)
+        return self.spark.read.schema(self.terms.schema).parquet(path)
 
     # ---- search inputs -------------------------------------------------------
     def idf_table(self) -> DataFrame:
@@ -182,55 +197,35 @@ class TfIdf(Searchable):
         so stay in one task)."""
         return not self.multi_row and not self.from_counts_rows
 
-    def _short_list(self, words) -> bool:
-        return isinstance(words, list) and 0 < len(words) <= LITERAL_WORDS_MAX and self.doc_local
-
     def terms_for(self, words) -> DataFrame:
         """``(doc_id, word, term_frequency)`` for ``words`` (a literal list or a
         DataFrame with a ``word`` column).  Rows of one document stay in the
-        task that read it (narrow filter / broadcast semi join).  A short
-        literal list is counted directly in each row (``array_remove``, no
-        sort of the tokens)."""
-        if self._short_list(words):
-            t = W.term_frequency(W.literal_word_counts(self.corpus, sorted(set(words)), self.tokenizer),
-                                 self.tf_decimals)
-        else:
-            t = self.tf
-            if isinstance(words, list):
-                t = t.where(F.col("word").isin(words))
-            else:
-                t = t.join(words.select("word").distinct(), "word", "left_semi")
-        return t.select("doc_id", "word", "term_frequency")
+        task that read it (narrow filter / broadcast semi join)."""
+        return self._tf_of(words).select("doc_id", "word", "term_frequency")
+
+    def _tf_of(self, words) -> DataFrame:
+        if not isinstance(words, list):
+            return self.tf.join(words.select("word").distinct(), "word", "left_semi")
+        if self.doc_local:
+            # only the listed words of a row are sorted and counted
+            rows = W.listed_word_counts(self.corpus, words, self.tokenizer)
+            return W.term_frequency(rows, self.tf_decimals)
+        return self.tf.where(F.col("word").isin(words))
 
     def idf_for(self, words) -> DataFrame:
         """``(word, idf, n_postings)`` for ``words`` only: the document-frequency
-        aggregate is restricted before its shuffle; for a short literal list
-        it is one global aggregate (one row, no shuffle by word)."""
-        if self._short_list(words):
-            dfq = W.literal_document_frequency(self.corpus, sorted(set(words)), self.tokenizer)
-        else:
-            dfq = self._doc_frequency_of(words)
-        d = W.idf(dfq, self.n_docs, self.idf_kind, self.doc_frequency_override)
+        aggregate is restricted before its shuffle."""
+        d = W.idf(self._doc_frequency_of(words), self.n_docs, self.idf_kind, self.doc_frequency_override)
         return d.select("word", "idf", "n_postings")
 
     def weights_for(self, words: list[str]) -> DataFrame:
-        """(doc_id, word, tf_idf) for literal ``words``: the IDF side has at
-        most ``len(words)`` rows and is broadcast, so even a word present in
-        every document is joined without a shuffle.  The corpus is tokenized
-        in full once (an index avoids even that)."""
-        if not words:
-            return self.spark.createDataFrame([], "doc_id long, word string, tf_idf double")
-        if self._short_list(words):
-            # one pass over the corpus: the (document, query word) rows are
-            # small; a reliable checkpoint (shared checkpoint directory, cut
-            # lineage) lets both the document frequencies and the scoring read
-            # them instead of tokenizing the corpus twice
-            ensure_checkpoint_dir(self.spark)
-            rows = W.literal_word_counts(self.corpus, sorted(set(words)), self.tokenizer)
-            rows = rows.checkpoint(eager=True)
-            d = W.idf(W.document_frequency(rows), self.n_docs, self.idf_kind, self.doc_frequency_override)
-            tf = W.term_frequency(rows, self.tf_decimals)
-        else:
-            tf, d = self.terms_for(words), self.idf_for(words)
+        """(doc_id, word, tf_idf) for literal ``words``.  The corpus is read once:
+        the (document, query word) rows are few, and a reliable checkpoint lets
+        both the document frequencies and the scoring read them.  The IDF side has
+        at most ``len(words)`` rows and is broadcast, so even a word present in
+        every document is joined without a shuffle."""
+        ensure_checkpoint_dir(self.spark)
+        tf = self._tf_of(words).select("doc_id", "word", "term_frequency").checkpoint(eager=True)
+        d = W.idf(W.document_frequency(tf), self.n_docs, self.idf_kind, self.doc_frequency_override)
         return (tf.join(F.broadcast(d.select("word", "idf")), "word")
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))

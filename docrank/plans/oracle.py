@@ -112,6 +112,9 @@ def oracle_sql() -> dict[str, str]:
     q["term_frequency_6dp"] = with_(
         base_ctes("word_lower", "smooth", tf_decimals=6),
         "SELECT doc_id, word, frequency, total_words, term_frequency FROM tf")
+    q["term_frequency_6dp_text"] = with_(
+        base_ctes("word_lower", "smooth", tf_decimals=6),
+        "SELECT doc_id, word, CAST(CAST(term_frequency AS DECIMAL(18, 6)) AS VARCHAR) AS tf FROM tf")
     q["document_frequency"] = with_(sql_flavor, "SELECT word, doc_frequency FROM dfq")
     q["idf_smooth"] = with_(sql_flavor, "SELECT word, doc_frequency, round(idf, 10) AS idf FROM idf")
     q["idf_raw"] = with_(base_ctes("word_lower", "raw"),
@@ -189,9 +192,18 @@ WHERE rank <= 5""")
     q["index_search_sum"] = with_(sql_flavor + ",\nqt AS (" + literal_terms(QUERY) + ")", """
 SELECT doc_id, round(sum(w.tf_idf * qt.qtf), 8) AS score
 FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
+    q["overwrite_index_search"] = q["save_results_roundtrip"] = q["index_search_sum"]
     q["index_search_batch_top5"] = q["search_batch_top5"]
     q["tsv_export_import"] = with_(sql_flavor, "SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w")
+    q["tsv_stage1_roundtrip"] = with_(rdd_flavor, """
+SELECT 'a-b:' || CAST(doc_id AS VARCHAR) || ' ' AS doc_id, word, frequency, n.n AS n_docs FROM terms CROSS JOIN n""")
+    q["tsv_stage2_roundtrip"] = with_(mr_flavor, "SELECT doc_id, word, term_frequency FROM tf")
+    q["counts_index_search"] = with_(sql_flavor + ",\nqt AS (" + literal_terms(QUERY) + ")", """
+SELECT doc_id, round(sum(w.tf_idf * qt.qtf), 8) AS score
+FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
+    q["per_doc_output_split"] = with_(rdd_flavor, "SELECT doc_id, word, frequency FROM terms")
     q["per_doc_output"] = with_(sql_flavor, "SELECT doc_id, word, frequency FROM terms")
+    q["read_captured"] = q["per_doc_output"]
     q["lines_corpus_word_count"] = lines_word_count("coalesce(f[10], '')", "n_fields = 10")
     q["lines_last_field_word_count"] = lines_word_count("coalesce(f[n_fields], '')", "TRUE")
     q["lines_fragment_arity"] = with_(LINES_SQL, "SELECT n_fields, count(*) AS n_lines FROM flds GROUP BY n_fields")

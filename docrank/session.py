@@ -60,7 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    # local-cluster[...] has executors of its own, like any cluster
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder: docrank writes "
                            "intermediate tables and indexes below it")
     local = tempfile.mkdtemp(prefix="docrank-ckpt-")
@@ -74,8 +75,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/docrank-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism)
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this library through Spark's own file system."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(f"{base}/docrank-"):
+        raise ValueError(f"not a scratch folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def env_int(name: str, default: int) -> int:

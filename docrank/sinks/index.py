@@ -18,9 +18,10 @@ query words only, which avoids the corpus-wide postings x vocabulary join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docrank.functions.numeric import format_fixed
 from docrank.plans.model import TfIdf
 
 DEFAULT_BUCKETS = 64
@@ -66,14 +67,29 @@ def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
     return path
 
 
-def write_tsv(weights: DataFrame, path: str, value_col: str = "tf_idf",
-              mode: str = "overwrite") -> None:
-    """Legacy text export, one line per (word, document):
-    ``<word>-<doc_id>\\t<value>``."""
-    line = weights.select(
-        F.concat_ws("-", F.col("word"), F.col("doc_id").cast("string")).alias("key"),
-        F.col(value_col).cast("string").alias("value"))
-    line.write.mode(mode).option("sep", "\t").option("quote", "").csv(path)
+# Keys of the three text stages.
+WORD_DOC = "word_doc"        # <word>-<doc_id>          tf-idf
+DOC_WORD = "doc_word"        # <doc_id>-<word>          term frequency
+DOC_WORD_N = "doc_word_n"    # <doc_id>-<word>:<N>      word count
+
+
+def write_tsv(rows: DataFrame, path: str, value_col: str = "tf_idf", mode: str = "overwrite",
+              layout: str = WORD_DOC, n: float | Column | None = None, decimals: int | None = None) -> None:
+    """Text export, one ``<key>\\t<value>`` line per (word, document), key by ``layout``;
+    ``DOC_WORD_N`` carries the corpus size ``n``.  Ids and words are written as they
+    stand (white space too).  ``decimals`` writes the value with that many places."""
+    word, doc = F.col("word"), F.col("doc_id").cast("string")
+    if layout == WORD_DOC:
+        key = F.concat(word, F.lit("-"), doc)
+    elif layout == DOC_WORD:
+        key = F.concat(doc, F.lit("-"), word)
+    elif layout == DOC_WORD_N:
+        size = n if isinstance(n, Column) else F.lit(float(n))
+        key = F.concat(doc, F.lit("-"), word, F.lit(":"), size.cast("double").cast("string"))
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+    value = F.col(value_col).cast("string") if decimals is None else format_fixed(F.col(value_col), decimals)
+    rows.select(F.concat(key, F.lit("\t"), value).alias("value")).write.mode(mode).text(path)
 
 
 def write_per_doc(rows: DataFrame, path: str, mode: str = "overwrite",

@@ -126,23 +126,41 @@ def read_files_corpus(spark: SparkSession, path: str, id_pattern: str = r"^([^.]
     """One document per file: ``doc_id`` = group 1 of ``id_pattern`` matched
     against the file name (default: up to the first dot, so
     ``2118_9.txt-m-00001`` -> ``2118_9``) or, with ``id_from='file_path'``,
-    against the full path; ``text`` = whole file."""
+    against the full path; ``text`` = whole file.  Spark's readers skip files of
+    length zero; the file listing names them, and they are added as empty
+    documents.  Names are URL-encoded, as Spark gives them."""
     raw = spark.read.text(path, wholetext=True)
-    return raw.select(
-        F.regexp_extract(F.col(f"_metadata.{id_from}"), id_pattern, 1).alias("doc_id"),
-        _fill(F.col("value")).alias("text"))
+
+    def doc_id(p: Column) -> Column:
+        return F.regexp_extract(p, id_pattern, 1).alias("doc_id")
+
+    def plain(p: Column) -> Column:     # file:/x, file:///x -> file:/x
+        return F.regexp_replace(p, "^([^:]+):/+", "$1:/")
+
+    full = raw.select(doc_id(F.col(f"_metadata.{id_from}")), _fill(F.col("value")).alias("text"),
+                      plain(F.col("_metadata.file_path")).alias("path"))
+    listed = _listed(spark, raw).select(plain(F.col("path")).alias("path"))
+    name = F.col("path") if id_from == "file_path" else F.substring_index("path", "/", -1)
+    empty = listed.join(full.select("path"), "path", "left_anti").select(doc_id(name), F.lit("").alias("text"))
+    return full.select("doc_id", "text").unionByName(empty)
+
+
+def _listed(spark: SparkSession, file_df: DataFrame) -> DataFrame:
+    """``path`` of every file behind a file-source DataFrame, empty ones too (the
+    listing that the plan holds on the driver anyway)."""
+    return spark.createDataFrame([(p,) for p in file_df.inputFiles()], "path string")
 
 
 def n_input_files(file_df: DataFrame) -> Column:
-    """N as the number of input files behind a file-source DataFrame (scalar
-    subquery, evaluated once)."""
-    return file_df.select(F.countDistinct(F.col("_metadata.file_path")).cast("double")).scalar()
+    """N as the number of input files behind a file-source DataFrame, empty ones
+    included."""
+    return F.lit(float(len(file_df.inputFiles())))
 
 
 def count_input_files(file_df: DataFrame) -> DataFrame:
-    """One row ``n_files``: distinct input files behind a file-source
-    DataFrame (the directory-listing N of the MapReduce flavor)."""
-    return file_df.agg(F.countDistinct(F.col("_metadata.file_path")).alias("n_files"))
+    """One row ``n_files``: input files behind a file-source DataFrame, empty
+    ones included (the directory-listing N of the MapReduce flavor)."""
+    return _listed(file_df.sparkSession, file_df).agg(F.count(F.lit(1)).alias("n_files"))
 
 
 def conversation_corpus(conversations: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from docrank.operators import weights as W
 from docrank.operators.search import Searchable
 from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
-from docrank.sinks.index import bucket_of
+from docrank.sinks.index import DOC_WORD, DOC_WORD_N, WORD_DOC, bucket_of
 
 
 class Index(Searchable):
@@ -62,6 +62,8 @@ class Index(Searchable):
         into the scan; for a word table the distinct buckets it touches (at
         most ``buckets`` small integers) are fetched first and become a static
         partition filter, then a semi join on (bucket, word) keeps its words."""
+        if isinstance(words, list) and not words:
+            return df.limit(0)
         if isinstance(words, list):
             return df.where(self._bucket_filter(words) & F.col("word").isin(words))
         w = words.select("word").distinct().withColumn("bucket", bucket_of(F.col("word"), self.buckets))
@@ -75,8 +77,6 @@ class Index(Searchable):
 
     def terms_for(self, words) -> DataFrame:
         """``(doc_id, word, term_frequency)`` postings of ``words``."""
-        if isinstance(words, list) and not words:
-            return self.spark.createDataFrame([], "doc_id long, word string, term_frequency double")
         return self._restrict(self.postings, words).select("doc_id", "word", "term_frequency")
 
     def idf_for(self, words) -> DataFrame:
@@ -86,8 +86,6 @@ class Index(Searchable):
     def weights_for(self, words: list[str]) -> DataFrame:
         """(doc_id, word, tf_idf) for literal ``words``; the vocabulary side
         has at most ``len(words)`` rows and is broadcast."""
-        if not words:
-            return self.spark.createDataFrame([], "doc_id long, word string, tf_idf double")
         return (self.terms_for(words).join(F.broadcast(self.idf_for(words).select("word", "idf")), "word")
                 .select("doc_id", "word", (F.col("term_frequency") * F.col("idf")).alias("tf_idf")))
 
@@ -97,27 +95,51 @@ def read_index(spark: SparkSession, path: str,
     return Index(spark, path, max_rows_per_key)
 
 
-TSV_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
-
-
-def read_tsv(spark: SparkSession, path: str, value_name: str = "tf_idf") -> DataFrame:
-    """Import ``<word>-<doc_id>\\t<value>`` lines as typed ``(doc_id, word,
-    value)``.  The word is the text before the first ``-`` (tokens never
-    contain one); the rest is the document id, so ids may contain ``-``."""
-    raw = spark.read.schema(TSV_SCHEMA).option("sep", "\t").option("quote", "").csv(path)
-    return raw.select(
-        F.substring_index("key", "-", 1).alias("word"),
-        F.expr("substr(key, instr(key, '-') + 1)").alias("doc_id"),
-        F.col("value").cast("double").alias(value_name))
+def read_tsv(spark: SparkSession, path: str, value_name: str = "tf_idf", layout: str = WORD_DOC) -> DataFrame:
+    """Import ``<key>\\t<value>`` lines as typed ``(doc_id, word, value)``.  Words hold
+    no ``-`` or ``:`` (no tokenizer yields them), so ids may contain both.
+    ``DOC_WORD_N`` adds ``n_docs``."""
+    line = F.col("value")
+    value = F.substring_index(line, "\t", -1)
+    rows = spark.read.text(path).select(
+        F.substring(line, F.lit(1), F.length(line) - F.length(value) - 1).alias("key"),
+        value.cast("double").alias(value_name))
+    if layout == WORD_DOC:
+        return rows.select(F.expr("substr(key, instr(key, '-') + 1)").alias("doc_id"),
+                           F.substring_index("key", "-", 1).alias("word"), value_name)
+    extra = []
+    if layout == DOC_WORD_N:
+        tail = F.substring_index("key", ":", -1)
+        rows = rows.select(F.substring(F.col("key"), F.lit(1), F.length("key") - F.length(tail) - 1).alias("key"),
+                           value_name, tail.cast("double").alias("n_docs"))
+        extra = ["n_docs"]
+    elif layout != DOC_WORD:
+        raise ValueError(f"unknown layout {layout!r}")
+    word = F.substring_index("key", "-", -1)
+    return rows.select(F.substring(F.col("key"), F.lit(1), F.length("key") - F.length(word) - 1).alias("doc_id"),
+                       word.alias("word"), value_name, *extra)
+
+
+def read_per_doc(spark: SparkSession, path: str, value_name: str = "frequency", value_type: str = "bigint",
+                 id_type: str = "string") -> DataFrame:
+    """Per-document ``word\\tvalue`` text (``write_per_doc(fmt='tsv')``) as ``(doc_id, word,
+    value)``; an empty word stays an empty word."""
+    rows = spark.read.schema(f"value string, doc_id {id_type}").text(path)
+    value = F.substring_index("value", "\t", -1)
+    return rows.select("doc_id", F.substring(F.col("value"), F.lit(1), F.length("value") - F.length(value) - 1).alias("word"),
+                       value.cast(value_type).alias(value_name))
 
 
 CAPTURED_SCHEMA = T.StructType([T.StructField("word", T.StringType()),
                                 T.StructField("value", T.StringType())])
 
 
-def read_captured(spark: SparkSession, path: str, value_name: str = "value") -> DataFrame:
-    """Per-document ``word\\tvalue`` files (no header), doc id = file name up
-    to the first dot: ``(doc_id, word, <value_name>)`` with value as string."""
-    raw = spark.read.schema(CAPTURED_SCHEMA).option("sep", "\t").option("quote", "").csv(path)
-    return raw.select(F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]*)", 1).alias("doc_id"),
+def read_captured(spark: SparkSession, path: str, value_name: str = "value",
+                  id_pattern: str = r"^([^.]*)", id_from: str = "file_name") -> DataFrame:
+    """Per-document ``word\\tvalue`` files (no header), doc id = group 1 of
+    ``id_pattern`` in the file name (default: up to the first dot) or path:
+    ``(doc_id, word, <value_name>)`` with value as string."""
+    raw = (spark.read.schema(CAPTURED_SCHEMA).option("sep", "\t").option("quote", "")
+           .option("nullValue", "\u0000").option("emptyValue", "").csv(path))
+    return raw.select(F.regexp_extract(F.col(f"_metadata.{id_from}"), id_pattern, 1).alias("doc_id"),
                       "word", F.col("value").alias(value_name))

@@ -151,3 +151,13 @@ def test_csv_single_line_mode_splits_a_large_file(spark, tmp_out):
         assert cut.count() == whole.count() == 60_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_empty_files_are_documents(spark, tmp_path):
+    for name, body in [("a 1.txt", "x y"), ("b.txt", ""), ("c%20d.txt", ""), ("_hidden.txt", "no")]:
+        (tmp_path / name).write_text(body)
+    raw = spark.read.text(str(tmp_path), wholetext=True)
+    assert src.count_input_files(raw).first()["n_files"] == 3
+    assert texts(src.read_files_corpus(spark, str(tmp_path))) == {"a%201": "x y", "b": "", "c%2520d": ""}
+    m = TfIdf(src.read_files_corpus(spark, str(tmp_path)), n=src.n_input_files(raw))
+    assert m.weights.count() == 2 and m.corpus_size().first()["n_docs"] == 3

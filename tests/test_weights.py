@@ -104,3 +104,48 @@ def test_smooth_idf_equals_spark_ml(spark):
     ours = as_map(TfIdf(docs).idf, ["word"], "idf")
     assert ours.keys() == ml.keys()
     assert all(math.isclose(ours[w], ml[w], rel_tol=1e-12, abs_tol=1e-15) for w in ours)
+
+
+def test_captured_spot_values(spark):
+    """Fixed values of a captured run (N = 556, df = 1, six places)."""
+    docs = [("2469_10", " ".join(["Hamlet"] + [f"w{chr(97 + i)}" for i in range(16)])),
+            ("2248_7", " ".join(["A"] + ["x" * (i + 1) for i in range(127)]))]
+    m = TfIdf.flavor(corpus_df(spark, docs), "captured", n=556, doc_frequency_override=1)
+    got = {(r["doc_id"], r["word"]): (r["term_frequency"], r["tf_idf"]) for r in m.weights.collect()}
+    assert got["2469_10", "Hamlet"] == (0.058824, 0.3718128741409963)
+    assert got["2248_7", "A"] == (0.007813, 0.0493841626829798)       # 1/128, half up
+
+
+def test_model_of_counts(spark, tmp_out):
+    from docrank.operators import search as S
+    from docrank.sinks.index import write_index
+    from docrank.sources.index import read_index
+    c = corpus_df(spark, [("d1", "a a b"), ("d2", "b c"), ("d3", "c")])
+    plain = TfIdf(c)
+    m = TfIdf.from_counts(plain.word_count())
+    assert m.corpus_size().first()["n_docs"] == 3
+    assert sorted(m.doc_length().collect()) == sorted(plain.doc_length().collect())
+    path = tmp_out("counts-idx")
+    write_index(m, path, buckets=2)
+    for src in (m, read_index(spark, path)):
+        assert S.search_sum(src, spark, "a c").collect() and \
+            sorted(S.search_sum(src, spark, "a c").collect()) == sorted(S.search_sum(plain, spark, "a c").collect())
+
+
+def test_building_a_model_runs_no_job(spark):
+    rows = spark.range(1000).selectExpr("id % 100 as doc_id", "concat('w', id % 7) as text").groupBy("doc_id").agg(
+        F.concat_ws(" ", F.collect_list("text")).alias("text"))
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None) or [])
+    m = TfIdf(rows)
+    m.idf, m.tf
+    assert set(tracker.getJobIdsForGroup(None) or []) == before
+
+
+def test_a_hot_document_spreads(spark, tmp_out):
+    path = tmp_out("hot-doc")
+    spark.range(5000).selectExpr("if(id < 4500, 'hot', concat('d', id)) as doc_id", "concat('w', id) as text").coalesce(1).write.parquet(path)
+    from docrank.plans.model import balance_input
+    rows = balance_input(spark.read.parquet(path), 8)
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
