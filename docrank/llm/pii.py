@@ -184,15 +184,13 @@ def redact(docs: DataFrame, text_col: str = "text", pii_col: str = "pii") -> Dat
 
 
 def pii_report(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` and the mean
-    score of every document."""
+    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` of every
+    document."""
     rows = find_pii(docs.select("doc_id", "text"))
     base = F.filter("pii", lambda s: is_base(s["kind"]))
 
     def count(kind):
         return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    top = F.array_max(F.transform("pii", lambda s: s["score"]))
     return rows.select("doc_id", *[count(k.name) for k in KINDS if k.base],
-                       F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"),
-                       F.coalesce(top, F.lit(0.0)).alias("top_score"))
+                       F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docrank.llm import bpe, ctw, lang_id, mixing, perm_index, pii, rp_forest, setsketch, token_counts, token_files
 from docrank.llm.common import table
+from docrank.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def tokenizer_path(name: str) -> str:
@@ -57,4 +58,3 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_permutation_index, op2_rp_forest, op3_token_counts, op4_bpe, op5_ctw, op6_pivotal_mix, op7_setsketch,
     op8_token_files, op9_pii, op10_language_id)}
-ORACLE_SQL: dict[str, str] = {}
