@@ -90,7 +90,7 @@ def search_block(data: pd.DataFrame, queries: pd.DataFrame, dim: int, n_pivots:
     for i, (own, p) in enumerate(zip(queries["rid"].to_numpy(), pq)):
         found = np.sort(files.nearest(p, most))
         found = found[rid[found] != own]
-        score = x[found] @ q[i]
+        score = (x[found] * q[i]).sum(axis=1)                      # row by row: equal vectors tie exactly
         best = np.argsort(-score, kind="stable")[:k]               # ties: the smaller id comes first
         out_q.append(np.full(len(best), i))
         out_i.append(found[best])
