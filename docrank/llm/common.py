@@ -33,47 +33,50 @@ def crc_mod(id_col: str, m: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % m
 
 
-def split_cells(rows: DataFrame, key: str, pick: Column, chunk: int) -> DataFrame:
+def split_cells(rows: DataFrame, key: str, pick: Column, chunk: int, weight: Column | None = None) -> DataFrame:
     """Deal the rows of each ``key`` into cells such that every two rows of a
-    key meet in some cell and no cell holds more than about ``2 * chunk``
-    rows.
-
-    A key of up to ``2 * chunk`` rows is one cell.  A larger one is cut into k
-    chunks by ``pick`` (an integer column expression, equal for nothing but
-    luck) and a row goes to the k cells that pair its chunk with each other
-    one.  Adds ``cell_a``, ``cell_b`` (the two chunks) and ``cell_c`` (the row's
-    own chunk); group by ``key, cell_a, cell_b``.  In a cell with
-    ``cell_a < cell_b`` only pairs across the two chunks are new: pairs inside
-    chunk a are compared in the cell ``(a, a)``."""
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("cell_n")).where("cell_n > 1")
-    k = F.when(F.col("cell_n") > 2 * chunk, F.ceil(F.col("cell_n") / F.lit(chunk)).cast("int")).otherwise(F.lit(1))
+    key meet in some cell and no cell holds more than about ``2 * chunk`` rows (or
+    ``weight``, if given).
+
+    A key of up to ``2 * chunk`` is one cell.  A larger one is cut into k chunks by
+    ``pick`` (an integer column expression, equal for nothing but luck) and a row
+    goes to the k cells that pair its chunk with each other one.  Adds ``cell_a``,
+    ``cell_b`` (the two chunks) and ``cell_c`` (the row's own chunk); group by ``key,
+    cell_a, cell_b``.  In a cell with ``cell_a < cell_b`` only pairs across the two
+    chunks are new: pairs inside chunk a are compared in the cell ``(a, a)``."""
+    w = F.lit(1) if weight is None else weight
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("cell_n"), F.sum(w).alias("cell_w")).where("cell_n > 1")
+    k = F.when(F.col("cell_w") > 2 * chunk, F.least(F.ceil(F.col("cell_w") / F.lit(chunk)), F.col("cell_n")).cast("int")).otherwise(F.lit(1))
     out = rows.join(sizes, key).withColumn("cell_k", k)
     out = out.withColumn("cell_c", F.pmod(pick, F.col("cell_k")).cast("int"))
     out = out.withColumn("cell_o", F.explode(F.sequence(F.lit(0), F.col("cell_k") - 1)))
     return (out.withColumn("cell_a", F.least("cell_c", "cell_o").cast("int"))
             .withColumn("cell_b", F.greatest("cell_c", "cell_o").cast("int"))
-            .drop("cell_n", "cell_k", "cell_o"))
+            .drop("cell_n", "cell_w", "cell_k", "cell_o"))
 
 
-def by_group(rows: DataFrame, keys: list[str], fn, schema: str, batch_rows: int = 4_096) -> DataFrame:
+def by_group(rows: DataFrame, keys: list[str], fn, schema: str, batch_rows: int = 4_096,
+             batch_bytes: int = 8 << 20) -> DataFrame:
     """Run ``fn`` over the rows of whole groups: it gets a ``pyarrow.Table`` of one or
     more complete groups, the rows of a group together, and returns a table of
     ``schema``.  For many small groups (cells of ``split_cells``): a call takes as many
-    as make about ``batch_rows`` rows, and no group is larger than a task can hold."""
+    as make about ``batch_rows`` rows or ``batch_bytes``, and no group is larger than a
+    task can hold."""
     def run(batches):
         held: list = []
-        size = 0
-        for b in batches:
+        size = many = 0
+        for b in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             held.append(b)
             size += b.num_rows
-            if size >= batch_rows:
+            many += b.nbytes
+            if size >= batch_rows or many >= batch_bytes:
                 table = pa.Table.from_batches(held)
                 # all but the last group are complete: the rows are sorted by the keys
                 cut = _last_group(table, keys)
                 if cut:
                     yield from fn(table.slice(0, cut)).to_batches()
                 held = table.slice(cut).to_batches()
-                size = table.num_rows - cut
+                size, many = table.num_rows - cut, table.slice(cut).nbytes
         if size:
             yield from fn(pa.Table.from_batches(held)).to_batches()
 

@@ -43,11 +43,14 @@ def _proper(links: DataFrame) -> DataFrame:
 
 
 def _roots(up: DataFrame) -> DataFrame:
-    """Follow the pointers to their roots by doubling."""
+    """Follow the pointers to their roots by doubling, twice in each step."""
+    def twice(p: DataFrame) -> DataFrame:
+        step = p.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
+        return p.join(step, "comp").select("node", F.col("comp").alias("near"), "far")
+
     while True:
-        step = up.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
-        far = up.join(step, "comp").select("node", F.col("root").alias("comp"), (F.col("root") != F.col("comp")).alias("moved"))
-        far = store(far, "cc-roots")
-        if far.where("moved").isEmpty():
-            return far.select("node", "comp")
-        up = far.select("node", "comp")
+        two = twice(up).select("node", F.col("far").alias("comp"))
+        four = store(twice(two), "cc-roots")
+        up = four.select("node", F.col("far").alias("comp"))
+        if four.where("near <> far").isEmpty():
+            return up

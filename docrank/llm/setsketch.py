@@ -14,12 +14,14 @@ registers agree about as often as the sets overlap.
    similarity (sizes are known); pairs well below the threshold stop there, the
    rest is confirmed on the full shingle sets of the texts.
 4. Connected classes need no further comparison.  Buckets that still hold several
-   components compare all pairs across components, in blocks of bounded size, so
-   no link between different components is lost.
+   components compare all pairs across components, in blocks of bounded size: by
+   registers first, then on the full sets, and only links that connect something
+   leave the block.  So no connection is lost and no list of pairs is made.
 5. Components of the confirmed links give the groups.
 
-Links are confirmed on whole texts with exact integer arithmetic; a class holds
-its members by a 128-bit hash of the whole set.
+Links are confirmed on the sets of whole texts with exact integer arithmetic (a
+shingle is a 64-bit hash of its words in step 4, the words themselves in step 3);
+a class holds its members by a 128-bit hash of the whole set.
 
 Defined results: a null or empty text, or one without words, has 0 shingles, is
 linked with nothing and keeps its own id as component; rows that repeat an id
@@ -48,8 +50,9 @@ TOP = 65_535              # largest register (16 bits)
 BAND = 5                  # registers of a band
 MISS = 1e-5
 SLACK = 0.15              # estimates this far below the threshold still are confirmed
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 CHUNK = 1_024             # rows of a block of a large bucket
+CHUNK_SHINGLES = 1_000_000  # shingles of a block whose sets are compared
 CACHE_ENTRIES = 100_000   # of each of two generations
 
 _word_hashes = Recent(CACHE_ENTRIES)
@@ -185,8 +188,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         good = _confirm(_likely_pairs(stars, nodes, percent / 100 - SLACK), texts, words, percent)
         links = good if links is None else links.unionByName(good)
         comp = store(components(links), "nd-comp")
-    rest = _across(members, comp, nodes, percent)
-    links = links.unionByName(_confirm(store(rest, "nd-pairs"), texts, words, percent))
+    links = links.unionByName(store(_across(members, comp, nodes, texts, words, percent), "nd-links"))
     comp = components(links).withColumnRenamed("node", "rep")
 
     named = classes.select("rep", "fp", "min_id").join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
@@ -242,33 +244,71 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame, cut: float) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").where(likely("sa", "sb", "na", "nb") >= cut).select("a", "b")
 
 
-def _across(members: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: every pair of classes of different components that share a bucket and
-    are likely similar; each pair comes from its first shared bucket only."""
-    keys, cut = ["bucket", "cell_a", "cell_b"], percent / 100 - SLACK
-
-    def compare(t: pa.Table) -> pa.Table:
-        rep, own, n, part, low, high, band = (t.column(c).to_numpy() for c in ("rep", "comp", "n", "cell_c", "cell_a", "cell_b", "band"))
-        sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), "<u2").reshape(len(rep), -1)
-        found = []
-        for i, j in _pairs(group_starts(t, keys), len(rep)):
-            ok = own[i] != own[j]
-            ok &= (low[i] == high[i]) | (part[i] != part[j])
-            # sets so different in size cannot be similar enough
-            ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-            i, j = i[ok], j[ok]
-            same = sk[i] == sk[j]
-            ok = same.mean(axis=1) >= cut - 0.1
-            ok &= same.reshape(len(i), -1, BAND).all(axis=2).argmax(axis=1) == band[i]
-            i, j = i[ok], j[ok]
-            ok = _likely(sk[i], sk[j], n[i], n[j]) >= cut
-            found.append((rep[i[ok]], rep[j[ok]]))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
+def _across(members: DataFrame, comp: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``a, b``: links between classes of different components that share a bucket,
+    enough of them to connect what is connected.  Likely pairs are found by their
+    registers, each in its first shared bucket, and confirmed on the full shingle
+    sets inside the same cell; a pair that is connected already is skipped.  No
+    pair leaves a task unless it is a link that joins two parts."""
+    keys = ["bucket", "cell_a", "cell_b"]
+
+    def likely(t: pa.Table) -> pa.Table:
+        found = [np.concatenate(p) for p in _likely_in(t, keys, percent)]
+        rows = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+        return t.select(["bucket", "rep"]).take(pa.array(rows, pa.int64()))
+
+    def confirm(t: pa.Table) -> pa.Table:
+        rep, text = t.column("rep").to_numpy(), t.column("text")
+        up, sets, a, b = {}, {}, [], []
+
+        def find(x):
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        def shingles(i):
+            if i not in sets:
+                sets[i] = shingle_hashes(text[i].as_py().encode(), words)
+            return sets[i]
+
+        for i, j in _likely_in(t, keys, percent):
+            for x, y in zip(i.tolist(), j.tolist()):
+                p, q = find(rep[x]), find(rep[y])
+                if p != q:
+                    u, v = shingles(x), shingles(y)
+                    both = len(np.intersect1d(u, v, assume_unique=True))
+                    if 100 * both >= percent * (len(u) + len(v) - both):
+                        up[q] = p
+                        a.append(rep[x])
+                        b.append(rep[y])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     rows = _labelled(members, comp).join(nodes, "rep")
     cells = split_cells(rows, "bucket", F.xxhash64("rep"), CHUNK)
-    return by_group(cells, keys, compare, "a long, b long")
+    need = store(by_group(cells, keys, likely, "bucket long, rep long").distinct(), "nd-need")
+    full = rows.join(need, ["bucket", "rep"]).join(texts, "rep")
+    cells = split_cells(full, "bucket", F.xxhash64("rep"), CHUNK_SHINGLES, F.col("n"))
+    return by_group(cells, keys, confirm, "a long, b long")
+
+
+def _likely_in(t: pa.Table, keys: list[str], percent: int):
+    """Pairs of rows of a table of whole cells that are likely similar: arrays i, j."""
+    own, n, part, low, high, band = (t.column(c).to_numpy() for c in ("comp", "n", "cell_c", "cell_a", "cell_b", "band"))
+    sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), "<u2").reshape(t.num_rows, -1)
+    cut = percent / 100 - SLACK
+    for i, j in _pairs(group_starts(t, keys), t.num_rows):
+        ok = own[i] != own[j]
+        ok &= (low[i] == high[i]) | (part[i] != part[j])
+        # sets so different in size cannot be similar enough
+        ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        i, j = i[ok], j[ok]
+        same = sk[i] == sk[j]
+        ok = same.sum(axis=1) >= (cut - 0.1) * sk.shape[1]
+        ok &= same.reshape(len(i), sk.shape[1] // BAND, BAND).all(axis=2).argmax(axis=1) == band[i]
+        i, j = i[ok], j[ok]
+        ok = _likely(sk[i], sk[j], n[i], n[j]) >= cut
+        if ok.any():
+            yield i[ok], j[ok]
 
 
 def _pairs(starts: np.ndarray, rows: int, most: int = 1 << 16):
