@@ -29,6 +29,8 @@ empty table gives an empty manifest and no rows.
 from __future__ import annotations
 
 import io
+import json
+import re
 import struct
 import sys
 import uuid
@@ -47,7 +49,7 @@ from docrank.session import scratch_path
 
 FRAME_BYTES = 1 << 20
 LEVEL = 3
-CACHE_ENTRIES = 300_000   # of each of two generations
+CACHE_ENTRIES = 200_000   # of each of two generations
 STEP_BYTES = 4 << 20
 SLICE_ROWS = 1_000
 # the machine's array type that is unsigned, of four bytes and little-endian
@@ -63,6 +65,12 @@ DOC_MAGIC = 0x184D2A50
 MANIFEST = "path string, first_id long, last_id long, first_null boolean, n_docs long, n_ids long"
 NO_ID = -(2**63)
 
+# The byte-level split, for pieces of characters whose classes are known
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_PLAIN = re.compile("[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
+_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\\t-\\r {_LETTER}0-9]+"
+                    "|[\\t-\\r ]+(?![^\\t-\\r ])|[\\t-\\r ]+")
+
 _encoders: dict = {}
 
 
@@ -172,7 +180,13 @@ class ByteLevelEncoder:
 
     def __init__(self, path: str):
         self.lib = tokenizer(path)
-        self.first, self.rest = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
+        self.first, self.rest, self.parts = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre = spec["pre_tokenizer"] or {}
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.known_split = (spec["normalizer"] is None and pre.get("type") == "ByteLevel"
+                            and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.lib.encode_batch_fast(texts, add_special_tokens=False)
@@ -182,15 +196,24 @@ class ByteLevelEncoder:
         """The cache with all the pieces; a piece that cannot stand alone has None."""
         good = []
         for p in cache.missing(pieces):
-            s = p.decode()
-            if s and not s[0].isspace() and not s[-1].isspace():
-                good.append((p, lead + s))
+            text = p.decode()
+            if text and not text[0].isspace() and not text[-1].isspace():
+                good.append((p, self._split(lead + text)))
             else:
                 cache.now[p] = None
-        cache.now.update(zip((p for p, _ in good), self._ids([s for _, s in good])))
+        new = list(self.parts.missing({x for _, xs in good for x in xs}))
+        self.parts.now.update(zip(new, self._ids(new)))
+        get = self.parts.now.__getitem__
+        cache.now.update((p, b"".join(map(get, xs))) for p, xs in good)
         return cache.now
 
-    def _parts(self, text: bytes) -> list[bytes]:
+    def _split(self, text: str) -> list[str]:
+        """The words of a piece, where the split is known; else the piece."""
+        if self.known_split and _PLAIN.fullmatch(text) and not any(x in text for x in self.added):
+            return _SPLIT.findall(text)
+        return [text]
+
+    def _parts(self, text: bytes) -> list[str]:
         """Pieces of a text with other white space at a single space."""
         parts = text.decode().split(" ")
         out = [parts[0]]
