@@ -25,12 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docrank.llm.common import Recent, text_or_empty
 from docrank.llm.token_counts import tokenizer
 
-CACHE_ENTRIES = 300_000   # of each of two generations
+CACHE_ENTRIES = 200_000   # of each of two generations
 STEP_BYTES = 4 << 20      # texts whose words are encoded together
+SLICE_ROWS = 500
 
 # The split of the vocabulary file for which the short way below holds
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -232,16 +234,22 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "dec
 
 def round_trip(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
                out_col: str = "decoded") -> DataFrame:
-    """``docs`` plus the ids of each text and the text of those ids, in one pass
-    (two chained functions would encode twice)."""
-    @F.arrow_udf(f"`{ids_col}` binary, `{out_col}` string")
-    def run(text: pa.Array) -> pa.Array:
+    """``docs`` without the text, plus the ids of each text and the text of those ids,
+    in one pass (two chained functions would encode twice) and ``SLICE_ROWS`` rows
+    at a time, so that a task holds the ids and texts of few documents."""
+    kept = [c for c in docs.columns if c != text_col]
+    rows = docs.select(*kept, text_or_empty(text_col).alias("__text"))
+
+    def run(batches):
         m = model(path)
-        ids = m.encode(text.cast(pa.binary()).to_pylist())
-        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(map(m.decode, ids), pa.string())],
-                                          names=[ids_col, out_col])
-    both = docs.withColumn("__round_trip", run(text_or_empty(text_col)))
-    return both.withColumns({c: F.col(f"__round_trip.{c}") for c in (ids_col, out_col)}).drop("__round_trip")
+        for b in (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
+            ids = m.encode(b.column(len(kept)).cast(pa.binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:-1], pa.array(ids, pa.binary()), pa.array(map(m.decode, ids), pa.string())],
+                names=[*kept, ids_col, out_col])
+
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(ids_col, T.BinaryType()), T.StructField(out_col, T.StringType())])
+    return rows.mapInArrow(run, schema)
 
 
 def encoding_report(docs: DataFrame, path: str) -> DataFrame:

@@ -81,7 +81,7 @@ def test_encode_query(spark, word_bpe, tmp_path):
 
 def test_encode_then_decode_columns(spark, word_bpe):
     docs = documents(spark, HARD).select("doc_id", "text")
-    two = bpe.decode(bpe.encode(docs, word_bpe), word_bpe).collect()
+    two = bpe.decode(bpe.encode(docs, word_bpe), word_bpe).drop("text").collect()
     one = bpe.round_trip(docs, word_bpe).collect()
     assert sorted(map(tuple, two), key=key) == sorted(map(tuple, one), key=key)
 
