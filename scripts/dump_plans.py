@@ -16,9 +16,8 @@ from docrank.plans import catalog as C  # noqa: E402
 from docrank.plans.inspect import plan_string  # noqa: E402
 from docrank.session import local_session  # noqa: E402
 
-NAMES = ["word_count_lower", "document_frequency", "tfidf_sql", "search_sum_top5",
-         "search_rows_top5", "search_batch_top5", "index_search_sum", "index_search_batch_top5",
-         "posting_list", "conversation_tfidf"]
+NAMES = ["word_count_lower", "tfidf_sql", "search_sum_top5",
+         "index_search_sum", "posting_list"]
 
 
 def main():
@@ -27,10 +26,8 @@ def main():
     print("# Physical plans of the headline queries\n")
     print(f"Generated by `scripts/dump_plans.py` on `{os.path.basename(sf_dir)}` "
           "(local[8]; the initial plan, before AQE re-plans with runtime sizes).\n")
-    print("The `Exchange hashpartitioning(doc_id, 8), REPARTITION_BY_NUM` under every corpus scan is "
-          "the input balancing: the test `documents.parquet` is a single row group (one scan split "
-          "for 8 cores). A corpus that arrives in enough splits is read without it, and counting "
-          "then has no exchange at all.\n")
+    print("The exchange by a hash of the row under a corpus scan is the input balancing: the test "
+          "table is one file for 8 cores. A corpus of many files is read without it.\n")
     for name in NAMES:
         df = C.QUERIES[name](spark, sf_dir)
         text = plan_string(df, "simple")
