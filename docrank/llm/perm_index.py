@@ -7,15 +7,21 @@ inverted files: for each pivot the rows that list it, with the weight
 ``min(weight of the query, weight of the row)``; as the footrule distance of two
 prefixes (an absent pivot counts as position ``PREFIX``) is
 ``PREFIX (PREFIX + 1) - 2 * sum``, the largest sums are the smallest distances.  The
-nearest ``CANDIDATES`` share of each block is reranked by the exact inner product in
-double precision, and the best of all blocks are kept.
+nearest ``CANDIDATES`` share of each block, and every vector as near as the last of
+them, is reranked by the exact inner product in double precision, and the best of
+all blocks are kept.
+
+Equal vectors are indexed once, with the k + 1 smallest ids of their rows (no query
+needs more), so copies take one place of the share; the best are expanded to rows
+after the rerank.
 
 Inner products become distances by one more coordinate, sqrt(M^2 - |x|^2) with M
 the largest length (0 for a query), so long vectors attract as they should.
 
 The query set meets all rows in blocks: ``BLOCK_ROWS`` rows and ``BLOCK_QUERIES`` queries
 share a task, whatever the size of the table.  The share of reranked rows is the same
-at every size.  Every row is indexed; only the pivots come from a sample.
+at every size.  Every vector is indexed; only the pivots come from a sample of the
+distinct ones.
 
 Defined results: vectors that are null, empty, zero, hold a null or non-finite
 component, or whose length is not the table's most frequent one, take no part
@@ -40,7 +46,7 @@ from docrank.llm.vectors import as_doubles, common_dim, matrix, takes_part
 
 PIVOTS = 256
 PREFIX = 64
-CANDIDATES = 0.15         # share of a block's rows that is reranked
+CANDIDATES = 0.15         # share of a block's distinct vectors that is reranked
 LEAST_CANDIDATES = 512
 NO_ID = 2**63 - 1         # stands for a null id inside the tasks
 BLOCK_ROWS = 4_096
@@ -65,13 +71,16 @@ class InvertedFiles:
         self.weights = np.split((self.length - order % self.length).astype(np.int16), cut)
         self.n = n
 
-    def nearest(self, prefix: np.ndarray, most: int) -> np.ndarray:
-        """The ``most`` rows of least footrule distance from a query's prefix."""
+    def nearest(self, prefix: np.ndarray, most: int, ties: bool = False) -> np.ndarray:
+        """The ``most`` rows of least footrule distance from a query's prefix; with
+        ``ties`` also all rows as near as the last of them."""
         total = np.zeros(self.n, np.int16)
         for at, p in enumerate(prefix):
             total[self.rows[p]] += np.minimum(self.weights[p], self.length - at)
         if most >= self.n:
             return np.arange(self.n)
+        if ties:
+            return np.flatnonzero(total >= np.partition(total, self.n - most)[self.n - most])
         return np.argpartition(total, self.n - most)[self.n - most:]
 
 
@@ -81,23 +90,34 @@ def search_block(data: pd.DataFrame, queries: pd.DataFrame, dim: int, n_pivots:
                           "vec_id": np.empty(0, np.int64), "rid": np.empty(0, np.int64), "score": np.empty(0)})
     if not len(data) or not len(queries):
         return empty
-    data = data.sort_values(["vec_id", "rid"], kind="stable")
     x, q = (np.frombuffer(b"".join(d["vec"]), "<f8").reshape(-1, dim) for d in (data, queries))
     px, pq = (np.frombuffer(b"".join(d["prefix"]), "<u2").reshape(len(d), -1) for d in (data, queries))
-    files, rid = InvertedFiles(px, n_pivots), data["rid"].to_numpy()
+    ids, rid = np.concatenate(data["vec_ids"].to_list()), np.concatenate(data["rids"].to_list())
+    many = data["rids"].map(len).to_numpy()
+    start = np.cumsum(many) - many
+    # vectors in the order of their smallest row
+    order = np.lexsort((rid[start], ids[start]))
+    x, px, many, start = x[order], px[order], many[order], start[order]
+    files = InvertedFiles(px, n_pivots)
     most = max(LEAST_CANDIDATES, k + 1, math.ceil(CANDIDATES * len(x)))
     out_q, out_i, out_s = [], [], []
     for i, (own, p) in enumerate(zip(queries["rid"].to_numpy(), pq)):
-        found = np.sort(files.nearest(p, most))
-        found = found[rid[found] != own]
-        score = (x[found] * q[i]).sum(axis=1)                      # row by row: equal vectors tie exactly
-        best = np.argsort(-score, kind="stable")[:k]               # ties: the smaller id comes first
+        found = np.sort(files.nearest(p, most, ties=True))
+        score = (x[found] * q[i]).sum(axis=1)
+        # the k best rows are of the k best vectors and the query's own
+        best = np.argsort(-score, kind="stable")[:k + 1]           # ties: the smaller id comes first
+        n = many[found[best]]
+        rows = np.repeat(start[found[best]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        score = np.repeat(score[best], n)
+        other = rid[rows] != own
+        rows, score = rows[other], score[other]
+        best = np.lexsort((rid[rows], ids[rows], -score))[:k]
         out_q.append(np.full(len(best), i))
-        out_i.append(found[best])
+        out_i.append(rows[best])
         out_s.append(score[best])
     at_q, at = np.concatenate(out_q), np.concatenate(out_i)
     return pd.DataFrame({"q_rid": queries["rid"].to_numpy()[at_q], "q_id": queries["vec_id"].to_numpy()[at_q],
-                         "vec_id": data["vec_id"].to_numpy()[at], "rid": rid[at], "score": np.concatenate(out_s)})
+                         "vec_id": ids[at], "rid": rid[at], "score": np.concatenate(out_s)})
 
 
 def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -111,41 +131,48 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     stats = good.agg(F.max(length).alias("m"), F.count(F.lit(1)).alias("n")).first()
     if not stats.n:
         return good.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
-    most, n = float(stats.m), int(stats.n)
-    n_pivots = min(pivots, n)
-    picked = good.orderBy(F.xxhash64("vec"), "vec_id").limit(n_pivots).toArrow()
-    p = matrix(picked.column("vec").combine_chunks(), dim)
+    most = float(stats.m)
+    # 128 bits name a class of equal vectors
+    rows = store(good.select(F.monotonically_increasing_id().alias("rid"), F.coalesce("vec_id", F.lit(NO_ID)).alias("vec_id"),
+                             F.coalesce(is_query, F.lit(False)).alias("is_query"), "vec",
+                             F.xxhash64("vec").alias("k1"), F.xxhash64(F.lit(1), "vec").alias("k2")), "perm-rows")
+    picked = [r.rid for r in rows.groupBy("k1", "k2").agg(F.min("rid").alias("rid")).orderBy("k1", "k2").limit(pivots).collect()]
+    n_pivots = len(picked)
+    p = matrix(rows.where(F.col("rid").isin(picked)).select("k1", "k2", "vec").toArrow()
+               .sort_by([("k1", "ascending"), ("k2", "ascending")]).column("vec").combine_chunks(), dim)
     bc = table.sparkSession.sparkContext.broadcast(np.hstack([p, _lift(p, most)[:, None]]))
     size = min(prefix, n_pivots)
 
-    def represent(batches):
-        for b in batches:
-            x = matrix(b.column("vec"), dim)
-            ask = b.column("is_query").to_numpy(zero_copy_only=False).astype(bool)
-            own = prefixes(x, _lift(x, most), bc.value, size)
-            # a query has no extra coordinate, so its order may differ
-            asked = own.copy()
-            asked[ask] = prefixes(x[ask], np.zeros(int(ask.sum())), bc.value, size)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("rid"), b.column("vec_id"), b.column("is_query"),
-                 pa.array([r.tobytes() for r in x.astype("<f8")], pa.binary()),
-                 pa.array([r.tobytes() for r in own], pa.binary()),
-                 pa.array([r.tobytes() if a else None for r, a in zip(asked, ask)], pa.binary())],
-                names=["rid", "vec_id", "is_query", "vec", "prefix", "asked"])
-
-    rows = good.select(F.monotonically_increasing_id().alias("rid"), F.coalesce("vec_id", F.lit(NO_ID)).alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("is_query"), "vec")
-    rows = store(rows.mapInArrow(represent, "rid long, vec_id long, is_query boolean, vec binary, prefix binary, asked binary"), "perm-rows")
-    n_queries = rows.where("is_query").count()
+    def represent(lifted: bool):
+        # a query has no extra coordinate, so its order may differ
+        def run(batches):
+            for b in batches:
+                x = matrix(b.column("vec"), dim)
+                own = prefixes(x, _lift(x, most) if lifted else np.zeros(len(x)), bc.value, size)
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:3], pa.array([r.tobytes() for r in x.astype("<f8")], pa.binary()),
+                     pa.array([r.tobytes() for r in own], pa.binary())],
+                    names=[*b.schema.names[:3], "vec", "prefix"])
+        return run
+
+    smallest = Window.partitionBy("k1", "k2").orderBy("vec_id", "rid")
+    nodes = rows.withColumn("at", F.row_number().over(smallest)).where(F.col("at") <= k + 1).groupBy("k1", "k2").agg(
+        F.array_sort(F.collect_list(F.struct("vec_id", "rid"))).alias("ids"), F.first("vec").alias("vec"))
+    nodes = nodes.select("k1", F.col("ids.vec_id").alias("vec_ids"), F.col("ids.rid").alias("rids"), "vec")
+    nodes = store(nodes.mapInArrow(represent(True), "k1 long, vec_ids array<long>, rids array<long>, vec binary, prefix binary"), "perm-nodes")
+    asked = rows.where("is_query").select("rid", "vec_id", "is_query", "vec").mapInArrow(
+        represent(False), "rid long, vec_id long, is_query boolean, vec binary, prefix binary")
+    n, n_queries = nodes.count(), rows.where("is_query").count()
     row_blocks, query_blocks = math.ceil(n / BLOCK_ROWS), max(1, math.ceil(n_queries / BLOCK_QUERIES))
 
-    def block(of: int) -> Column:
-        return F.pmod(F.xxhash64("rid"), F.lit(of)).cast("int")
+    def block(of: int, by: str) -> Column:
+        return F.pmod(F.xxhash64(by), F.lit(of)).cast("int")
 
     def each(of: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
 
-    data = rows.select("rid", "vec_id", "vec", "prefix", block(row_blocks).alias("rb"), each(query_blocks).alias("qb"))
-    ask = rows.where("is_query").select("rid", "vec_id", "vec", F.col("asked").alias("prefix"), block(query_blocks).alias("qb"), each(row_blocks).alias("rb"))
+    data = nodes.select("vec_ids", "rids", "vec", "prefix", block(row_blocks, "k1").alias("rb"), each(query_blocks).alias("qb"))
+    ask = asked.select("rid", "vec_id", "vec", "prefix", block(query_blocks, "rid").alias("qb"), each(row_blocks).alias("rb"))
     found = data.groupBy("rb", "qb").cogroup(ask.groupBy("rb", "qb")).applyInPandas(
         lambda d, q: search_block(d, q, dim, n_pivots, k), "q_rid long, q_id long, vec_id long, rid long, score double")
     order = Window.partitionBy("q_rid").orderBy(F.desc("score"), "vec_id", "rid")

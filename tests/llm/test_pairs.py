@@ -260,6 +260,37 @@ def test_search_finds_long_vectors(spark):
     assert recall(got, rows, 16) > 0.9
 
 
+def test_search_with_a_third_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(perm_index, "LEAST_CANDIDATES", 64)
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((40, 16))
+    x = centres[rng.integers(0, 40, 6000)] + 0.3 * rng.standard_normal((6000, 16))
+    copies = rng.permutation(6000)[:2000]
+    x[copies] = x[copies[0]]
+    rows = [(int(i), v.tolist(), 0) for i, v in zip(rng.permutation(6000), x)]
+    found = defaultdict(dict)
+    for r in perm_index.search_report(spark.createDataFrame(rows, VEC)).collect():
+        found[r.query_id][r["rank"]] = r.vec_id
+    ids, equal = np.array([r[0] for r in rows]), set(copies.tolist())
+    near = [[], []]
+    for i in np.flatnonzero(ids % 20 == 0):
+        score = (x * x[i]).sum(axis=1)
+        score[i] = -np.inf
+        best = ids[np.lexsort((ids, -score))[:20]].tolist()
+        mine = [found[ids[i]][rank] for rank in range(1, 21)]
+        near[i in equal].append(len(set(mine) & set(best)) / 20)
+        assert len(set(mine)) == 20
+    assert np.mean(near[0]) > 0.9 and np.mean(near[1]) > 0.9
+    assert sum(map(len, near)) == 300 and len(near[1]) > 50
+
+
+def test_nearest_takes_all_rows_tied_at_the_cut():
+    px = np.array([[0, 1], [0, 1], [0, 1], [2, 3], [0, 2]])
+    files = perm_index.InvertedFiles(px, 4)
+    assert files.nearest(np.array([0, 1]), 2, ties=True).tolist() == [0, 1, 2]
+    assert files.nearest(np.array([0, 1]), 4, ties=True).tolist() == [0, 1, 2, 4]
+
+
 def test_search_query(spark, tmp_path):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
     got = op1_permutation_index(spark, "/root/testdata/sf0.1").collect()
