@@ -2,18 +2,23 @@
 
 The text (A-Z lower-cased) is a sequence of bytes followed by an end byte
 ``0xFF``, which never occurs in UTF-8.  A byte is eight binary decisions; each of
-the 255 decision nodes has a context tree of its own.  The context of a byte is
-a string of 16 bits: the class of the byte before it (6 bits), of the second
-(5 bits) and of the third (5 bits).  Each tree node holds the zeros and ones seen
-below it and their Krichevsky-Trofimov block probability Pe; the weighted
-probability is Pw = 1/2 Pe + 1/2 Pw(child 0) Pw(child 1), and Pe at depth 16.  A
-decision's probability mixes the KT estimates of all 17 depths of its context
-path, each by its posterior weight 1/2 Pe / Pw.
-
-The counts come from every training text: per-task sums, one shuffle.  They are
-bounded by the model, not by the corpus (2^16 contexts x 256 bytes), so the
-finished table of log10 P(byte | context), 64 MB, is broadcast; its building on
-the driver handles one of 64 context classes at a time.
+the 255 decision nodes has a context tree of its own.  The first 16 levels of a
+tree split by single bits: the class of the byte before (6 bits), of the second
+(5 bits) and of the third (5 bits).  The next levels split by the real bytes: the
+three bytes before, then the fourth, the fifth and the sixth.  Each tree node holds
+the zeros and ones seen below it and their Krichevsky-Trofimov block probability
+Pe; the weighted probability is Pw = 1/2 Pe + 1/2 of the product of the children's
+Pw, and Pe at the last level.  A decision's probability mixes the KT estimates of
+all levels of its context path, each by its posterior weight 1/2 Pe / Pw.
+
+The counts come from every training text: each seen string of seven bytes (context
+and byte) with its count is a row of a stored table, which grows with the corpus.
+The part of a tree below three real bytes is built by a task from the rows of these
+three bytes.  Only the first 16 levels are bounded (2^16 contexts): the driver mixes
+those of their contexts and nodes that occur, and broadcasts them to the tasks that
+price strings.  The ``HOT_GRAMS`` most
+frequent strings are broadcast with their log10 P; those of a text that miss them
+are priced apart and joined.
 
 Beside it stands the add-one unigram base over words.  Word counts cover all
 training texts and stay in a table; only the ``HOT_WORDS`` most frequent are
@@ -35,14 +40,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docrank.llm.common import crc_mod, store, text_or_empty
+from docrank.llm.common import by_group, crc_mod, store, text_or_empty
 
 BITS = 16
 END_BYTE = 0xFF
 END_WORD = b"\n"          # no word holds white space
 HOT_WORDS = 200_000
 FLUSH_WORDS = 500_000
-STEP_BYTES = 8 << 20
+HOT_GRAMS = 1_000_000
+FLUSH_GRAMS = 1_000_000
+GROUP_ROWS = 65_536
+STEP_BYTES = 4 << 20
+FIRST, LAST = 3, 6        # bytes of context of the first and of the last level of real bytes
 
 
 # ---- contexts --------------------------------------------------------------------
@@ -68,27 +77,42 @@ SIX, FIVE = _classes()
 C1, C2, C3 = SIX << np.uint32(18), FIVE << np.uint32(13), FIVE << np.uint32(8)
 
 
-def steps(texts: list[bytes]):
-    """``(first, last, cells, starts)`` for runs of texts: the cell (context and byte)
-    of every byte and end byte, and where each text's cells start."""
-    pad, i = bytes([END_BYTE]) * 3, 0
+def grams(texts: list[bytes]):
+    """``(first, last, grams, starts)`` for runs of texts: for every byte and end byte the
+    six bytes before it, the nearest one highest, and the byte itself as the low
+    one, and where each text's grams start."""
+    pad, i = bytes([END_BYTE]) * LAST, 0
     while i < len(texts):
         j, size = i, 0
         while j < len(texts) and (j == i or size + len(texts[j]) < STEP_BYTES):
             size += len(texts[j])
             j += 1
-        # each text is led by three end bytes; the first of the next one's is its end
+        # each text is led by six end bytes; the first of the next one's is its end
         raw = np.frombuffer(pad + b"".join(t + pad for t in texts[i:j]), np.uint8)
-        sizes = np.fromiter((len(t) + 3 for t in texts[i:j]), np.int64, j - i)
-        cell = (C1[raw[2:-1]] | C2[raw[1:-2]] | C3[raw[:-3]]) | raw[3:]
-        starts = np.r_[0, np.cumsum(sizes)[:-1]]
-        keep = np.ones(len(cell), bool)
-        ends = np.cumsum(sizes)
-        keep[ends - 1] = keep[ends - 2] = False   # the other two end bytes
-        yield i, j, cell[keep], starts - 2 * np.arange(j - i)
+        sizes = np.fromiter((len(t) + LAST for t in texts[i:j]), np.int64, j - i)
+        n = len(raw) - LAST
+        gram = np.zeros(n, np.int64)
+        for at in [*range(LAST - 1, -1, -1), LAST]:
+            gram <<= 8
+            gram |= raw[at:at + n]
+        keep, ends = np.ones(n, bool), np.cumsum(sizes)
+        for k in range(1, LAST):
+            keep[ends - k] = False   # the other end bytes
+        starts = np.r_[0, ends[:-1]] - (LAST - 1) * np.arange(j - i)
+        yield i, j, gram[keep], starts
         i = j
 
 
+def cells_of(gram: np.ndarray) -> np.ndarray:
+    """The cell of a gram: the classes of three bytes, and the low byte."""
+    return C1[gram >> 48] | C2[(gram >> 40) & 255] | C3[(gram >> 32) & 255] | (gram & 255).astype(np.uint32)
+
+
+def steps(texts: list[bytes]):
+    """``grams`` by cell (context class and byte)."""
+    return ((i, j, cells_of(gram), starts) for i, j, gram, starts in grams(texts))
+
+
 # ---- model -----------------------------------------------------------------------
 def _lgamma(z: np.ndarray) -> np.ndarray:
     """log Gamma for z >= 0.5 (Stirling's series after a shift by eight)."""
@@ -156,7 +180,8 @@ def _down(levels, done, rest, leaf: bool):
 
 
 def build_table(cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 P(byte | context) for every cell, as float32."""
+    """log10 P(byte | context) for every cell from the levels of classes alone, as
+    float32 (the plain dense form; scoring uses ``mix_classes``)."""
     order = np.argsort(cells)
     cells, counts = cells[order].astype(np.int64), counts[order]
     wide = 1 << (BITS - 6 + 8)       # cells of one class of the byte before
@@ -187,75 +212,253 @@ def _bytes_of(p1: np.ndarray) -> np.ndarray:
     return total
 
 
+# ---- levels of real bytes ----------------------------------------------------------
+HALF = np.array([math.lgamma(i + 0.5) - math.lgamma(0.5) for i in range(4096)])
+WHOLE = np.array([math.lgamma(i + 1) for i in range(4096)])
+
+
+def _kt_sparse(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """``_kt`` where most counts are small."""
+    out, small = np.empty(len(n0)), n0 + n1 < len(HALF)
+    a, b = n0[small].astype(np.int64), n1[small].astype(np.int64)
+    out[small] = HALF[a] + HALF[b] - WHOLE[a + b]
+    out[~small] = _kt(n0[~small], n1[~small])
+    return out
+
+
+def _sums(key: np.ndarray, *values: np.ndarray) -> tuple:
+    """Sorted distinct keys and the sums of the values by key."""
+    keys, at = np.unique(key, return_inverse=True)
+    return keys, *(np.bincount(at, v, len(keys)) for v in values)
+
+
+def _at(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key among sorted keys, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    return at, keys[at] == key
+
+
+def _node(byte: np.ndarray, bit: int) -> np.ndarray:
+    return (1 << bit) | (byte >> (8 - bit))
+
+
+def deep_levels(gram: np.ndarray, n: np.ndarray) -> list:
+    """``(keys, n0, n1, Pe, Pw)`` by bytes of context, the fewest first, over the
+    contexts and nodes that occur; a key is the context and, as the low byte, the
+    node.  The grams hold all of a context of ``FIRST`` bytes or nothing of it."""
+    out: list = []
+    for size in range(LAST, FIRST - 1, -1):
+        context = gram >> 8 * (LAST + 1 - size)
+        cell, count = _sums((context << 8) | (gram & 255), n)
+        byte, found = cell & 255, []
+        for bit in range(8):       # cells are sorted, so are the nodes of a bit
+            key = (cell & ~255) | _node(byte, bit)
+            new = np.flatnonzero(np.diff(key, prepend=-1))
+            ones = np.add.reduceat(count * ((byte >> (7 - bit)) & 1), new)
+            found.append((key[new], np.add.reduceat(count, new) - ones, ones))
+        keys, n0, n1 = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(keys, kind="stable")
+        keys, n0, n1 = keys[order], n0[order], n1[order]
+        e = w = _kt_sparse(n0, n1)
+        if out:
+            child, weighted = out[0][0], out[0][4]
+            at, _ = _at(keys, ((child >> 16) << 8) | (child & 255))
+            w = np.logaddexp(e, np.bincount(at, weighted, len(keys))) - math.log(2)
+        out.insert(0, (keys, n0, n1, e, w))
+    return out
+
+
+def mix_classes(cells: np.ndarray, counts: np.ndarray, below: np.ndarray) -> list:
+    """``(keys, done, rest)`` after each of the levels of classes, the deepest first,
+    over the contexts and nodes that occur; a key is the context and, as the low
+    byte, the node.  ``cells`` are both the cells that were counted and the keys whose
+    children have the log product ``below``."""
+    cells = cells.astype(np.int64)
+    key, one, many = [], [], []
+    for bit in range(8):
+        at = counts > 0
+        byte = cells[at] & 255
+        key.append((cells[at] & ~255) | _node(byte, bit))
+        one.append((byte >> (7 - bit)) & 1)
+        many.append(counts[at])
+    one, many = np.concatenate(one), np.concatenate(many)
+    keys, n0, n1 = _sums(np.concatenate(key), many * (1 - one), many * one)
+    at, here = _at(keys, cells)
+    levels: list = []
+    product = np.bincount(at[here], below[here], len(keys))
+    for depth in range(BITS, -1, -1):
+        e = _kt_sparse(n0, n1)
+        w = np.logaddexp(e, product) - math.log(2)
+        levels.append((keys, n0, n1, e, w))
+        if depth:
+            keys, n0, n1, product = _sums(((keys >> 9) << 8) | (keys & 255), n0, n1, w)
+    out: list = []
+    for i in range(BITS, -1, -1):
+        keys, n0, n1, e, w = levels[i]
+        if not out:
+            done, rest = np.zeros(len(keys)), np.ones(len(keys))
+        else:
+            at, _ = _at(out[0][0], ((keys >> 9) << 8) | (keys & 255))
+            done, rest = out[0][1][at], out[0][2][at]
+        share = np.exp(e - math.log(2) - w)
+        out.insert(0, (keys, done + rest * share * (n1 + 0.5) / (n0 + n1 + 1), rest * (1 - share)))
+    return out
+
+
+def price(classes: list, levels: list, gram: np.ndarray) -> np.ndarray:
+    """log10 P of the byte of each gram after its context."""
+    byte, total = gram & 255, np.zeros(len(gram))
+    context = cells_of(gram).astype(np.int64) >> 8
+    for bit in range(8):
+        node = _node(byte, bit)
+        done, rest, left = np.zeros(len(gram)), np.ones(len(gram)), np.arange(len(gram))
+        for up, (keys, d, r) in enumerate(classes):      # the deepest level that was seen
+            at, seen = _at(keys, ((context[left] >> up) << 8) | node[left])
+            done[left[seen]], rest[left[seen]] = d[at[seen]], r[at[seen]]
+            left = left[~seen]
+            if not len(left):
+                break
+        for size, (keys, n0, n1, e, w) in enumerate(levels, FIRST):
+            at, seen = _at(keys, ((gram >> 8 * (LAST + 1 - size)) << 8) | node)
+            at = at[seen]
+            share = np.ones(len(at)) if size == LAST else np.exp(e[at] - math.log(2) - w[at])
+            done[seen] += rest[seen] * share * (n1[at] + 0.5) / (n0[at] + n1[at] + 1)
+            rest[seen] *= 1 - share
+        p1 = np.clip(done + rest / 2, 1e-12, 1 - 1e-12)   # a half below what was seen
+        total += np.log10(np.where((byte >> (7 - bit)) & 1, p1, 1 - p1))
+    return total
+
+
 # ---- jobs ------------------------------------------------------------------------
+def _top() -> Column:
+    return F.shiftright("gram", 8 * (LAST + 1 - FIRST)).alias("top")
+
+
+def _merge(held: list) -> tuple[np.ndarray, np.ndarray]:
+    gram, n = _sums(np.concatenate([g for g, _ in held]), np.concatenate([n for _, n in held]))
+    return gram, n.astype(np.int64)
+
+
 def count(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``word, cell, n`` over all texts: each word (and the end) with its count, and
-    each cell with its count."""
-    schema = pa.schema([("word", pa.binary()), ("cell", pa.int32()), ("n", pa.int64())])
-
-    def rows(words=None, cells=None):
-        if words is not None:
-            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.nulls(len(words), pa.int32()),
-                                               pa.array(list(words.values()), pa.int64())], schema=schema)
-        at = np.flatnonzero(cells)
-        return pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(at.astype(np.int32)),
-                                           pa.array(cells[at].astype(np.int64))], schema=schema)
+    """``word, gram, n`` over all texts: each word (and the end) with its count, and
+    each gram with its count."""
+    schema = pa.schema([("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
+
+    def of_words(words):
+        return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.nulls(len(words), pa.int64()),
+                                           pa.array(list(words.values()), pa.int64())], schema=schema)
+
+    def of_grams(gram, n):
+        for i in range(0, len(gram), GROUP_ROWS):
+            part = pa.array(gram[i:i + GROUP_ROWS])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.binary()), part, pa.array(n[i:i + GROUP_ROWS])], schema=schema)
 
     def run(batches):
         words: Counter = Counter()
-        cells = np.zeros(1 << (BITS + 8), np.uint32)
+        held: list = []
         for b in batches:
             texts = [t.lower() for t in b.column(0).cast(pa.binary()).to_pylist()]
             words[END_WORD] += len(texts)
             for t in texts:
                 words.update(t.split())
                 if len(words) > FLUSH_WORDS:
-                    yield rows(words=words)
+                    yield of_words(words)
                     words = Counter()
-            for _, _, cell, _ in steps(texts):
-                np.add.at(cells, cell, np.uint32(1))
-        yield rows(words=words)
-        yield rows(cells=cells)
-
-    got = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "word binary, cell int, n long")
-    return got.groupBy("word", "cell").agg(F.sum("n").alias("n"))
-
-
-def fit(docs: DataFrame, text_col: str = "text", hot_words: int = HOT_WORDS) -> dict:
-    """Count the training texts; returns the byte table, the word table and its
-    hot part, and the totals."""
-    counts = store(count(docs, text_col), "ctw-counts")
-    words = counts.where(F.col("word").isNotNull() & (F.col("n") > 0)).select("word", "n")
-    cells = counts.where(F.col("cell").isNotNull()).select("cell", "n").toArrow()
-    # word counts by size, to choose the least count of a hot word (at most 64 * 16 rows)
+            for _, _, gram, _ in grams(texts):
+                held.append(np.unique(gram, return_counts=True))
+                if sum(len(g) for g, _ in held) > FLUSH_GRAMS:
+                    held = [_merge(held)]
+                    if len(held[0][0]) > FLUSH_GRAMS // 2:
+                        yield from of_grams(*held.pop())
+        yield of_words(words)
+        if held:
+            yield from of_grams(*_merge(held))
+
+    got = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(run, "word binary, gram long, n long")
+    return got.groupBy("word", "gram").agg(F.sum("n").alias("n"))
+
+
+def _hottest(counts: DataFrame, limit: int):
+    """At most about ``limit`` rows of the largest counts, and the sums of counts and rows."""
+    # rows by size, to choose the least count of a hot one (at most 64 * 16 rows)
     size = F.floor(F.log2("n") * 16)
-    by = words.groupBy(size.alias("size")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
+    by = counts.groupBy(size.alias("size")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
     held, least = 0, 64 * 16
     for r in sorted(by, key=lambda r: -r["size"]):
-        held += r.words
-        if held > hot_words:
+        held += r.rows
+        if held > limit:
             break
         least = r["size"]
-    hot = words.where(size >= least).toArrow()
+    return counts.where(size >= least), sum(r.n for r in by), sum(r.rows for r in by)
+
+
+def fit(docs: DataFrame, text_col: str = "text", hot_words: int = HOT_WORDS) -> dict:
+    """Count the training texts; returns the table of grams, the mixed levels of
+    classes and the priced hot grams, the word table and its hot part, and the totals."""
+    counts = store(count(docs, text_col), "ctw-counts")
+    words = counts.where(F.col("word").isNotNull() & (F.col("n") > 0)).select("word", "n")
+    seen = counts.where(F.col("gram").isNotNull()).select("gram", "n")
+    hot, total, different = _hottest(words, hot_words)
+    hot = hot.toArrow()
+
+    def weigh(t: pa.Table) -> pa.Table:
+        gram, n = t.column("gram").to_numpy(), t.column("n").to_numpy()
+        keys, _, _, _, w = deep_levels(gram, n)[0]
+        cell, below = _sums(cells_of((keys >> 8 << 32) | (keys & 255)), w)
+        at, n = _sums(cells_of(gram), n)
+        return pa.table({"cell": pa.array(np.r_[cell, at].astype(np.int32)),
+                         "below": pa.array(np.r_[below, np.zeros(len(at))]),
+                         "n": pa.array(np.r_[np.zeros(len(cell)), n].astype(np.int64))})
+
+    weighed = by_group(seen.select(_top(), "gram", "n"), ["top"], weigh, "cell int, below double, n long", GROUP_ROWS)
+    weighed = weighed.groupBy("cell").agg(F.sum("below").alias("below"), F.sum("n").alias("n")).toArrow()
+    classes = mix_classes(*(weighed.column(c).to_numpy() for c in ("cell", "n", "below")))
+    levels = docs.sparkSession.sparkContext.broadcast(classes)
+    first, _, _ = _hottest(seen, HOT_GRAMS)
+    priced = price_grams(first.select("gram"), seen, levels).toArrow().sort_by("gram")
     return {
-        "table": build_table(np.asarray(cells.column("cell")), np.asarray(cells.column("n"))),
+        "grams": seen, "levels": levels, "hot_grams": (priced.column("gram").to_numpy(), priced.column("p").to_numpy()),
         "words": words, "hot": dict(zip(hot.column("word").to_pylist(), hot.column("n").to_pylist())),
-        "whole": sum(r.words for r in by) == hot.num_rows, "N": sum(r.n for r in by), "V": sum(r.words for r in by)}
+        "whole": different == hot.num_rows, "N": total, "V": different}
+
+
+def price_grams(asked: DataFrame, seen: DataFrame, levels) -> DataFrame:
+    """``gram, p``: log10 P of each asked gram (distinct)."""
+    asked = asked.select(_top(), "gram", F.lit(None).cast("long").alias("n"))
+    rows = seen.select(_top(), "gram", "n").unionByName(asked)
+
+    def run(t: pa.Table) -> pa.Table:
+        ask = t.column("n").is_null().to_numpy()
+        gram, n, top = t.column("gram").to_numpy(), t.column("n").fill_null(0).to_numpy(), t.column("top").to_numpy()
+        here = ~ask & np.isin(top, np.unique(top[ask]))
+        p = price(levels.value, deep_levels(gram[here], n[here]), gram[ask])
+        return pa.table({"gram": pa.array(gram[ask]), "p": pa.array(p)})
+
+    return by_group(rows, ["top"], run, "gram long, p double", GROUP_ROWS)
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """``docs`` without the text, plus ``n_tokens``, ``n_known``, ``base_score``, ``score`` and
     ``bits_per_byte`` (code length, the end byte included)."""
     sc = docs.sparkSession.sparkContext
-    table, hot, whole = sc.broadcast(model["table"]), sc.broadcast(model["hot"]), model["whole"]
-    made = "n_tokens long, known long, logs double, score double, n_bytes long, tail array<struct<word:binary,n:long>>"
+    table, hot, whole = sc.broadcast(model["hot_grams"]), sc.broadcast(model["hot"]), model["whole"]
+    made = "n_tokens long, known long, logs double, score double, n_bytes long, tail array<struct<word:binary,n:long>>, cold array<long>"
 
     @F.arrow_udf(made)
     def run(text: pa.Array) -> pa.Array:
         texts = [t.lower() for t in text.cast(pa.binary()).to_pylist()]
-        scores = np.empty(len(texts))
-        for i, j, cell, starts in steps(texts):
-            scores[i:j] = np.add.reduceat(table.value[cell].astype(np.float64), starts)
+        scores, misses, cold = np.empty(len(texts)), np.empty(len(texts), np.int64), [np.empty(0, np.int64)]
+        keys, logp = table.value
+        for i, j, gram, starts in grams(texts):
+            at, known = _at(keys, gram)
+            p = np.zeros(len(gram))
+            p[known] = logp[at[known]]
+            scores[i:j] = np.add.reduceat(p, starts)
+            misses[i:j] = np.add.reduceat((~known).astype(np.int64), starts)
+            cold.append(gram[~known])
+        cold = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(misses)].astype(np.int32)), pa.array(np.concatenate(cold)))
         get, out = hot.value.get, []
         for t in texts:
             seen = Counter(t.split())
@@ -274,7 +477,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
         return pa.StructArray.from_arrays(
             [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
              pa.array([x[2] for x in out], pa.float64()), pa.array(scores), pa.array([x[3] for x in out], pa.int64()),
-             pa.array([x[4] for x in out], tail_type)], names=["n_tokens", "known", "logs", "score", "n_bytes", "tail"])
+             pa.array([x[4] for x in out], tail_type), cold], names=["n_tokens", "known", "logs", "score", "n_bytes", "tail", "cold"])
 
     own = [c for c in docs.columns if c != text_col]
     rows = docs.select(F.struct(*own).alias("row"), run(text_or_empty(text_col)).alias("m"),
@@ -284,13 +487,18 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     counts = model["words"].withColumnRenamed("n", "c")
     more = tail.join(counts, "word").groupBy("rid").agg(
         F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_logs"))
-    out = rows.join(more, "rid", "left")
+    # grams that miss the hot ones, seen in training or not, are priced once each
+    cold = rows.select("rid", F.explode("m.cold").alias("gram"))
+    priced = price_grams(cold.select("gram").distinct(), model["grams"], model["levels"])
+    rest = cold.join(priced, "gram").groupBy("rid").agg(F.sum("p").alias("cold_score"))
+    out = rows.join(more, "rid", "left").join(rest, "rid", "left").withColumn(
+        "score", F.col("m.score") + F.coalesce("cold_score", F.lit(0.0)))
     known = F.col("m.known") + F.coalesce("tail_known", F.lit(0))
     base = (F.col("m.logs") + F.coalesce("tail_logs", F.lit(0.0))
             - F.col("m.n_tokens") * F.lit(math.log10(model["N"] + model["V"] + 1)))
     return out.select("row.*", "m.n_tokens", known.alias("n_known"), F.lit(model["N"]).cast("long").alias("train_tokens"),
-                      base.alias("base_score"), "m.score",
-                      (-F.col("m.score") * F.lit(math.log2(10)) / F.col("m.n_bytes")).alias("bits_per_byte"))
+                      base.alias("base_score"), "score",
+                      (-F.col("score") * F.lit(math.log2(10)) / F.col("m.n_bytes")).alias("bits_per_byte"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

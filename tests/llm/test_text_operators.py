@@ -212,6 +212,78 @@ def test_language_model(spark, tmp_path, hot, monkeypatch):
     assert np.mean([r.bits_per_byte for r in prose]) < 3.5     # eight without a model
 
 
+def test_context_levels_of_real_bytes_against_plain_weighting(spark, monkeypatch):
+    r = random.Random(8)
+    texts = [" ".join(r.choices(["дом", "дым", "том", "17", "71", "a-b", "a+b", "東京", "the"], k=30)) for _ in range(30)]
+    rows = list(enumerate(texts)) + [(100, texts[0] + " вот 99"), (101, ""), (102, None)]
+    docs = documents(spark, rows).select("doc_id", "text")
+    train = [t.lower().encode() for t in texts]
+    grams = np.concatenate([g for _, _, g, _ in ctw.grams(train)])
+    plain = Counter()
+    paths = {}
+
+    def path(gram):
+        cell, out = int(ctw.cells_of(np.array([gram]))[0]) >> 8, []
+        for depth in range(17):
+            out.append((depth, cell >> (16 - depth)))
+        return out + [(14 + size, gram >> 8 * (7 - size)) for size in range(3, 7)]
+
+    for g in grams.tolist():
+        p = paths.setdefault(g, path(g))
+        for bit in range(8):
+            for c in p:
+                plain[c, (1 << bit) | ((g & 255) >> (8 - bit)), ((g & 255) >> (7 - bit)) & 1] += 1
+    kids = {}
+    for p in paths.values():
+        for a, b in zip(p, p[1:]):
+            kids.setdefault(a, set()).add(b)
+    memo = {}
+
+    def block(c, node):
+        a, b = plain[c, node, 0], plain[c, node, 1]
+        return math.lgamma(a + .5) + math.lgamma(b + .5) - 2 * math.lgamma(.5) - math.lgamma(a + b + 1)
+
+    def weighted(c, node):
+        if (c, node) not in memo:
+            e = block(c, node)
+            if c[0] < 20 and plain[c, node, 0] + plain[c, node, 1]:
+                e = np.logaddexp(e, sum(weighted(k, node) for k in kids.get(c, ()))) - math.log(2)
+            memo[c, node] = e
+        return memo[c, node]
+
+    def log_p(gram):
+        total = 0.0
+        for bit in range(8):
+            node, one, done, rest = (1 << bit) | ((gram & 255) >> (8 - bit)), ((gram & 255) >> (7 - bit)) & 1, 0.0, 1.0
+            for c in path(gram):
+                a, b = plain[c, node, 0], plain[c, node, 1]
+                share = 1.0 if c[0] == 20 else math.exp(block(c, node) - math.log(2) - weighted(c, node))
+                done, rest = done + rest * share * (b + .5) / (a + b + 1), rest * (1 - share)
+            total += math.log10(done if one else 1 - done)
+        return total
+
+    known = {}
+    want = {}
+    for d, t in rows:
+        g = np.concatenate([g for _, _, g, _ in ctw.grams([(t or "").lower().encode()])]).tolist()
+        want[d] = sum(known.setdefault(x, log_p(x)) if x not in known else known[x] for x in g)
+    for hot in (1_000_000, 50, 0):
+        monkeypatch.setattr(ctw, "HOT_GRAMS", hot)
+        got = {r.doc_id: r.score for r in ctw.score(docs, ctw.fit(docs.where("doc_id < 100"))).collect()}
+        assert all(math.isclose(got[d], want[d], rel_tol=1e-4, abs_tol=1e-4) for d in want)
+
+
+def test_contexts_grow_with_the_corpus(spark):
+    # these differ in what the classes fold: digits, punctuation, letters of other scripts
+    docs = documents(spark, [(i, f"{i % 7}{i % 5}{i % 3}+-дж{i}") for i in range(400)]).select("doc_id", "text")
+    model = ctw.fit(docs)
+    grams = model["grams"].count()
+    assert grams > 400 and ctw.fit(docs.where("doc_id < 40"))["grams"].count() < grams / 2
+    twins = documents(spark, [(1, "12" * 200), (2, "31" * 200)]).select("doc_id", "text")
+    got = {r.doc_id: r.score for r in ctw.score(twins, ctw.fit(twins.where("doc_id = 1"))).collect()}
+    assert got[1] > got[2] / 4
+
+
 def test_language_model_without_training(spark):
     docs = documents(spark, [(1, "ab"), (2, "")]).select("doc_id", "text")
     got = {r.doc_id: r for r in ctw.score(docs, ctw.fit(docs.limit(0))).collect()}
