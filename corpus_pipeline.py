@@ -25,8 +25,9 @@ MIN_LANGUAGE_SCORE = 0.25
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognized, by a model of the labelled rows;
     ``lang`` becomes the recognized language.  Rejected are texts that are null or
-    without a letter, and those whose best language scores less than
-    ``MIN_LANGUAGE_SCORE``."""
+    without a letter.  ``MIN_LANGUAGE_SCORE`` rejects nothing with up to four
+    languages, as the best share is never below 1/4; with more it can.  A text of
+    words that no language has stays, with the likeliest name."""
     model = lang_id.fit(docs)
     found = lang_id.predict(docs, model, out_col="__language")
     if not model["langs"]:
