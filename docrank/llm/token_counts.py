@@ -9,8 +9,9 @@ No piece is ever shuffled: only the bounded sample that warms the table is
 aggregated.  The table speeds the count up and cannot change it.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; rows are
-independent, so repeated rows and null ids pass through; an empty table gives
-an empty result; columns other than the id and the text are ignored.
+independent, so repeated rows and null ids pass through; a text of any length is
+counted whole, in time linear in its pieces; an empty table gives an empty result;
+columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations
@@ -102,8 +103,8 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out_col: st
         out = []
         for t in text.cast(pa.binary()).to_pylist():
             seen = Counter(t.split())
-            rare = seen.keys() - first.keys()
-            new = list(cache.missing(rare))
+            # (keys() - keys() would walk the whole broadcast table for every text)
+            new = list(cache.missing({w for w in seen if w not in first}))
             cache.now.update(zip(new, token_lengths(path, [w.decode() for w in new])))
             out.append(sum(c * (first[w] if w in first else cache.now[w]) for w, c in seen.items()))
         return pa.array(out, pa.int64())
