@@ -7,15 +7,15 @@ to the longest n-gram length of which the model knows any of the word's
 n-grams: it adds their mean log frequency, less ``BACKOFF`` for each step
 down.  The language with the largest total wins (ties: the smaller name).
 
-The model is fitted on a bounded sample of labelled rows: at most about
-``FIT_ROWS`` rows, chosen by a hash of the id so that every size behaves alike, and
-holds the ``MAX_WORDS`` most frequent words and ``MAX_GRAMS`` most frequent n-grams
-of each length and language, so the broadcast is bounded.
+The model is fitted on a bounded sample of labelled rows: about ``FIT_ROWS`` rows of
+each language, chosen by a hash of the id and the text, so a rare language is learned
+like a common one.  It holds the ``MAX_WORDS`` most frequent words and ``MAX_GRAMS``
+most frequent n-grams of each length and language, so the broadcast is bounded.
 
 Defined results: ``und`` with score 0 for a text that is null or without a
 letter, and for every text if there is nothing to learn from; rows are
-independent, so repeated rows and null ids pass through; an empty table gives
-an empty result.  The score is the winner's share of the languages' geometric
+independent, so repeated rows and null ids pass through; a text of any length is
+scored whole, some words at a time; an empty table gives an empty result.  The score is the winner's share of the languages' geometric
 mean likelihoods per word, between 0 and 1.
 """
 
@@ -29,16 +29,18 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docrank.llm.common import crc_mod, text_or_empty
 
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000         # of each language
 MAX_WORDS = 30_000
 MAX_GRAMS = 10_000        # of each length
 MAX_N = 5
 BACKOFF = 0.5
 UNSEEN = 0.5              # count of what a language has not seen
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
+SLICE_ROWS = 500          # rows that a task holds at a time
 UND = "und"
 
 LETTERS = regex.compile(r"\p{L}+")
@@ -56,19 +58,17 @@ def grams_of(word: str, n: int) -> list[str]:
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         fit_rows: int = FIT_ROWS) -> dict:
-    """Model of the labelled rows (null texts and labels are left out):
-    ``{"langs": [...], "words": {word: log frequencies}, "grams": [{} by n]}``."""
+    """Model of the labelled rows (null texts and labels are left out): see ``build``."""
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    n = rows.count()
-    if n == 0:
-        return {"langs": [], "words": {}, "grams": [{} for _ in range(MAX_N + 1)]}
-    share = min(1.0, fit_rows / n)
-    if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    per = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}   # one row per language
+    if not per:
+        return build([], {})
+    share = F.create_map(*[x for lang, n in sorted(per.items()) for x in (F.lit(lang), F.lit(min(1.0, fit_rows / n)))])
+    rows = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
 
     def count(batches):
-        for b in batches:
+        for b in slices(batches):
             seen: dict = {}
             for t, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
                 seen.setdefault(lang, Counter()).update(words_of(t))
@@ -78,7 +78,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
                 names=["lang", "word", "n"])
 
     def grams(batches):
-        for b in batches:
+        for b in slices(batches, 4 * SLICE_ROWS):
             seen: Counter = Counter()
             for lang, w, c in zip(*(b.column(k).to_pylist() for k in ("lang", "word", "n"))):
                 seen[lang, 0, w] += c
@@ -123,41 +123,48 @@ def _least(by_count: list[tuple[int, int]], most: int) -> int:
 
 
 def build(top, total: dict) -> dict:
-    """Log frequencies of every kept word and n-gram in every language."""
+    """``{"langs": names, "rows": [{entry: row} by size, words at 0], "table": log
+    frequencies}``, one row of the table per kept word or n-gram, one column per
+    language."""
     langs = sorted({lang for _, lang in total})
     at = {x: i for i, x in enumerate(langs)}
-    tables: list[dict] = [{} for _ in range(MAX_N + 1)]
-    counts: list[dict] = [{} for _ in range(MAX_N + 1)]
+    rows: list[dict] = [{} for _ in range(MAX_N + 1)]
+    entries = {}
     for r in top:
-        counts[r["size"]].setdefault(r["gram"], {})[at[r["lang"]]] = r["n"]
-    for size, keys in enumerate(counts):
-        base = np.log(np.array([total.get((size, x), 0) for x in langs], float) + 1.0)
-        for k, by in keys.items():
-            v = np.full(len(langs), UNSEEN)
-            for i, c in by.items():
-                v[i] = c
-            tables[size][k] = np.log(v) - base
-    return {"langs": langs, "words": tables[0], "grams": tables}
+        entries.setdefault((r["size"], r["gram"]), len(entries))
+    base = np.log(np.array([[total.get((size, x), 0) for x in langs] for size in range(MAX_N + 1)], float).reshape(MAX_N + 1, len(langs)) + 1.0)
+    table = np.full((len(entries), len(langs)), UNSEEN)
+    for r in top:
+        table[entries[r["size"], r["gram"]], at[r["lang"]]] = r["n"]
+    np.log(table, out=table)
+    for (size, gram), i in entries.items():
+        rows[size][gram] = i
+        table[i] -= base[size]
+    return {"langs": langs, "rows": rows, "table": table}
 
 
 def word_score(m: dict, word: str) -> np.ndarray:
     """Log score of a word in each language."""
-    if word in m["words"]:
-        return m["words"][word]
+    table, (words, *grams) = m["table"], m["rows"]
+    if word in words:
+        return table[words[word]]
     for n in range(MAX_N, 0, -1):
-        table = m["grams"][n]
-        known = [table[g] for g in grams_of(word, n) if g in table]
+        known = [grams[n - 1][g] for g in grams_of(word, n) if g in grams[n - 1]]
         if known:
-            return np.mean(known, axis=0) - BACKOFF * (MAX_N + 1 - n)
+            return table[known].mean(axis=0) - BACKOFF * (MAX_N + 1 - n)
     return np.zeros(len(m["langs"]))
 
 
+def slices(batches, rows: int = SLICE_ROWS):
+    return (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
+
+
 class Scorer:
     """Scores of words by row of a bounded table, filled as words come up."""
 
     def __init__(self, m: dict):
         self.m, self.at = m, {}
-        self.table = np.zeros((CACHE_ENTRIES, max(1, len(m["langs"]))))
+        self.table = np.zeros((CACHE_ENTRIES, max(1, len(m["langs"]))), np.float64)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = words_of(text) if text else []
@@ -181,23 +188,47 @@ class Scorer:
         return self.table[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(axis=0)
 
 
+def scorer_of(model, key: str) -> Scorer:
+    """The worker's scorer of a broadcast model; it keeps one at a time."""
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Scorer(model.value)
+    return _scorers[key]
+
+
 def predict(docs: DataFrame, m: dict, text_col: str = "text", out_col: str = "language") -> DataFrame:
     """``docs`` plus a struct ``out_col`` (``lang_pred``, ``score``); only the text is an
     input."""
-    model = docs.sparkSession.sparkContext.broadcast(m)
-    key = uuid.uuid4().hex
+    model, key = docs.sparkSession.sparkContext.broadcast(m), uuid.uuid4().hex
 
     @F.arrow_udf("lang_pred string, score double")
     def run(text: pa.Array) -> pa.Array:
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(model.value)
-        got = [_scorers[key](t) for t in text.to_pylist()]
+        scorer, got = scorer_of(model, key), []
+        for i in range(0, len(text), SLICE_ROWS):
+            got += map(scorer, text.slice(i, SLICE_ROWS).to_pylist())
         return pa.StructArray.from_arrays([pa.array([x for x, _ in got], pa.string()),
                                            pa.array([x for _, x in got], pa.float64())], names=["lang_pred", "score"])
     return docs.withColumn(out_col, run(text_or_empty(text_col)))
 
 
+def recognized(docs: DataFrame, m: dict, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language is recognized, with ``lang_col`` set to it;
+    rows that get ``und`` are left out.  Every text is scored once: the decision and the
+    label leave the same pass."""
+    model, key = docs.sparkSession.sparkContext.broadcast(m), uuid.uuid4().hex
+    at, text_at = docs.columns.index(lang_col), docs.columns.index(text_col)
+
+    def run(batches):
+        for b in slices(batches):
+            found = [x for x, _ in map(scorer_of(model, key), b.column(text_at).cast(pa.string()).to_pylist())]
+            out = b.set_column(at, b.schema.field(at).name, pa.array(found, pa.string()))
+            kept = out.filter(pa.array([x != UND for x in found], pa.bool_()))
+            if kept.num_rows:
+                yield kept
+    schema = T.StructType([T.StructField(f.name, T.StringType() if i == at else f.dataType) for i, f in enumerate(docs.schema)])
+    return docs.mapInArrow(run, schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return crc_mod(id_col, 3) == 1
 

@@ -39,6 +39,11 @@ def test_stages_on_the_table(spark, word_bpe):
     assert all(np.frombuffer(r.ids, "<u4").tolist() == lib.encode(text[r.doc_id], add_special_tokens=False).ids for r in five)
 
 
+def test_language_scores_each_text_once(spark):
+    plan = cp.language(spark, documents(spark, HARD), SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
 def test_run(spark, tmp_path):
     out = cp.run(spark, SF)
     assert out.count() > 0 and "ids" in out.columns
