@@ -22,8 +22,8 @@ successful attempts report become part of the manifest, so a retried or
 speculative task never mixes in a half-written file.
 
 Defined results: a null or empty text holds the end id only; null document ids
-come first; rows that repeat an id are all written, ordered by their text; an
-empty table gives an empty manifest and no rows.
+come first; rows that repeat an id are all written, ordered by their text; a text of
+any length is encoded whole and has a frame of its own if it fills one; an empty table gives an empty manifest and no rows.
 """
 
 from __future__ import annotations
@@ -50,6 +50,7 @@ from docrank.session import scratch_path
 FRAME_BYTES = 1 << 20
 LEVEL = 3
 CACHE_ENTRIES = 200_000   # of each of two generations
+KEEP_CHARS = 200          # longer pieces are not kept
 STEP_BYTES = 4 << 20
 SLICE_ROWS = 1_000
 # the machine's array type that is unsigned, of four bytes and little-endian
@@ -174,17 +175,20 @@ class Reader:
 class ByteLevelEncoder:
     """Ids of whole texts by the tokenizers library, with a bounded cache.
 
-    The byte-level split never joins characters across a single space between
-    two other characters, except that the space begins the piece after it; so a
-    text falls apart at such spaces into pieces that encode independently."""
+    A text of known characters is split whole by one pattern, and each piece of the
+    split is encoded once.  Any other text falls apart at single spaces between two
+    other characters: the byte-level split never joins characters across such a space,
+    except that the space begins the piece after it, so these parts encode
+    independently too."""
 
     def __init__(self, path: str):
         self.lib = tokenizer(path)
-        self.first, self.rest, self.parts = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
+        self.cache = Recent(CACHE_ENTRIES)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec["pre_tokenizer"] or {}
-        self.added = [t["content"] for t in spec["added_tokens"]]
+        added = [re.escape(t["content"]) for t in spec["added_tokens"]]
+        self.added = re.compile("|".join(added)) if added else None
         self.known_split = (spec["normalizer"] is None and pre.get("type") == "ByteLevel"
                             and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
 
@@ -192,34 +196,15 @@ class ByteLevelEncoder:
         got = self.lib.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() if ARRAY_TYPE is None else array(ARRAY_TYPE, x.ids).tobytes() for x in got]
 
-    def _learn(self, cache: Recent, pieces: set, lead: str) -> dict:
-        """The cache with all the pieces; a piece that cannot stand alone has None."""
-        good = []
-        for p in cache.missing(pieces):
-            text = p.decode()
-            if text and not text[0].isspace() and not text[-1].isspace():
-                good.append((p, self._split(lead + text)))
-            else:
-                cache.now[p] = None
-        new = list(self.parts.missing({x for _, xs in good for x in xs}))
-        self.parts.now.update(zip(new, self._ids(new)))
-        get = self.parts.now.__getitem__
-        cache.now.update((p, b"".join(map(get, xs))) for p, xs in good)
-        return cache.now
-
-    def _split(self, text: str) -> list[str]:
-        """The words of a piece, where the split is known; else the piece."""
-        if self.known_split and _PLAIN.fullmatch(text) and not any(x in text for x in self.added):
+    def _pieces(self, text: str) -> list[str]:
+        """Pieces of a text that encode independently."""
+        if self.known_split and _PLAIN.fullmatch(text) and not (self.added and self.added.search(text)):
             return _SPLIT.findall(text)
-        return [text]
-
-    def _parts(self, text: bytes) -> list[str]:
-        """Pieces of a text with other white space at a single space."""
-        parts = text.decode().split(" ")
-        out = [parts[0]]
-        for p in parts[1:]:
+        head, *tail = text.split(" ")
+        out = [head]
+        for p in tail:
             if out[-1] and p and not out[-1][-1].isspace() and not p[0].isspace():
-                out.append(p)
+                out.append(" " + p)
             else:
                 out[-1] += " " + p
         return out
@@ -235,16 +220,14 @@ class ByteLevelEncoder:
         return out + self._step(step)
 
     def _step(self, texts: list[bytes]) -> list[bytes]:
-        pieces = [t.split(b" ") for t in texts]
-        first = self._learn(self.first, {p[0] for p in pieces}, "")
-        rest = self._learn(self.rest, set().union(*(p[1:] for p in pieces)), " ")
-        out = []
-        for t, (head, *tail) in zip(texts, pieces):
-            got = [first[head], *map(rest.__getitem__, tail)]
-            if None in got:
-                head, *tail = self._parts(t)
-                got = self._ids([head, *(" " + x for x in tail)])
-            out.append(b"".join(got))
+        pieces = [self._pieces(t.decode()) for t in texts]
+        new = list(self.cache.missing(set().union(*pieces)))
+        self.cache.now.update(zip(new, self._ids(new)))
+        get = self.cache.now.__getitem__
+        out = [b"".join(map(get, p)) for p in pieces]
+        for p in new:
+            if len(p) > KEEP_CHARS:
+                del self.cache.now[p]
         return out
 
 
