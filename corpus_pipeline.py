@@ -19,21 +19,14 @@ from docrank.llm.common import store
 from docrank.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_LANGUAGE_SCORE = 0.25
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognized, by a model of the labelled rows;
     ``lang`` becomes the recognized language.  Rejected are texts that are null or
-    without a letter.  ``MIN_LANGUAGE_SCORE`` rejects nothing with up to four
-    languages, as the best share is never below 1/4; with more it can.  A text of
-    words that no language has stays, with the likeliest name."""
-    model = lang_id.fit(docs)
-    found = lang_id.predict(docs, model, out_col="__language")
-    if not model["langs"]:
-        return docs.where(F.lit(False))
-    kept = found.where((F.col("__language.lang_pred") != lang_id.UND) & (F.col("__language.score") >= MIN_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.col("__language.lang_pred")).drop("__language")
+    without a letter; a text of words that no language has stays, with the likeliest
+    name."""
+    return lang_id.recognized(docs, lang_id.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
