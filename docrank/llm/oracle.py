@@ -67,6 +67,38 @@ SELECT t.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
   coalesce(n_phone, 0) AS n_phone, sha256(coalesce(s, '')) AS base_sha256, coalesce(s, '') AS spans
 FROM txt t LEFT JOIN per ON per.doc_id = t.doc_id"""
 
+OP12 = r"""
+WITH txt AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+cut AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  min(doc_id) OVER (PARTITION BY t) AS first_id FROM txt),
+masks AS (SELECT doc_id, part,
+    CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+  + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 4 ELSE 0 END
+  + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+  + CASE WHEN first_id < doc_id THEN 16 ELSE 0 END AS mask FROM cut),
+said AS (SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+counts AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM masks LEFT JOIN said USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, b)),
+orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.b + b.b + c.b + d.b + e.b = 31
+    AND len(list_distinct([a.b, b.b, c.b, d.b, e.b])) = 5),
+steps AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+res AS (SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (bit | before) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM res"""
+
 # op9's added kinds (IBAN, social security number) are not in the SQL: the tables it
 # runs on hold none, so spans are the base spans there.
-ORACLE_SQL = {"op2_rp_forest": OP2, "op7_setsketch": OP7, "op9_pii": OP9}
+ORACLE_SQL = {"op2_rp_forest": OP2, "op7_setsketch": OP7, "op9_pii": OP9, "op12_filter_audit": OP12}

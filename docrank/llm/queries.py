@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrank.llm import bpe, ctw, lang_id, mixing, perm_index, pii, rp_forest, setsketch, token_counts, token_files
+from docrank.llm import (bpe, ctw, filter_audit, lang_id, mixing, perm_index, pii, rp_forest, setsketch, token_counts,
+                         token_files, whitening)
 from docrank.llm.common import table
 from docrank.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -55,6 +56,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.language_report(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_permutation_index, op2_rp_forest, op3_token_counts, op4_bpe, op5_ctw, op6_pivotal_mix, op7_setsketch,
-    op8_token_files, op9_pii, op10_language_id)}
+    op8_token_files, op9_pii, op10_language_id, op12_filter_audit,
+    op13_feast_whitening)}
