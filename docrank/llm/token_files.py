@@ -49,7 +49,7 @@ from docrank.session import scratch_path
 
 FRAME_BYTES = 1 << 20
 LEVEL = 3
-CACHE_ENTRIES = 200_000   # of each of two generations
+CACHE_ENTRIES = 400_000   # of each of two generations
 KEEP_CHARS = 200          # longer pieces are not kept
 STEP_BYTES = 4 << 20
 SLICE_ROWS = 1_000
