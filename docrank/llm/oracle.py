@@ -67,6 +67,15 @@ SELECT t.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
   coalesce(n_phone, 0) AS n_phone, sha256(coalesce(s, '')) AS base_sha256, coalesce(s, '') AS spans
 FROM txt t LEFT JOIN per ON per.doc_id = t.doc_id"""
 
+# the pages of the tables hold one article element each, whose blocks are h1 and p and
+# whose references are &amp; (some without the semicolon) and &quot;
+OP11 = r"""
+WITH art AS (SELECT page_id, url, coalesce(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '') AS h FROM pages),
+txt AS (SELECT page_id, url, array_to_string(list_filter(list_transform(string_split_regex(h, '</?(?:h1|p)>'), lambda x:
+    trim(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'), '&quot;', '"'),
+      '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10) || chr(10)) AS text FROM art)
+SELECT page_id, url, text, length(text) AS n_chars FROM txt"""
+
 OP12 = r"""
 WITH txt AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
 cut AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
@@ -101,4 +110,4 @@ FROM res"""
 
 # op9's added kinds (IBAN, social security number) are not in the SQL: the tables it
 # runs on hold none, so spans are the base spans there.
-ORACLE_SQL = {"op2_rp_forest": OP2, "op7_setsketch": OP7, "op9_pii": OP9, "op12_filter_audit": OP12}
+ORACLE_SQL = {"op2_rp_forest": OP2, "op7_setsketch": OP7, "op9_pii": OP9, "op11_block_labeller": OP11, "op12_filter_audit": OP12}

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrank.llm import (bpe, ctw, filter_audit, lang_id, mixing, perm_index, pii, rp_forest, setsketch, token_counts,
-                         token_files, whitening)
+from docrank.llm import (bpe, ctw, filter_audit, html_blocks, lang_id, mixing, perm_index, pii, rp_forest, setsketch,
+                         token_counts, token_files, whitening)
 from docrank.llm.common import table
 from docrank.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -56,6 +56,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.language_report(table(spark, sf_dir, "documents"))
 
 
+def op11_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.text_report(table(spark, sf_dir, "pages"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -66,5 +70,5 @@ def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_permutation_index, op2_rp_forest, op3_token_counts, op4_bpe, op5_ctw, op6_pivotal_mix, op7_setsketch,
-    op8_token_files, op9_pii, op10_language_id, op12_filter_audit,
+    op8_token_files, op9_pii, op10_language_id, op11_block_labeller, op12_filter_audit,
     op13_feast_whitening)}
