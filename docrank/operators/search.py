@@ -2,7 +2,8 @@
 ``Index``); both offer ``terms_for(words)`` -> ``(doc_id, word,
 term_frequency)``, ``idf_for(words)`` -> ``(word, idf, n_postings)`` and
 ``weights_for(words)`` -> ``(doc_id, word, tf_idf)``, where ``words`` is a
-literal list or a DataFrame with a ``word`` column.
+literal list or a DataFrame with a ``word`` column.  For many queries they offer
+``blocks_for(words)`` -> postings with their document ranges, blocks, IDF.
 
 * ``search_sum``    score = sum of tf-idf of the matching words per document
                     (``set``: a repeated query term counts once, ``bag``: each
@@ -25,12 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docrank.functions.tokenize import WORD_LOWER, query_tokens
+from docrank.operators.blocks import ordered_sum, top_documents
 from docrank.session import ensure_checkpoint_dir
 
 SET = "set"
 BAG = "bag"
-# postings of a query's rarest words that give the first bound on its k-th score
-SEED_POSTINGS = 256
 
 
 # --------------------------------------------------------------------------
@@ -66,12 +66,6 @@ def batch_terms(queries: DataFrame, mode: str = WORD_LOWER, weighting: str = SET
 # --------------------------------------------------------------------------
 # single query
 # --------------------------------------------------------------------------
-def ordered_sum(contribution: Column) -> Column:
-    """Sum of a group's contributions in ascending order (a group holds the query
-    words of one document)."""
-    return F.aggregate(F.array_sort(F.collect_list(contribution)), F.lit(0.0), lambda a, x: a + x)
-
-
 def ranked(rows: DataFrame, k: int, *order: Column) -> DataFrame:
     """The first ``k`` rows with their ``rank`` from 1."""
     top = rows.orderBy(*order).limit(k)
@@ -127,56 +121,14 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
     query of ``queries(query_id, text)``; score = sum over the query's words
     of qtf x tf x idf.
 
-    Exact pruning, so that not every document that shares some word with a query
-    is scored: a word adds at most its bound qtf x idf x (largest tf of the word).
-
-    1. The postings of each query's rarest words give partial scores; the k-th
-       largest (plus what negative weights may take away) bounds the k-th score
-       from below.
-    2. Of each query the words with the most postings are set aside as long as
-       their bounds together stay below that: a document with none but such words
-       cannot enter the top k.  A query with fewer than k partial scores sets none
-       aside.
-    3. Documents in the postings of the remaining words are candidates and are
-       scored in full.
-
-    The term rows of the query words are written once (reliable checkpoint) and
-    read by all steps.  No size is guessed while the query is built: joins are
-    left to adaptive execution, which broadcasts, and splits hot words, by the
-    sizes it sees."""
+    Exact, and few documents are scored: see ``docrank.operators.blocks``.  No size is
+    guessed while the query is built: joins are left to adaptive execution, which
+    broadcasts, and splits hot words, by the sizes it sees."""
     ensure_checkpoint_dir(queries.sparkSession)
     terms = batch_terms(queries, mode, weighting).checkpoint()
-    facts = source.terms_for(terms).select("doc_id", "word", "term_frequency").checkpoint()
-    # per word: postings and largest term frequency, partial sums before the shuffle
-    stats = facts.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max("term_frequency").alias("max_tf"))
-    weighted = (terms.join(source.idf_for(terms).select("word", "idf"), "word").join(stats, "word")
-                .select("query_id", "word", "qtf", "idf", "n", "max_tf").checkpoint())
-    given = F.col("term_frequency") * F.col("idf") * F.col("qtf")
-    top = F.col("max_tf") * F.col("idf") * F.col("qtf")
-    by_query = Window.partitionBy("query_id")
-    rare = by_query.orderBy("n", "word").rowsBetween(Window.unboundedPreceding, -1)
-    common = by_query.orderBy(F.desc("n"), F.desc("word")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    words = weighted.select(
-        "query_id", "word", "qtf", "idf",
-        (F.coalesce(F.sum("n").over(rare), F.lit(0)) < SEED_POSTINGS).alias("seed"),
-        F.sum(F.greatest(top, F.lit(0.0))).over(common).alias("aside"),
-        F.sum(F.least(top, F.lit(0.0))).over(by_query).alias("loss"))
-    partial = (facts.join(words.where("seed"), "word").groupBy("query_id", "doc_id")
-               .agg(F.sum(given).alias("part")))
-    best = Window.partitionBy("query_id").orderBy(F.desc("part"))
-    kth = (partial.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k)
-           .where(F.col("rn") == k).select("query_id", "part"))
-    keep = (words.join(kth, "query_id", "left")
-            # a little slack for the rounding of the sums
-            .where(F.col("part").isNull() | (F.col("aside") >= (F.col("part") + F.col("loss")) * (1 - 1e-9) - 1e-15)))
-    candidates = facts.join(keep.select("query_id", "word"), "word").select("query_id", "doc_id").distinct()
-    rows = candidates.join(weighted.select("query_id", "word", "qtf", "idf"), "query_id").join(facts, ["doc_id", "word"])
-    scored = rows.groupBy("query_id", "doc_id").agg(ordered_sum(given).alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
-    # the filter must compare row_number itself for Spark to infer the group limit
-    return (scored.withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= k)
-            .select("query_id", F.col("rn").cast("long").alias("rank"), "doc_id", "score"))
+    postings, blocks, idf = source.blocks_for(terms)
+    words = terms.join(idf, "word").select("query_id", "word", (F.col("qtf") * F.col("idf")).alias("gain")).checkpoint()
+    return top_documents(words, blocks, postings, k)
 
 
 # --------------------------------------------------------------------------

@@ -259,6 +259,19 @@ def q_overwrite_index_search(spark, sf_dir):
     return S.search_sum(idx, spark, QUERY, idx.tokenizer, "set").select("doc_id", r8("score"))
 
 
+def q_index_versions_search(spark, sf_dir):
+    """An index replaced while a reader is open: the reader goes on with its version,
+    a new one sees the new index."""
+    path = scratch_path(spark, "index")
+    sink.write_index(model(spark, sf_dir, "mapreduce"), path, buckets=8)
+    before = read_index(spark, path)
+    sink.write_index(model(spark, sf_dir), path, buckets=16)
+    after = read_index(spark, path)
+    found = [S.search_sum(i, spark, QUERY, i.tokenizer, "set").select(F.lit(name).alias("version"), "doc_id", r8("score"))
+             for name, i in (("before", before), ("after", after))]
+    return found[0].unionByName(found[1])
+
+
 def q_term_frequency_6dp_text(spark, sf_dir):
     """Term frequencies as text with six places."""
     m = TfIdf(documents(spark, sf_dir), tokenizer=WORD_LOWER)
@@ -382,6 +395,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_captured": q_read_captured,
     "save_results_roundtrip": q_save_results_roundtrip,
     "overwrite_index_search": q_overwrite_index_search,
+    "index_versions_search": q_index_versions_search,
     "lines_corpus_word_count": q_lines_corpus_word_count,
     "lines_last_field_word_count": q_lines_last_field_word_count,
     "lines_fragment_arity": q_lines_fragment_arity,

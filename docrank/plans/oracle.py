@@ -193,6 +193,10 @@ WHERE rank <= 5""")
 SELECT doc_id, round(sum(w.tf_idf * qt.qtf), 8) AS score
 FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
     q["overwrite_index_search"] = q["save_results_roundtrip"] = q["index_search_sum"]
+    old, new = (with_(f + ",\nqt AS (" + literal_terms(QUERY) + ")", f"""
+SELECT '{name}' AS version, doc_id, round(sum(w.tf_idf * qt.qtf), 8) AS score
+FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""") for name, f in (("before", mr_flavor), ("after", sql_flavor)))
+    q["index_versions_search"] = f"({old}) UNION ALL ({new})"
     q["index_search_batch_top5"] = q["search_batch_top5"]
     q["tsv_export_import"] = with_(sql_flavor, "SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w")
     q["tsv_stage1_roundtrip"] = with_(rdd_flavor, """

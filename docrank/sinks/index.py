@@ -1,12 +1,13 @@
 """Index and result sinks.
 
-Stored index layout (``write_index``)::
+Stored index layout (``write_index``), in a versioned folder (``docrank.sinks.versions``)::
 
-    <path>/postings/bucket=<b>/*.parquet   word, doc_id, frequency, total_words,
-                                           term_frequency  (sorted by word, doc_id)
-    <path>/vocabulary/bucket=<b>/*.parquet word, doc_frequency
-    <path>/meta/*.parquet                  one row: n_docs, tokenizer, idf_kind,
-                                           tf_decimals, buckets
+    <version>/postings/bucket=<b>/*.parquet   word, range, doc_id, frequency, total_words,
+                                              term_frequency  (sorted by word, range, doc_id)
+    <version>/blocks/bucket=<b>/*.parquet     word, range, max_tf, n_postings
+    <version>/vocabulary/bucket=<b>/*.parquet word, doc_frequency
+    <version>/meta/*.parquet                  one row: n_docs, tokenizer, idf_kind,
+                                              tf_decimals, buckets
 
 ``bucket = pmod(xxhash64(word), buckets)``.  A search for a few words reads only
 their buckets (partition pruning) and, inside them, only the row groups whose
@@ -14,15 +15,21 @@ word range covers the terms (min/max statistics on the word-sorted files).
 Choose ``buckets`` so that a bucket holds a few files (postings size / ~1 GB).  The
 index never stores the product tf x idf: it is formed at search time for the
 query words only, which avoids the corpus-wide postings x vocabulary join.
+
+A block is the postings of a word in one range of documents (``docrank.operators.blocks``)
+with the largest term frequency among them, which lets a search for many queries skip
+most ranges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docrank.functions.numeric import format_fixed
+from docrank.operators.blocks import blocks_of, doc_range, sub_ranges
 from docrank.plans.model import TfIdf
+from docrank.sinks import versions
 
 DEFAULT_BUCKETS = 64
 
@@ -33,10 +40,31 @@ def bucket_of(word_col, buckets: int):
 
 def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
                 mode: str = "overwrite") -> str:
-    """Materialize ``model`` as a stored index at ``path`` (runs three jobs:
-    postings, vocabulary, meta).  Returns ``path``."""
+    """Materialize ``model`` as a stored index at ``path`` (four jobs: postings, meta,
+    blocks, vocabulary).  The build goes to a folder of its own and is published by one
+    rename at the end: readers see the old index or the new one, never a mixture, and a
+    build that fails changes nothing.  ``mode='errorifexists'`` refuses to replace a
+    published index.  Returns ``path``."""
     spark = model.spark
-    postings = (model.tf.withColumn("bucket", bucket_of(F.col("word"), buckets))
+    if mode not in ("overwrite", "errorifexists"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == "errorifexists" and versions.versions_of(spark, path):
+        raise FileExistsError(f"an index is published at {path}")
+    version = versions.new_version()
+    folder = f"{path}/versions/{version}"
+    write_postings(model, folder, buckets)
+    write_meta(model, folder, buckets)
+    write_blocks(spark, folder)
+    write_vocabulary(spark, folder)
+    versions.mark(spark, path, version)
+    versions.publish(spark, path, version)
+    return path
+
+
+def write_postings(model: TfIdf, folder: str, buckets: int) -> None:
+    size = model.corpus_size().select(F.col("n_docs").cast("double")).scalar()
+    placed = doc_range(F.col("doc_id"), F.col("total_words"), sub_ranges(size))
+    postings = (model.tf.withColumn("bucket", bucket_of(F.col("word"), buckets)).withColumn("range", placed)
                 # rebalance on the bucket: AQE cuts a large (hot) bucket into
                 # advisory-size pieces and merges small ones, so files are even
                 # and each is written into one bucket directory.  A global sort
@@ -45,10 +73,12 @@ def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
                 .hint("rebalance", "bucket")
                 # sorted files: min/max statistics let a word filter skip the
                 # row groups of other words
-                .sortWithinPartitions("bucket", "word", "doc_id")
-                .select("bucket", "word", "doc_id", "frequency", "total_words", "term_frequency"))
-    postings.write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings")
+                .sortWithinPartitions("bucket", "word", "range", "doc_id")
+                .select("bucket", "word", "range", "doc_id", "frequency", "total_words", "term_frequency"))
+    postings.write.partitionBy("bucket").parquet(f"{folder}/postings")
+
 
+def write_meta(model: TfIdf, folder: str, buckets: int) -> None:
     meta = model.corpus_size().select(
         F.col("n_docs").cast("long").alias("n_docs"),
         F.lit(model.tokenizer).alias("tokenizer"),
@@ -57,14 +87,23 @@ def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
         F.lit(buckets).alias("buckets"),
         (model.n_docs if model.n is not None else F.lit(None)).cast("double").alias("n_override"),
         F.lit(model.doc_frequency_override).cast("long").alias("df_override"))
-    meta.coalesce(1).write.mode(mode).parquet(f"{path}/meta")
+    meta.coalesce(1).write.parquet(f"{folder}/meta")
 
-    # document frequency from the stored postings: only (bucket, word) is read
-    stored = spark.read.parquet(f"{path}/postings")
-    vocab = stored.groupBy("bucket", "word").agg(F.count(F.lit(1)).alias("doc_frequency"))
+
+def write_blocks(spark: SparkSession, folder: str) -> None:
+    """Blocks of the stored postings; the documents of a block add up in every task
+    before the shuffle."""
+    stored = spark.read.parquet(f"{folder}/postings")
+    (blocks_of(stored, "bucket").hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "range")
+     .write.partitionBy("bucket").parquet(f"{folder}/blocks"))
+
+
+def write_vocabulary(spark: SparkSession, folder: str) -> None:
+    """Document frequencies: the postings of a word's blocks."""
+    stored = spark.read.parquet(f"{folder}/blocks")
+    vocab = stored.groupBy("bucket", "word").agg(F.sum("n_postings").alias("doc_frequency"))
     (vocab.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word")
-     .write.mode(mode).partitionBy("bucket").parquet(f"{path}/vocabulary"))
-    return path
+     .write.partitionBy("bucket").parquet(f"{folder}/vocabulary"))
 
 
 # Keys of the three text stages.

@@ -10,18 +10,21 @@ from docrank.operators import weights as W
 from docrank.operators.search import Searchable
 from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
 from docrank.sinks.index import DOC_WORD, DOC_WORD_N, WORD_DOC, bucket_of
+from docrank.sinks.versions import resolve
 
 
 class Index(Searchable):
     """A stored index (see ``docrank.sinks.index``) as a weights source for
-    the search operators."""
+    the search operators.  The version is resolved once, here: an index that is replaced
+    meanwhile does not change what this reader sees."""
 
     def __init__(self, spark: SparkSession, path: str,
                  max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY):
         self.spark = spark
         self.path = path
         self.max_rows_per_key = max_rows_per_key
-        metas = spark.read.parquet(f"{path}/meta")          # one row per build / stream batch
+        folder = self.folder = resolve(spark, path)
+        metas = spark.read.parquet(f"{folder}/meta")          # one row per build / stream batch
         meta = (metas.orderBy("batch_id") if "batch_id" in metas.columns else metas).first()
         self.n_docs = int(metas.agg(F.sum("n_docs")).first()[0])
         self.n = meta["n_override"] if meta["n_override"] is not None else float(self.n_docs)
@@ -30,8 +33,9 @@ class Index(Searchable):
         self.tf_decimals = meta["tf_decimals"]
         self.buckets = int(meta["buckets"])
         self.df_override = meta["df_override"]
-        self.postings = spark.read.parquet(f"{path}/postings")
-        vocab = spark.read.parquet(f"{path}/vocabulary")
+        self.postings = spark.read.parquet(f"{folder}/postings")
+        self.blocks = spark.read.parquet(f"{folder}/blocks")
+        vocab = spark.read.parquet(f"{folder}/vocabulary")
         if "batch_id" in vocab.columns:       # streamed index: per-batch deltas
             vocab = vocab.groupBy("bucket", "word").agg(
                 F.sum("doc_frequency").cast("long").alias("doc_frequency"))
@@ -51,27 +55,42 @@ class Index(Searchable):
 
     def weights(self) -> DataFrame:
         """Full (word, doc_id, ..., tf_idf) table, salted for hot words."""
-        return W.tf_idf(self.postings.drop("bucket"), self.idf().drop("bucket"), self.max_rows_per_key)
+        return W.tf_idf(self.postings.drop("bucket", "range"), self.idf().drop("bucket"), self.max_rows_per_key)
 
     def _bucket_filter(self, words: list[str]):
         return F.col("bucket").isin([bucket_of(F.lit(w), self.buckets) for w in words])
 
+    def _words(self, words: DataFrame) -> tuple[DataFrame, list[int]]:
+        """``(bucket, word)`` of a word table, and the buckets it touches (at most
+        ``buckets`` small integers, fetched)."""
+        w = words.select("word").distinct().withColumn("bucket", bucket_of(F.col("word"), self.buckets))
+        return w, [r["bucket"] for r in w.select("bucket").distinct().collect()]
+
     def _restrict(self, df: DataFrame, words) -> DataFrame:
-        """Rows of ``df`` (postings or vocabulary) whose word is in ``words``:
+        """Rows of ``df`` (postings, blocks or vocabulary) whose word is in ``words``:
         a literal list prunes buckets statically and pushes ``word IN (..)``
-        into the scan; for a word table the distinct buckets it touches (at
-        most ``buckets`` small integers) are fetched first and become a static
-        partition filter, then a semi join on (bucket, word) keeps its words."""
+        into the scan; for a word table (or what ``_words`` made of it) the buckets it
+        touches become a static partition filter, then a semi join on (bucket, word)
+        keeps its words."""
         if isinstance(words, list) and not words:
             return df.limit(0)
         if isinstance(words, list):
             return df.where(self._bucket_filter(words) & F.col("word").isin(words))
-        w = words.select("word").distinct().withColumn("bucket", bucket_of(F.col("word"), self.buckets))
-        touched = [r["bucket"] for r in w.select("bucket").distinct().collect()]
+        w, touched = words if isinstance(words, tuple) else self._words(words)
         if len(touched) < self.buckets:
             df = df.where(F.col("bucket").isin(touched))
         return df.join(w, ["bucket", "word"], "left_semi")
 
+    def blocks_for(self, words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Postings ``(doc_id, word, range, term_frequency)`` of ``words``, their blocks (of
+        all batches of a streamed index together), and ``(word, idf)``."""
+        found = self._words(words)
+        blocks = self._restrict(self.blocks, found)
+        if "batch_id" in blocks.columns:
+            blocks = blocks.groupBy("word", "range").agg(F.max("max_tf").alias("max_tf"))
+        postings = self._restrict(self.postings, found).select("doc_id", "word", "range", "term_frequency")
+        return postings, blocks.select("word", "range", "max_tf"), self._restrict(self.idf(), found).select("word", "idf")
+
     def idf_table(self) -> DataFrame:
         return self.idf().select("word", "idf", "n_postings")
 

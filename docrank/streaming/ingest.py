@@ -5,6 +5,8 @@ counted per row (the same no-shuffle operator as the batch path) and appended
 to a stored index.  Every micro-batch appends
 
 * its postings under ``postings/bucket=<b>/``,
+* its blocks (largest term frequency per word and document range) under
+  ``blocks/bucket=<b>/``,
 * its per-word document counts under ``vocabulary/bucket=<b>/``,
 * its document count as one ``meta`` row,
 
@@ -22,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docrank.functions.tokenize import WORD_LOWER
 from docrank.operators import weights as W
+from docrank.operators.blocks import blocks_of, doc_range, sub_ranges
 from docrank.session import scratch_path
 from docrank.sinks.index import DEFAULT_BUCKETS, bucket_of
 
@@ -39,10 +42,12 @@ def corpus_stream(spark: SparkSession, path: str, schema: str = CORPUS_SCHEMA,
 
 def _append_batch(index_path: str, tokenizer: str, idf_kind: str, buckets: int):
     def write(batch: DataFrame, batch_id: int) -> None:
+        subs = sub_ranges(batch.select(F.count(F.lit(1)).cast("double")).scalar())
         terms = (W.term_frequency(W.terms(batch, tokenizer))
                  .withColumn("bucket", bucket_of(F.col("word"), buckets))
+                 .withColumn("range", doc_range(F.col("doc_id"), F.col("total_words"), subs))
                  .withColumn("batch_id", F.lit(batch_id).cast("long")))
-        postings = terms.select("word", "doc_id", "frequency", "total_words", "term_frequency",
+        postings = terms.select("word", "range", "doc_id", "frequency", "total_words", "term_frequency",
                                 "bucket", "batch_id")
         # dynamic overwrite of this batch's partitions: a replayed batch
         # replaces its own earlier partial output instead of duplicating it
@@ -50,7 +55,12 @@ def _append_batch(index_path: str, tokenizer: str, idf_kind: str, buckets: int):
          .partitionBy("bucket", "batch_id").parquet(f"{index_path}/postings"))
         stored = (batch.sparkSession.read.parquet(f"{index_path}/postings")
                   .where(F.col("batch_id") == batch_id))
-        vocab = (stored.groupBy("bucket", "word").agg(F.count(F.lit(1)).alias("doc_frequency"))
+        (blocks_of(stored, "bucket").withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket", "batch_id").parquet(f"{index_path}/blocks"))
+        stored = (batch.sparkSession.read.parquet(f"{index_path}/blocks")
+                  .where(F.col("batch_id") == batch_id))
+        vocab = (stored.groupBy("bucket", "word").agg(F.sum("n_postings").alias("doc_frequency"))
                  .withColumn("batch_id", F.lit(batch_id).cast("long")))
         (vocab.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("bucket", "batch_id").parquet(f"{index_path}/vocabulary"))

@@ -1,12 +1,15 @@
 """Query cases (FIXTURES 4): search over the model and over a stored index."""
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import corpus_df
 from docrank import TfIdf
-from docrank.operators import search as S
+from docrank.operators import blocks as B, search as S
+from docrank.session import scratch_path
+from docrank.sinks import index as sink, versions as V
 from docrank.sinks.index import write_index
 from docrank.sources.index import read_index
 
@@ -204,13 +207,78 @@ def test_batch_pruning_is_exact(spark, monkeypatch):
     queries = [(i, " ".join(r.choices(words, k=r.randint(0, 12)))) for i in range(25)]
     m = TfIdf(corpus_df(spark, docs))
     q = spark.createDataFrame(queries, "query_id long, text string")
-    monkeypatch.setattr(S, "SEED_POSTINGS", 20)
+    monkeypatch.setattr(B, "SEED_RANGES", 1)
+    index = write_index(m, scratch_path(spark, "pruned"), buckets=4)
+    for source in (m, read_index(spark, index)):
+        got = {}
+        for x in S.search_batch(source, q, weighting="bag", k=4).collect():
+            got.setdefault(x["query_id"], []).append((x["rank"], x["doc_id"], x["score"]))
+        for i, text in queries:
+            want = [(x["rank"], x["doc_id"], x["score"]) for x in S.search_sum(m, spark, text, weighting="bag", k=4).collect()]
+            assert sorted(got.get(i, [])) == want
+
+
+def test_batch_with_negative_weights(spark):
+    """A literal N below the document frequency gives negative IDF."""
+    rows = [(f"d{i:02}", "common " + "rare " * (i % 4) + f"w{i % 7}") for i in range(60)]
+    q = spark.createDataFrame([(1, "common rare w3"), (2, "common")], "query_id long, text string")
+    m = TfIdf(corpus_df(spark, rows), idf_kind="raw", n=20)
     got = {}
-    for x in S.search_batch(m, q, weighting="bag", k=4).collect():
+    for x in S.search_batch(m, q, k=6).collect():
         got.setdefault(x["query_id"], []).append((x["rank"], x["doc_id"], x["score"]))
-    for i, text in queries:
-        want = [(x["rank"], x["doc_id"], x["score"]) for x in S.search_sum(m, spark, text, weighting="bag", k=4).collect()]
-        assert sorted(got.get(i, [])) == want
+    for i, text in ((1, "common rare w3"), (2, "common")):
+        assert sorted(got[i]) == [(x["rank"], x["doc_id"], x["score"]) for x in S.search_sum(m, spark, text, k=6).collect()]
+
+
+def test_batch_scores_few_of_the_pairs(spark):
+    """On prose of many lengths most ranges are skipped."""
+    import random
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    docs = [(f"d{i:05}", " ".join(r.choices(words, weights=[1 / (j + 1) for j in range(400)], k=int(2 ** r.uniform(1, 9))))) for i in range(3_000)]
+    m = TfIdf(corpus_df(spark, docs))
+    q = spark.createDataFrame([(i, " ".join(r.choices(words, k=8))) for i in range(10)], "query_id long, text string")
+    terms = S.batch_terms(q)
+    postings, blocks, idf = m.blocks_for(terms)
+    gains = terms.join(idf, "word").select("query_id", "word", (F.col("qtf") * F.col("idf")).alias("gain"))
+    kept = B.candidate_ranges(B.range_bounds(gains, blocks), gains, postings, 5)
+    scored = B.postings_in(kept, gains, postings).select("query_id", "doc_id").distinct().count()
+    shared = terms.join(postings, "word").select("query_id", "doc_id").distinct().count()
+    assert scored < shared / 4
+
+
+def test_open_reader_keeps_its_version_and_old_ones_go(spark):
+    path = scratch_path(spark, "versions")
+    one, two = TfIdf(corpus_df(spark, ROWS)), TfIdf(corpus_df(spark, ROWS[:3]))
+    write_index(one, path, buckets=4)
+    before = read_index(spark, path)
+    write_index(two, path, buckets=2)
+    after = read_index(spark, path)
+    assert (before.n_docs, after.n_docs) == (6, 3)
+    assert scores(S.search_sum(before, spark, "fig date")) == scores(S.search_sum(one, spark, "fig date"))
+    assert scores(S.search_sum(after, spark, "fig date")) == scores(S.search_sum(two, spark, "fig date"))
+    write_index(one, path, buckets=4)
+    assert len(V.versions_of(spark, path)) == 2 and len(os.listdir(f"{path.removeprefix('file:')}/versions")) == 2
+    with pytest.raises(FileExistsError):
+        write_index(one, path, mode="errorifexists")
+
+
+@pytest.mark.parametrize("step", ["write_meta", "write_blocks", "write_vocabulary"])
+def test_failed_build_changes_nothing(spark, monkeypatch, step):
+    path = scratch_path(spark, "failed")
+    write_index(TfIdf(corpus_df(spark, ROWS)), path, buckets=4)
+    before = V.versions_of(spark, path)
+
+    def fail(*args):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as at:
+        at.setattr(sink, step, fail)
+        with pytest.raises(RuntimeError):
+            write_index(TfIdf(corpus_df(spark, ROWS[:2])), path, buckets=4)
+    assert V.versions_of(spark, path) == before and read_index(spark, path).n_docs == 6
+    monkeypatch.setattr(V, "STALE_MS", -1)      # the folder of the failed build goes with the next one
+    write_index(TfIdf(corpus_df(spark, ROWS[:2])), path, buckets=4)
+    assert read_index(spark, path).n_docs == 2 and len(os.listdir(f"{path.removeprefix('file:')}/versions")) == 2
 
 
 def test_posting_list_of_string_ids(spark):
