@@ -104,11 +104,15 @@ def search_rows(source, spark: SparkSession, query: str, mode: str = WORD_LOWER,
     return rows.orderBy(*order) if k is None else ranked(rows, k, *order)
 
 
-def with_text(result: DataFrame, corpus: DataFrame) -> DataFrame:
+def with_text(result: DataFrame, corpus) -> DataFrame:
     """Attach ``text`` to a result, lazily; a result with a ``rank`` keeps its
-    order.  The planner broadcasts a result that it knows to be small (a top k
-    is) and else shuffles both sides."""
-    out = result.join(corpus.select("doc_id", "text"), "doc_id")
+    order.  ``corpus`` is a document store, of which the buckets of the result's
+    documents are read, or a corpus DataFrame, which is scanned.  The planner broadcasts
+    a result that it knows to be small (a top k is) and else shuffles both sides."""
+    if isinstance(corpus, DataFrame):
+        out = result.join(corpus.select("doc_id", "text"), "doc_id")
+    else:
+        out = corpus.attach(result)
     return out.orderBy("rank") if "rank" in result.columns else out
 
 

@@ -18,6 +18,7 @@ from docrank.plans.model import TfIdf
 from docrank.plans.oracle import BAG_QUERY, FOLLOWUP_QUERY, QUERY, ROWS_QUERY
 from docrank.session import scratch_path
 from docrank.sinks import index as sink
+from docrank.sinks.store import read_doc_store, write_doc_store
 from docrank.sources import corpus as src
 from docrank.sources.index import read_captured, read_index, read_per_doc, read_tsv
 
@@ -76,6 +77,24 @@ def q_csv_arity_filter(spark, sf_dir):
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
+def q_csv_corpus_split_multiline(spark, sf_dir):
+    """The documents in one CSV file with line breaks in quotes, read by byte ranges."""
+    raw = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*DOC_COLUMNS)
+    path = scratch_path(spark, "csv-one")
+    sink.write_csv_corpus(raw.coalesce(1), path)
+    back = src.read_csv_corpus(spark, path, columns=DOC_COLUMNS, id_col="doc_id", text_col="text", split=True)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def q_csv_corpus_splittable(spark, sf_dir):
+    """One record per line (line breaks in texts become spaces): files are cut anywhere."""
+    raw = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*DOC_COLUMNS)
+    path = scratch_path(spark, "csv-lines")
+    sink.write_csv_corpus(raw.withColumn("text", F.regexp_replace("text", "[\\r\\n]", " ")), path)
+    back = src.read_csv_corpus(spark, path, columns=DOC_COLUMNS, id_col="doc_id", text_col="text", multi_line=False)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 def _word_count(mode):
     def q(spark, sf_dir):
         return TfIdf(documents(spark, sf_dir), tokenizer=mode).word_count()
@@ -154,6 +173,14 @@ def _search_rows(k):
     return q
 
 
+def q_store_search_rows_top5(spark, sf_dir):
+    """The five best rows with their texts from a document store."""
+    m = model(spark, sf_dir)
+    store = read_doc_store(spark, write_doc_store(m.raw_corpus, scratch_path(spark, "store"), buckets=64))
+    rows = S.search_rows(m, spark, ROWS_QUERY, WORD_LOWER, k=5)
+    return S.with_text(rows, store).select("rank", "doc_id", "word", r10("tf_idf"), "text")
+
+
 def q_followup_search(spark, sf_dir):
     m = model(spark, sf_dir)
     first = S.search_rows(m, spark, ROWS_QUERY, WORD_LOWER, k=5)
@@ -359,6 +386,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_size": q_corpus_size,
     "csv_corpus_roundtrip": q_csv_corpus_roundtrip,
     "csv_arity_filter": q_csv_arity_filter,
+    "csv_corpus_split_multiline": q_csv_corpus_split_multiline,
+    "csv_corpus_splittable": q_csv_corpus_splittable,
     "word_count_lower": _word_count(WORD_LOWER),
     "word_count_split": _word_count(NONWORD_SPLIT),
     "word_count_alpha": _word_count(ALPHA),
@@ -380,6 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_sum_bag": q_search_sum_bag,
     "search_rows_top2": _search_rows(2),
     "search_rows_top5": _search_rows(5),
+    "store_search_rows_top5": q_store_search_rows_top5,
     "followup_search": q_followup_search,
     "vocabulary_desc_top20": q_vocabulary_desc_top20,
     "search_batch_top5": q_search_batch_top5,

@@ -102,6 +102,8 @@ def oracle_sql() -> dict[str, str]:
 
     q["corpus_size"] = "SELECT count(*) AS n_docs FROM documents"
     q["csv_corpus_roundtrip"] = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
+    q["csv_corpus_split_multiline"] = q["csv_corpus_roundtrip"]
+    q["csv_corpus_splittable"] = "SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\r\\n]', ' ', 'g') AS text FROM documents"
     q["csv_arity_filter"] = ("SELECT doc_id, coalesce(text, '') AS text FROM documents "
                              "WHERE lang NOT IN ('fr', 'es')")
     for name, tok in [("word_count_lower", "word_lower"), ("word_count_split", "nonword_split"),
@@ -157,6 +159,7 @@ JOIN documents d ON r.doc_id = d.doc_id"""
     for k in (2, 5):
         q[f"search_rows_top{k}"] = with_(sql_flavor + ",\nqt AS (" + literal_terms(ROWS_QUERY) + ")",
                                          rows_body.format(k=k))
+    q["store_search_rows_top5"] = q["search_rows_top5"]
     q["followup_search"] = with_(
         sql_flavor + ",\nqt AS (" + literal_terms(ROWS_QUERY) + "),\nqf AS (" + literal_terms(FOLLOWUP_QUERY) + ")",
         """

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docrank.sources.csv_split import read_split_csv
+
 
 def _fill(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
@@ -40,7 +42,7 @@ def csv_schema(columns: list[str]) -> T.StructType:
 def read_csv_corpus(spark: SparkSession, path: str, columns: list[str],
                     id_col: str = "id", text_col: str = "content",
                     strict_arity: bool = False, header: bool = True,
-                    multi_line: bool = True) -> DataFrame:
+                    multi_line: bool = True, split: bool = False) -> DataFrame:
     """CSV corpus with RFC 4180 quoting: quoted commas and doubled quotes stay
     inside one field.
 
@@ -49,9 +51,12 @@ def read_csv_corpus(spark: SparkSession, path: str, columns: list[str],
     ``len(columns)``.
 
     ``multi_line=True`` also keeps quoted line breaks inside a field, at the price
-    of one task per file: store such a corpus as many files.
+    of one task per file: store such a corpus as many files, or set ``split=True``, which
+    reads a file twice and by many tasks (see ``docrank.sources.csv_split``).
     ``multi_line=False`` reads one record per line and splits large files.
     """
+    if multi_line and split:
+        return from_table(read_split_csv(spark, path, columns, strict_arity, header), id_col, text_col)
     reader = (spark.read.schema(csv_schema(columns))
               .option("header", str(header).lower())
               .option("multiLine", str(multi_line).lower())
