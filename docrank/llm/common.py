@@ -65,11 +65,12 @@ def by_group(rows: DataFrame, keys: list[str], fn, schema: str, batch_rows: int
     def run(batches):
         held: list = []
         size = many = 0
+        rows_at, bytes_at = batch_rows, batch_bytes
         for b in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             held.append(b)
             size += b.num_rows
             many += b.nbytes
-            if size >= batch_rows or many >= batch_bytes:
+            if size >= rows_at or many >= bytes_at:
                 table = pa.Table.from_batches(held)
                 # all but the last group are complete: the rows are sorted by the keys
                 cut = _last_group(table, keys)
@@ -77,6 +78,8 @@ def by_group(rows: DataFrame, keys: list[str], fn, schema: str, batch_rows: int
                     yield from fn(table.slice(0, cut)).to_batches()
                 held = table.slice(cut).to_batches()
                 size, many = table.num_rows - cut, table.slice(cut).nbytes
+                # a group that goes on is looked at again when it has doubled
+                rows_at, bytes_at = max(batch_rows, 2 * size), max(batch_bytes, 2 * many)
         if size:
             yield from fn(pa.Table.from_batches(held)).to_batches()
 

@@ -5,20 +5,20 @@ The text (A-Z lower-cased) is a sequence of bytes followed by an end byte
 the 255 decision nodes has a context tree of its own.  The first 16 levels of a
 tree split by single bits: the class of the byte before (6 bits), of the second
 (5 bits) and of the third (5 bits).  The next levels split by the real bytes: the
-three bytes before, then the fourth, the fifth and the sixth.  Each tree node holds
+three bytes before, then the fourth and the fifth.  Each tree node holds
 the zeros and ones seen below it and their Krichevsky-Trofimov block probability
 Pe; the weighted probability is Pw = 1/2 Pe + 1/2 of the product of the children's
 Pw, and Pe at the last level.  A decision's probability mixes the KT estimates of
 all levels of its context path, each by its posterior weight 1/2 Pe / Pw.
 
-The counts come from every training text: each seen string of seven bytes (context
+The counts come from every training text: each seen string of six bytes (context
 and byte) with its count is a row of a stored table, which grows with the corpus.
 The part of a tree below three real bytes is built by a task from the rows of these
 three bytes.  Only the first 16 levels are bounded (2^16 contexts): the driver mixes
 those of their contexts and nodes that occur, and broadcasts them to the tasks that
 price strings.  The ``HOT_GRAMS`` most
-frequent strings are broadcast with their log10 P; those of a text that miss them
-are priced apart and joined.
+frequent strings are broadcast with their log10 P and looked up by hash; those of a text
+that miss them leave it once each, with their count, and are priced apart and joined.
 
 Beside it stands the add-one unigram base over words.  Word counts cover all
 training texts and stay in a table; only the ``HOT_WORDS`` most frequent are
@@ -33,6 +33,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -48,10 +49,10 @@ END_WORD = b"\n"          # no word holds white space
 HOT_WORDS = 200_000
 FLUSH_WORDS = 500_000
 HOT_GRAMS = 1_000_000
-FLUSH_GRAMS = 1_000_000
+FLUSH_GRAMS = 2_000_000
 GROUP_ROWS = 65_536
 STEP_BYTES = 4 << 20
-FIRST, LAST = 3, 6        # bytes of context of the first and of the last level of real bytes
+FIRST, LAST = 3, 5        # bytes of context of the first and of the last level of real bytes
 
 
 # ---- contexts --------------------------------------------------------------------
@@ -79,7 +80,7 @@ C1, C2, C3 = SIX << np.uint32(18), FIVE << np.uint32(13), FIVE << np.uint32(8)
 
 def grams(texts: list[bytes]):
     """``(first, last, grams, starts)`` for runs of texts: for every byte and end byte the
-    six bytes before it, the nearest one highest, and the byte itself as the low
+    ``LAST`` bytes before it, the nearest one highest, and the byte itself as the low
     one, and where each text's grams start."""
     pad, i = bytes([END_BYTE]) * LAST, 0
     while i < len(texts):
@@ -87,7 +88,7 @@ def grams(texts: list[bytes]):
         while j < len(texts) and (j == i or size + len(texts[j]) < STEP_BYTES):
             size += len(texts[j])
             j += 1
-        # each text is led by six end bytes; the first of the next one's is its end
+        # each text is led by ``LAST`` end bytes; the first of the next one's is its end
         raw = np.frombuffer(pad + b"".join(t + pad for t in texts[i:j]), np.uint8)
         sizes = np.fromiter((len(t) + LAST for t in texts[i:j]), np.int64, j - i)
         n = len(raw) - LAST
@@ -105,12 +106,8 @@ def grams(texts: list[bytes]):
 
 def cells_of(gram: np.ndarray) -> np.ndarray:
     """The cell of a gram: the classes of three bytes, and the low byte."""
-    return C1[gram >> 48] | C2[(gram >> 40) & 255] | C3[(gram >> 32) & 255] | (gram & 255).astype(np.uint32)
-
-
-def steps(texts: list[bytes]):
-    """``grams`` by cell (context class and byte)."""
-    return ((i, j, cells_of(gram), starts) for i, j, gram, starts in grams(texts))
+    near, second, third = ((gram >> 8 * (LAST - k)) & 255 for k in range(3))
+    return C1[near] | C2[second] | C3[third] | (gram & 255).astype(np.uint32)
 
 
 # ---- model -----------------------------------------------------------------------
@@ -132,86 +129,6 @@ def _kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return out
 
 
-def _node_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones of the decision nodes (heap order, node 1 decides the top
-    bit) from counts by byte."""
-    n0, n1 = np.zeros(counts.shape), np.zeros(counts.shape)
-    level = counts
-    for bit in range(8):
-        pairs = level.reshape(len(counts), -1, 2)
-        width = pairs.shape[1]
-        n0[:, width:2 * width], n1[:, width:2 * width] = pairs[:, :, 0], pairs[:, :, 1]
-        level = pairs.sum(axis=2)
-    return n0, n1
-
-
-def _up(n0, n1, weighted):
-    """From the children's level to the parents': pairs of contexts join."""
-    n0, n1 = (x.reshape(-1, 2, 256).sum(axis=1) for x in (n0, n1))
-    both = weighted.reshape(-1, 2, 256).sum(axis=1)
-    e = _kt(n0, n1)
-    return n0, n1, e, np.logaddexp(e, both) - math.log(2)
-
-
-def _levels(n0, n1, leaf: bool, weighted=None) -> list:
-    """``(n0, n1, Pe, Pw)`` of each depth up to a single context, deepest first."""
-    if leaf:
-        weighted = _kt(n0, n1)
-        out = [(n0, n1, weighted, weighted)]
-    else:
-        out = [(n0, n1, None, weighted)]
-    while len(out[-1][0]) > 1:
-        out.append(_up(out[-1][0], out[-1][1], out[-1][3]))
-    return out
-
-
-def _down(levels, done, rest, leaf: bool):
-    """Mix from the top: ``done`` is the mixed probability of a one so far, ``rest``
-    the weight that is left for deeper contexts."""
-    for depth, (n0, n1, e, w) in reversed(list(enumerate(levels))):
-        if len(n0) > len(done):
-            done, rest = np.repeat(done, 2, axis=0), np.repeat(rest, 2, axis=0)
-        if e is None:
-            return done, rest
-        share = np.ones_like(w) if leaf and depth == 0 else np.exp(e - math.log(2) - w)
-        done = done + rest * share * (n1 + 0.5) / (n0 + n1 + 1)
-        rest = rest * (1 - share)
-    return done, rest
-
-
-def build_table(cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 P(byte | context) for every cell from the levels of classes alone, as
-    float32 (the plain dense form; scoring uses ``mix_classes``)."""
-    order = np.argsort(cells)
-    cells, counts = cells[order].astype(np.int64), counts[order]
-    wide = 1 << (BITS - 6 + 8)       # cells of one class of the byte before
-    cut = np.searchsorted(cells, np.arange(65) * wide)
-
-    def part(c: int):
-        dense = np.zeros(wide)
-        dense[cells[cut[c]:cut[c + 1]] - c * wide] = counts[cut[c]:cut[c + 1]]
-        return _node_counts(dense.reshape(-1, 256))
-
-    tops = [tuple(x[0] for x in _levels(*part(c), leaf=True)[-1]) for c in range(64)]
-    n0, n1, _, w = (np.array([t[i] for t in tops]) for i in range(4))
-    done, rest = _down(_levels(n0, n1, leaf=False, weighted=w), np.zeros((1, 256)), np.ones((1, 256)), leaf=False)
-    out = np.empty((64, wide), np.float32)
-    for c in range(64):
-        p1, _ = _down(_levels(*part(c), leaf=True), done[c:c + 1], rest[c:c + 1], leaf=True)
-        out[c] = _bytes_of(np.clip(p1, 1e-12, 1 - 1e-12)).reshape(-1)
-    return out.reshape(-1)
-
-
-def _bytes_of(p1: np.ndarray) -> np.ndarray:
-    """log10 probability of each byte from its eight decisions."""
-    one, zero = np.log10(p1), np.log10(1 - p1)
-    total = np.zeros((len(p1), 1))
-    for bit in range(8):
-        nodes = slice(1 << bit, 2 << bit)
-        total = np.stack([total + zero[:, nodes], total + one[:, nodes]], axis=2).reshape(len(p1), -1)
-    return total
-
-
 # ---- levels of real bytes ----------------------------------------------------------
 HALF = np.array([math.lgamma(i + 0.5) - math.lgamma(0.5) for i in range(4096)])
 WHOLE = np.array([math.lgamma(i + 1) for i in range(4096)])
@@ -331,6 +248,47 @@ def price(classes: list, levels: list, gram: np.ndarray) -> np.ndarray:
     return total
 
 
+class Lookup:
+    """Values of distinct non-negative keys in an open-addressing hash table, for many
+    keys at once: a key that finds its place taken goes to the next one."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.keys = np.full((1 << self.bits) + 1, -1, np.int64)
+        self.values = np.zeros(len(self.keys))
+        place, left = self._place(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[place[left]] < 0]
+            self.keys[place[free]] = keys[free]          # the last of those that share a place stays
+            mine = self.keys[place[left]] == keys[left]
+            self.values[place[left[mine]]] = values[left[mine]]
+            left = left[~mine]
+            place[left] = (place[left] + 1) & ((1 << self.bits) - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of each key (0 where it is not held), and whether it is held."""
+        place = self._place(keys)
+        held = self.keys[place]
+        known, out = held == keys, self.values[place]
+        left = np.flatnonzero(~known)
+        out[left] = 0.0
+        left = left[held[left] >= 0]
+        while len(left):
+            place[left] = (place[left] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[place[left]]
+            hit = held == keys[left]
+            known[left[hit]] = True
+            out[left[hit]] = self.values[place[left[hit]]]
+            left = left[~hit & (held >= 0)]
+        return out, known
+
+
+_lookups: dict = {}
+
+
 # ---- jobs ------------------------------------------------------------------------
 def _top() -> Column:
     return F.shiftright("gram", 8 * (LAST + 1 - FIRST)).alias("top")
@@ -406,7 +364,7 @@ def fit(docs: DataFrame, text_col: str = "text", hot_words: int = HOT_WORDS) ->
     def weigh(t: pa.Table) -> pa.Table:
         gram, n = t.column("gram").to_numpy(), t.column("n").to_numpy()
         keys, _, _, _, w = deep_levels(gram, n)[0]
-        cell, below = _sums(cells_of((keys >> 8 << 32) | (keys & 255)), w)
+        cell, below = _sums(cells_of((keys >> 8 << 8 * (LAST + 1 - FIRST)) | (keys & 255)), w)
         at, n = _sums(cells_of(gram), n)
         return pa.table({"cell": pa.array(np.r_[cell, at].astype(np.int32)),
                          "below": pa.array(np.r_[below, np.zeros(len(at))]),
@@ -443,22 +401,31 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """``docs`` without the text, plus ``n_tokens``, ``n_known``, ``base_score``, ``score`` and
     ``bits_per_byte`` (code length, the end byte included)."""
     sc = docs.sparkSession.sparkContext
-    table, hot, whole = sc.broadcast(model["hot_grams"]), sc.broadcast(model["hot"]), model["whole"]
-    made = "n_tokens long, known long, logs double, score double, n_bytes long, tail array<struct<word:binary,n:long>>, cold array<long>"
+    table, hot, whole, key = sc.broadcast(model["hot_grams"]), sc.broadcast(model["hot"]), model["whole"], uuid.uuid4().hex
+    made = ("n_tokens long, known long, logs double, score double, n_bytes long, tail array<struct<word:binary,n:long>>, "
+            "cold array<struct<gram:long,n:long>>")
 
     @F.arrow_udf(made)
     def run(text: pa.Array) -> pa.Array:
+        if key not in _lookups:      # a worker keeps the table of one model
+            _lookups.clear()
+            _lookups[key] = Lookup(*table.value)
         texts = [t.lower() for t in text.cast(pa.binary()).to_pylist()]
-        scores, misses, cold = np.empty(len(texts)), np.empty(len(texts), np.int64), [np.empty(0, np.int64)]
-        keys, logp = table.value
+        scores, cold = np.empty(len(texts)), [np.empty((0, 3), np.int64)]
         for i, j, gram, starts in grams(texts):
-            at, known = _at(keys, gram)
-            p = np.zeros(len(gram))
-            p[known] = logp[at[known]]
+            p, known = _lookups[key](gram)
             scores[i:j] = np.add.reduceat(p, starts)
-            misses[i:j] = np.add.reduceat((~known).astype(np.int64), starts)
-            cold.append(gram[~known])
-        cold = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(misses)].astype(np.int32)), pa.array(np.concatenate(cold)))
+            at = np.flatnonzero(~known)
+            if len(at):              # each string once per text, with its count
+                owner = np.searchsorted(starts, at, "right") - 1 + i
+                order = np.lexsort((gram[at], owner))
+                owner, missed = owner[order], gram[at][order]
+                new = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(missed, prepend=-1) != 0))
+                cold.append(np.stack([owner[new], missed[new], np.diff(np.r_[new, len(owner)])], axis=1))
+        cold = np.concatenate(cold)
+        ends = np.searchsorted(cold[:, 0], np.arange(len(texts) + 1)).astype(np.int32)
+        cold = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+            [pa.array(np.ascontiguousarray(cold[:, 1])), pa.array(np.ascontiguousarray(cold[:, 2]))], names=["gram", "n"]))
         get, out = hot.value.get, []
         for t in texts:
             seen = Counter(t.split())
@@ -488,9 +455,9 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     more = tail.join(counts, "word").groupBy("rid").agg(
         F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_logs"))
     # grams that miss the hot ones, seen in training or not, are priced once each
-    cold = rows.select("rid", F.explode("m.cold").alias("gram"))
+    cold = rows.select("rid", F.inline("m.cold"))
     priced = price_grams(cold.select("gram").distinct(), model["grams"], model["levels"])
-    rest = cold.join(priced, "gram").groupBy("rid").agg(F.sum("p").alias("cold_score"))
+    rest = cold.join(priced, "gram").groupBy("rid").agg(F.sum(F.col("p") * F.col("n")).alias("cold_score"))
     out = rows.join(more, "rid", "left").join(rest, "rid", "left").withColumn(
         "score", F.col("m.score") + F.coalesce("cold_score", F.lit(0.0)))
     known = F.col("m.known") + F.coalesce("tail_known", F.lit(0))

@@ -143,55 +143,16 @@ def test_mix_query(spark, tmp_path):
     assert empty.collect() == [] and empty.columns == ["doc_id", "size", "source_size", "target", "taken"]
 
 
-def test_context_tree_against_a_plain_one():
-    """Every probability of the table against a direct recursion."""
-    r = random.Random(1)
-    texts = ["".join(r.choices("abc d.", k=r.randint(0, 60))).encode() for _ in range(20)]
-    cells = np.concatenate([c for _, _, c, _ in ctw.steps(texts)])
-    at, n = np.unique(cells, return_counts=True)
-    table = ctw.build_table(at, n)
-
-    seen = Counter()
-    for c in cells.tolist():
-        context, byte = c >> 8, c & 255
-        for depth in range(17):
-            for bit in range(8):
-                seen[depth, context >> (16 - depth), (1 << bit) | (byte >> (8 - bit)), (byte >> (7 - bit)) & 1] += 1
-
-    def counts(depth, ctx, node):
-        return seen[depth, ctx, node, 0], seen[depth, ctx, node, 1]
-
-    def block(a, b):
-        return math.lgamma(a + .5) + math.lgamma(b + .5) - 2 * math.lgamma(.5) - math.lgamma(a + b + 1)
-
-    memo = {}
-
-    def weighted(depth, ctx, node):
-        a, b = counts(depth, ctx, node)
-        if a + b == 0:
-            return 0.0
-        if (depth, ctx, node) not in memo:
-            e = block(a, b)
-            if depth < 16:
-                e = np.logaddexp(e, weighted(depth + 1, 2 * ctx, node) + weighted(depth + 1, 2 * ctx + 1, node)) - math.log(2)
-            memo[depth, ctx, node] = e
-        return memo[depth, ctx, node]
-
-    def one(depth, ctx, node):
-        a, b = counts(depth, ctx >> (16 - depth), node)
-        kt = (b + .5) / (a + b + 1)
-        if depth == 16:
-            return kt
-        share = math.exp(block(a, b) - math.log(2) - weighted(depth, ctx >> (16 - depth), node))
-        return share * kt + (1 - share) * one(depth + 1, ctx, node)
-
-    for c in r.sample(at.tolist(), 40) + [r.randrange(1 << 24) for _ in range(20)]:
-        context, byte, want = c >> 8, c & 255, 0.0
-        for bit in range(8):
-            p = one(0, context, (1 << bit) | (byte >> (8 - bit)))
-            want += math.log10(p if (byte >> (7 - bit)) & 1 else 1 - p)
-        assert abs(table[c] - want) < 1e-4
-    assert np.allclose((10.0 ** table.reshape(-1, 256)[::997].astype(float)).sum(axis=1), 1, atol=1e-4)
+def test_lookup_by_hash():
+    r = np.random.default_rng(4)
+    keys = np.unique(r.integers(0, 2**48, 5_000))
+    table = ctw.Lookup(keys, keys * 0.5)
+    asked = np.r_[keys, keys + 1, [0, 2**48]]
+    value, known = table(asked)
+    held = set(keys.tolist())
+    assert known.tolist() == [k in held for k in asked.tolist()] and (value == np.where(known, asked * 0.5, 0)).all()
+    value, known = ctw.Lookup(np.empty(0, np.int64), np.empty(0))(asked)
+    assert not known.any() and not value.any()
 
 
 @pytest.mark.parametrize("hot", [5, 200_000])
@@ -226,7 +187,7 @@ def test_context_levels_of_real_bytes_against_plain_weighting(spark, monkeypatch
         cell, out = int(ctw.cells_of(np.array([gram]))[0]) >> 8, []
         for depth in range(17):
             out.append((depth, cell >> (16 - depth)))
-        return out + [(14 + size, gram >> 8 * (7 - size)) for size in range(3, 7)]
+        return out + [(14 + size, gram >> 8 * (ctw.LAST + 1 - size)) for size in range(3, ctw.LAST + 1)]
 
     for g in grams.tolist():
         p = paths.setdefault(g, path(g))
@@ -246,7 +207,7 @@ def test_context_levels_of_real_bytes_against_plain_weighting(spark, monkeypatch
     def weighted(c, node):
         if (c, node) not in memo:
             e = block(c, node)
-            if c[0] < 20 and plain[c, node, 0] + plain[c, node, 1]:
+            if c[0] < 14 + ctw.LAST and plain[c, node, 0] + plain[c, node, 1]:
                 e = np.logaddexp(e, sum(weighted(k, node) for k in kids.get(c, ()))) - math.log(2)
             memo[c, node] = e
         return memo[c, node]
@@ -257,7 +218,7 @@ def test_context_levels_of_real_bytes_against_plain_weighting(spark, monkeypatch
             node, one, done, rest = (1 << bit) | ((gram & 255) >> (8 - bit)), ((gram & 255) >> (7 - bit)) & 1, 0.0, 1.0
             for c in path(gram):
                 a, b = plain[c, node, 0], plain[c, node, 1]
-                share = 1.0 if c[0] == 20 else math.exp(block(c, node) - math.log(2) - weighted(c, node))
+                share = 1.0 if c[0] == 14 + ctw.LAST else math.exp(block(c, node) - math.log(2) - weighted(c, node))
                 done, rest = done + rest * share * (b + .5) / (a + b + 1), rest * (1 - share)
             total += math.log10(done if one else 1 - done)
         return total
