@@ -176,7 +176,7 @@ def vocabulary_desc(source, k: int = 20, score_decimals: int | None = None) -> D
     k largest words and their IDF are fetched (a top-k over the vocabulary,
     at most k rows) and become a literal word filter (bucket pruning and
     pushed-down ``word IN`` on an index)."""
-    top = source.idf_table().orderBy(F.desc("word")).limit(k).select("word", "idf").collect()
+    top = source.largest_words(k).collect()
     spark = source.spark
     top_words = spark.createDataFrame([(r["word"], r["idf"]) for r in top], "word string, idf double")
     rows = source.terms_for([r["word"] for r in top]).join(F.broadcast(top_words), "word")

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docrank.functions.numeric import format_fixed
-from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER
+from docrank.functions.sql import register
+from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER, tokens
 from docrank.operators import search as S
 from docrank.plans.model import TfIdf
 from docrank.plans.oracle import BAG_QUERY, FOLLOWUP_QUERY, QUERY, ROWS_QUERY
@@ -20,6 +21,7 @@ from docrank.session import scratch_path
 from docrank.sinks import index as sink
 from docrank.sinks.store import read_doc_store, write_doc_store
 from docrank.sources import corpus as src
+from docrank.sources.listing import list_files, read_file_texts, write_file_texts
 from docrank.sources.index import read_captured, read_index, read_per_doc, read_tsv
 
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -191,6 +193,37 @@ def q_vocabulary_desc_top20(spark, sf_dir):
     return S.vocabulary_desc(model(spark, sf_dir), 20, score_decimals=10)
 
 
+def q_index_vocabulary_desc_top20(spark, sf_dir):
+    """The preview from a stored index: its words come from the last dictionary file."""
+    return S.vocabulary_desc(_built_index(spark, sf_dir), 20, score_decimals=10)
+
+
+def q_index_prefix_words(spark, sf_dir):
+    """Words of the index that begin with ``in``, with their document frequencies."""
+    return _built_index(spark, sf_dir).words_with_prefix("in").select("word", "doc_frequency", r10("idf"))
+
+
+def q_sql_text_tfidf(spark, sf_dir):
+    """tf-idf written in SQL text with the registered functions."""
+    register(spark)
+    return spark.sql("""
+        WITH split AS (SELECT doc_id, tokens_word_lower(text) AS words FROM {docs}),
+        toks AS (SELECT doc_id, explode(words) AS word FROM split),
+        terms AS (SELECT doc_id, word, count(*) AS frequency FROM toks GROUP BY doc_id, word),
+        lengths AS (SELECT doc_id, size(words) AS total_words FROM split),
+        df AS (SELECT word, count(*) AS doc_frequency FROM terms GROUP BY word)
+        SELECT doc_id, word, round(frequency / total_words * idf((SELECT CAST(count(*) AS DOUBLE) FROM {docs}), doc_frequency), 10) AS tf_idf
+        FROM terms JOIN lengths USING (doc_id) JOIN df USING (word)""", docs=documents(spark, sf_dir))
+
+
+def q_sql_text_tokenizers(spark, sf_dir):
+    """Tokens of each document by the three registered tokenizers."""
+    register(spark)
+    return spark.sql("""
+        SELECT doc_id, CAST(size(tokens_word_lower(text)) AS BIGINT) AS n_lower, CAST(size(tokens_alpha(text)) AS BIGINT) AS n_alpha,
+               CAST(size(tokens_nonword_split(text)) AS BIGINT) AS n_split FROM {docs}""", docs=documents(spark, sf_dir))
+
+
 def benchmark_queries(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(
         F.col("item_id").alias("query_id"), "text")
@@ -358,6 +391,26 @@ def q_files_corpus_tfidf(spark, sf_dir):
     return m.weights.select("doc_id", "word", r10("tf_idf"))
 
 
+def _emptied(spark, sf_dir):
+    """The documents, the text of those in French emptied, as one file each in 64 folders."""
+    path = scratch_path(spark, "file-texts")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    text = F.when(F.coalesce(F.col("lang"), F.lit("")) == "fr", F.lit("")).otherwise(F.coalesce(F.col("text"), F.lit("")))
+    write_file_texts(docs.select("doc_id", text.alias("text")), path, folders=64)
+    return list_files(spark, path)
+
+
+def q_files_corpus_size(spark, sf_dir):
+    """N as the number of files, empty ones included, listed on the executors."""
+    return _emptied(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("length") == 0).alias("n_empty"))
+
+
+def q_files_corpus_lengths(spark, sf_dir):
+    """Words of each one-file-per-document text; an empty file is a document without any."""
+    docs = read_file_texts(_emptied(spark, sf_dir))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(tokens("text", WORD_LOWER)).cast("long").alias("total_words"))
+
+
 def q_stream_index_search_sum(spark, sf_dir):
     """The documents arrive as files in a landing directory; a Structured
     Streaming ingest (available-now trigger) builds the index; search it."""
@@ -412,6 +465,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_search_rows_top5": q_store_search_rows_top5,
     "followup_search": q_followup_search,
     "vocabulary_desc_top20": q_vocabulary_desc_top20,
+    "index_vocabulary_desc_top20": q_index_vocabulary_desc_top20,
+    "index_prefix_words": q_index_prefix_words,
+    "sql_text_tfidf": q_sql_text_tfidf,
+    "sql_text_tokenizers": q_sql_text_tokenizers,
     "search_batch_top5": q_search_batch_top5,
     "search_batch_bag_top5": q_search_batch_bag_top5,
     "index_search_sum": q_index_search_sum,
@@ -430,6 +487,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_last_field_word_count": q_lines_last_field_word_count,
     "lines_fragment_arity": q_lines_fragment_arity,
     "files_corpus_tfidf": q_files_corpus_tfidf,
+    "files_corpus_size": q_files_corpus_size,
+    "files_corpus_lengths": q_files_corpus_lengths,
     "stream_index_search_sum": q_stream_index_search_sum,
     "conversation_word_count": q_conversation_word_count,
     "conversation_tfidf": q_conversation_tfidf,

@@ -192,6 +192,10 @@ class TfIdf(Searchable):
         """``(word, idf, n_postings)`` for every word of the corpus."""
         return self.idf.select("word", "idf", "n_postings")
 
+    def largest_words(self, k: int) -> DataFrame:
+        """``(word, idf)`` of the ``k`` words that are last in word order."""
+        return self.idf_table().orderBy(F.desc("word")).limit(k).select("word", "idf")
+
     @property
     def doc_local(self) -> bool:
         """True when all term rows of a document come from one corpus row (and

@@ -171,6 +171,12 @@ WHERE word IN (SELECT word FROM qf)
 ORDER BY rank LIMIT 2""")
     q["vocabulary_desc_top20"] = with_(sql_flavor, """
 SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w ORDER BY word DESC, doc_id LIMIT 20""")
+    q["index_vocabulary_desc_top20"] = q["vocabulary_desc_top20"]
+    q["index_prefix_words"] = with_(sql_flavor, "SELECT word, doc_frequency, round(idf, 10) AS idf FROM idf WHERE starts_with(word, 'in')")
+    q["sql_text_tfidf"] = q["tfidf_sql"]
+    n_tokens = {m: "len(" + TOKENS_SQL[m].format(t="coalesce(text, '')") + ")" for m in TOKENS_SQL}
+    q["sql_text_tokenizers"] = (f"SELECT doc_id, {n_tokens['word_lower']} AS n_lower, {n_tokens['alpha']} AS n_alpha, "
+                                f"{n_tokens['nonword_split']} AS n_split FROM documents")
     batch = """,
 bt AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '\\w+')) AS word
        FROM benchmark),
@@ -215,6 +221,9 @@ FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
     q["lines_last_field_word_count"] = lines_word_count("coalesce(f[n_fields], '')", "TRUE")
     q["lines_fragment_arity"] = with_(LINES_SQL, "SELECT n_fields, count(*) AS n_lines FROM flds GROUP BY n_fields")
     q["files_corpus_tfidf"] = q["tfidf_sql"]
+    emptied = "CASE WHEN lang = 'fr' THEN '' ELSE coalesce(text, '') END"
+    q["files_corpus_size"] = f"SELECT count(*) AS n_files, count(*) FILTER ({emptied} = '') AS n_empty FROM documents"
+    q["files_corpus_lengths"] = f"SELECT doc_id, len({TOKENS_SQL['word_lower'].format(t=emptied)}) AS total_words FROM documents"
     q["stream_index_search_sum"] = q["index_search_sum"]
     conv = base_ctes("word_lower", "smooth", table="conversations", id_col="conv_id", multi_row=True)
     q["conversation_word_count"] = with_(conv, "SELECT doc_id, word, frequency FROM terms")

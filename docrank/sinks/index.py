@@ -6,6 +6,8 @@ Stored index layout (``write_index``), in a versioned folder (``docrank.sinks.ve
                                               term_frequency  (sorted by word, range, doc_id)
     <version>/blocks/bucket=<b>/*.parquet     word, range, max_tf, n_postings
     <version>/vocabulary/bucket=<b>/*.parquet word, doc_frequency
+    <version>/dictionary/*.parquet            word, doc_frequency; files in word order
+    <version>/fences/*.parquet                per dictionary file: first and last word, words
     <version>/meta/*.parquet                  one row: n_docs, tokenizer, idf_kind,
                                               tf_decimals, buckets
 
@@ -18,7 +20,8 @@ query words only, which avoids the corpus-wide postings x vocabulary join.
 
 A block is the postings of a word in one range of documents (``docrank.operators.blocks``)
 with the largest term frequency among them, which lets a search for many queries skip
-most ranges.
+most ranges.  The dictionary serves what goes by word order (the words from the end, words
+with a prefix): the fences name the files to read.
 """
 
 from __future__ import annotations
@@ -39,9 +42,10 @@ def bucket_of(word_col, buckets: int):
 
 
 def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
-                mode: str = "overwrite") -> str:
-    """Materialize ``model`` as a stored index at ``path`` (four jobs: postings, meta,
-    blocks, vocabulary).  The build goes to a folder of its own and is published by one
+                mode: str = "overwrite", dictionary_files: int | None = None) -> str:
+    """Materialize ``model`` as a stored index at ``path`` (jobs: postings, meta, blocks,
+    vocabulary, dictionary, fences; ``dictionary_files`` sets the number of dictionary
+    files, else adaptive execution sizes them).  The build goes to a folder of its own and is published by one
     rename at the end: readers see the old index or the new one, never a mixture, and a
     build that fails changes nothing.  ``mode='errorifexists'`` refuses to replace a
     published index.  Returns ``path``."""
@@ -56,6 +60,7 @@ def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
     write_meta(model, folder, buckets)
     write_blocks(spark, folder)
     write_vocabulary(spark, folder)
+    write_dictionary(spark, folder, dictionary_files)
     versions.mark(spark, path, version)
     versions.publish(spark, path, version)
     return path
@@ -106,6 +111,17 @@ def write_vocabulary(spark: SparkSession, folder: str) -> None:
      .write.partitionBy("bucket").parquet(f"{folder}/vocabulary"))
 
 
+def write_dictionary(spark: SparkSession, folder: str, files: int | None) -> None:
+    """The vocabulary in word order, and the fences of its files (one row per file)."""
+    words = spark.read.parquet(f"{folder}/vocabulary").select("word", "doc_frequency")
+    ordered = words.repartitionByRange(files, "word") if files else words.repartitionByRange("word")
+    ordered.sortWithinPartitions("word").write.parquet(f"{folder}/dictionary")
+    stored = spark.read.schema(words.schema).parquet(f"{folder}/dictionary")
+    fences = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min("word").alias("first_word"), F.max("word").alias("last_word"), F.count(F.lit(1)).alias("n_words"))
+    fences.coalesce(1).write.parquet(f"{folder}/fences")
+
+
 # Keys of the three text stages.
 WORD_DOC = "word_doc"        # <word>-<doc_id>          tf-idf
 DOC_WORD = "doc_word"        # <doc_id>-<word>          term frequency

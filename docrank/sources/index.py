@@ -40,6 +40,7 @@ class Index(Searchable):
             vocab = vocab.groupBy("bucket", "word").agg(
                 F.sum("doc_frequency").cast("long").alias("doc_frequency"))
         self.vocabulary = vocab
+        self._fences: list | None = None
 
     # postings are laid out by word, not by document
     doc_local = False
@@ -91,6 +92,48 @@ class Index(Searchable):
         postings = self._restrict(self.postings, found).select("doc_id", "word", "range", "term_frequency")
         return postings, blocks.select("word", "range", "max_tf"), self._restrict(self.idf(), found).select("word", "idf")
 
+    @property
+    def fences(self) -> list:
+        """``(file, first_word, last_word, n_words)`` of the dictionary files in word order
+        (one row per file, read once); empty for a streamed index, which has none."""
+        if self._fences is None:
+            rows = [] if "batch_id" in self.postings.columns else self.spark.read.parquet(f"{self.folder}/fences").collect()
+            self._fences = sorted(rows, key=lambda r: r.first_word.encode())
+        return self._fences
+
+    def _dictionary(self, fences: list) -> DataFrame:
+        files = [f.file for f in fences]
+        schema = "word string, doc_frequency long"
+        return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
+
+    def largest_words(self, k: int) -> DataFrame:
+        """``(word, idf)`` of the ``k`` words that are last in word order; only the last
+        dictionary files are read."""
+        if not self.fences:
+            return self.idf_table().orderBy(F.desc("word")).limit(k).select("word", "idf")
+        held, tail = 0, []
+        for f in reversed(self.fences):
+            if held >= k:
+                break
+            tail.append(f)
+            held += f.n_words
+        return self._with_idf(self._dictionary(tail)).orderBy(F.desc("word")).limit(k).select("word", "idf")
+
+    def words_with_prefix(self, prefix: str) -> DataFrame:
+        """``(word, doc_frequency, idf)`` of the words that begin with ``prefix``; only the
+        dictionary files whose words can are read."""
+        if "batch_id" in self.postings.columns:
+            found = self.vocabulary.select("word", "doc_frequency")
+        else:
+            # word order is that of UTF-8 bytes
+            low = prefix.encode()
+            found = self._dictionary([f for f in self.fences if f.last_word.encode() >= low and f.first_word.encode()[:len(low)] <= low])
+        return self._with_idf(found.where(F.col("word").startswith(prefix))).select("word", "doc_frequency", "idf")
+
+    def _with_idf(self, words: DataFrame) -> DataFrame:
+        eff = F.lit(int(self.df_override)) if self.df_override is not None else F.col("doc_frequency")
+        return words.withColumn("idf", W.idf_expr(F.lit(float(self.n)), eff.cast("long"), self.idf_kind))
+
     def idf_table(self) -> DataFrame:
         return self.idf().select("word", "idf", "n_postings")
 
