@@ -30,7 +30,7 @@ import math
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docrank.llm.common import store, text_or_empty
@@ -130,7 +130,7 @@ def round_masses(rows: DataFrame, seed: int = 0, group_rows: int = GROUP_ROWS) -
     def draw(level: int) -> Column:
         return F.pmod(F.xxhash64("key", F.lit(seed), F.lit(level)), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
-    state, done, level = rows, None, 0
+    state, done, level = split_repeats(rows, group_rows), None, 0
     while True:
         counts = {r.src: r["count"] for r in state.groupBy("src").count().collect()}
         if not counts:
@@ -156,6 +156,28 @@ def round_masses(rows: DataFrame, seed: int = 0, group_rows: int = GROUP_ROWS) -
     return done if done is not None else rows.select("rid", F.col("size").alias("taken")).limit(0)
 
 
+def split_repeats(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` with new keys for those keys that more than ``most`` rows share (rows that
+    repeat an id and a text), so that no more than ``most`` rows are dealt together.
+
+    Such rows are numbered without bringing them together: ``rid`` holds the stored
+    partition in its high bits, rows are numbered within a partition, and running sums
+    over the partitions' counts make the numbers consecutive.  Equal rows are
+    interchangeable, so the numbers' dependence on the partitioning changes nothing."""
+    often = rows.groupBy("key").count().where(F.col("count") > most).select("key")   # at most rows / most
+    if often.isEmpty():
+        return rows
+    part = F.shiftright("rid", 33).alias("part")
+    repeats = store(rows.select("key", "rid", part).join(often, "key").withColumn(
+        "at", F.row_number().over(Window.partitionBy("key", "part").orderBy("rid")) - 1).drop("part"), "mix-repeats")
+    each = repeats.groupBy("key", part).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    each = each.select("key", "part", F.coalesce(before, F.lit(0)).alias("before"))
+    number = F.floor((F.col("at") + F.col("before")) / F.lit(most))
+    named = repeats.select("key", "rid", "at", part).join(each, ["key", "part"]).select("rid", F.xxhash64("key", number).alias("new"))
+    return rows.join(named, "rid", "left").withColumn("key", F.coalesce("new", "key")).drop("new")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", group_rows: int = GROUP_ROWS, out_col: str = "mix") -> DataFrame:
     """``docs`` plus a struct ``out_col``: ``size``, ``source_size``, ``target``, ``copies`` (times the

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docrank.llm import ctw, lang_id, mixing, pii
 from docrank.llm.queries import op5_ctw, op6_pivotal_mix, op9_pii, op10_language_id
@@ -89,7 +90,7 @@ def test_language(spark, tmp_path):
 def test_language_backoff(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate([("the house is big", "en"), ("das haus ist gross", "de")] * 5)]
     m = lang_id.fit(documents(spark, rows))
-    assert "haus" in m["words"] and "hausen" not in m["words"]
+    assert "haus" in m["rows"][0] and "hausen" not in m["rows"][0]
     best = {w: m["langs"][int(np.argmax(lang_id.word_score(m, w)))] for w in ("hausen", "housing", "the")}
     assert best == {"hausen": "de", "housing": "en", "the": "en"}
     assert lang_id.fit(documents(spark, [(1, None, "en"), (2, "x", None)]))["langs"] == []
@@ -135,6 +136,51 @@ def test_mix(spark, group_rows):
     assert all(abs(v[1] - v[2]) <= v[3] for v in by.values())
 
 
+def test_mix_of_many_repeated_rows(spark):
+    """Rows of one id and text are dealt in groups too, and reruns agree."""
+    rows = [(7, "a b c", "en", "x")] * 900 + [(None, None, "en", "x")] * 50 + [(i, "w " * (i % 9), "en", "yz"[i % 2]) for i in range(300)]
+    docs = documents(spark, rows)
+    sized = mixing.store(mixing._sized(docs.repartition(5).select("doc_id", "text"), "doc_id", "text"), "sizes").select(
+        F.col("__rid").alias("rid"), F.col("__key").alias("key"))
+    split = mixing.split_repeats(sized, 64).groupBy("key").count().collect()
+    assert max(r["count"] for r in split) <= 64 and sum(r["count"] for r in split) == len(rows)
+    assert sorted(r["count"] for r in split)[-15:] == [50] + [64] * 14
+    out = sorted(str((r.doc_id, r.mix)) for r in mixing.mix(docs, group_rows=32).collect())
+    assert out == sorted(str((r.doc_id, r.mix)) for r in mixing.mix(docs.repartition(3), group_rows=32).collect())
+
+
+def test_mix_columns_against_plain_sums(spark):
+    """Size, source size and target of the query by hand; what is taken comes near the target."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source").collect()
+    size = {r.doc_id: len((r.text or "").encode().split()) for r in rows}
+    total = Counter()
+    for r in rows:
+        total[r.source] += size[r.doc_id]
+    names = sorted(total, key=lambda s: (s is None, s or ""))
+    weight = {s: 1 + i % 3 for i, s in enumerate(names)}
+    goal, open_names, left = {}, list(names), float(sum(total.values()))
+    while open_names:          # stop those above three times their size, share the rest again
+        share = {s: left * weight[s] / sum(weight[t] for t in open_names) for s in open_names}
+        over = [s for s in open_names if share[s] > 3 * total[s]]
+        if not over:
+            goal.update(share)
+            break
+        for s in over:
+            goal[s] = 3.0 * total[s]
+            left -= goal[s]
+            open_names.remove(s)
+    got = op6_pivotal_mix(spark, SF).collect()
+    source = {r.doc_id: r.source for r in rows}
+    taken = Counter()
+    for r in got:
+        s = source[r.doc_id]
+        assert (r["size"], r.source_size) == (size[r.doc_id], total[s]) and math.isclose(r.target, goal[s], rel_tol=1e-12)
+        # whole copies, one of the two numbers around the share of the source
+        assert r.taken in {math.floor(goal[s] / total[s]) * r["size"], math.ceil(goal[s] / total[s]) * r["size"]}
+        taken[s] += r.taken
+    assert all(abs(taken[s] - goal[s]) <= max(size[d] for d in size if source[d] == s) for s in names)
+
+
 def test_mix_query(spark, tmp_path):
     rows = op6_pivotal_mix(spark, SF).collect()
     assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
@@ -143,6 +189,48 @@ def test_mix_query(spark, tmp_path):
     assert empty.collect() == [] and empty.columns == ["doc_id", "size", "source_size", "target", "taken"]
 
 
+def test_language_scores_against_a_plain_scorer(spark):
+    """Every word of every document scored from plain counts."""
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    train = [(t, lang) for d, t, lang in rows if zlib.crc32(str(d).encode()) % 3 != 1 and t and lang]
+    langs = sorted({lang for _, lang in train})
+    counts = {(lang, n): Counter() for lang in langs for n in range(6)}
+    for t, lang in train:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            counts[lang, 0][w] += 1
+            for n in range(1, 6):
+                s = f" {w} " if n > 1 else w
+                counts[lang, n].update(s[i:i + n] for i in range(len(s) - n + 1))
+    kept = {}
+    for (lang, n), c in counts.items():
+        most, ranks = (30_000 if n == 0 else 10_000), sorted(c.values(), reverse=True)
+        least = ranks[-1] if len(ranks) <= most else ranks[most] + 1      # all of one count stay or go
+        kept[lang, n] = {k: v for k, v in c.items() if v >= least}
+
+    def level(n, key):
+        if not any(key in kept[lang, n] for lang in langs):
+            return None
+        return np.array([math.log(kept[lang, n].get(key, 0.5)) - math.log(sum(counts[lang, n].values()) + 1) for lang in langs])
+
+    def word(w):
+        known = level(0, w)
+        for n in range(5, 0, -1):
+            if known is None:
+                s = f" {w} " if n > 1 else w
+                found = [x for x in (level(n, s[i:i + n]) for i in range(len(s) - n + 1)) if x is not None]
+                known = np.mean(found, axis=0) - 0.5 * (6 - n) if found else None
+        return known if known is not None else np.zeros(len(langs))
+
+    memo, want = {}, {}
+    for d, t, _ in rows:
+        words = re.findall(r"[^\W\d_]+", (t or "").lower())
+        total = sum((memo.setdefault(w, word(w)) if w not in memo else memo[w] for w in words), np.zeros(len(langs)))
+        p = np.exp((total - total.max()) / max(1, len(words)))
+        want[d] = (langs[int(total.argmax())], p.max() / p.sum()) if words else ("und", 0.0)
+    for r in op10_language_id(spark, SF).collect():
+        assert r.lang_pred == want[r.doc_id][0] and math.isclose(r.score, want[r.doc_id][1], rel_tol=1e-9)
+
+
 def test_lookup_by_hash():
     r = np.random.default_rng(4)
     keys = np.unique(r.integers(0, 2**48, 5_000))
