@@ -59,8 +59,9 @@ def terms(corpus: DataFrame, mode: str = WORD_LOWER, multi_row: bool = False,
     """``(doc_id, word, frequency, total_words)`` for every distinct word of
     every document.  Documents without tokens produce no rows.
 
-    ``multi_row=False`` (default) requires one row per ``doc_id`` (checked by
-    the corpus loaders) and runs without a shuffle.  ``multi_row=True`` accepts
+    ``multi_row=False`` (default) requires one row per ``doc_id`` (no loader checks it:
+    ``sources.corpus.check_unique_ids`` does, in a job of its own) and runs without a
+    shuffle.  ``multi_row=True`` accepts
     documents spread over several rows (e.g. conversation turns): the per-row
     counts are then summed by ``(doc_id, word)`` (partial aggregate first) and
     joined to the per-document totals.

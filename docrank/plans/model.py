@@ -48,12 +48,16 @@ def balance_input(corpus: DataFrame, min_files: int | None = None) -> DataFrame:
     (one big file, one row group, a multi-line CSV file) over as many partitions,
     by a hash of the whole row, so that a document of many rows spreads too.
 
-    Only the file listing of the plan is looked at: no job runs, and a corpus
-    that comes out of a shuffle is not computed for it.  A corpus of many files -
-    every large one - is left alone, so its text is never shuffled."""
-    target = min_files or int(corpus.sparkSession.sparkContext.defaultParallelism)
+    Only the file listing and the size of the plan are looked at: no job runs, and a
+    corpus that comes out of a shuffle is not computed for it.  A corpus of many files, or
+    of enough bytes that Spark cuts its files into a split per core - every large one - is
+    left alone, so its text is never shuffled."""
+    spark = corpus.sparkSession
+    target = min_files or int(spark.sparkContext.defaultParallelism)
     if 0 < len(corpus.inputFiles()) < target:
-        return corpus.repartition(target, F.xxhash64(*corpus.columns))
+        size = int(str(corpus._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size < target * int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()):
+            return corpus.repartition(target, F.xxhash64(*corpus.columns))
     return corpus
 
 

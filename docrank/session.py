@@ -8,6 +8,7 @@ none is configured, which is the case for local tests.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -69,10 +70,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# scratch folders of this process and their sessions, removed when it ends
+_scratch: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint directory."""
+    """A fresh, unique path under the shared checkpoint directory.  What is written there
+    is removed by ``remove_scratch``, ``clear_scratch``, or when the process ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/docrank-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/docrank-{name}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(_clear_at_exit)
+    _scratch[path] = spark
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _scratch.pop(path, None)
 
 
 def remove_scratch(spark: SparkSession, path: str) -> None:
@@ -80,8 +96,24 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     if not path.startswith(f"{base}/docrank-"):
         raise ValueError(f"not a scratch folder: {path}")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _delete(spark, path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all scratch folders of this process; DataFrames that read them cannot be used
+    any more.  Returns their number.  For sessions that live long."""
+    paths = list(_scratch)
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
+
+
+def _clear_at_exit() -> None:
+    for path, spark in list(_scratch.items()):
+        try:
+            _delete(spark, path)
+        except Exception:  # the driver's JVM is gone already
+            return
 
 
 def env_int(name: str, default: int) -> int:

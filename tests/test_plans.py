@@ -1,4 +1,6 @@
 """Plan-shape checks: the properties the design relies on at scale."""
+import os
+
 import pytest
 
 from docrank import TfIdf
@@ -99,6 +101,40 @@ def test_many_file_corpus_needs_no_balancing_and_matches(spark, tmp_out):
     assert a == b
 
 
+def test_large_few_file_corpus_needs_no_balancing(spark, tmp_out):
+    """Two files of more bytes than a split per core are cut by Spark itself."""
+    from docrank.sources.corpus import read_parquet_corpus
+    path = tmp_out("few-files")
+    spark.read.parquet(f"{SF}/documents.parquet").repartition(2).write.parquet(path)
+    assert exchanges(TfIdf(read_parquet_corpus(spark, path)).corpus) != []
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert exchanges(TfIdf(read_parquet_corpus(spark, path)).corpus) == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_scratch_is_removed(tmp_path):
+    """A process leaves no scratch folder, and a session can clear its own."""
+    import subprocess
+    import sys
+    code = f"""
+import os, sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from docrank.session import local_session, clear_scratch
+from docrank.plans import catalog as C
+spark = local_session(2, 2, "1g", {{"spark.checkpoint.dir": {str(tmp_path / "ckpt")!r}}})
+left = lambda: [f for d, _, fs in os.walk({str(tmp_path / "ckpt")!r}) for f in fs if "docrank-" in d]
+assert C.QUERIES["tfidf_sql"](spark, {SF!r}).count() and left()
+assert clear_scratch(spark) >= 1 and not left()
+assert C.QUERIES["tfidf_sql"](spark, {SF!r}).count() and left()
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert [d for d, _, _ in os.walk(tmp_path) if "docrank-" in d] == []
+
+
 def test_adhoc_search_reads_the_corpus_text_once(spark, docs):
     """The query-word rows are checkpointed (one pass over the corpus); the
     search plan itself scans no text."""
