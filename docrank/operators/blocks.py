@@ -23,7 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE_DOCS = 6
+from docrank.session import scratch_path
+
+RANGE_DOCS = 12
 CLASSES = 8                # length classes per doubling
 USUAL_CLASSES = 64         # classes that hold most documents of a corpus
 SEED_RANGES = 16
@@ -54,7 +56,8 @@ def ordered_sum(contribution: Column) -> Column:
 
 def range_bounds(words: DataFrame, blocks: DataFrame) -> DataFrame:
     """``(query_id, range, bound)`` for ``words(query_id, word, gain)``: the most that a
-    document of the range can score."""
+    document of the range can score.  Where ``blocks`` are partitioned by range and the words
+    are few enough to be broadcast, the sums need no shuffle."""
     most = F.greatest(F.col("gain") * F.col("max_tf"), F.lit(0.0))
     return (words.join(blocks.select("word", "range", "max_tf"), "word")
             .groupBy("query_id", "range").agg(F.sum(most).alias("bound")))
@@ -68,6 +71,13 @@ def postings_in(ranges: DataFrame, words: DataFrame, postings: DataFrame) -> Dat
         "query_id", "doc_id", (F.col("term_frequency") * F.col("gain")).alias("given"))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a scratch table and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def first_k(rows: DataFrame, k: int) -> DataFrame:
     """``rows`` of each query up to the k-th by score (desc), then ``doc_id``, and their
     number ``rn``."""
@@ -93,9 +103,9 @@ def top_documents(words: DataFrame, blocks: DataFrame, postings: DataFrame, k: i
     """``(query_id, rank, doc_id, score)``: the ``k`` best documents of each query of
     ``words(query_id, word, gain)``; a document scores the sum of gain x term frequency
     over the query's words.  ``postings(doc_id, word, range, term_frequency)`` are read for
-    the seeds and for the candidates; the bounds are written once (reliable
-    checkpoint)."""
-    bounds = range_bounds(words, blocks).checkpoint()
+    the seeds and for the candidates; the bounds are written once, below the checkpoint
+    folder."""
+    bounds = stored(range_bounds(words, blocks), "bounds")
     rows = postings_in(candidate_ranges(bounds, words, postings, k), words, postings)
     scored = rows.groupBy("query_id", "doc_id").agg(ordered_sum(F.col("given")).alias("score"))
     return first_k(scored, k).select("query_id", F.col("rn").cast("long").alias("rank"), "doc_id", "score")

@@ -26,8 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docrank.functions.tokenize import WORD_LOWER, query_tokens
-from docrank.operators.blocks import ordered_sum, top_documents
-from docrank.session import ensure_checkpoint_dir
+from docrank.operators.blocks import ordered_sum, stored, top_documents
 
 SET = "set"
 BAG = "bag"
@@ -128,10 +127,10 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
     Exact, and few documents are scored: see ``docrank.operators.blocks``.  No size is
     guessed while the query is built: joins are left to adaptive execution, which
     broadcasts, and splits hot words, by the sizes it sees."""
-    ensure_checkpoint_dir(queries.sparkSession)
-    terms = batch_terms(queries, mode, weighting).checkpoint()
+    terms = stored(batch_terms(queries, mode, weighting), "query-terms")
     postings, blocks, idf = source.blocks_for(terms)
-    words = terms.join(idf, "word").select("query_id", "word", (F.col("qtf") * F.col("idf")).alias("gain")).checkpoint()
+    words = terms.join(idf, "word").select("query_id", "word", (F.col("qtf") * F.col("idf")).alias("gain"))
+    words = stored(words, "query-words")
     return top_documents(words, blocks, postings, k)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER
 from docrank.operators import weights as W
-from docrank.operators.blocks import blocks_of, doc_range, sub_ranges
+from docrank.operators.blocks import blocks_of, doc_range, stored, sub_ranges
 from docrank.operators.search import Searchable
 from docrank.session import ensure_checkpoint_dir, scratch_path
 from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
@@ -230,16 +230,15 @@ class TfIdf(Searchable):
     def blocks_for(self, words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Postings ``(doc_id, word, range, term_frequency)`` of ``words``, their blocks, and
         ``(word, idf)``.  The corpus is tokenized once: the postings of the query words are
-        written (reliable checkpoint), and blocks and document frequencies come from
+        written below the checkpoint folder, and blocks and document frequencies come from
         them."""
-        ensure_checkpoint_dir(self.spark)
         n = self.corpus_size().select(F.col("n_docs").cast("double")).scalar()
         ranged = self._tf_of(words).select("doc_id", "word", doc_range(F.col("doc_id"), F.col("total_words"), sub_ranges(n)).alias("range"),
                                            "term_frequency")
-        postings = ranged.checkpoint()
-        blocks = blocks_of(postings)
-        df = blocks.groupBy("word").agg(F.sum("n_postings").alias("doc_frequency"))
-        idf = W.idf(df, self.n_docs, self.idf_kind, self.doc_frequency_override).select("word", "idf")
+        postings = stored(ranged, "postings")
+        # one shuffle by range serves the blocks and the bounds made of them
+        blocks = blocks_of(postings.select("word", "range", "term_frequency").repartition("range"))
+        idf = W.idf(W.document_frequency(postings), self.n_docs, self.idf_kind, self.doc_frequency_override).select("word", "idf")
         return postings, blocks, idf
 
     def weights_for(self, words: list[str]) -> DataFrame:

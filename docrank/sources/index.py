@@ -90,7 +90,7 @@ class Index(Searchable):
         if "batch_id" in blocks.columns:
             blocks = blocks.groupBy("word", "range").agg(F.max("max_tf").alias("max_tf"))
         postings = self._restrict(self.postings, found).select("doc_id", "word", "range", "term_frequency")
-        return postings, blocks.select("word", "range", "max_tf"), self._restrict(self.idf(), found).select("word", "idf")
+        return postings, blocks.select("word", "range", "max_tf").repartition("range"), self._restrict(self.idf(), found).select("word", "idf")
 
     @property
     def fences(self) -> list:
