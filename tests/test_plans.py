@@ -54,7 +54,7 @@ def test_top_k_is_take_ordered(spark, docs):
 
 def test_batch_top_k_limits_before_shuffle(spark, docs):
     df = S.search_batch(TfIdf(docs), C.benchmark_queries(spark, SF), k=5)
-    assert count_nodes(df, "WindowGroupLimit") == 2
+    assert count_nodes(df, "WindowGroupLimit") >= 3     # seeds, threshold, result
 
 
 def test_index_search_prunes(spark, docs):
