@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docrank.llm.common import Recent, text_or_empty
+from docrank.llm.common import Recent, keep_one, text_or_empty
 from docrank.llm.token_counts import tokenizer
 
 CACHE_ENTRIES = 200_000   # of each of two generations
@@ -42,8 +42,6 @@ _LETTER = "a-z\u00df-\u00f6\u00f8-\u017f"
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\\t-\\r {_LETTER}0-9]+")
 NO_RANK = np.int32(2**31 - 1)
 
-_models: dict = {}
-
 
 def _byte_chars() -> list[str]:
     """The printable character that stands for each byte in byte-level
@@ -210,9 +208,7 @@ class BpeModel:
 
 
 def model(path: str) -> BpeModel:
-    if path not in _models:
-        _models[path] = BpeModel(path)
-    return _models[path]
+    return keep_one(("bpe", path), lambda: BpeModel(path))
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:

@@ -101,6 +101,19 @@ def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+_kept: dict = {}
+
+
+def keep_one(key, make):
+    """What ``make`` gives, kept by this worker until it is asked for another key: a worker
+    that serves several operators one after the other holds the tables and caches of one
+    of them."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 class Recent:
     """A worker's cache of two generations: when the young one is full it becomes
     the old one; what is asked for again moves back.  Holds at most about twice

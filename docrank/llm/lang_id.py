@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docrank.llm.common import crc_mod, text_or_empty
+from docrank.llm.common import crc_mod, keep_one, text_or_empty
 
 FIT_ROWS = 10_000         # of each language
 MAX_WORDS = 30_000
@@ -44,7 +44,6 @@ SLICE_ROWS = 500          # rows that a task holds at a time
 UND = "und"
 
 LETTERS = regex.compile(r"\p{L}+")
-_scorers: dict = {}
 
 
 def words_of(text: str) -> list[str]:
@@ -190,10 +189,7 @@ class Scorer:
 
 def scorer_of(model, key: str) -> Scorer:
     """The worker's scorer of a broadcast model; it keeps one at a time."""
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(model.value)
-    return _scorers[key]
+    return keep_one(("lang", key), lambda: Scorer(model.value))
 
 
 def predict(docs: DataFrame, m: dict, text_col: str = "text", out_col: str = "language") -> DataFrame:

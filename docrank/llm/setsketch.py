@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docrank.llm.common import Recent, by_group, group_starts, split_cells, store, text_or_empty
+from docrank.llm.common import Recent, by_group, group_starts, keep_one, split_cells, store, text_or_empty
 from docrank.llm.components import components
 
 BASE = 1.001
@@ -55,8 +55,6 @@ CHUNK = 1_024             # rows of a block of a large bucket
 CHUNK_SHINGLES = 1_000_000  # shingles of a block whose sets are compared
 CACHE_ENTRIES = 100_000   # of each of two generations
 
-_word_hashes = Recent(CACHE_ENTRIES)
-
 
 # ---- shingles and sketches ---------------------------------------------------------
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -76,9 +74,10 @@ def shingle_hashes(text: bytes, k: int) -> np.ndarray:
     words = words_of(text)
     if not words:
         return np.empty(0, np.uint64)
-    new = _word_hashes.missing(set(words))
-    _word_hashes.now.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-    h = np.fromiter(map(_word_hashes.now.__getitem__, words), np.uint64, len(words))
+    hashes = keep_one("shingles", lambda: Recent(CACHE_ENTRIES))
+    new = hashes.missing(set(words))
+    hashes.now.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
+    h = np.fromiter(map(hashes.now.__getitem__, words), np.uint64, len(words))
     size = min(k, len(h))
     out = np.full(len(h) - size + 1, size, np.uint64)
     for i in range(size):
