@@ -237,9 +237,9 @@ def q_search_batch_bag_top5(spark, sf_dir):
     return S.search_batch(model(spark, sf_dir), benchmark_queries(spark, sf_dir), WORD_LOWER, "bag", k=5).select("query_id", "rank", "doc_id", r8("score"))
 
 
-def _built_index(spark, sf_dir):
+def _built_index(spark, sf_dir, **kw):
     path = scratch_path(spark, "index")
-    sink.write_index(model(spark, sf_dir), path, buckets=16)
+    sink.write_index(model(spark, sf_dir), path, buckets=16, **kw)
     return read_index(spark, path)
 
 
@@ -253,6 +253,22 @@ def q_index_search_batch_top5(spark, sf_dir):
     return S.search_batch(idx, benchmark_queries(spark, sf_dir), idx.tokenizer, "set", k=5).select("query_id", "rank", "doc_id", r8("score"))
 
 
+def q_index_packed_search_sum(spark, sf_dir):
+    """A search of packed postings: only the blocks of its words are taken apart."""
+    idx = _built_index(spark, sf_dir, packed=True)
+    return S.search_sum(idx, spark, QUERY, idx.tokenizer, "set").select("doc_id", r8("score"))
+
+
+def q_index_packed_tfidf(spark, sf_dir):
+    """All weights of an index of packed postings."""
+    return _built_index(spark, sf_dir, packed=True).weights().select("doc_id", "word", r10("tf_idf"))
+
+
+def q_index_packed_batch_top5(spark, sf_dir):
+    idx = _built_index(spark, sf_dir, packed=True)
+    return S.search_batch(idx, benchmark_queries(spark, sf_dir), idx.tokenizer, "set", k=5).select("query_id", "rank", "doc_id", r8("score"))
+
+
 def q_tsv_export_import(spark, sf_dir):
     path = scratch_path(spark, "tsv")
     sink.write_tsv(model(spark, sf_dir).weights, path)
@@ -473,6 +489,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_batch_bag_top5": q_search_batch_bag_top5,
     "index_search_sum": q_index_search_sum,
     "index_search_batch_top5": q_index_search_batch_top5,
+    "index_packed_search_sum": q_index_packed_search_sum,
+    "index_packed_tfidf": q_index_packed_tfidf,
+    "index_packed_batch_top5": q_index_packed_batch_top5,
     "tsv_export_import": q_tsv_export_import,
     "tsv_stage1_roundtrip": q_tsv_stage1_roundtrip,
     "tsv_stage2_roundtrip": q_tsv_stage2_roundtrip,

@@ -206,7 +206,9 @@ FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
 SELECT '{name}' AS version, doc_id, round(sum(w.tf_idf * qt.qtf), 8) AS score
 FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""") for name, f in (("before", mr_flavor), ("after", sql_flavor)))
     q["index_versions_search"] = f"({old}) UNION ALL ({new})"
-    q["index_search_batch_top5"] = q["search_batch_top5"]
+    q["index_search_batch_top5"] = q["index_packed_batch_top5"] = q["search_batch_top5"]
+    q["index_packed_search_sum"] = q["index_search_sum"]
+    q["index_packed_tfidf"] = q["tfidf_sql"]
     q["tsv_export_import"] = with_(sql_flavor, "SELECT doc_id, word, round(tf_idf, 10) AS tf_idf FROM w")
     q["tsv_stage1_roundtrip"] = with_(rdd_flavor, """
 SELECT 'a-b:' || CAST(doc_id AS VARCHAR) || ' ' AS doc_id, word, frequency, n.n AS n_docs FROM terms CROSS JOIN n""")

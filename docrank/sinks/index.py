@@ -9,7 +9,10 @@ Stored index layout (``write_index``), in a versioned folder (``docrank.sinks.ve
     <version>/dictionary/*.parquet            word, doc_frequency; files in word order
     <version>/fences/*.parquet                per dictionary file: first and last word, words
     <version>/meta/*.parquet                  one row: n_docs, tokenizer, idf_kind,
-                                              tf_decimals, buckets
+                                              tf_decimals, buckets, packed
+
+A packed index (``docrank.sinks.packed``) has ``packed/bucket=<b>/`` in place of ``postings``:
+binary blocks of one word's ids, counts and lengths, taken apart while they are read.
 
 ``bucket = pmod(xxhash64(word), buckets)``.  A search for a few words reads only
 their buckets (partition pruning) and, inside them, only the row groups whose
@@ -33,6 +36,7 @@ from docrank.functions.numeric import format_fixed
 from docrank.operators.blocks import blocks_of, doc_range, sub_ranges
 from docrank.plans.model import TfIdf
 from docrank.sinks import versions
+from docrank.sinks.packed import pack_postings, unpack_postings
 
 DEFAULT_BUCKETS = 64
 
@@ -42,10 +46,11 @@ def bucket_of(word_col, buckets: int):
 
 
 def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
-                mode: str = "overwrite", dictionary_files: int | None = None) -> str:
+                mode: str = "overwrite", dictionary_files: int | None = None, packed: bool = False) -> str:
     """Materialize ``model`` as a stored index at ``path`` (jobs: postings, meta, blocks,
     vocabulary, dictionary, fences; ``dictionary_files`` sets the number of dictionary
-    files, else adaptive execution sizes them).  The build goes to a folder of its own and is published by one
+    files, else adaptive execution sizes them; ``packed`` keeps the postings, of integer
+    document ids, in binary blocks).  The build goes to a folder of its own and is published by one
     rename at the end: readers see the old index or the new one, never a mixture, and a
     build that fails changes nothing.  ``mode='errorifexists'`` refuses to replace a
     published index.  Returns ``path``."""
@@ -56,9 +61,9 @@ def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
         raise FileExistsError(f"an index is published at {path}")
     version = versions.new_version()
     folder = f"{path}/versions/{version}"
-    write_postings(model, folder, buckets)
-    write_meta(model, folder, buckets)
-    write_blocks(spark, folder)
+    (write_packed if packed else write_postings)(model, folder, buckets)
+    write_meta(model, folder, buckets, packed)
+    write_blocks(stored_postings(spark, folder), folder)
     write_vocabulary(spark, folder)
     write_dictionary(spark, folder, dictionary_files)
     versions.mark(spark, path, version)
@@ -83,7 +88,21 @@ def write_postings(model: TfIdf, folder: str, buckets: int) -> None:
     postings.write.partitionBy("bucket").parquet(f"{folder}/postings")
 
 
-def write_meta(model: TfIdf, folder: str, buckets: int) -> None:
+def write_packed(model: TfIdf, folder: str, buckets: int) -> None:
+    blocks = pack_postings(model.tf.withColumn("bucket", bucket_of(F.col("word"), buckets)))
+    (blocks.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "doc_id_low")
+     .write.partitionBy("bucket").parquet(f"{folder}/packed"))
+
+
+def stored_postings(spark: SparkSession, folder: str, meta=None) -> DataFrame:
+    """The postings of a version, packed or not (``meta``: its row, if it was read)."""
+    meta = meta or spark.read.parquet(f"{folder}/meta").first()
+    if "packed" in meta and meta["packed"]:
+        return unpack_postings(spark.read.parquet(f"{folder}/packed"), meta["n_docs"], meta["tf_decimals"])
+    return spark.read.parquet(f"{folder}/postings")
+
+
+def write_meta(model: TfIdf, folder: str, buckets: int, packed: bool = False) -> None:
     meta = model.corpus_size().select(
         F.col("n_docs").cast("long").alias("n_docs"),
         F.lit(model.tokenizer).alias("tokenizer"),
@@ -91,14 +110,14 @@ def write_meta(model: TfIdf, folder: str, buckets: int) -> None:
         F.lit(model.tf_decimals).cast("int").alias("tf_decimals"),
         F.lit(buckets).alias("buckets"),
         (model.n_docs if model.n is not None else F.lit(None)).cast("double").alias("n_override"),
-        F.lit(model.doc_frequency_override).cast("long").alias("df_override"))
+        F.lit(model.doc_frequency_override).cast("long").alias("df_override"),
+        F.lit(packed).alias("packed"))
     meta.coalesce(1).write.parquet(f"{folder}/meta")
 
 
-def write_blocks(spark: SparkSession, folder: str) -> None:
+def write_blocks(stored: DataFrame, folder: str) -> None:
     """Blocks of the stored postings; the documents of a block add up in every task
     before the shuffle."""
-    stored = spark.read.parquet(f"{folder}/postings")
     (blocks_of(stored, "bucket").hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "range")
      .write.partitionBy("bucket").parquet(f"{folder}/blocks"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from docrank.operators import weights as W
 from docrank.operators.search import Searchable
 from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
-from docrank.sinks.index import DOC_WORD, DOC_WORD_N, WORD_DOC, bucket_of
+from docrank.sinks.index import DOC_WORD, DOC_WORD_N, WORD_DOC, bucket_of, stored_postings
 from docrank.sinks.versions import resolve
 
 
@@ -33,7 +33,7 @@ class Index(Searchable):
         self.tf_decimals = meta["tf_decimals"]
         self.buckets = int(meta["buckets"])
         self.df_override = meta["df_override"]
-        self.postings = spark.read.parquet(f"{folder}/postings")
+        self.postings = stored_postings(spark, folder, meta)
         self.blocks = spark.read.parquet(f"{folder}/blocks")
         vocab = spark.read.parquet(f"{folder}/vocabulary")
         if "batch_id" in vocab.columns:       # streamed index: per-batch deltas
