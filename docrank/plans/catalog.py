@@ -21,6 +21,7 @@ from docrank.session import scratch_path
 from docrank.sinks import index as sink
 from docrank.sinks.store import read_doc_store, write_doc_store
 from docrank.sources import corpus as src
+from docrank.sources.container import read_container, read_per_doc_container, write_container, write_per_doc_container
 from docrank.sources.listing import list_files, read_file_texts, write_file_texts
 from docrank.sources.index import read_captured, read_index, read_per_doc, read_tsv
 
@@ -319,6 +320,20 @@ def _per_doc(mode):
     return q
 
 
+def q_container_corpus(spark, sf_dir):
+    """All documents in containers of many documents each, and back."""
+    path = scratch_path(spark, "containers")
+    write_container(documents(spark, sf_dir), path)
+    return read_container(spark, path).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def q_per_doc_container(spark, sf_dir):
+    """Word counts as one text per document, in containers, and back."""
+    path = scratch_path(spark, "per-doc-containers")
+    write_per_doc_container(model(spark, sf_dir).word_count(), path, "frequency")
+    return read_per_doc_container(spark, path, "frequency", id_type="bigint")
+
+
 def q_save_results_roundtrip(spark, sf_dir):
     """A search result saved (an existing result is refused) and read back."""
     path = scratch_path(spark, "results")
@@ -498,6 +513,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "counts_index_search": q_counts_index_search,
     "per_doc_output": _per_doc(WORD_LOWER),
     "per_doc_output_split": _per_doc(NONWORD_SPLIT),
+    "container_corpus": q_container_corpus,
+    "per_doc_container": q_per_doc_container,
     "read_captured": q_read_captured,
     "save_results_roundtrip": q_save_results_roundtrip,
     "overwrite_index_search": q_overwrite_index_search,

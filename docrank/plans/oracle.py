@@ -218,7 +218,8 @@ SELECT doc_id, round(sum(w.tf_idf * qt.qtf), 8) AS score
 FROM w JOIN qt ON w.word = qt.word GROUP BY doc_id""")
     q["per_doc_output_split"] = with_(rdd_flavor, "SELECT doc_id, word, frequency FROM terms")
     q["per_doc_output"] = with_(sql_flavor, "SELECT doc_id, word, frequency FROM terms")
-    q["read_captured"] = q["per_doc_output"]
+    q["read_captured"] = q["per_doc_container"] = q["per_doc_output"]
+    q["container_corpus"] = q["csv_corpus_roundtrip"]
     q["lines_corpus_word_count"] = lines_word_count("coalesce(f[10], '')", "n_fields = 10")
     q["lines_last_field_word_count"] = lines_word_count("coalesce(f[n_fields], '')", "TRUE")
     q["lines_fragment_arity"] = with_(LINES_SQL, "SELECT n_fields, count(*) AS n_lines FROM flds GROUP BY n_fields")
