@@ -22,7 +22,7 @@ from docrank.sinks import index as sink
 from docrank.sinks.store import read_doc_store, write_doc_store
 from docrank.sources import corpus as src
 from docrank.sources.container import read_container, read_per_doc_container, write_container, write_per_doc_container
-from docrank.sources.listing import list_files, read_file_texts, write_file_texts
+from docrank.sources.listing import FOLDERS, list_files, read_file_texts, write_doc_lines, write_file_texts
 from docrank.sources.index import read_captured, read_index, read_per_doc, read_tsv
 
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -315,7 +315,7 @@ def _per_doc(mode):
     def q(spark, sf_dir):
         path = scratch_path(spark, "perdoc")
         counts = TfIdf(documents(spark, sf_dir), tokenizer=mode).word_count()
-        sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency")
+        sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency", folders=FOLDERS)
         return read_per_doc(spark, path, id_type="bigint").select("doc_id", "word", "frequency")
     return q
 
@@ -373,7 +373,7 @@ def q_read_captured(spark, sf_dir):
     """Per-document ``word<TAB>value`` files, the id taken from the file path."""
     path = scratch_path(spark, "captured")
     counts = TfIdf(documents(spark, sf_dir)).word_count()
-    sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency")
+    sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency", folders=FOLDERS)
     back = read_captured(spark, path, "frequency", id_pattern=r"doc_id=(\d+)", id_from="file_path")
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "word", F.col("frequency").cast("long").alias("frequency"))
 
@@ -413,12 +413,12 @@ def q_files_corpus_tfidf(spark, sf_dir):
     """One file per document (directory ``doc_id=<id>``); N is the number of
     input files."""
     path = scratch_path(spark, "files")
-    (spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-     .write.partitionBy("doc_id").text(path))
-    raw = spark.read.text(path, wholetext=True)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    write_doc_lines(docs.select("doc_id", F.col("text").alias("line")), path, folders=FOLDERS)
     c = src.read_files_corpus(spark, path, id_pattern=r"doc_id=(\d+)", id_from="file_path")
     c = c.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    m = TfIdf(c, n=src.n_input_files(raw))
+    # the files are dealt to many tasks already
+    m = TfIdf(c, n=src.n_input_files(list_files(spark, path)), balance=False)
     return m.weights.select("doc_id", "word", r10("tf_idf"))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docrank.sources.csv_split import read_split_csv
+from docrank.sources.listing import file_name, list_files, read_whole, url_of
 
 
 def _fill(text: Column) -> Column:
@@ -131,23 +132,12 @@ def read_files_corpus(spark: SparkSession, path: str, id_pattern: str = r"^([^.]
     """One document per file: ``doc_id`` = group 1 of ``id_pattern`` matched
     against the file name (default: up to the first dot, so
     ``2118_9.txt-m-00001`` -> ``2118_9``) or, with ``id_from='file_path'``,
-    against the full path; ``text`` = whole file.  Spark's readers skip files of
-    length zero; the file listing names them, and they are added as empty
-    documents.  Names are URL-encoded, as Spark gives them."""
-    raw = spark.read.text(path, wholetext=True)
-
-    def doc_id(p: Column) -> Column:
-        return F.regexp_extract(p, id_pattern, 1).alias("doc_id")
-
-    def plain(p: Column) -> Column:     # file:/x, file:///x -> file:/x
-        return F.regexp_replace(p, "^([^:]+):/+", "$1:/")
-
-    full = raw.select(doc_id(F.col(f"_metadata.{id_from}")), _fill(F.col("value")).alias("text"),
-                      plain(F.col("_metadata.file_path")).alias("path"))
-    listed = _listed(spark, raw).select(plain(F.col("path")).alias("path"))
-    name = F.col("path") if id_from == "file_path" else F.substring_index("path", "/", -1)
-    empty = listed.join(full.select("path"), "path", "left_anti").select(doc_id(name), F.lit("").alias("text"))
-    return full.select("doc_id", "text").unionByName(empty)
+    against the full path; ``text`` = whole file, empty ones too.  Files are listed and
+    read on the executors.  Names are URL-encoded, as Spark gives them."""
+    texts = read_whole(list_files(spark, path))
+    name = url_of(F.col("path"))
+    found = name if id_from == "file_path" else file_name(name)
+    return texts.select(F.regexp_extract(found, id_pattern, 1).alias("doc_id"), _fill(F.col("text")).alias("text"))
 
 
 def _listed(spark: SparkSession, file_df: DataFrame) -> DataFrame:
@@ -157,8 +147,10 @@ def _listed(spark: SparkSession, file_df: DataFrame) -> DataFrame:
 
 
 def n_input_files(file_df: DataFrame) -> Column:
-    """N as the number of input files behind a file-source DataFrame, empty ones
-    included."""
+    """N as the number of files of a listing (``listing.list_files``), or of the input files
+    behind a file-source DataFrame, empty ones included."""
+    if file_df.columns == ["path", "length"]:
+        return file_df.select(F.count(F.lit(1)).cast("double")).scalar()
     return F.lit(float(len(file_df.inputFiles())))
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docrank.operators import weights as W
 from docrank.operators.search import Searchable
 from docrank.operators.joins import DEFAULT_MAX_ROWS_PER_KEY
 from docrank.sinks.index import DOC_WORD, DOC_WORD_N, WORD_DOC, bucket_of, stored_postings
 from docrank.sinks.versions import resolve
+from docrank.sources.listing import file_name, list_files, partition_value, read_lines, url_of
 
 
 class Index(Searchable):
@@ -185,23 +185,27 @@ def read_tsv(spark: SparkSession, path: str, value_name: str = "tf_idf", layout:
 def read_per_doc(spark: SparkSession, path: str, value_name: str = "frequency", value_type: str = "bigint",
                  id_type: str = "string") -> DataFrame:
     """Per-document ``word\\tvalue`` text (``write_per_doc(fmt='tsv')``) as ``(doc_id, word,
-    value)``; an empty word stays an empty word."""
-    rows = spark.read.schema(f"value string, doc_id {id_type}").text(path)
+    value)``; an empty word stays an empty word.  Files are listed and read on the
+    executors."""
+    rows = read_lines(list_files(spark, path)).select(
+        partition_value(F.col("path"), "doc_id").cast(id_type).alias("doc_id"), F.col("line").alias("value"))
     value = F.substring_index("value", "\t", -1)
     return rows.select("doc_id", F.substring(F.col("value"), F.lit(1), F.length("value") - F.length(value) - 1).alias("word"),
                        value.cast(value_type).alias(value_name))
 
 
-CAPTURED_SCHEMA = T.StructType([T.StructField("word", T.StringType()),
-                                T.StructField("value", T.StringType())])
-
-
 def read_captured(spark: SparkSession, path: str, value_name: str = "value",
                   id_pattern: str = r"^([^.]*)", id_from: str = "file_name") -> DataFrame:
     """Per-document ``word\\tvalue`` files (no header), doc id = group 1 of
     ``id_pattern`` in the file name (default: up to the first dot) or path:
-    ``(doc_id, word, <value_name>)`` with value as string."""
-    raw = (spark.read.schema(CAPTURED_SCHEMA).option("sep", "\t").option("quote", "")
-           .option("nullValue", "\u0000").option("emptyValue", "").csv(path))
-    return raw.select(F.regexp_extract(F.col(f"_metadata.{id_from}"), id_pattern, 1).alias("doc_id"),
-                      "word", F.col("value").alias(value_name))
+    ``(doc_id, word, <value_name>)`` with value as string.  Files are listed and read on
+    the executors."""
+    if id_from not in ("file_name", "file_path"):
+        raise ValueError("id_from must be 'file_name' or 'file_path'")
+    lines = read_lines(list_files(spark, path))
+    name = url_of(F.col("path"))
+    doc_id = F.regexp_extract(name if id_from == "file_path" else file_name(name), id_pattern, 1)
+    # lines as Spark's CSV reader takes them: those of white space alone are none
+    fields = F.from_csv("line", "word string, value string", {"sep": "\t", "quote": "", "nullValue": "\u0000", "emptyValue": ""})
+    rows = lines.where(F.col("line").rlike("[^\\x00-\\x20]")).select(doc_id.alias("doc_id"), fields.alias("f"))
+    return rows.select("doc_id", F.col("f.word").alias("word"), F.col("f.value").alias(value_name))

@@ -5,16 +5,24 @@ listing is a job: each task lists some folders, the folders found are the next j
 input, until there are none (as many jobs as the tree is deep).  Paths stay in a table; the
 driver holds no row per file, and empty files are files like others.
 
+Outputs of one directory per document (``write_doc_lines``) are written by the tasks too:
+Spark's partitioned writer moves every directory on the driver when the job ends.
+
 Folders are reached through ``pyarrow.fs``, so a path is a local one shared by all
 executors or a URI that it knows (``file:``, ``hdfs:``, ``s3:``, ``gs:``).
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+import zlib
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +30,11 @@ from docrank.session import scratch_path
 
 FOLDERS = 256              # of a written corpus
 READ_BYTES = 16 << 20      # texts that a task holds at a time
+LIST_ROWS = 65_536
+
+# Names of partition directories, as Spark writes and reads them
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
 
 
 def _open(path: str):
@@ -38,15 +51,27 @@ def _entries(batches):
     for b in batches:
         for folder in b.column("path").to_pylist():
             where, rest, lead = _open(folder)
-            found = [f for f in where.get_file_info(fs.FileSelector(rest)) if f.base_name[0] not in "._"]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lead + f.path for f in found], pa.string()), pa.array([f.type == fs.FileType.Directory for f in found], pa.bool_()),
-                 pa.array([f.size or 0 for f in found], pa.int64())], names=["path", "folder", "length"])
+            here = where.get_file_info(rest)
+            listed = [here] if here.is_file else where.get_file_info(fs.FileSelector(rest))
+            for i in range(0, max(1, len(listed)), LIST_ROWS):
+                found = [f for f in listed[i:i + LIST_ROWS] if f.base_name[0] not in "._"]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lead + f.path for f in found], pa.string()), pa.array([f.type == fs.FileType.Directory for f in found], pa.bool_()),
+                     pa.array([f.size or 0 for f in found], pa.int64())], names=["path", "folder", "length"])
+
+
+def _roots(spark: SparkSession, path: str) -> list[str]:
+    """What a path with wildcards names, else the path itself."""
+    if not re.search(r"[*?\[{]", path):
+        return [path]
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return [f.getPath().toString() for f in found or [] if f.getPath().getName()[0] not in "._"]
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """``(path, length)`` of all files below ``path``, empty ones too."""
-    levels, folders = [], spark.createDataFrame([(path,)], "path string")
+    levels, folders = [], spark.createDataFrame([(p,) for p in _roots(spark, path)], "path string")
     out = scratch_path(spark, "listing")
     while True:
         at = f"{out}/{len(levels)}"
@@ -88,11 +113,66 @@ def file_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def _lines(batches):
+    """The text of each file in chunks of whole lines."""
+    for b in batches:
+        paths, texts, size = [], [], 0
+        for path in b.column("path").to_pylist():
+            where, rest, _ = _open(path)
+            left, first = b"", True
+            with where.open_input_stream(rest) as f:
+                while True:
+                    raw = f.read(READ_BYTES)
+                    got = left + (raw.removeprefix(b"\xef\xbb\xbf") if first else raw)
+                    first = False
+                    cut = got.rfind(b"\n") + 1 if raw else len(got)
+                    left = got[cut:]
+                    if cut:
+                        paths.append(path)
+                        texts.append(got[:cut].decode("utf-8", "replace"))
+                        size += cut
+                    if size >= READ_BYTES or len(paths) >= LIST_ROWS:
+                        yield _rows(paths, texts)
+                        paths, texts, size = [], [], 0
+                    if not raw:
+                        break
+        if paths:
+            yield _rows(paths, texts)
+
+
+def _dealt(files: DataFrame) -> DataFrame:
+    """The paths of files, dealt to tasks by a hash."""
+    n = files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path").repartition(4 * n, F.xxhash64("path"))
+
+
+def read_whole(files: DataFrame) -> DataFrame:
+    """``(path, text)`` of the files of ``list_files``."""
+    return _dealt(files).mapInArrow(_texts, "path string, text string")
+
+
+def read_lines(files: DataFrame) -> DataFrame:
+    """``(path, line)`` of the files of ``list_files``, lines as Spark's text reader cuts
+    them; a file of any size is read in chunks of whole lines."""
+    chunks = _dealt(files).mapInArrow(_lines, "path string, text string")
+    lines = F.split(F.regexp_replace("text", "(\r\n|\r|\n)\\z", ""), "\r\n|\r|\n")
+    return chunks.select("path", F.explode(lines).alias("line"))
+
+
+def url_of(path: Column) -> Column:
+    """A listed path as Spark's ``_metadata.file_path`` gives it (URL-encoded)."""
+    @F.arrow_udf("string")
+    def encoded(paths: pa.Array) -> pa.Array:
+        quoted = [re.sub(r"[^A-Za-z0-9/_.~!$&'()*+,;:=@\u0080-\U0010ffff-]", lambda m: f"%{ord(m[0]):02X}", p) for p in paths.to_pylist()]
+        return pa.array([re.sub("^file:/+", "file:///", p) for p in quoted], pa.string())
+
+    return encoded(path)
+
+
 def read_file_texts(files: DataFrame, id_pattern: str = r"^([^.]*)") -> DataFrame:
     """``(doc_id, text)`` of the files of ``list_files``: ``doc_id`` is group 1 of ``id_pattern``
     in the file name.  Files are dealt to tasks by a hash of their path."""
-    n = files.sparkSession.sparkContext.defaultParallelism
-    texts = files.select("path").repartition(4 * n, F.xxhash64("path")).mapInArrow(_texts, "path string, text string")
+    texts = read_whole(files)
     return texts.select(F.regexp_extract(file_name(F.col("path")), id_pattern, 1).alias("doc_id"), "text")
 
 
@@ -118,3 +198,81 @@ def write_file_texts(docs: DataFrame, path: str, suffix: str = ".txt", folders:
     rows = docs.select(F.lower(F.hex(F.pmod(F.xxhash64(name), F.lit(folders)))).alias("folder"), name.alias("name"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
+def partition_name(value: str | None) -> str:
+    """Value of a partition directory's name: as Spark escapes it."""
+    return _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", value) if value else NO_VALUE
+
+
+def partition_value(path: Column, name: str) -> Column:
+    """The value of ``name=<value>`` among the directories of a listed path, unescaped."""
+    value = F.regexp_extract(path, f"/{re.escape(name)}=([^/]*)/[^/]*$", 1)
+    return F.when(value != NO_VALUE, F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))))
+
+
+def write_doc_lines(rows: DataFrame, path: str, mode: str = "overwrite", folders: int | None = None) -> None:
+    """``rows(doc_id, line)`` as text files in one directory ``doc_id=<id>`` per document,
+    below ``path`` or, with ``folders``, in that many folders by a hash of the id: a
+    directory of all documents of a large corpus is listed by one task.
+
+    Each task sorts its rows by id and writes one file per document, beside its place,
+    and moves it there under the name of the partition, so an attempt that is lost or repeated
+    leaves one whole file.  All is written beside ``path`` and becomes visible by one rename;
+    ``mode='append'`` adds to what is there."""
+    spark, run = rows.sparkSession, uuid.uuid4().hex[:12]
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    target = jvm(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = files.exists(target)
+    if mode not in ("overwrite", "append", "ignore", "error", "errorifexists"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if there and mode == "ignore":
+        return
+    if there and mode.startswith("error"):
+        raise FileExistsError(path)
+    above, _, base = path.rstrip("/").rpartition("/")
+    draft = path.rstrip("/") if mode == "append" else f"{above}/_{base}-{run}"
+
+    def write(batches):
+        where, root, _ = _open(draft)
+        file = f"part-{TaskContext.get().partitionId():05d}-{run}.txt"
+        n, name, out, place = 0, None, None, ""
+        for b in batches:
+            names = b.column("name")
+            coded = names.dictionary_encode()
+            codes, values = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+            cuts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.empty(0, np.int64)
+            offsets = pa.array(np.r_[cuts, len(codes)].astype(np.int32))
+            texts = pc.binary_join(pa.ListArray.from_arrays(offsets, b.column("line")), "\n")
+            for at, text in zip(cuts, texts):
+                if out is None or values[codes[at]] != name:
+                    if out is not None:
+                        out.close()
+                        where.move(f"{place}/_{file}", f"{place}/{file}")
+                    name = values[codes[at]]
+                    folder = f"{zlib.crc32(name.encode()) % folders:x}/" if folders else ""
+                    place = f"{root}/{folder}doc_id={partition_name(name)}"
+                    where.create_dir(place, recursive=True)
+                    out = where.open_output_stream(f"{place}/_{file}")
+                    n += 1
+                out.write(text.as_py().encode())
+                out.write(b"\n")
+        if out is not None:
+            out.close()
+            where.move(f"{place}/_{file}", f"{place}/{file}")
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    # (a null id has the directory of the empty one, as Spark's writer gives them)
+    named = rows.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("name"), F.coalesce("line", F.lit("")).alias("line"))
+    try:
+        files.mkdirs(jvm(draft))
+        named.sortWithinPartitions("name").mapInArrow(write, "n long").agg(F.sum("n")).collect()
+        if draft != path.rstrip("/"):
+            if there:
+                files.delete(target, True)
+            if not files.rename(jvm(draft), target):
+                raise OSError(f"{draft} could not be moved to {path}")
+    finally:
+        if draft != path.rstrip("/") and files.exists(jvm(draft)):
+            files.delete(jvm(draft), True)
