@@ -24,9 +24,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docrank.functions.tokenize import WORD_LOWER
 from docrank.operators import weights as W
-from docrank.operators.blocks import blocks_of, doc_range, sub_ranges
+from docrank.operators.blocks import doc_range, sub_ranges
 from docrank.session import scratch_path
-from docrank.sinks.index import DEFAULT_BUCKETS, bucket_of
+from docrank.sinks.index import DEFAULT_BUCKETS, bucket_of, dealt_blocks
 
 CORPUS_SCHEMA = "doc_id bigint, text string"
 
@@ -55,7 +55,7 @@ def _append_batch(index_path: str, tokenizer: str, idf_kind: str, buckets: int):
          .partitionBy("bucket", "batch_id").parquet(f"{index_path}/postings"))
         stored = (batch.sparkSession.read.parquet(f"{index_path}/postings")
                   .where(F.col("batch_id") == batch_id))
-        (blocks_of(stored, "bucket").withColumn("batch_id", F.lit(batch_id).cast("long"))
+        (dealt_blocks(stored, buckets, stored.count()).withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("bucket", "batch_id").parquet(f"{index_path}/blocks"))
         stored = (batch.sparkSession.read.parquet(f"{index_path}/blocks")
