@@ -140,7 +140,9 @@ def search_batch(source, queries: DataFrame, mode: str = WORD_LOWER,
 def posting_list(tf_rows: DataFrame, block_size: int = 1024, by: str | None = None) -> DataFrame:
     """``(word, block, doc_ids, frequencies, term_frequencies)``: postings of
     each word gathered in blocks, sorted by ``doc_id``, so that no group is
-    unbounded and a stop word spreads over many tasks.
+    unbounded and a stop word spreads over many tasks.  Rows without a
+    ``term_frequency`` give no ``term_frequencies``.  The rows are dealt by block before they
+    are gathered: gathering first makes many small lists that are sorted and spilled.
 
     ``by='range'`` (the default for integer ids) blocks consecutive ids,
     ``block = doc_id div block_size``: at most ``block_size`` postings each.
@@ -152,18 +154,19 @@ def posting_list(tf_rows: DataFrame, block_size: int = 1024, by: str | None = No
     if by == "range":
         blocked = tf_rows.withColumn("block", F.floor(F.col("doc_id") / F.lit(block_size)).cast("long"))
     elif by == "hash":
-        sizes = tf_rows.groupBy("word").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_size)).alias("_blocks"))
+        # only words of more than one block are looked up
+        sizes = (tf_rows.groupBy("word").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_size)).alias("_blocks"))
+                 .where(F.col("_blocks") > 1))
         digits = F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8)
-        blocked = tf_rows.join(sizes, "word").withColumn(
-            "block", F.pmod(F.conv(digits, 16, 10).cast("long"), F.col("_blocks")))
+        blocked = tf_rows.join(sizes, "word", "left").withColumn(
+            "block", F.when(F.col("_blocks").isNull(), F.lit(0)).otherwise(F.pmod(F.conv(digits, 16, 10).cast("long"), F.col("_blocks"))).cast("long"))
     else:
         raise ValueError("by must be 'range' or 'hash'")
-    g = (blocked.groupBy("word", "block")
-         .agg(F.sort_array(F.collect_list(F.struct("doc_id", "frequency", "term_frequency"))).alias("p")))
-    return g.select("word", "block",
-                    F.col("p.doc_id").alias("doc_ids"),
-                    F.col("p.frequency").alias("frequencies"),
-                    F.col("p.term_frequency").alias("term_frequencies"))
+    lists = {"doc_id": "doc_ids", "frequency": "frequencies", "term_frequency": "term_frequencies"}
+    kept = [c for c in lists if c in tf_rows.columns]
+    g = (blocked.select("word", "block", *kept).repartition("word", "block").groupBy("word", "block")
+         .agg(F.sort_array(F.collect_list(F.struct(*kept))).alias("p")))
+    return g.select("word", "block", *[F.col(f"p.{c}").alias(lists[c]) for c in kept])
 
 
 def vocabulary_desc(source, k: int = 20, score_decimals: int | None = None) -> DataFrame:

@@ -15,7 +15,8 @@ from docrank.functions.numeric import format_fixed
 from docrank.functions.sql import register
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER, tokens
 from docrank.operators import search as S
-from docrank.plans.model import TfIdf
+from docrank.operators.blocks import stored
+from docrank.plans.model import TfIdf, in_few_parts
 from docrank.plans.oracle import BAG_QUERY, FOLLOWUP_QUERY, QUERY, ROWS_QUERY
 from docrank.session import scratch_path
 from docrank.sinks import index as sink
@@ -25,6 +26,7 @@ from docrank.sources.container import read_container, read_per_doc_container, wr
 from docrank.sources.listing import FOLDERS, list_files, read_file_texts, write_doc_lines, write_file_texts
 from docrank.sources.index import read_captured, read_index, read_per_doc, read_tsv
 
+CSV_FILE_BYTES = 256 << 20
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -81,10 +83,11 @@ def q_csv_arity_filter(spark, sf_dir):
 
 
 def q_csv_corpus_split_multiline(spark, sf_dir):
-    """The documents in one CSV file with line breaks in quotes, read by byte ranges."""
+    """The documents in CSV files with line breaks in quotes, read by byte ranges: one file
+    for each 256 MB of input, which is more than a range, so that no task writes them all."""
     raw = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*DOC_COLUMNS)
     path = scratch_path(spark, "csv-one")
-    sink.write_csv_corpus(raw.coalesce(1), path)
+    sink.write_csv_corpus(in_few_parts(raw, CSV_FILE_BYTES), path)
     back = src.read_csv_corpus(spark, path, columns=DOC_COLUMNS, id_col="doc_id", text_col="text", split=True)
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
@@ -139,6 +142,9 @@ def q_tfidf_alpha_raw(spark, sf_dir):
     return m.weights.select("doc_id", "word", r10("tf_idf"))
 
 
+POSTING = ("word", "doc_id", "frequency")     # what the listings show
+
+
 def _posting_columns(p):
     return p.select("word", "block",
                     F.array_join(F.transform("doc_ids", lambda x: x.cast("string")), ",").alias("doc_ids"),
@@ -147,13 +153,15 @@ def _posting_columns(p):
 
 
 def q_posting_list(spark, sf_dir):
-    return _posting_columns(S.posting_list(model(spark, sf_dir).tf, block_size=1024))
+    return _posting_columns(S.posting_list(model(spark, sf_dir).tf.select(*POSTING), block_size=1024))
 
 
 def q_posting_list_string_ids(spark, sf_dir):
     """Ids are text; blocks go by a hash of the id."""
     corpus = documents(spark, sf_dir).select(F.concat(F.lit("d"), F.col("doc_id")).alias("doc_id"), "text")
-    return _posting_columns(S.posting_list(TfIdf.flavor(corpus, "sql").tf, block_size=64))
+    # written once, read for the sizes and for the lists
+    rows = stored(TfIdf.flavor(corpus, "sql").tf.select(*POSTING), "postings")
+    return _posting_columns(S.posting_list(rows, block_size=64))
 
 
 def q_search_sum_top5(spark, sf_dir):
@@ -205,16 +213,20 @@ def q_index_prefix_words(spark, sf_dir):
 
 
 def q_sql_text_tfidf(spark, sf_dir):
-    """tf-idf written in SQL text with the registered functions."""
+    """tf-idf written in SQL text with the registered functions.  Token lists are dealt by
+    document, one row each: the counts of a document are made where its list is."""
     register(spark)
     return spark.sql("""
         WITH split AS (SELECT doc_id, tokens_word_lower(text) AS words FROM {docs}),
-        toks AS (SELECT doc_id, explode(words) AS word FROM split),
-        terms AS (SELECT doc_id, word, count(*) AS frequency FROM toks GROUP BY doc_id, word),
-        lengths AS (SELECT doc_id, size(words) AS total_words FROM split),
-        df AS (SELECT word, count(*) AS doc_frequency FROM terms GROUP BY word)
+        dealt AS (SELECT /*+ REPARTITION(doc_id) */ doc_id, words FROM split WHERE doc_id IS NOT NULL),
+        whole AS (SELECT doc_id, sort_array(flatten(collect_list(words))) AS words, collect_list(size(words)) AS lengths FROM dealt GROUP BY doc_id),
+        runs AS (SELECT doc_id, lengths, words, filter(sequence(0, size(words)), i -> i < size(words) AND (i = 0 OR get(words, i) != get(words, i - 1))) AS starts FROM whole),
+        terms AS (SELECT doc_id, lengths, inline(transform(starts, (s, j) -> struct(get(words, s) AS word, coalesce(get(starts, j + 1), size(words)) - s AS frequency))) FROM runs),
+        no_id AS (SELECT DISTINCT explode(words) AS word FROM split WHERE doc_id IS NULL),
+        df AS (SELECT word, count(*) AS doc_frequency FROM (SELECT word FROM terms UNION ALL SELECT word FROM no_id) GROUP BY word),
+        rows AS (SELECT doc_id, word, frequency, explode(lengths) AS total_words FROM terms)
         SELECT doc_id, word, round(frequency / total_words * idf((SELECT CAST(count(*) AS DOUBLE) FROM {docs}), doc_frequency), 10) AS tf_idf
-        FROM terms JOIN lengths USING (doc_id) JOIN df USING (word)""", docs=documents(spark, sf_dir))
+        FROM rows JOIN df USING (word)""", docs=documents(spark, sf_dir))
 
 
 def q_sql_text_tokenizers(spark, sf_dir):
