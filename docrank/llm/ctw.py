@@ -51,7 +51,7 @@ FLUSH_WORDS = 500_000
 HOT_GRAMS = 1_000_000
 FLUSH_GRAMS = 2_000_000
 GROUP_ROWS = 65_536
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20      # a step's arrays hold about 50 bytes for each of text
 FIRST, LAST = 3, 5        # bytes of context of the first and of the last level of real bytes
 
 
