@@ -221,13 +221,15 @@ class ByteLevelEncoder:
 
     def _step(self, texts: list[bytes]) -> list[bytes]:
         pieces = [self._pieces(t.decode()) for t in texts]
-        new = list(self.cache.missing(set().union(*pieces)))
+        found = [list(map(self.cache.now.get, p)) for p in pieces]
+        # most pieces are known: only the others go through a set
+        new = list(self.cache.missing({x for p, ids in zip(pieces, found) if None in ids for x, y in zip(p, ids) if y is None}))
         self.cache.now.update(zip(new, self._ids(new)))
-        get = self.cache.now.__getitem__
-        out = [b"".join(map(get, p)) for p in pieces]
+        now = self.cache.now
+        out = [b"".join([now[x] if y is None else y for x, y in zip(p, ids)] if None in ids else ids) for p, ids in zip(pieces, found)]
         for p in new:
             if len(p) > KEEP_CHARS:
-                del self.cache.now[p]
+                del now[p]
         return out
 
 
