@@ -73,3 +73,30 @@ def test_csv_corpus_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     got = QUERIES["csv_corpus_split_multiline"](spark, str(tmp_path))
     assert len({f for f in got.inputFiles()}) > 1
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.select("doc_id", "text").collect()))
+
+
+def test_blocks_of_a_stored_index_take_one_shuffle_in_bounded_parts(spark, tmp_out, monkeypatch):
+    from docrank.operators.blocks import blocks_of
+    from docrank.sinks import index as sink
+    from docrank.sources.index import read_index
+    monkeypatch.setattr(sink, "PART_ROWS", 20)
+    c = spark.createDataFrame([(i, f"common w{i % 5} v{i}") for i in range(60)], "doc_id long, text string")
+    for packed in (False, True):
+        idx = read_index(spark, sink.write_index(TfIdf(c), tmp_out("parts"), buckets=2, packed=packed))
+        assert sink.n_stored(spark, idx.folder, packed) == 180
+        dealt = sink.dealt_blocks(idx.postings, 2, 180)
+        assert _plan(dealt).count("Exchange hashpartitioning") == 1 and dealt.rdd.getNumPartitions() == 10
+        want = sorted(map(tuple, blocks_of(idx.postings, "bucket").select("word", "range", "max_tf", "n_postings").collect()))
+        assert sorted(map(tuple, idx.blocks.select("word", "range", "max_tf", "n_postings").collect())) == want
+
+
+def test_sql_text_tfidf_shuffles_documents_not_words(spark, tmp_path):
+    import math
+    rows = [(1, "a b a"), (1, "a"), (2, "b"), (3, None), (None, "a c"), (None, "c")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    df = QUERIES["sql_text_tfidf"](spark, str(tmp_path))
+    assert "hashpartitioning(doc_id" in _plan(df) and ", word#" not in "".join(
+        line.split("hashpartitioning(")[1].split("ENSURE")[0] for line in _plan(df).splitlines() if "hashpartitioning(doc_id" in line)
+    idf = {w: math.log(7 / (n + 1)) for w, n in (("a", 2), ("b", 2))}
+    want = [(1, "a", 3 / 3 * idf["a"]), (1, "a", 3 / 1 * idf["a"]), (1, "b", 1 / 3 * idf["b"]), (1, "b", 1 / 1 * idf["b"]), (2, "b", idf["b"])]
+    assert sorted((r.doc_id, r.word, round(r.tf_idf, 9)) for r in df.collect()) == sorted((d, w, round(x, 9)) for d, w, x in want)
