@@ -187,8 +187,8 @@ def read_per_doc(spark: SparkSession, path: str, value_name: str = "frequency",
     """Per-document ``word\\tvalue`` text (``write_per_doc(fmt='tsv')``) as ``(doc_id, word,
     value)``; an empty word stays an empty word.  Files are listed and read on the
     executors."""
-    rows = read_lines(list_files(spark, path)).select(
-        partition_value(F.col("path"), "doc_id").cast(id_type).alias("doc_id"), F.col("line").alias("value"))
+    rows = read_lines(list_files(spark, path), partition_value(F.col("path"), "doc_id").cast(id_type).alias("doc_id"))
+    rows = rows.withColumnRenamed("line", "value")
     value = F.substring_index("value", "\t", -1)
     return rows.select("doc_id", F.substring(F.col("value"), F.lit(1), F.length("value") - F.length(value) - 1).alias("word"),
                        value.cast(value_type).alias(value_name))
@@ -202,10 +202,10 @@ def read_captured(spark: SparkSession, path: str, value_name: str = "value",
     the executors."""
     if id_from not in ("file_name", "file_path"):
         raise ValueError("id_from must be 'file_name' or 'file_path'")
-    lines = read_lines(list_files(spark, path))
     name = url_of(F.col("path"))
     doc_id = F.regexp_extract(name if id_from == "file_path" else file_name(name), id_pattern, 1)
+    lines = read_lines(list_files(spark, path), doc_id.alias("doc_id"))
     # lines as Spark's CSV reader takes them: those of white space alone are none
     fields = F.from_csv("line", "word string, value string", {"sep": "\t", "quote": "", "nullValue": "\u0000", "emptyValue": ""})
-    rows = lines.where(F.col("line").rlike("[^\\x00-\\x20]")).select(doc_id.alias("doc_id"), fields.alias("f"))
+    rows = lines.where(F.col("line").rlike("[^\\x00-\\x20]")).select("doc_id", fields.alias("f"))
     return rows.select("doc_id", F.col("f.word").alias("word"), F.col("f.value").alias(value_name))

@@ -151,22 +151,20 @@ def read_whole(files: DataFrame) -> DataFrame:
     return _dealt(files).mapInArrow(_texts, "path string, text string")
 
 
-def read_lines(files: DataFrame) -> DataFrame:
-    """``(path, line)`` of the files of ``list_files``, lines as Spark's text reader cuts
-    them; a file of any size is read in chunks of whole lines."""
+def read_lines(files: DataFrame, key: Column) -> DataFrame:
+    """``key`` (made of the ``path``, once per chunk) and ``line`` of the files of
+    ``list_files``, lines as Spark's text reader cuts them; a file of any size is read in
+    chunks of whole lines."""
     chunks = _dealt(files).mapInArrow(_lines, "path string, text string")
     lines = F.split(F.regexp_replace("text", "(\r\n|\r|\n)\\z", ""), "\r\n|\r|\n")
-    return chunks.select("path", F.explode(lines).alias("line"))
+    return chunks.select(key, "text").select(F.col("*"), F.explode(lines).alias("line")).drop("text")
 
 
 def url_of(path: Column) -> Column:
     """A listed path as Spark's ``_metadata.file_path`` gives it (URL-encoded)."""
-    @F.arrow_udf("string")
-    def encoded(paths: pa.Array) -> pa.Array:
-        quoted = [re.sub(r"[^A-Za-z0-9/_.~!$&'()*+,;:=@\u0080-\U0010ffff-]", lambda m: f"%{ord(m[0]):02X}", p) for p in paths.to_pylist()]
-        return pa.array([re.sub("^file:/+", "file:///", p) for p in quoted], pa.string())
-
-    return encoded(path)
+    for c in "%" + "".join(map(chr, range(1, 33))) + "\x7f\"#<>?[\\]^`{|}":
+        path = F.replace(path, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return F.regexp_replace(path, "^file:/+", "file:///")
 
 
 def read_file_texts(files: DataFrame, id_pattern: str = r"^([^.]*)") -> DataFrame:
