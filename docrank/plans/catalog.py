@@ -16,14 +16,14 @@ from docrank.functions.sql import register
 from docrank.functions.tokenize import ALPHA, NONWORD_SPLIT, WORD_LOWER, tokens
 from docrank.operators import search as S
 from docrank.operators.blocks import stored
-from docrank.plans.model import TfIdf, in_few_parts
+from docrank.plans.model import TfIdf, balance_input, in_few_parts
 from docrank.plans.oracle import BAG_QUERY, FOLLOWUP_QUERY, QUERY, ROWS_QUERY
 from docrank.session import scratch_path
 from docrank.sinks import index as sink
 from docrank.sinks.store import read_doc_store, write_doc_store
 from docrank.sources import corpus as src
 from docrank.sources.container import read_container, read_per_doc_container, write_container, write_per_doc_container
-from docrank.sources.listing import FOLDERS, list_files, read_file_texts, write_doc_lines, write_file_texts
+from docrank.sources.listing import FOLDERS, id_name, list_files, read_file_texts, write_doc_lines, write_file_texts
 from docrank.sources.index import read_captured, read_index, read_per_doc, read_tsv
 
 CSV_FILE_BYTES = 256 << 20
@@ -321,13 +321,20 @@ def q_counts_index_search(spark, sf_dir):
     return S.search_sum(index, spark, QUERY, index.tokenizer, "set").select("doc_id", r8("score"))
 
 
+def _counts_by_document(spark, sf_dir, mode=WORD_LOWER):
+    """Word counts, those of a document one after the other in each partition: the documents
+    are sorted, a few thousand rows a task, and not their words."""
+    docs = balance_input(documents(spark, sf_dir)).sortWithinPartitions(id_name())
+    return TfIdf(docs, tokenizer=mode, balance=False).word_count()
+
+
 def _per_doc(mode):
     """Word counts written as one ``word<TAB>count`` text file per document
     (directory ``doc_id=<id>``) and read back."""
     def q(spark, sf_dir):
         path = scratch_path(spark, "perdoc")
-        counts = TfIdf(documents(spark, sf_dir), tokenizer=mode).word_count()
-        sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency", folders=FOLDERS)
+        counts = _counts_by_document(spark, sf_dir, mode)
+        sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency", folders=FOLDERS, grouped=True)
         return read_per_doc(spark, path, id_type="bigint").select("doc_id", "word", "frequency")
     return q
 
@@ -384,8 +391,8 @@ def q_term_frequency_6dp_text(spark, sf_dir):
 def q_read_captured(spark, sf_dir):
     """Per-document ``word<TAB>value`` files, the id taken from the file path."""
     path = scratch_path(spark, "captured")
-    counts = TfIdf(documents(spark, sf_dir)).word_count()
-    sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency", folders=FOLDERS)
+    counts = _counts_by_document(spark, sf_dir)
+    sink.write_per_doc(counts, path, fmt="tsv", value_col="frequency", folders=FOLDERS, grouped=True)
     back = read_captured(spark, path, "frequency", id_pattern=r"doc_id=(\d+)", id_from="file_path")
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "word", F.col("frequency").cast("long").alias("frequency"))
 

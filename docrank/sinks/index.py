@@ -185,18 +185,20 @@ def write_tsv(rows: DataFrame, path: str, value_col: str = "tf_idf", mode: str =
 
 
 def write_per_doc(rows: DataFrame, path: str, mode: str = "overwrite",
-                  fmt: str = "parquet", value_col: str | None = None, folders: int | None = None) -> None:
+                  fmt: str = "parquet", value_col: str | None = None, folders: int | None = None,
+                  grouped: bool = False) -> None:
     """One directory per document (``doc_id=<id>/``), the layout of the
     per-document outputs.  Rows of one document come from one corpus row, so
     each document is written by one task into one file without a shuffle.
     ``fmt='tsv'`` writes ``word<TAB>value`` text lines (``value_col``), like
     the captured per-document stage outputs; its directories are made by the tasks,
-    with ``folders`` in that many folders (``sources.listing.write_doc_lines``).  Meant for
+    with ``folders`` in that many folders; ``grouped`` rows, those of an id one after the
+    other in each partition, are not sorted (``sources.listing.write_doc_lines``).  Meant for
     corpora whose document count a file system can hold as directories; a large corpus
     belongs in ``write_index``."""
     if fmt == "tsv":
         line = F.concat_ws("\t", F.col("word"), F.col(value_col).cast("string")).alias("line")
-        write_doc_lines(rows.select("doc_id", line), path, mode, folders)
+        write_doc_lines(rows.select("doc_id", line), path, mode, folders, grouped)
     else:
         rows.write.mode(mode).partitionBy("doc_id").parquet(path)
 

@@ -156,7 +156,10 @@ def read_lines(files: DataFrame, key: Column) -> DataFrame:
     ``list_files``, lines as Spark's text reader cuts them; a file of any size is read in
     chunks of whole lines."""
     chunks = _dealt(files).mapInArrow(_lines, "path string, text string")
-    lines = F.split(F.regexp_replace("text", "(\r\n|\r|\n)\\z", ""), "\r\n|\r|\n")
+    # a text without "\r" is cut at one plain character, which takes no pattern search
+    any_break = F.split(F.regexp_replace("text", "(\r\n|\r|\n)\\z", ""), "\r\n|\r|\n")
+    last = F.expr("if(endswith(text, '\n'), left(text, length(text) - 1), text)")
+    lines = F.when(F.contains("text", F.lit("\r")), any_break).otherwise(F.split(last, "\n"))
     return chunks.select(key, "text").select(F.col("*"), F.explode(lines).alias("line")).drop("text")
 
 
@@ -209,12 +212,19 @@ def partition_value(path: Column, name: str) -> Column:
     return F.when(value != NO_VALUE, F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))))
 
 
-def write_doc_lines(rows: DataFrame, path: str, mode: str = "overwrite", folders: int | None = None) -> None:
+def id_name(doc_id: str = "doc_id") -> Column:
+    """An id as its directory tells it (a null id has the directory of the empty one, as
+    Spark's writer gives them)."""
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+
+
+def write_doc_lines(rows: DataFrame, path: str, mode: str = "overwrite", folders: int | None = None, grouped: bool = False) -> None:
     """``rows(doc_id, line)`` as text files in one directory ``doc_id=<id>`` per document,
     below ``path`` or, with ``folders``, in that many folders by a hash of the id: a
     directory of all documents of a large corpus is listed by one task.
 
-    Each task sorts its rows by id and writes one file per document, beside its place,
+    Each task sorts its rows by id (``grouped``: the rows of an id come one after the other
+    in a task already, which is checked) and writes one file per document, beside its place,
     and moves it there under the name of the partition, so an attempt that is lost or repeated
     leaves one whole file.  All is written beside ``path`` and becomes visible by one rename;
     ``mode='append'`` adds to what is there."""
@@ -235,7 +245,7 @@ def write_doc_lines(rows: DataFrame, path: str, mode: str = "overwrite", folders
     def write(batches):
         where, root, _ = _open(draft)
         file = f"part-{TaskContext.get().partitionId():05d}-{run}.txt"
-        n, name, out, place = 0, None, None, ""
+        seen, name, out, place = set(), None, None, ""
         for b in batches:
             names = b.column("name")
             coded = names.dictionary_encode()
@@ -249,23 +259,24 @@ def write_doc_lines(rows: DataFrame, path: str, mode: str = "overwrite", folders
                         out.close()
                         where.move(f"{place}/_{file}", f"{place}/{file}")
                     name = values[codes[at]]
+                    if name in seen:
+                        raise ValueError(f"rows of the document {name!r} do not come one after the other")
+                    seen.add(name)
                     folder = f"{zlib.crc32(name.encode()) % folders:x}/" if folders else ""
                     place = f"{root}/{folder}doc_id={partition_name(name)}"
                     where.create_dir(place, recursive=True)
                     out = where.open_output_stream(f"{place}/_{file}")
-                    n += 1
                 out.write(text.as_py().encode())
                 out.write(b"\n")
         if out is not None:
             out.close()
             where.move(f"{place}/_{file}", f"{place}/{file}")
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+        yield pa.RecordBatch.from_arrays([pa.array([len(seen)], pa.int64())], names=["n"])
 
-    # (a null id has the directory of the empty one, as Spark's writer gives them)
-    named = rows.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("name"), F.coalesce("line", F.lit("")).alias("line"))
+    named = rows.select(id_name().alias("name"), F.coalesce("line", F.lit("")).alias("line"))
     try:
         files.mkdirs(jvm(draft))
-        named.sortWithinPartitions("name").mapInArrow(write, "n long").agg(F.sum("n")).collect()
+        (named if grouped else named.sortWithinPartitions("name")).mapInArrow(write, "n long").agg(F.sum("n")).collect()
         if draft != path.rstrip("/"):
             if there:
                 files.delete(target, True)

@@ -1,9 +1,10 @@
 """Outputs of one directory per document: written, listed and read by the tasks."""
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from docrank.plans.catalog import QUERIES
+from docrank.plans.catalog import QUERIES, _counts_by_document
 from docrank.sinks.index import write_per_doc
 from docrank.sources.index import read_captured, read_per_doc
 from docrank.sources.listing import list_files, write_doc_lines
@@ -67,3 +68,24 @@ def test_queries_do_not_list_documents_on_the_driver(spark, tmp_path):
         df = QUERIES[name](spark, str(tmp_path))
         assert df.count() == 60
         assert not [f for f in df.inputFiles() if "doc_id=" in f], name
+
+
+def test_documents_are_sorted_and_not_their_words(spark, tmp_path):
+    docs = [(i, f"the word{i} the") for i in range(30)] + [(3, "again the"), (None, "no id"), (None, "none")]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    plan = _plan(_counts_by_document(spark, str(tmp_path)))
+    assert plan.count("Sort [") == 1 and plan.index("Generate") < plan.index("Sort [")
+    want = [(i, w, 2 if w == "the" and i is not None and t.startswith("the") else 1) for i, t in docs for w in set(t.split())]
+    for name in ("per_doc_output", "per_doc_output_split"):
+        got = [tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect() if r.doc_id is not None]
+        assert sorted(got) == sorted(x for x in want if x[0] is not None), name
+
+
+def test_grouped_rows_are_checked(spark, tmp_out):
+    rows = _rows(spark, [("a", "x", 1), ("b", "y", 2), ("a", "z", 3)]).coalesce(1)
+    path = tmp_out("apart")
+    with pytest.raises(Exception, match="one after the other"):
+        write_per_doc(rows, path, fmt="tsv", value_col="frequency", grouped=True)
+    assert not os.path.exists(path.removeprefix("file:"))
+    write_per_doc(rows, path, fmt="tsv", value_col="frequency")
+    assert read_per_doc(spark, path).count() == 3
