@@ -41,6 +41,7 @@ from docrank.sources.listing import write_doc_lines
 
 DEFAULT_BUCKETS = 64
 PART_ROWS = 250_000        # postings that a task makes blocks of
+SPLIT_BYTES = 8 << 20      # of stored postings that a task deals to the parts
 
 
 def bucket_of(word_col, buckets: int):
@@ -65,7 +66,7 @@ def write_index(model: TfIdf, path: str, buckets: int = DEFAULT_BUCKETS,
     folder = f"{path}/versions/{version}"
     (write_packed if packed else write_postings)(model, folder, buckets)
     write_meta(model, folder, buckets, packed)
-    write_blocks(stored_postings(spark, folder), folder, buckets, n_stored(spark, folder, packed))
+    write_blocks(stored_postings(in_small_splits(spark), folder), folder, buckets, n_stored(spark, folder, packed))
     write_vocabulary(spark, folder)
     write_dictionary(spark, folder, dictionary_files)
     versions.mark(spark, path, version)
@@ -124,6 +125,19 @@ def n_stored(spark: SparkSession, folder: str, packed: bool) -> int:
     return spark.read.parquet(f"{folder}/postings").count()       # from the footers
 
 
+def in_small_splits(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` that reads files in splits of ``SPLIT_BYTES``: a task that
+    deals postings to many parts holds the rows of its split until they are dealt, several
+    times the bytes of a file in which each word's ids lie together."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    split = "spark.sql.files.maxPartitionBytes"
+    own.conf.set(split, str(min(SPLIT_BYTES, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())))
+    return own
+
+
 def write_blocks(stored: DataFrame, folder: str, buckets: int, rows: int) -> None:
     """Blocks of ``rows`` stored postings."""
     (dealt_blocks(stored, buckets, rows).sortWithinPartitions("bucket", "word", "range")

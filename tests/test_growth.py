@@ -90,6 +90,28 @@ def test_blocks_of_a_stored_index_take_one_shuffle_in_bounded_parts(spark, tmp_o
         assert sorted(map(tuple, idx.blocks.select("word", "range", "max_tf", "n_postings").collect())) == want
 
 
+def test_blocks_are_dealt_from_small_splits(spark, tmp_out, monkeypatch):
+    """A task that deals postings held all rows of a split of 128 MB of several files."""
+    from docrank.sinks import index as sink
+    c = spark.createDataFrame([(i, f"common w{i % 5} v{i}") for i in range(200)], "doc_id long, text string")
+    read, asked = [], []
+    plain, blocks = sink.stored_postings, sink.write_blocks
+
+    def seen(stored, *rest):
+        read.append(stored.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+        asked.append((stored.rdd.getNumPartitions(), len(stored.inputFiles())))
+        assert stored.sparkSession.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+        return blocks(stored, *rest)
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(sink, "write_blocks", seen)
+    monkeypatch.setattr(sink, "SPLIT_BYTES", 1 << 10)
+    path = sink.write_index(TfIdf(c), tmp_out("splits"), buckets=16)
+    assert read == ["1024"] and asked[0][0] >= asked[0][1] == 16
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert plain(spark, sink.versions.resolve(spark, path)).count() == 600
+
+
 def test_sql_text_tfidf_shuffles_documents_not_words(spark, tmp_path):
     import math
     rows = [(1, "a b a"), (1, "a"), (2, "b"), (3, None), (None, "a c"), (None, "c")]
