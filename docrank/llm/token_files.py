@@ -52,6 +52,7 @@ LEVEL = 3
 CACHE_ENTRIES = 400_000   # of each of two generations
 KEEP_CHARS = 200          # longer pieces are not kept
 STEP_BYTES = 4 << 20
+JOINED = 512              # new words that the library encodes as one text
 SLICE_ROWS = 1_000
 # the machine's array type that is unsigned, of four bytes and little-endian
 ARRAY_TYPE = "I" if array("I").itemsize == 4 and sys.byteorder == "little" else None
@@ -71,6 +72,8 @@ _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
 _PLAIN = re.compile("[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*")
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\\t-\\r {_LETTER}0-9]+"
                     "|[\\t-\\r ]+(?![^\\t-\\r ])|[\\t-\\r ]+")
+# Pieces that stay pieces in a text of such pieces
+_ALONE = re.compile(f" (?:[{_LETTER}]+|[0-9]+)")
 
 _encoders: dict = {}
 
@@ -196,6 +199,23 @@ class ByteLevelEncoder:
         got = self.lib.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() if ARRAY_TYPE is None else array(ARRAY_TYPE, x.ids).tobytes() for x in got]
 
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of each piece.  Words of letters or digits after a space are encoded many
+        to a text, whose split is at these spaces again; the library tells the word of
+        each id."""
+        alone = list(filter(_ALONE.fullmatch, pieces)) if self.known_split else []
+        groups = [alone[i:i + JOINED] for i in range(0, len(alone), JOINED)]
+        texts = ["".join(g) for g in groups]
+        out: dict[str, bytes] = {}
+        for g, text, x in zip(groups, texts, self.lib.encode_batch(texts, add_special_tokens=False)):
+            n = np.bincount(np.array(x.word_ids, np.int64), minlength=len(g)) if None not in x.word_ids else []
+            if len(n) == len(g) and all(n) and not (self.added and self.added.search(text)):
+                raw, ends = np.array(x.ids, "<u4").tobytes(), (4 * np.cumsum(n)).tolist()
+                out.update((p, raw[a:b]) for p, a, b in zip(g, [0, *ends], ends))
+        rest = [p for p in pieces if p not in out]
+        out.update(zip(rest, self._ids(rest)))
+        return out
+
     def _pieces(self, text: str) -> list[str]:
         """Pieces of a text that encode independently."""
         if self.known_split and _PLAIN.fullmatch(text) and not (self.added and self.added.search(text)):
@@ -224,7 +244,7 @@ class ByteLevelEncoder:
         found = [list(map(self.cache.now.get, p)) for p in pieces]
         # most pieces are known: only the others go through a set
         new = list(self.cache.missing({x for p, ids in zip(pieces, found) if None in ids for x, y in zip(p, ids) if y is None}))
-        self.cache.now.update(zip(new, self._ids(new)))
+        self.cache.now.update(self._learn(new))
         now = self.cache.now
         out = [b"".join([now[x] if y is None else y for x, y in zip(p, ids)] if None in ids else ids) for p, ids in zip(pieces, found)]
         for p in new:

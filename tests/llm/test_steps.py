@@ -27,3 +27,21 @@ def test_known_pieces_are_not_asked_for_again(monkeypatch):
     assert asked[0] == {"x" * 300}            # long pieces are not kept
     e.cache.limit = 1                          # the next step begins a new generation
     assert ids(e.encode(texts)) == want and ids(e.encode(texts)) == want
+
+
+def test_new_words_are_encoded_many_to_a_text():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    e = token_files.ByteLevelEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [f" {w}{i}" if i % 3 else f" {w}" for i, w in enumerate(["the", "Zähne", "ſſ", "x" * 300, "don", "ÿ", "endoftext"] * 20)]
+    pieces = list(dict.fromkeys([*words, *(f" {i}" for i in range(1500)), "'s", " ", "\n\n", "a", " ,.", " <|endoftext|>", " a b"]))
+    alone = [p for p in pieces if token_files._ALONE.fullmatch(p)]
+    calls = []
+
+    class Counted:
+        def __getattr__(self, name, lib=e.lib):
+            return lambda texts, **kw: (calls.append(len(texts)), getattr(lib, name)(texts, **kw))[1]
+
+    want = dict(zip(pieces, e._ids(pieces)))
+    e.lib = Counted()
+    assert e._learn(pieces) == want
+    assert len(alone) > 1500 and sum(calls) <= len(pieces) - len(alone) + 4
