@@ -54,6 +54,8 @@ STAR_ROUNDS = 1
 CHUNK = 1_024             # rows of a block of a large bucket
 CHUNK_SHINGLES = 1_000_000  # shingles of a block whose sets are compared
 CACHE_ENTRIES = 100_000   # of each of two generations
+REPEATS = 4_096           # rows of one id and text that are dealt to one task
+MOST_DEALS = 64
 
 
 # ---- shingles and sketches ---------------------------------------------------------
@@ -179,7 +181,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
     members = store(band.join(shared, "bucket"), "nd-members")
     nodes = classes.select("rep", "n", "sketch")
-    texts = _texts(source, classes, members)
+    texts = _texts(source, rows, classes, members)
 
     links = comp = None
     for turn in range(STAR_ROUNDS):
@@ -199,13 +201,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
                       ((F.col("n") == 0) | (F.col("rid") == F.col("first_rep"))).alias("first"), "fp")
 
 
-def _texts(source: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
-    """``rep, text`` of the classes that have candidates."""
+def _texts(source: DataFrame, rows: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """``rep, text`` of the classes that have candidates.  Other texts are neither sorted
+    nor grouped, and not shuffled where the keys of those classes can be broadcast."""
     need = classes.select("rep", "k1", "k2").join(members.select("rep").distinct(), "rep", "left_semi")
+    need = store(need, "nd-keys")  # so that its size is known
     keyed = source.select(F.xxhash64("text", F.col("doc_id").cast("string")).alias("k1"),
                           F.xxhash64(F.lit(2), "text", F.col("doc_id").cast("string")).alias("k2"), "text")
-    once = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"))
-    return store(once.join(need, ["k1", "k2"]).select("rep", "text"), "nd-texts")
+    # rows that repeat id and text go to several tasks, by the partition they come from
+    most = rows.groupBy("k1", "k2").count().agg(F.max("count")).first()[0] or 0
+    deals = min(MOST_DEALS, math.ceil(most / REPEATS))
+    on = ["k1", "k2"]
+    if deals > 1:
+        keyed = keyed.withColumn("deal", F.pmod(F.spark_partition_id(), F.lit(deals)))
+        need = need.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
+        on = [*on, "deal"]
+    found = keyed.join(need, on)
+    if deals > 1:
+        found = found.groupBy("rep", *on).agg(F.first("text").alias("text"))
+    return store(found.groupBy("rep").agg(F.first("text").alias("text")), "nd-texts")
 
 
 def _labelled(members: DataFrame, comp: DataFrame | None) -> DataFrame:
@@ -359,7 +373,9 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     fixed = store(docs.withColumn("__row", F.monotonically_increasing_id()), "nd-docs")
     pick = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("__row"))
     found = near_duplicates(fixed.withColumn("__pick", pick), words, percent, "__pick", text_col)
-    return fixed.join(found.where("first").select(F.col("doc_id.__row").alias("__row")), "__row", "left_semi").drop("__row")
+    # the rows to drop are few and stored: where their numbers can be broadcast no text is shuffled
+    out = store(found.where(~F.coalesce("first", F.lit(False))).select(F.col("doc_id.__row").alias("__row")), "nd-out")
+    return fixed.join(out, "__row", "left_anti").drop("__row")
 
 
 def near_duplicate_report(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:

@@ -123,6 +123,40 @@ def test_deduplicate_keeps_one_row_of_each_group(spark):
     assert {r.doc_id for r in out if r.text and r.text.strip()} - {None} == {d for d, n, c, k in brute if n and k}
 
 
+def test_deduplicate_moves_no_text_for_a_few_rows_to_drop(spark, monkeypatch):
+    # only texts of candidates are grouped, and the rows to drop go to the texts
+    plans, keep = {}, setsketch.store
+    monkeypatch.setattr(setsketch, "store", lambda df, name: plans.update(
+        {name: df._jdf.queryExecution().executedPlan().toString()}) or keep(df, name))
+    rows = [(i, t) for i, t in enumerate(near_texts(9), 100)] + HARD
+    got = setsketch.deduplicate(documents(spark, rows), 5, 80)
+    last = got._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in last and "SortMergeJoin" not in last and "Exchange hashpartitioning" not in last
+    texts = plans["nd-texts"]
+    assert texts.index("partial_first(text") < texts.index("Join")      # printed from the top: joined first
+
+
+@pytest.mark.parametrize("repeats,threshold", [(2, "-1"), (2, "10m"), (4096, "-1")])
+def test_rows_that_repeat_id_and_text(spark, repeats, threshold, monkeypatch):
+    monkeypatch.setattr(setsketch, "REPEATS", repeats)
+    base = [(i, t) for i, t in enumerate(near_texts(11, groups=6), 100)]
+    rows = base + [base[0]] * 9 + [(None, base[3][1])] * 7 + [(None, None)] * 3 + HARD
+    random.Random(2).shuffle(rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        docs = documents(spark, rows).repartition(6)
+        got = setsketch.near_duplicate_report(docs, 5, 80).collect()
+        brute = brute_documents(rows, 5, 80)
+        assert sorted(map(tuple, got), key=key) == sorted(brute, key=key)
+        out = setsketch.deduplicate(docs, 5, 80).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sets = [setsketch.shingle_set((t or "").encode(), 5) for _, t in rows]
+    assert sum(not r.text or not r.text.strip() for r in out) == sum(not s for s in sets)
+    assert {r.doc_id for r in out if r.text and r.text.strip()} - {None} == {d for d, n, c, k in brute if n and k}
+
+
 def test_registers_agree_as_often_as_sets_overlap():
     rng = np.random.default_rng(0)
     for overlap in (0.3, 0.6, 0.9):
