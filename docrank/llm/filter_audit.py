@@ -58,8 +58,8 @@ def n_slots(rows: int) -> int:
     return min(MAX_SLOTS, max(BLOCK, 1 << max(1, SLOTS_PER_ROW * rows - 1).bit_length()))
 
 
-def repeat_sketch(hashes: DataFrame, slots: int) -> np.ndarray:
-    """One bit per slot: whether two or more of the ``hash`` rows fall into it."""
+def repeat_sketch(hashes: DataFrame, slots: int, times: int = 2) -> np.ndarray:
+    """One bit per slot: whether ``times`` (1 or 2) or more of the ``hash`` rows fall into it."""
     def sketch(batches):
         held, size = [], 0
         for b in batches:
@@ -76,12 +76,12 @@ def repeat_sketch(hashes: DataFrame, slots: int) -> np.ndarray:
         for b in batches:
             for at, ones, more in zip(*(b.column(c).to_pylist() for c in ("block", "ones", "more"))):
                 if at != block:
-                    yield from _bits(block, count)
+                    yield from _bits(block, count, times)
                     block, count = at, np.zeros(BLOCK, np.uint8)
                 once = np.frombuffer(ones, np.uint16)
                 count[once] = np.minimum(count[once] + 1, 2)
                 count[np.frombuffer(more, np.uint16)] = 2
-        yield from _bits(block, count)
+        yield from _bits(block, count, times)
 
     parts = hashes.mapInArrow(sketch, "block int, ones binary, more binary")
     merged = parts.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, bits binary")
@@ -104,25 +104,38 @@ def _blocks(hashes: np.ndarray, slots: int) -> pa.RecordBatch:
         names=["block", "ones", "more"])
 
 
-def _bits(block: int | None, count: np.ndarray):
-    if block is not None and (count > 1).any():
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(count > 1).tobytes()], pa.binary())],
+def _bits(block: int | None, count: np.ndarray, times: int):
+    if block is not None and (count >= times).any():
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(count >= times).tobytes()], pa.binary())],
                                          names=["block", "bits"])
 
 
-def possible_repeat(docs: DataFrame, text: Column):
-    """A function of a text column: whether another row of ``docs`` may hold the same
-    text (never false for a text that occurs twice)."""
-    slots = n_slots(docs.count())
-    bits = docs.sparkSession.sparkContext.broadcast(repeat_sketch(docs.select(F.xxhash64(text).alias("hash")), slots))
+def _test(hashes: DataFrame, times: int):
+    """A function of a column of hashes: whether ``times`` or more of the ``hash`` rows may
+    be equal to it."""
+    slots = n_slots(hashes.count())
+    bits = hashes.sparkSession.sparkContext.broadcast(repeat_sketch(hashes, slots, times))
 
     @F.arrow_udf("boolean")
     def test(hashes: pa.Array) -> pa.Array:
         at, table = slots_of(hashes.to_numpy(zero_copy_only=False), slots), bits.value
         return pa.array(((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=0), pa.bool_())
+    return test
+
+
+def possible_repeat(docs: DataFrame, text: Column):
+    """A function of a text column: whether another row of ``docs`` may hold the same
+    text (never false for a text that occurs twice)."""
+    test = _test(docs.select(F.xxhash64(text).alias("hash")), 2)
     return lambda c: test(F.xxhash64(c))
 
 
+def possible_member(hashes: DataFrame):
+    """A function of a column of 64-bit hashes: whether ``hashes`` (a column ``hash``) may
+    hold it (never false for one that it holds)."""
+    return _test(hashes, 1)
+
+
 # ---- failures ----------------------------------------------------------------------
 def words_in(text: Column) -> Column:
     bare = F.regexp_replace(text, rf"^{SPACE}|{SPACE}\z", "")

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from docrank.llm.common import Recent, by_group, group_starts, keep_one, split_cells, store, text_or_empty
 from docrank.llm.components import components
+from docrank.llm.filter_audit import possible_member
 
 BASE = 1.001
 RATE = 20.0
@@ -180,8 +181,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     band = classes.select("rep", F.posexplode(keys).alias("band", "bucket"))
     shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
     members = store(band.join(shared, "bucket"), "nd-members")
-    nodes = classes.select("rep", "n", "sketch")
-    texts = _texts(source, rows, classes, members)
+    nodes = store(classes.select("rep", "k1", "k2", "n", "sketch").join(members.select("rep").distinct(), "rep", "left_semi"), "nd-nodes")
+    texts = _texts(source, rows, nodes)
+    nodes = nodes.select("rep", "n", "sketch")
 
     links = comp = None
     for turn in range(STAR_ROUNDS):
@@ -201,13 +203,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
                       ((F.col("n") == 0) | (F.col("rid") == F.col("first_rep"))).alias("first"), "fp")
 
 
-def _texts(source: DataFrame, rows: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
-    """``rep, text`` of the classes that have candidates.  Other texts are neither sorted
-    nor grouped, and not shuffled where the keys of those classes can be broadcast."""
-    need = classes.select("rep", "k1", "k2").join(members.select("rep").distinct(), "rep", "left_semi")
-    need = store(need, "nd-keys")  # so that its size is known
+def _texts(source: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rep, text`` of the classes that have candidates.  Other texts are neither shuffled,
+    sorted nor grouped, but for the few that a Bloom filter of those classes' keys lets
+    through; none are shuffled before the join where the keys can be broadcast."""
+    need = store(nodes.select("rep", "k1", "k2"), "nd-keys")  # so that its size is known
+    possible = possible_member(need.select(F.col("k1").alias("hash")))
     keyed = source.select(F.xxhash64("text", F.col("doc_id").cast("string")).alias("k1"),
-                          F.xxhash64(F.lit(2), "text", F.col("doc_id").cast("string")).alias("k2"), "text")
+                          F.xxhash64(F.lit(2), "text", F.col("doc_id").cast("string")).alias("k2"), "text").where(possible("k1"))
     # rows that repeat id and text go to several tasks, by the partition they come from
     most = rows.groupBy("k1", "k2").count().agg(F.max("count")).first()[0] or 0
     deals = min(MOST_DEALS, math.ceil(most / REPEATS))
@@ -219,7 +222,8 @@ def _texts(source: DataFrame, rows: DataFrame, classes: DataFrame, members: Data
     found = keyed.join(need, on)
     if deals > 1:
         found = found.groupBy("rep", *on).agg(F.first("text").alias("text"))
-    return store(found.groupBy("rep").agg(F.first("text").alias("text")), "nd-texts")
+    # (a class has one pair of keys: by all three, rows dealt by the keys stay where they are)
+    return store(found.groupBy("k1", "k2", "rep").agg(F.first("text").alias("text")).select("rep", "text"), "nd-texts")
 
 
 def _labelled(members: DataFrame, comp: DataFrame | None) -> DataFrame:

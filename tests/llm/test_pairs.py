@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docrank.llm import perm_index, rp_forest, setsketch
 from docrank.llm.common import split_cells
 from docrank.llm.components import components
+from docrank.llm.filter_audit import possible_member
 from docrank.llm.queries import op1_permutation_index, op2_rp_forest, op7_setsketch
 
 from .conftest import HARD, documents, save
@@ -157,6 +158,50 @@ def test_rows_that_repeat_id_and_text(spark, repeats, threshold, monkeypatch):
     assert {r.doc_id for r in out if r.text and r.text.strip()} - {None} == {d for d, n, c, k in brute if n and k}
 
 
+def moved(df, column):
+    """Rows of each shuffle that holds ``column``, of the plan that ran."""
+    df.collect()
+    todo, out = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        p = todo.pop()
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(p.plan())
+        else:
+            if name == "ShuffleExchangeExec" and f"{column}#" in p.output().mkString(","):
+                out.append(p.metrics().apply("shuffleRecordsWritten").value())
+            todo += [p.children().apply(i) for i in range(p.children().size())]
+    return out
+
+
+def test_texts_without_candidates_are_not_shuffled_when_keys_cannot_be_broadcast(spark, monkeypatch):
+    frames, keep = {}, setsketch.store
+    monkeypatch.setattr(setsketch, "store", lambda df, name: frames.update({name: df}) or keep(df, name))
+    alone = [(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(1000, 1400)]
+    rows = alone + [(i, t) for i, t in enumerate(near_texts(13, groups=4, size=5), 100)] + HARD
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = setsketch.near_duplicate_report(documents(spark, rows), 5, 80).collect()
+        assert sorted(map(tuple, got), key=key) == sorted(brute_documents(rows, 5, 80), key=key)
+        need = keep(frames["nd-texts"], "again").count()
+        texts = moved(frames["nd-texts"], "text")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 0 < need < 40 and len(texts) == 1 and need <= texts[0] < 60
+
+
+def test_possible_members(spark):
+    rows = spark.range(3_000).select("id", F.xxhash64("id").alias("hash"))
+    may = possible_member(rows.where("id % 3 = 0").select("hash"))
+    got = {r.id: r.may for r in rows.select("id", may("hash").alias("may")).collect()}
+    assert all(got[i] for i in range(0, 3_000, 3)) and sum(got.values()) < 1_200
+    none = possible_member(rows.where("id < 0").select("hash"))
+    assert rows.where(none("hash")).count() == 0
+
+
 def test_registers_agree_as_often_as_sets_overlap():
     rng = np.random.default_rng(0)
     for overlap in (0.3, 0.6, 0.9):
