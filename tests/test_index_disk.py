@@ -75,6 +75,31 @@ def test_terms_of_counts_are_made_once_and_removed(spark, docs_dir, tmp_out, mon
         assert rows_of(getattr(got, part)) == rows_of(getattr(want, part))
 
 
+@pytest.mark.parametrize("flavor", ["sql", "mapreduce"])
+def test_an_index_built_in_rounds_is_the_same(spark, docs_dir, tmp_out, monkeypatch, flavor):
+    model = TfIdf.flavor(corpus(spark, docs_dir), flavor)
+    want = read_index(spark, sink.write_index(model, tmp_out("one"), buckets=4))
+    in_rounds(monkeypatch)
+    got = read_index(spark, sink.write_index(model, tmp_out("many"), buckets=4))
+    for part in ("postings", "blocks", "vocabulary"):
+        assert rows_of(getattr(got, part)) == rows_of(getattr(want, part))
+    columns = ["word", "doc_id", "frequency", "total_words", "term_frequency"]
+    assert rows_of(got.postings.select(columns)) == rows_of(model.tf.select(columns))
+    assert len(got.postings.inputFiles()) > len(want.postings.inputFiles())       # a file for each round
+    assert got.words_with_prefix("v").count() == 100
+
+
+def test_what_follows_from_a_posting_is_not_stored(spark, docs_dir, monkeypatch):
+    before = set(session._scratch)
+    assert QUERIES["overwrite_index_search"](spark, docs_dir).count()
+    path = next(p for p in set(session._scratch) - before if "index" in p)
+    for folder in Path(path.removeprefix("file:"), "versions").iterdir():
+        stored = spark.read.parquet(f"{folder}/postings")
+        assert sorted(stored.columns) == ["bucket", "doc_id", "frequency", "range", "total_words", "word"]
+        read = sink.stored_postings(spark, str(folder))
+        assert "term_frequency" in read.columns and read.count() == stored.count()
+
+
 def test_rows_that_may_change_take_one_round(spark, docs_dir, monkeypatch):
     in_rounds(monkeypatch)
     c = corpus(spark, docs_dir)
