@@ -75,6 +75,22 @@ def test_terms_of_counts_are_made_once_and_removed(spark, docs_dir, tmp_out, mon
         assert rows_of(getattr(got, part)) == rows_of(getattr(want, part))
 
 
+def test_shuffle_files_of_a_build_go_before_the_next(spark, docs_dir, monkeypatch):
+    before, left, meta = shuffle_files(spark), [], sink.write_meta
+
+    def seen(*args):
+        left.append(left_over(spark, before, 1000))
+        return meta(*args)
+
+    monkeypatch.setattr(sink, "write_meta", seen)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_before = spark.conf.get(key, None)
+    found = QUERIES["index_versions_search"](spark, docs_dir)
+    assert len(left) == 2 and max(left) <= 1000
+    assert spark.conf.get(key, None) == set_before
+    assert {r.version for r in found.collect()} == {"before", "after"}
+
+
 @pytest.mark.parametrize("flavor", ["sql", "mapreduce"])
 def test_an_index_built_in_rounds_is_the_same(spark, docs_dir, tmp_out, monkeypatch, flavor):
     model = TfIdf.flavor(corpus(spark, docs_dir), flavor)
